@@ -1,0 +1,24 @@
+"""All registered queries and their reference SQL."""
+
+from __future__ import annotations
+
+from importlib import import_module
+
+from evenweave.catalog.registry import ORACLES, QUERIES
+
+MODULES = ["balance", "checks"]
+
+
+def _load() -> None:
+    for name in MODULES:
+        import_module(f"evenweave.catalog.{name}")
+
+
+def all_queries():
+    _load()
+    return dict(QUERIES)
+
+
+def all_oracles():
+    _load()
+    return dict(ORACLES)

@@ -120,3 +120,37 @@ def assign_quotas(
         first = next((i for i, (_, n) in enumerate(quota) if n), 0)
         out = out.withColumn(column, F.element_at(values, F.greatest(passed, F.lit(0)) + 1 + first))
     return out.drop("_cuts")
+
+
+def allocate(df: DataFrame, total: Column | str, values: list[str]) -> DataFrame:
+    """K8 on a table of totals: rows ``(..., value, quota)`` by the remainder rule."""
+    n = F.col(total) if isinstance(total, str) else total
+    k = len(values)
+    cells = F.array(*[F.struct(F.lit(v).alias("value"), F.lit(i).alias("rank")) for i, v in enumerate(values)])
+    quota = F.call_function("div", n, F.lit(k)) + (F.col("_q.rank") < F.pmod(n, F.lit(k))).cast("long")
+    return df.withColumn("_q", F.explode(cells)).select(
+        *df.columns, F.col("_q.value").alias("value"), quota.cast("long").alias("quota")
+    )
+
+
+def expected_from_template(
+    template: DataFrame, columns: list[str], weight: str, cycles: int = 1
+) -> DataFrame:
+    """K16 for specs kept in a table: ``(column, value, expected)``, all columns in one pass."""
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    )
+    long = template.select(F.explode(cells).alias("c"), F.col(weight).cast("long").alias("w"))
+    return long.groupBy("c.column", "c.value").agg((F.sum("w") * cycles).alias("expected"))
+
+
+def hierarchy_problems(df: DataFrame, group: str, item: str) -> DataFrame:
+    """K17 for hierarchies kept in a table: groups with another number of items than the first group."""
+    # distinct first: an item listed many times collapses map-side.
+    sizes = df.select(group, item).distinct().groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    first = sizes.agg(F.min_by("n", group).alias("n")).scalar()
+    bad = sizes.where(F.col("n") != first)
+    return bad.select(
+        F.lit("equal_items_per_group").alias("rule"),
+        F.concat(F.col(group).cast("string"), F.lit(": "), F.col("n").cast("string")).alias("detail"),
+    )
