@@ -6,7 +6,7 @@ from importlib import import_module
 
 from evenweave.catalog.registry import ORACLES, QUERIES
 
-MODULES = ["balance", "checks"]
+MODULES = ["balance", "checks", "reports", "storage"]
 
 
 def _load() -> None:
