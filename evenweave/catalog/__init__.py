@@ -6,7 +6,7 @@ from importlib import import_module
 
 from evenweave.catalog.registry import ORACLES, QUERIES
 
-MODULES = ["balance", "checks", "reports", "storage"]
+MODULES = ["balance", "checks", "reports", "storage", "responses", "enrichment"]
 
 
 def _load() -> None:

@@ -137,7 +137,7 @@ FROM documents LEFT JOIN labels USING (doc_id) GROUP BY doc_id // 30"""
 
 @query("R9_throughput", f"""
 SELECT *, CASE WHEN elapsed > 0 THEN rows / elapsed ELSE 0.0 END AS rows_per_s,
-       CASE WHEN total > 0 THEN filled * 100.0 / total ELSE 0.0 END AS pct FROM ({DOCUMENT_BATCHES_SQL})""")
+       CASE WHEN total > 0 THEN filled * 100.0::DOUBLE / total ELSE 0.0 END AS pct FROM ({DOCUMENT_BATCHES_SQL})""")
 def r9(spark, sf_dir):
     return P.throughput(document_batches(spark, sf_dir), "rows", "elapsed", "filled", "total")
 

@@ -133,7 +133,7 @@ def _ledger(spark, sf_dir):
 
 _LEDGER_SQL = """
 SELECT source AS task_name, CAST(least(count(*), 20) AS INTEGER) AS completed_batches, 20 AS total_batches,
-       count(*) AS completed_rows, CASE WHEN lang = 'es' THEN 0 ELSE 4000 END AS total_rows, lang AS model,
+       count(*) AS completed_rows, CAST(CASE WHEN lang = 'es' THEN 0 ELSE 4000 END AS BIGINT) AS total_rows, lang AS model,
        printf('2024-01-01 %08d', max(doc_id)) AS last_saved
 FROM documents GROUP BY source, lang"""
 _LATEST_SQL = f"SELECT * FROM ({_LEDGER_SQL}) QUALIFY row_number() OVER (PARTITION BY task_name ORDER BY last_saved DESC) = 1"
@@ -167,7 +167,7 @@ def s9(spark, sf_dir):
 @query("S10_status", f"""
 SELECT task_name, completed_batches, total_batches, completed_rows, total_rows, pct,
        CAST(floor(pct * 40 / 100) AS INTEGER) AS bar, model, last_saved
-FROM (SELECT *, CASE WHEN total_rows > 0 THEN completed_rows * 100.0 / total_rows ELSE 0.0 END AS pct FROM ({_LATEST_SQL}))""")
+FROM (SELECT *, CASE WHEN total_rows > 0 THEN completed_rows * 100.0::DOUBLE / total_rows ELSE 0.0 END AS pct FROM ({_LATEST_SQL}))""")
 def s10(spark, sf_dir):
     return L.status(_ledger(spark, sf_dir))
 

@@ -63,7 +63,7 @@ class LadderRun:
     responses: DataFrame | None
 
 
-def _ask(opts: LadderOptions, system: str, temperature: float):
+def ask_generator(opts: LadderOptions, system: str, temperature: float):
     """The only place where Python runs: prompts in, raw responses out, errors become null."""
     factory, secondary = opts.factory, opts.secondary
 
@@ -93,7 +93,7 @@ def _call(requests: DataFrame, opts: LadderOptions, system: str, temperature: fl
     """Ask for every request. The partition count bounds how many calls run at a time."""
     if opts.concurrency:
         requests = requests.repartition(opts.concurrency, "batch_id", "chunk", "pos")
-    return requests.withColumn("raw", _ask(opts, system, temperature)(F.col("prompt")))
+    return requests.withColumn("raw", ask_generator(opts, system, temperature)(F.col("prompt")))
 
 
 def call_label(phase: int, attempt: Column) -> Column:

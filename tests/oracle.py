@@ -37,8 +37,24 @@ def rows_of(columns, rows):
     return sorted(columns), sorted(tuple(canon(r[i]) for i in order) for r in rows)
 
 
+DUCK_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP",
+}
+
+
+def type_notes(con, df, sql):
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [
+        f"{n}: {t} vs {want.get(n)}" for n, t in df.dtypes if DUCK_TYPES.get(t) != want.get(n)
+    ]
+
+
 def compare(con, df, sql):
     """None if equal, else what differs."""
+    notes = type_notes(con, df, sql)
+    if notes:
+        print("    types:", "; ".join(notes))
     rel = con.execute(sql)
     want_cols = [d[0] for d in rel.description]
     want = rows_of(want_cols, rel.fetchall())
