@@ -195,42 +195,39 @@ def e12(spark, sf_dir):
 
 def measuring_generator():
     """Answers with the prompt's length; gives up on some prompts and fails on others."""
-    def generate(prompt, system, temperature):
-        if len(prompt) % 5 == 0:
-            return None
-        if len(prompt) % 5 == 1:
-            raise RuntimeError("no answer")
-        return f"{system}|{temperature}|{len(prompt)}"
+    def factory():
+        def generate(prompt, system, temperature):
+            if len(prompt) % 5 == 0:
+                return None
+            if len(prompt) % 5 == 1:
+                raise RuntimeError("no answer")
+            return f"{system}|{temperature}|{len(prompt)}"
+
+        return generate
 
-    return generate
+    return factory
 
 
 def second_generator():
-    def generate(prompt, system, temperature):
-        return None if len(prompt) % 10 == 0 else "second"
+    def factory():
+        def generate(prompt, system, temperature):
+            return None if len(prompt) % 10 == 0 else "second"
 
-    return generate
+        return generate
+
+    return factory
 
 
 @query("E13_generator_calls", """
 SELECT conv_id, turn, CASE WHEN length(text) % 10 = 0 THEN NULL WHEN length(text) % 5 < 2 THEN 'second'
        ELSE 'be brief|0.5|' || length(text) END AS raw FROM conversations""")
 def e13(spark, sf_dir):
-    opts = LadderOptions(factory=_by_value(measuring_generator), secondary=_by_value(second_generator))
+    opts = LadderOptions(factory=measuring_generator(), secondary=second_generator())
     turns = table(spark, sf_dir, "conversations")
     ask = ask_generator(opts, "be brief", 0.5)
     return turns.select("conv_id", "turn", ask(F.col("text")).alias("raw"))
 
 
-def _by_value(factory):
-    """A generator factory that Python workers can load without this package on their path."""
-    import types
-
-    fn = types.FunctionType(factory.__code__, {"json": json, "re": re, "__builtins__": __builtins__}, factory.__name__)
-    fn.__module__ = "__main__"
-    return fn
-
-
 def staged_generator():
     """Decides by the ids in the prompt, so that every phase of the ladder has work to do.
 
@@ -238,29 +235,32 @@ def staged_generator():
     answered if their first id is even. Single rows are answered if the id is a multiple of three, once
     the temperature is above 0.9.
     """
-    def generate(prompt, system, temperature):
-        single = re.search(r"^Object: obj(\d+)$", prompt, re.M)
-        if single:
-            i = int(single.group(1))
-            if i % 3 == 0 and temperature > 0.9:
-                return '{"text":"single text %d","keywords":"k"}' % i
-            return None if i % 2 else '{"text":"no"}'
-        ids = [int(x) for x in re.findall(r"Object:obj(\d+) ", prompt)]
-        items = [{"id": k + 1, "text": f"text of row {i}", "keywords": f"k{i}"} for k, i in enumerate(ids)]
-        if len(ids) == 5:
-            return None if ids[0] % 2 else json.dumps(items)
-        kind = ids[0] // 30 % 4
-        if kind == 3:
-            raise RuntimeError("no answer")
-        if kind == 2:
-            return "sorry, no list today"
-        return json.dumps(items[:20] if len(ids) == 30 and kind == 1 else items)
-
-    return generate
+    def factory():
+        def generate(prompt, system, temperature):
+            single = re.search(r"^Object: obj(\d+)$", prompt, re.M)
+            if single:
+                i = int(single.group(1))
+                if i % 3 == 0 and temperature > 0.9:
+                    return '{"text":"single text %d","keywords":"k"}' % i
+                return None if i % 2 else '{"text":"no"}'
+            ids = [int(x) for x in re.findall(r"Object:obj(\d+) ", prompt)]
+            items = [{"id": k + 1, "text": f"text of row {i}", "keywords": f"k{i}"} for k, i in enumerate(ids)]
+            if len(ids) == 5:
+                return None if ids[0] % 2 else json.dumps(items)
+            kind = ids[0] // 30 % 4
+            if kind == 3:
+                raise RuntimeError("no answer")
+            if kind == 2:
+                return "sorry, no list today"
+            return json.dumps(items[:20] if len(ids) == 30 and kind == 1 else items)
+
+        return generate
+
+    return factory
 
 
 def _staged() -> LadderOptions:
-    return LadderOptions(factory=_by_value(staged_generator))
+    return LadderOptions(factory=staged_generator())
 
 
 def open_parts(spark, sf_dir):
@@ -312,48 +312,38 @@ def e30(spark, sf_dir):
 SELECT *, CASE WHEN row_id % 30 = 0 THEN 'first of its batch ' || row_id ELSE 'picture of ' || object_detected END AS img_desc
 FROM ({_STAGED_OUT})""")
 def e31(spark, sf_dir):
-    opts = LadderOptions(factory=_by_value(text_and_picture_generator))
+    opts = LadderOptions(factory=text_and_picture_generator())
     done, _, _, _ = run_tasks(open_parts(spark, sf_dir), ["text", "unknown", "text", "img_desc"], TASKS, opts)
     return done
 
 
 def text_and_picture_generator():
     """The staged answers for texts; for pictures always all rows of the batch."""
-    def pictures(prompt):
-        names = re.findall(r"^\d+\. (obj\d+) \|", prompt, re.M)
-        said = [
-            f"first of its batch {n[3:]}" if int(n[3:]) % 30 == 0 else f"picture of {n}" for n in names
-        ]
-        return json.dumps([{"img_desc": s} for s in said])
-
-    def generate(prompt, system, temperature):
-        if "search queries" in prompt:
-            return pictures(prompt)
-        single = re.search(r"^Object: obj(\d+)$", prompt, re.M)
-        if single:
-            i = int(single.group(1))
-            if i % 3 == 0 and temperature > 0.9:
-                return '{"text":"single text %d","keywords":"k"}' % i
-            return None if i % 2 else '{"text":"no"}'
-        ids = [int(x) for x in re.findall(r"Object:obj(\d+) ", prompt)]
-        items = [{"id": k + 1, "text": f"text of row {i}", "keywords": f"k{i}"} for k, i in enumerate(ids)]
-        if len(ids) == 5:
-            return None if ids[0] % 2 else json.dumps(items)
-        kind = ids[0] // 30 % 4
-        if kind == 3:
-            raise RuntimeError("no answer")
-        if kind == 2:
-            return "sorry, no list today"
-        return json.dumps(items[:20] if len(ids) == 30 and kind == 1 else items)
-
-    return generate
+    texts = staged_generator()
+
+    def factory():
+        about_texts = texts()
+
+        def generate(prompt, system, temperature):
+            if "search queries" not in prompt:
+                return about_texts(prompt, system, temperature)
+            ids = [int(i) for i in re.findall(r"^\d+\. obj(\d+) \|", prompt, re.M)]
+            said = [f"picture of obj{i}" if i % 30 else f"first of its batch {i}" for i in ids]
+            return json.dumps([{"img_desc": text} for text in said])
+
+        return generate
+
+    return factory
 
 
 def refusing_generator():
-    def generate(prompt, system, temperature):
-        return None
+    def factory():
+        def generate(prompt, system, temperature):
+            return None
+
+        return generate
 
-    return generate
+    return factory
 
 
 @query("E32_resume", """
@@ -370,17 +360,20 @@ def e32(spark, sf_dir):
         F.lit("k").alias("keywords"),
     )
     total = -(-rows.count() // 30)
-    opts = LadderOptions(factory=_by_value(willing_generator))
+    opts = LadderOptions(factory=willing_generator())
     store.save(rows, saved, TEXT, fingerprint, 2, total, opts)
     return run_task(rows, "text", TASKS, opts, store).select("row_id", "text")
 
 
 def willing_generator():
-    def generate(prompt, system, temperature):
-        ids = re.findall(r"Object:obj(\d+) ", prompt)
-        return json.dumps([{"text": f"text of row {i}", "keywords": "k"} for i in ids])
+    def factory():
+        def generate(prompt, system, temperature):
+            ids = re.findall(r"Object:obj(\d+) ", prompt)
+            return json.dumps([{"text": f"text of row {i}", "keywords": "k"} for i in ids])
+
+        return generate
 
-    return generate
+    return factory
 
 
 # ------------------------------------------------------------------ assignment
@@ -479,7 +472,7 @@ SELECT row_id, theme, object_detected, emotion, sentiment, dominant_colour, text
        '' AS monetary_mention, '' AS call_to_action FROM {PARTS_SQL}""")
 def e28(spark, sf_dir):
     """Nothing answers and the task has no fallback: all rows stay gaps."""
-    opts = LadderOptions(factory=_by_value(refusing_generator), max_retries=1, variations=1)
+    opts = LadderOptions(factory=refusing_generator(), max_retries=1, variations=1)
     return run_task(part_rows(spark, sf_dir), "cta", TASKS, opts)
 
 
@@ -491,7 +484,7 @@ def e1(spark, sf_dir):
         name="caption", output_columns=["caption", "alt"], min_length=5, inputs=["row_id"], deduplicate=False,
         fallback=lambda: {"caption": F.concat(F.lit("described "), F.col("row_id").cast("string"))},
     )
-    run = run_ladder(part_rows(spark, sf_dir), task, LadderOptions(factory=_by_value(refusing_generator)))
+    run = run_ladder(part_rows(spark, sf_dir), task, LadderOptions(factory=refusing_generator()))
     return run.table.select("row_id", "caption", "alt")
 
 
@@ -505,7 +498,7 @@ def s7_run(spark, sf_dir):
     rows = part_rows(spark, sf_dir).withColumn("text", F.lit(""))
     store = ProgressStore(new_run_dir(spark) + "/progress")
     half = (-(-rows.count() // 30) + 1) // 2
-    opts = LadderOptions(factory=_by_value(willing_generator))
+    opts = LadderOptions(factory=willing_generator())
     run_task(rows, "text", TASKS, opts, store, batches_per_wave=half)
     return read_ledger(spark, store.ledger_path).select(
         "task_name", "completed_batches", "total_batches", "completed_rows", "total_rows"

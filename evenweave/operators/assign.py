@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from evenweave.functions.columns import let
 from evenweave.functions.text import clean_text, digest, is_filled
 from evenweave.spec import TaskSpec
 
@@ -116,50 +117,44 @@ def pick_items(filled: Column, primaries: Column, min_length: int, deduplicate:
     row took it already); otherwise the first long enough item no row has taken. With ``deduplicate``, a
     value already taken by an earlier row is not taken again. A fold over at most one batch of rows.
     """
-    n_items = F.size(primaries)
-    valid = F.filter(
-        F.when(n_items > 0, F.sequence(F.lit(0), n_items - 1)).otherwise(F.array().cast("array<int>")),
-        lambda j: F.length(F.element_at(primaries, j + 1)) >= min_length,
-    )
+    both = F.struct(filled.alias("filled"), primaries.alias("primaries"))
+    return let(both, lambda b: _fold_picks(b["filled"], b["primaries"], min_length, deduplicate))
+
+
+def _fold_picks(filled: Column, primaries: Column, min_length: int, deduplicate: bool) -> Column:
     no_ints = F.array().cast("array<int>")
+    indexes = F.when(F.size(primaries) > 0, F.sequence(F.lit(0), F.size(primaries) - 1)).otherwise(no_ints)
     start = F.struct(
-        valid.alias("valid"),
+        F.filter(indexes, lambda j: F.length(primaries[j]) >= min_length).alias("valid"),
         no_ints.alias("used"),
         no_ints.alias("picks"),
         F.array().cast("array<string>").alias("taken"),
     )
 
-    def fresh(s: Column, j: Column) -> Column:
-        if not deduplicate:
-            return F.lit(True)
-        return ~F.array_contains(s["taken"], F.element_at(primaries, j + 1))
-
     def step(s: Column, i: Column) -> Column:
         free = F.array_except(s["valid"], s["used"])
-        if deduplicate:
-            free = F.filter(free, lambda j: fresh(s, j))
         direct = F.array_contains(s["valid"], i)
         if deduplicate:
-            direct = direct & F.when(i < n_items, fresh(s, i)).otherwise(F.lit(False))
+            free = F.filter(free, lambda j: ~F.array_contains(s["taken"], primaries[j]))
+            direct = F.when(direct, ~F.array_contains(s["taken"], primaries[i])).otherwise(F.lit(False))
         pick = (
-            F.when(F.element_at(filled, i + 1), F.lit(-1))
+            F.when(filled[i], F.lit(-1))
             .when(direct, i)
             .otherwise(F.coalesce(F.try_element_at(free, F.lit(1)), F.lit(-1)))
         )
-        return F.transform(F.array(pick), lambda p: _take(s, p, primaries, deduplicate))[0]
+        return let(pick, lambda p: _take(s, p, primaries, deduplicate))
 
-    folded = F.aggregate(F.sequence(F.lit(0), F.size(filled) - 1), start, step)
-    return F.when(F.size(filled) > 0, folded["picks"]).otherwise(no_ints)
+    folded = F.aggregate(F.sequence(F.lit(0), F.size(filled) - 1), start, step, lambda s: s["picks"])
+    return F.when(F.size(filled) > 0, folded).otherwise(no_ints)
 
 
 def _take(s: Column, p: Column, primaries: Column, deduplicate: bool) -> Column:
-    hit = p >= 0
     taken = s["taken"]
     if deduplicate:
-        taken = F.when(hit, F.array_append(taken, F.element_at(primaries, p + 1))).otherwise(taken)
+        taken = F.when(p >= 0, F.array_append(taken, primaries[p])).otherwise(taken)
     return F.struct(
         s["valid"].alias("valid"),
-        F.when(hit, F.array_append(s["used"], p)).otherwise(s["used"]).alias("used"),
+        F.when(p >= 0, F.array_append(s["used"], p)).otherwise(s["used"]).alias("used"),
         F.array_append(s["picks"], p).alias("picks"),
         taken.alias("taken"),
     )

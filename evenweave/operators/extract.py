@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evenweave.functions.columns import let
 from evenweave.functions.text import strip
 
 STRATEGIES = ["direct", "clean", "fix", "line", "regex"]
@@ -36,8 +37,7 @@ def _json(text: Column) -> Column:
     Parsing ``[text]`` and taking its only element rejects anything that follows the value.
     """
     outer = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    elements = outer.try_cast("array<variant>")
-    return F.when(F.size(elements) == 1, F.element_at(elements, 1))
+    return let(outer.try_cast("array<variant>"), lambda els: F.when(F.size(els) == 1, F.element_at(els, 1)))
 
 
 def _path(key: str) -> str:
@@ -78,9 +78,8 @@ def _no_items() -> Column:
 
 
 def _between(text: Column, first: str, last: str) -> Column:
-    """From the first ``first`` to the last ``last``; null where either is missing or out of order."""
-    found = F.regexp_extract(text, f"(?s){re.escape(first)}.*{re.escape(last)}", 0)
-    return F.when(found != "", found)
+    """From the first ``first`` to the last ``last``; blank where either is missing or out of order."""
+    return F.regexp_extract(text, f"(?s){re.escape(first)}.*{re.escape(last)}", 0)
 
 
 def drop_trailing_commas(text: Column, closers: str = "}]") -> Column:
@@ -152,7 +151,7 @@ def _unfence(text: Column) -> Column:
 
 def items_clean(raw: Column, primary: str, keys: list[str]) -> Column:
     """A JSON array somewhere in the response, possibly fenced."""
-    return _array_items(_between(_unfence(strip(raw)), "[", "]"), primary, keys)
+    return _array_items(_between(let(strip(raw), _unfence), "[", "]"), primary, keys)
 
 
 def repair_array(raw: Column, keys: list[str]) -> Column:
@@ -174,7 +173,7 @@ def items_line(raw: Column, primary: str, keys: list[str]) -> Column:
     objects = F.regexp_extract_all(raw, F.lit(pattern), F.lit(0))
 
     def usable(value: Column) -> Column:
-        return F.when(F.length(_field(value, primary)) > 3, _item(value, keys))
+        return let(value, lambda v: F.when(F.length(_field(v, primary)) > 3, _item(v, keys)))
 
     def repaired(text: Column) -> Column:
         text = drop_trailing_commas(text, "}")
@@ -220,29 +219,45 @@ def items_regex(raw: Column, primary: str, keys: list[str]) -> Column:
     return F.transform(pieces, item)
 
 
-def extract_items(responses: DataFrame, primary: str, keys: list[str], raw: str = "raw") -> DataFrame:
-    """Add ``strategy`` (null if nothing was found) and ``items`` to a table of responses.
+class Cascade:
+    """X6 for one set of keys; build it once to parse several tables."""
+
+    def __init__(self, primary: str, keys: list[str], raw: str = "raw"):
+        builders = [items_direct, items_clean, items_fix, items_line, items_regex]
+        self.raw = raw
+        self.columns = [(n, b(F.col(raw), primary, keys)) for n, b in zip(STRATEGIES, builders)]
+
+    def apply(self, responses: DataFrame) -> DataFrame:
+        """Add ``strategy`` (null if nothing was found) and ``items``.
+
+        Each strategy is a projection of its own that looks at the earlier results, so later, dearer
+        strategies are evaluated only for the rows that still need them.
+        """
+        out, open_yet = responses, F.col(self.raw).isNotNull()
+        for name, found in self.columns:
+            out = out.withColumn(f"_{name}", F.when(open_yet, found))
+            open_yet = open_yet & (F.coalesce(F.size(f"_{name}"), F.lit(0)) == 0)
+        strategy, items = F.lit(None).cast("string"), _no_items()
+        for name in reversed(STRATEGIES):
+            hit = F.coalesce(F.size(f"_{name}"), F.lit(0)) > 0
+            strategy = F.when(hit, F.lit(name)).otherwise(strategy)
+            items = F.when(hit, F.col(f"_{name}")).otherwise(items)
+        return out.select(*responses.columns, strategy.alias("strategy"), items.alias("items"))
 
-    Each strategy is a projection of its own that looks at the earlier results, so later, dearer
-    strategies are evaluated only for the rows that still need them.
-    """
-    builders = [items_direct, items_clean, items_fix, items_line, items_regex]
-    out, open_yet = responses, F.col(raw).isNotNull()
-    for name, build in zip(STRATEGIES, builders):
-        column = f"_{name}"
-        out = out.withColumn(column, F.when(open_yet, build(F.col(raw), primary, keys)))
-        open_yet = open_yet & (F.coalesce(F.size(column), F.lit(0)) == 0)
-    strategy, items = F.lit(None).cast("string"), _no_items()
-    for name in reversed(STRATEGIES):
-        found = F.coalesce(F.size(f"_{name}"), F.lit(0)) > 0
-        strategy = F.when(found, F.lit(name)).otherwise(strategy)
-        items = F.when(found, F.col(f"_{name}")).otherwise(items)
-    return out.select(*responses.columns, strategy.alias("strategy"), items.alias("items"))
+
+def extract_items(responses: DataFrame, primary: str, keys: list[str], raw: str = "raw") -> DataFrame:
+    """Add ``strategy`` and ``items`` to a table of responses."""
+    return Cascade(primary, keys, raw).apply(responses)
 
 
 def explode_items(extracted: DataFrame, *keep: str) -> DataFrame:
-    """One row per item: ``keep`` columns, ``strategy``, ``pos`` (0-based) and ``values``."""
-    return extracted.select(*keep, "strategy", F.posexplode("items").alias("pos", "values"))
+    """One row per item: ``keep`` columns, ``strategy``, ``pos`` (0-based) and ``values``.
+
+    The outer form with a filter behind it: from the inner form Spark infers a filter on the size of
+    ``items``, pushes it to the scan and so parses every response twice.
+    """
+    rows = extracted.select(*keep, "strategy", F.posexplode_outer("items").alias("pos", "values"))
+    return rows.where(F.col("pos").isNotNull())
 
 
 def strategy_report(extracted: DataFrame) -> DataFrame:
@@ -259,26 +274,30 @@ def extract_single(raw: Column, keys: list[str], min_length: int = 3) -> Column:
     enough, otherwise quoted values found in the text take precedence over them.
     """
     primary = keys[0]
-    text = strip(raw)
-    parts = F.filter(
-        F.transform(F.split(text, "```"), lambda p: strip(p)),
-        lambda p: p.startswith("{") | p.contains(f'"{primary}"'),
-    )
-    text = F.when(text.contains("```"), F.coalesce(F.try_element_at(parts, F.lit(1)), text)).otherwise(text)
-    value = _json(fix_colons(drop_trailing_commas(_between(text, "{", "}"), "}")))
-    parsed = F.struct(*[F.coalesce(strip(_field(value, k)), F.lit("")).alias(k) for k in keys])
-    quoted = F.struct(*[F.coalesce(_quoted_value(text, k), F.lit("")).alias(k) for k in keys])
-    # Bound once each, so the choice below does not parse again.
-    both = F.struct(parsed.alias("p"), F.lit(0).alias("_"))
-
-    def choose(b: Column) -> Column:
-        good = F.length(b["p"][primary]) >= min_length
-        found = {
-            k: F.when(good, b["p"][k]).otherwise(
-                F.when(text.rlike(rf'(?s)"{re.escape(k)}"\s*:\s*"{_STRING_BODY}"'), quoted[k]).otherwise(b["p"][k])
-            )
-            for k in keys
-        }
-        return F.create_map(*[x for k, v in found.items() for x in (F.lit(k), v)])
 
-    return F.element_at(F.transform(F.array(both), choose), 1)
+    def unfenced(text: Column) -> Column:
+        parts = F.filter(
+            F.transform(F.split(text, "```"), lambda p: strip(p)),
+            lambda p: p.startswith("{") | p.contains(f'"{primary}"'),
+        )
+        first = F.coalesce(F.try_element_at(parts, F.lit(1)), text)
+        return F.when(text.contains("```"), first).otherwise(text)
+
+    def parsed(text: Column) -> Column:
+        value = _json(fix_colons(drop_trailing_commas(_between(text, "{", "}"), "}")))
+        return let(
+            value, lambda v: F.struct(*[F.coalesce(strip(_field(v, k)), F.lit("")).alias(k) for k in keys])
+        )
+
+    def choose(text: Column, found: Column) -> Column:
+        def quoted(k: str) -> Column:
+            return F.coalesce(_quoted_value(text, k), found[k])
+
+        good = F.length(found[primary]) >= min_length
+        return F.create_map(
+            *[x for k in keys for x in (F.lit(k), F.when(good, found[k]).otherwise(quoted(k)))]
+        )
+
+    return let(
+        let(strip(raw), unfenced), lambda text: let(parsed(text), lambda found: choose(text, found))
+    )

@@ -29,8 +29,8 @@ from evenweave.operators.assign import (
     number_lines,
     pick_items,
 )
-from evenweave.operators.extract import extract_items, extract_single
-from evenweave.session import materialize, new_run_dir
+from evenweave.operators.extract import Cascade, extract_single
+from evenweave.session import materialize, materialize_counting, new_run_dir
 from evenweave.spec import TaskRegistry, TaskSpec
 
 Generate = Callable[[str, str, float], "str | None"]
@@ -117,6 +117,10 @@ class _Ladder:
         self.fills: list[DataFrame] = []
         self.logs: list[DataFrame] = []
         self.retries = task.max_retries or opts.max_retries
+        # Expressions over the fixed column names of a call table, built once for all rounds.
+        self.cascade = Cascade(task.primary_column, task.output_columns)
+        self.assignment = self._assignment()
+        self.single = self._single_values()
         self.temperature = task.temperature if task.temperature is not None else opts.temperature
         self.used = (
             existing_values(self.base, task.primary_column, task.min_length) if task.deduplicate else None
@@ -145,78 +149,89 @@ class _Ladder:
             F.size("rows").cast("string"), number_lines(F.transform("rows", lambda r: r["line"]))
         )
         pending = units.withColumn("prompt", prompt)
-        answered = []
+        answered, self.open_units = [], 0
         for attempt in range(1, self.retries + 1):
             called = _call(pending, self.opts, task.system_prompt, self.temperature).withColumns(
                 {"phase": F.lit(phase), "attempt": F.lit(attempt), "label": call_label(phase, F.lit(attempt))}
             )
-            parsed = extract_items(called, task.primary_column, task.output_columns)
-            parsed = parsed.withColumn("n_items", F.size("items"))
-            done = materialize(parsed, f"{self.dir}/calls/p{phase}_a{attempt}")
+            # Ask, parse and assign in one job; what follows only reads the written result.
+            done, seen = materialize_counting(
+                self._assigned(self.cascade.apply(called)),
+                f"{self.dir}/calls/p{phase}_a{attempt}",
+                unanswered=F.col("n_items") == 0,
+                with_gaps=(F.col("n_items") > 0) & (F.size("gaps") > 0),
+            )
             self.logs.append(_log(done))
-            answered.append(done.where("n_items > 0"))
+            last = attempt == self.retries
+            answered.append(done if last else done.where("n_items > 0"))
+            self.open_units += seen["with_gaps"] + (seen["unanswered"] if last else 0)
             pending = done.where("n_items = 0").select(*units.columns, "prompt")
-            if pending.isEmpty():
+            if not seen["unanswered"]:
                 break
-        else:
-            answered.append(
-                pending.withColumn("items", F.array().cast("array<map<string,string>>"))
+        keep = [*units.columns, "taken", "gaps"]
+        assigned = reduce(DataFrame.unionByName, [a.select(*keep) for a in answered])
+        lost = self._add_fills(assigned, phase)
+        gaps = F.col("gaps")
+        if lost is not None:
+            assigned = assigned.join(lost, "batch_id", "left")
+            gaps = F.filter(
+                "rows",
+                lambda r: F.exists("gaps", lambda g: g["row_id"] == r["row_id"])
+                | F.coalesce(F.array_contains("lost", r["row_id"]), F.lit(False)),
             )
-        keep = [*units.columns, "items"]
-        return self._assign(reduce(DataFrame.unionByName, [a.select(*keep) for a in answered]), phase)
+        return assigned.where(F.size(gaps) > 0).withColumn("rows", gaps).select(*units.columns)
 
-    def _assign(self, answered: DataFrame, phase: int) -> DataFrame:
-        """E15-E19 on every unit; adds the fills, returns the units with their remaining gaps."""
-        task = self.task
-        primary = task.primary_column
-        valued = answered.withColumn("values", item_values(F.col("items"), task.output_columns))
+    def _assignment(self) -> list[dict[str, Column]]:
+        """E15-E17 on every unit: ``taken`` (row and values) and ``gaps`` (rows that got nothing)."""
+        primary = self.task.primary_column
         picks = pick_items(
             F.transform("rows", lambda r: r["filled"]),
             F.transform("values", lambda v: v[primary]),
-            task.min_length,
-            task.deduplicate,
-        )
-        valued = valued.withColumn("picks", picks).drop("items")
-        taken = F.filter(
-            F.transform(
-                F.col("rows"),
-                lambda r, i: F.struct(
-                    r["row_id"].alias("row_id"),
-                    r["pos"].alias("row_pos"),
-                    F.when(F.col("picks")[i] >= 0, F.col("values")[F.col("picks")[i]]).alias("v"),
-                ),
-            ),
-            lambda t: t["v"].isNotNull(),
+            self.task.min_length,
+            self.task.deduplicate,
         )
-        candidates = valued.select("batch_id", F.explode(taken).alias("t")).select(
+
+        def taken(r, i):
+            hit = F.col("picks")[i] >= 0
+            value = F.when(hit, F.col("values")[F.col("picks")[i]])
+            return F.struct(r["row_id"].alias("row_id"), r["pos"].alias("row_pos"), value.alias("v"))
+
+        return [
+            {"values": item_values(F.col("items"), self.task.output_columns), "n_items": F.size("items")},
+            {"picks": picks},
+            {
+                "taken": F.filter(F.transform("rows", taken), lambda t: t["v"].isNotNull()),
+                "gaps": F.filter("rows", lambda r, i: ~r["filled"] & (F.col("picks")[i] < 0)),
+            },
+        ]
+
+    def _assigned(self, parsed: DataFrame) -> DataFrame:
+        for columns in self.assignment:
+            parsed = parsed.withColumns(columns)
+        return parsed.drop("items", "values", "picks")
+
+    def _add_fills(self, assigned: DataFrame, phase: int) -> DataFrame | None:
+        """Note the values of this phase. Returns, per batch, rows that lost theirs as repeats."""
+        task = self.task
+        candidates = assigned.select("batch_id", F.explode("taken").alias("t")).select(
             "batch_id", "t.row_pos", "t.row_id", *[F.col(f"t.v.{c}").alias(c) for c in task.output_columns]
         )
         fills, lost = candidates, None
         if task.deduplicate:
             used = self.used
             for f in self.fills:
-                used = used.unionByName(existing_values(f, primary, task.min_length))
-            keep = materialize(
-                first_of_each_value(candidates, primary, ["batch_id", "row_pos"], "row_id", used.distinct()),
+                used = used.unionByName(existing_values(f, task.primary_column, task.min_length))
+            kept = materialize(
+                first_of_each_value(
+                    candidates, task.primary_column, ["batch_id", "row_pos"], "row_id", used.distinct()
+                ),
                 f"{self.dir}/kept/p{phase}",
             )
-            fills = candidates.join(keep, "row_id", "left_semi")
-            losers = candidates.join(keep, "row_id", "left_anti")
+            fills = candidates.join(kept, "row_id", "left_semi")
+            losers = candidates.join(kept, "row_id", "left_anti")
             lost = losers.groupBy("batch_id").agg(F.collect_set("row_id").alias("lost"))
-        self.fills.append(
-            fills.select("row_id", F.lit(phase).alias("phase"), *task.output_columns)
-        )
-        if lost is None:
-            valued = valued.withColumn("lost", F.lit(None).cast("array<bigint>"))
-        else:
-            valued = valued.join(lost, "batch_id", "left")
-        gaps = F.filter(
-            F.col("rows"),
-            lambda r, i: ~r["filled"]
-            & ((F.col("picks")[i] < 0) | F.coalesce(F.array_contains("lost", r["row_id"]), F.lit(False))),
-        )
-        left = valued.withColumn("rows", gaps).drop("values", "picks", "lost")
-        return left.where(F.size("rows") > 0)
+        self.fills.append(fills.select("row_id", F.lit(phase).alias("phase"), *task.output_columns))
+        return lost
 
     def chunked(self, units: DataFrame) -> DataFrame:
         """Gaps of a batch in chunks of ``micro_rows``."""
@@ -227,6 +242,17 @@ class _Ladder:
         )
         return units.select("batch_id", "pos", F.posexplode(chunks).alias("chunk", "rows"))
 
+    def _single_values(self) -> list[dict[str, Column]]:
+        """X7, X9, E17 on the answer to a single prompt."""
+        task = self.task
+        found = extract_single(F.col("raw"), task.output_columns, task.min_length)
+        valid = F.coalesce(F.length(f"_v_{task.primary_column}") >= task.min_length, F.lit(False))
+        return [
+            {"found": F.when(F.col("raw").isNotNull(), found)},
+            {f"_v_{c}": clean_text(F.element_at("found", c)) for c in task.output_columns},
+            {"n_items": valid.cast("int")},
+        ]
+
     def single_phase(self, units: DataFrame) -> DataFrame:
         """One row at a time, variation after variation; the first valid answer wins."""
         task, opts = self.task, self.opts
@@ -242,19 +268,14 @@ class _Ladder:
             called = _call(
                 pending.withColumn("prompt", task.single_prompt(v)), opts, task.single_system, temperature
             )
-            found = extract_single(F.col("raw"), task.output_columns, task.min_length)
-            called = called.withColumn("found", F.when(F.col("raw").isNotNull(), found))
-            called = called.withColumns(
-                {
-                    **{f"_v_{c}": clean_text(F.element_at("found", c)) for c in task.output_columns},
-                    "phase": F.lit(4),
-                    "attempt": F.lit(v),
-                    "label": call_label(4, F.lit(v)),
-                }
-            ).drop("found")
-            valid = F.coalesce(F.length(f"_v_{task.primary_column}") >= task.min_length, F.lit(False))
-            called = called.withColumn("n_items", valid.cast("int"))
-            done = materialize(called, f"{self.dir}/calls/p4_v{v}")
+            for columns in self.single:
+                called = called.withColumns(columns)
+            called = called.drop("found").withColumns(
+                {"phase": F.lit(4), "attempt": F.lit(v), "label": call_label(4, F.lit(v))}
+            )
+            done, seen = materialize_counting(
+                called, f"{self.dir}/calls/p4_v{v}", unanswered=F.col("n_items") == 0
+            )
             self.logs.append(_log(done))
             self.fills.append(
                 done.where("n_items = 1").select(
@@ -262,7 +283,7 @@ class _Ladder:
                 )
             )
             pending = done.where("n_items = 0").select(*pending.columns)
-            if pending.isEmpty():
+            if not seen["unanswered"]:
                 break
         return pending
 
@@ -287,15 +308,13 @@ class _Ladder:
             left = self.units().withColumn("rows", F.filter("rows", lambda r: ~r["filled"]))
             self.fallback_phase(self.single_phase(left))
             return
-        left = self.batch_phase(self.units(), 1)
-        if left.isEmpty():
-            return
-        left = self.batch_phase(left, 2)
-        if left.isEmpty():
-            return
-        left = self.batch_phase(self.chunked(left), 3)
-        if left.isEmpty():
-            return
+        left = self.units()
+        for phase in (1, 2, 3):
+            left = self.batch_phase(self.chunked(left) if phase == 3 else left, phase)
+            # Repeats that lost their value are gaps too, but known only after deduplication.
+            if self.task.batch_prompt is not None and not self.open_units:
+                if not self.task.deduplicate or left.isEmpty():
+                    return
         self.fallback_phase(self.single_phase(left))
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -39,3 +40,10 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write once, read back: cuts lineage so a lost executor never repeats the work behind it."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counting(df: DataFrame, path: str, **conditions: Column) -> tuple[DataFrame, dict[str, int]]:
+    """Like ``materialize``, with counts of the rows that meet each condition taken while writing."""
+    seen = Observation()
+    counts = [F.count_if(c).alias(n) for n, c in conditions.items()]
+    return materialize(df.observe(seen, *counts), path), seen.get

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evenweave.functions.columns import let
+
 SEGMENT_ROWS = 1000
 REASONING_FIELDS = ["reasoning_content", "thinking_content", "reasoning"]
 
@@ -17,7 +19,7 @@ REASONING_FIELDS = ["reasoning_content", "thinking_content", "reasoning"]
 def _json(text: Column) -> Column:
     """Strict JSON value of a whole line, null if malformed or followed by anything else."""
     outer = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).try_cast("array<variant>")
-    return F.when(F.size(outer) == 1, F.element_at(outer, 1))
+    return let(outer, lambda els: F.when(F.size(els) == 1, F.element_at(els, 1)))
 
 
 def _get(value: Column, path: str) -> Column:
@@ -136,15 +138,19 @@ def complete_content(raw: Column, kind: str = "typed") -> Column:
     plain  output_text, output, text, else blank
     chat   choices[0].message.content
     """
-    value = _json(raw)
     if kind == "chat":
-        return _get(value, "$.choices[0].message.content")
+        return _get(_json(raw), "$.choices[0].message.content")
     if kind == "plain":
-        return F.coalesce(*[_get(value, f"$.{f}") for f in ("output_text", "output", "text")], F.lit(""))
-    output = F.try_variant_get(value, "$.output", "variant")
-    output_text = F.when(F.schema_of_variant(output) == "STRING", output.try_cast("string"))
-    paths = ["$.output.text", "$.text", "$.content", "$.choices[0].text", "$.choices[0].message.content"]
-    return F.coalesce(_get(value, "$.output_text"), output_text, *[_get(value, p) for p in paths], raw)
+        fields = ["$.output_text", "$.output", "$.text"]
+        return let(_json(raw), lambda v: F.coalesce(*[_get(v, p) for p in fields], F.lit("")))
+    later = ["$.output.text", "$.text", "$.content", "$.choices[0].text", "$.choices[0].message.content"]
+
+    def first_present(value: Column) -> Column:
+        output = F.try_variant_get(value, "$.output", "variant")
+        output_text = F.when(F.schema_of_variant(output) == "STRING", output.try_cast("string"))
+        return F.coalesce(_get(value, "$.output_text"), output_text, *[_get(value, p) for p in later], raw)
+
+    return let(_json(raw), first_present)
 
 
 def reasoning_volume(assembled: DataFrame) -> DataFrame:
