@@ -132,13 +132,10 @@ def k2(spark, sf_dir):
     return orders.select("o_orderkey", S.list_rank("o_orderpriority", PRIORITY_ORDER).alias("rank"))
 
 
-@query("K2_custom_order_top", f"""
-SELECT o_orderkey, o_orderpriority FROM orders
-ORDER BY {sql_case('o_orderpriority', {v: i for i, v in enumerate(PRIORITY_ORDER)}, '99')}, o_orderkey LIMIT 500""")
-def k2_top(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    rank = S.list_rank("o_orderpriority", PRIORITY_ORDER)
-    return orders.orderBy(rank, "o_orderkey").limit(500)
+@query("K2_custom_order_sort", "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders")
+def k2_sort(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return S.sort_by_lists(orders, {"o_orderpriority": PRIORITY_ORDER, "o_orderstatus": ["P", "O", "F"]})
 
 
 @query("K3_hierarchical_grid", GRID_SQL)

@@ -13,6 +13,7 @@ from evenweave.catalog.registry import query, sql_case, sql_list, sql_strip, sql
 from evenweave.example import ad_spec
 from evenweave.operators import checks as C
 from evenweave.operators.skeleton import list_rank
+from evenweave.session import materialize, new_run_dir
 
 _OUT = '"check", "key", expected, actual'
 
@@ -142,7 +143,20 @@ FROM (SELECT event_id, event_type, {_EVENT_RANK} AS r, lag({_EVENT_RANK}) OVER (
 WHERE r < p ORDER BY event_id LIMIT 1""")
 def v12(spark, sf_dir):
     rank = list_rank("event_type", EVENT_ORDER).alias("r")
-    return C.grouping_order(table(spark, sf_dir, "events"), "event_id", [rank], ["event_type"])
+    events = table(spark, sf_dir, "events")
+    return C.grouping_order(events, "event_id", [rank], ["event_type"], len(EVENT_ORDER) + 1)
+
+
+@query("V12_grouping_order_many_keys", f"""
+{_row('V12', 'CAST(user_id AS VARCHAR)', 'NULL', 'event_id')}
+FROM (SELECT event_id, user_id, lag(k) OVER (ORDER BY event_id) AS p, k FROM
+      (SELECT event_id, user_id, CASE WHEN event_id < 3000 THEN event_id ELSE user_id END AS k FROM events))
+WHERE k < p ORDER BY event_id LIMIT 1""")
+def v12_many(spark, sf_dir):
+    """The number of keys grows with the table: rows are compared in chunks of row ids."""
+    rank = F.when(F.col("event_id") < 3000, F.col("event_id")).otherwise(F.col("user_id")).alias("r")
+    events = table(spark, sf_dir, "events")
+    return C.grouping_order(events, "event_id", [rank], ["user_id"], chunk_rows=1000)
 
 
 @query("V12_grouping_order_kept", "SELECT * FROM (" + _row("V12", "''", "NULL", "0") + ") WHERE false")
@@ -151,7 +165,7 @@ def v12_kept(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.call_function("div", "o_orderkey", F.lit(1000)).alias("block")
     )
-    return C.grouping_order(orders, "o_orderkey", [F.col("block").alias("r")], ["block"])
+    return C.grouping_order(orders, "o_orderkey", [F.col("block").alias("r")], ["block"], chunk_rows=700)
 
 
 SEGMENT_CODE = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}
@@ -330,9 +344,10 @@ SELECT {_OUT} FROM ({body}) WHERE expected IS DISTINCT FROM actual"""
 
 
 def _damaged_with_spec(spark, sf_dir):
+    """The table to check lies in storage, as a finished table does."""
     n = table(spark, sf_dir, "orders").count()
     spec = ad_spec(cycles=-(-n // _SPEC.base_unit))
-    return damaged_orders(spark, sf_dir), spec, n
+    return materialize(damaged_orders(spark, sf_dir), new_run_dir(spark) + "/labelled"), spec, n
 
 
 @query("V18_verify_skeleton", _composite_sql("V4", True, ["V4", "V5", "V6", "V7", "V8", "V9", "V10", "V11", "V12", "V13"]))

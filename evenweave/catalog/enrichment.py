@@ -435,7 +435,7 @@ def e19(spark, sf_dir):
     docs = A.add_batches(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text"))
     toxic = table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").alias("row_id"))
     used = A.existing_values(docs.join(toxic, "row_id", "left_semi"), "text", 1)
-    return A.deduplicate(docs, "text", ["batch_id", "pos"], "row_id", used).select("row_id")
+    return A.deduplicate(docs, "text", "row_id", used).select("row_id")
 
 
 @query("E20_existing_values", f"SELECT count(DISTINCT text) AS n FROM {DOCS_SQL} WHERE {_FILLED}")

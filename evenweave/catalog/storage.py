@@ -187,4 +187,4 @@ def s11(spark, sf_dir):
     )
     path = new_run_dir(spark) + "/responses"
     L.append_responses(answers, path)
-    return spark.read.parquet(path).select("label", F.length("raw").alias("chars"), "phase")
+    return spark.read.parquet(path).select("label", F.length("raw").cast("long").alias("chars"), "phase")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from evenweave.functions.columns import let
+
 
 def draw_key(seed: int, name: str, row_id: Column) -> Column:
     """Hex md5 of ``seed:name:row_id``; doubles as a uniform sort key."""
@@ -25,13 +27,22 @@ def uniform_choice(seed: int, name: str, row_id: Column, options: list[str]) ->
 
 def weighted_choice(seed: int, name: str, row_id: Column, options: list[tuple[str, int]]) -> Column:
     """One option per row, with probability proportional to its integer weight."""
-    u = draw_int(seed, name, row_id, sum(w for _, w in options))
-    upper, choice = 0, None
-    for value, weight in options:
-        upper += weight
-        test = u < F.lit(upper)
-        choice = F.when(test, F.lit(value)) if choice is None else choice.when(test, F.lit(value))
-    return choice
+    total = sum(w for _, w in options)
+    u = draw_int(seed, name, row_id, total)
+    if total <= 1000:
+        # One lookup in a constant array, hence one digest per row.
+        slots = F.array(*[F.lit(v) for v, w in options for _ in range(w)])
+        return F.element_at(slots, u.cast("int") + 1)
+
+    def choose(drawn: Column) -> Column:
+        upper, choice = 0, None
+        for value, weight in options:
+            upper += weight
+            test = drawn < F.lit(upper)
+            choice = F.when(test, F.lit(value)) if choice is None else choice.when(test, F.lit(value))
+        return choice
+
+    return let(u, choose)
 
 
 def conditional_choice(

@@ -14,7 +14,6 @@ WHITESPACE = "".join(
 )
 _WS_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WS = f"[{_WS_CLASS}]+"
-_NON_WS = f"[^{_WS_CLASS}]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -38,7 +37,8 @@ def is_filled(c: Column | str, min_length: int = 1) -> Column:
 
 def word_count(c: Column | str) -> Column:
     """Number of whitespace-separated words; null counts as no words."""
-    return F.regexp_count(F.coalesce(_col(c), F.lit("")), F.lit(_NON_WS))
+    words = F.split(F.coalesce(_col(c), F.lit("")), _WS)
+    return F.size(F.array_remove(words, ""))
 
 
 def collapse_whitespace(c: Column) -> Column:
@@ -53,10 +53,21 @@ def clean_text(c: Column | str) -> Column:
     return strip(collapse_whitespace(t))
 
 
+def any_of(tests: list[Column]) -> Column:
+    """Disjunction as a balanced tree, so that long lists stay shallow."""
+    if not tests:
+        return F.lit(False)
+    half = len(tests) // 2
+    return tests[0] if len(tests) == 1 else any_of(tests[:half]) | any_of(tests[half:])
+
+
 def contains_any(c: Column | str, terms: list[str]) -> Column:
-    """Lower-cased text contains any of the terms as a substring; null text contains none."""
-    pattern = "|".join(re.escape(t.lower()) for t in terms)
-    return F.coalesce(F.lower(_col(c)).rlike(pattern), F.lit(False))
+    """Lower-cased text contains any of the terms as a substring; null text contains none.
+
+    One byte search per term is several times faster than one regular expression over all of them.
+    """
+    text = F.lower(_col(c))
+    return F.coalesce(any_of([text.contains(t.lower()) for t in terms]), F.lit(False))
 
 
 def digest(c: Column | str) -> Column:

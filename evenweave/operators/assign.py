@@ -183,24 +183,22 @@ def existing_values(df: DataFrame, column: str, min_length: int) -> DataFrame:
 
 
 def first_of_each_value(
-    candidates: DataFrame, column: str, order: list[str], key: str, used: DataFrame | None = None
+    candidates: DataFrame, column: str, row_id: str = "row_id", used: DataFrame | None = None
 ) -> DataFrame:
-    """Keys of the candidates that keep their value: the first by ``order`` of each value, and
-    none whose value is in ``used`` (a table of digests ``d``).
+    """Row ids of the candidates that keep their value: the first row of each value, and none
+    whose value is in ``used`` (a table of digests ``d``).
 
-    One row per value leaves each task, so a value that a third of all rows share costs no more than
-    any other, and the anti join with the used values sees every value once.
+    Row id order is batch and position order. One row per value leaves each task, so a value that a
+    third of all rows share costs no more than any other, and the anti join sees every value once.
     """
-    first = candidates.groupBy(digest(column).alias("d")).agg(
-        F.min(F.struct(*order, key)).alias("first")
-    )
+    first = candidates.groupBy(digest(column).alias("d")).agg(F.min(row_id).alias(row_id))
     if used is not None:
         first = first.join(used, "d", "left_anti")
-    return first.select(F.col(f"first.{key}").alias(key))
+    return first.select(row_id)
 
 
 def deduplicate(
-    candidates: DataFrame, column: str, order: list[str], key: str, used: DataFrame | None = None
+    candidates: DataFrame, column: str, row_id: str = "row_id", used: DataFrame | None = None
 ) -> DataFrame:
     """Candidates that keep their value; the others stay gaps."""
-    return candidates.join(first_of_each_value(candidates, column, order, key, used), key, "left_semi")
+    return candidates.join(first_of_each_value(candidates, column, row_id, used), row_id, "left_semi")

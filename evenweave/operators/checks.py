@@ -94,19 +94,27 @@ def cell_counts(df: DataFrame, check: str, keys: list[str], expected: DataFrame)
     return _violations(joined, check, key, F.col("expected"), actual).where("expected <> actual")
 
 
-def grouping_order(df: DataFrame, row_id: str, ranks: list[Column], labels: list[str]) -> DataFrame:
+# Up to this many distinct rank keys their table is broadcast; beyond it rows are compared chunk-wise.
+BROADCAST_KEYS = 100_000
+
+
+def grouping_order(
+    df: DataFrame,
+    row_id: str,
+    ranks: list[Column],
+    labels: list[str],
+    possible_keys: int | None = None,
+    chunk_rows: int = 1_000_000,
+) -> DataFrame:
     """First row, in ``row_id`` order, whose rank key is lower than its predecessor's.
 
-    Up to the first violation the keys ascend, so that row is also the first one for which any earlier
-    row has a higher key. Hence it is enough to know, per key, where the first higher key appears:
-    one aggregate over the distinct keys, then one filtered pass. No row is sorted or shuffled.
+    ``possible_keys`` is the number of distinct rank keys the value lists allow, if they bound it.
     """
     keyed = df.select(row_id, F.struct(*ranks).alias("_key"), *labels)
-    first_seen = keyed.groupBy("_key").agg(F.min(row_id).alias("_first"))
-    # As many rows as there are distinct rank keys, which the value lists bound.
-    higher = W.orderBy(F.col("_key").desc()).rowsBetween(W.unboundedPreceding, -1)
-    barrier = first_seen.select("_key", F.min("_first").over(higher).alias("_barrier"))
-    late = keyed.join(F.broadcast(barrier), "_key").where(F.col(row_id) > F.col("_barrier"))
+    if possible_keys is not None and possible_keys <= BROADCAST_KEYS:
+        late = _after_higher_key(keyed, row_id)
+    else:
+        late = _below_predecessor(keyed, row_id, chunk_rows)
     first = late.agg(
         F.min_by(F.struct(F.col(row_id), *labels), F.col(row_id)).alias("f")
     ).where("f is not null")
@@ -114,6 +122,40 @@ def grouping_order(df: DataFrame, row_id: str, ranks: list[Column], labels: list
     return _violations(first, "V12", key, F.lit(None), F.col(f"f.{row_id}"))
 
 
+def _after_higher_key(keyed: DataFrame, row_id: str) -> DataFrame:
+    """Rows behind some row with a higher key.
+
+    Up to the first violation the keys ascend, so the first such row is the first one below its
+    predecessor. It is enough to know, per key, where the first higher key appears: one aggregate over
+    the distinct keys, then one filtered pass. No row is sorted or shuffled.
+    """
+    first_seen = keyed.groupBy("_key").agg(F.min(row_id).alias("_first"))
+    # As many rows as there are distinct rank keys, at most BROADCAST_KEYS.
+    higher = W.orderBy(F.col("_key").desc()).rowsBetween(W.unboundedPreceding, -1)
+    barrier = first_seen.select("_key", F.min("_first").over(higher).alias("_barrier"))
+    return keyed.join(F.broadcast(barrier), "_key").where(F.col(row_id) > F.col("_barrier"))
+
+
+def _below_predecessor(keyed: DataFrame, row_id: str, chunk_rows: int) -> DataFrame:
+    """Rows below their predecessor, for any number of keys: ``lag`` inside chunks of row ids.
+
+    A chunk holds at most ``chunk_rows`` rows, whatever the keys are. The predecessor of a chunk's
+    first row comes from a summary with one row per chunk.
+    """
+    chunked = keyed.withColumn(
+        "_chunk", F.call_function("div", F.col(row_id).cast("long"), F.lit(chunk_rows).cast("long"))
+    )
+    inside = W.partitionBy("_chunk").orderBy(row_id)
+    lagged = chunked.withColumn("_previous", F.lag("_key").over(inside))
+    last = chunked.groupBy("_chunk").agg(F.max_by("_key", row_id).alias("_last"))
+    before = last.select("_chunk", F.lag("_last").over(W.orderBy("_chunk")).alias("_carried"))
+    # Only the first row of a chunk needs the carried key.
+    starts = lagged.where(F.col("_previous").isNull()).join(before, "_chunk").where("_key < _carried")
+    return lagged.where(F.col("_key") < F.col("_previous")).select(keyed.columns).unionByName(
+        starts.select(keyed.columns)
+    )
+
+
 def code_mapping(df: DataFrame, codes: dict[str, dict], suffix: str = "_num") -> DataFrame:
     """Per coded column the number of rows whose code is not the one of the value; one pass."""
     bad = [
@@ -311,6 +353,13 @@ def rank_columns(spec: BalanceSpec) -> list[Column]:
     ]
 
 
+def possible_rank_keys(spec: BalanceSpec) -> int:
+    """Every list value or "unknown" at each level."""
+    most_items = max(len(items) for items in spec.hierarchy.values())
+    sizes = [len(spec.groups), most_items, len(spec.label_order), len(spec.tone_order)]
+    return reduce(lambda a, n: a * (n + 1), sizes, 1)
+
+
 def verify_skeleton(
     df: DataFrame, spec: BalanceSpec, total_rows: int | None = None, quotas=None
 ) -> DataFrame:
@@ -322,7 +371,7 @@ def verify_skeleton(
     return _union(
         [
             counts,
-            grouping_order(df, "row_id", rank_columns(spec), labels),
+            grouping_order(df, "row_id", rank_columns(spec), labels, possible_rank_keys(spec)),
             code_mapping(df, spec.codes),
         ]
     )

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from evenweave.functions.columns import let
 from evenweave.functions.draws import draw_key
 from evenweave.spec import Quota
 
@@ -46,14 +47,24 @@ def hash_rank(
     )
 
 
+def bucket_digits(rows: int, rows_per_bucket: int = 4096, at_most: int = 5) -> int:
+    """Hex digits that cut ``rows`` into buckets of about the wanted size; bounds the histogram too."""
+    digits = 1
+    while digits < at_most and rows > rows_per_bucket * 16**digits:
+        digits += 1
+    return digits
+
+
 def quota_cuts(
-    df: DataFrame, id_col: str, quotas: dict[str, Quota], seed: int = 42, digits: int = 4
+    df: DataFrame, id_col: str, quotas: dict[str, Quota], seed: int = 42, digits: int | None = None
 ) -> DataFrame:
     """First key of every quota value: rows ``(column, cuts)`` with cuts an ordered array of keys.
 
     A value that starts at rank 0 needs no cut; a value that starts behind the last row gets none.
     """
     spark = df.sparkSession
+    if digits is None:
+        digits = bucket_digits(max(sum(n for _, n in quota) for quota in quotas.values()))
     starts = []
     for column, quota in quotas.items():
         low = 0
@@ -99,7 +110,7 @@ def quota_cuts(
 
 
 def assign_quotas(
-    df: DataFrame, id_col: str, quotas: dict[str, Quota], seed: int = 42, digits: int = 4
+    df: DataFrame, id_col: str, quotas: dict[str, Quota], seed: int = 42, digits: int | None = None
 ) -> DataFrame:
     """K5-K8: give every column exactly the listed value counts, in hash-random order.
 
@@ -114,7 +125,7 @@ def assign_quotas(
     for column, quota in quotas.items():
         me = F.struct(draw_key(seed, column, F.col(id_col)).alias("key"), F.col(id_col).alias("id"))
         cuts = F.try_element_at(F.col("_cuts"), F.lit(column))
-        passed = F.coalesce(F.size(F.filter(cuts, lambda c: c <= me)), F.lit(0))
+        passed = F.coalesce(let(me, lambda m: F.size(F.filter(cuts, lambda c: c <= m))), F.lit(0))
         values = F.array(*[F.lit(v) for v, _ in quota])
         # Leading values with a zero count have no cut of their own; start behind them.
         first = next((i for i, (_, n) in enumerate(quota) if n), 0)

@@ -194,7 +194,7 @@ class _Ladder:
         def taken(r, i):
             hit = F.col("picks")[i] >= 0
             value = F.when(hit, F.col("values")[F.col("picks")[i]])
-            return F.struct(r["row_id"].alias("row_id"), r["pos"].alias("row_pos"), value.alias("v"))
+            return F.struct(r["row_id"].alias("row_id"), value.alias("v"))
 
         return [
             {"values": item_values(F.col("items"), self.task.output_columns), "n_items": F.size("items")},
@@ -214,7 +214,7 @@ class _Ladder:
         """Note the values of this phase. Returns, per batch, rows that lost theirs as repeats."""
         task = self.task
         candidates = assigned.select("batch_id", F.explode("taken").alias("t")).select(
-            "batch_id", "t.row_pos", "t.row_id", *[F.col(f"t.v.{c}").alias(c) for c in task.output_columns]
+            "batch_id", "t.row_id", *[F.col(f"t.v.{c}").alias(c) for c in task.output_columns]
         )
         fills, lost = candidates, None
         if task.deduplicate:
@@ -222,9 +222,7 @@ class _Ladder:
             for f in self.fills:
                 used = used.unionByName(existing_values(f, task.primary_column, task.min_length))
             kept = materialize(
-                first_of_each_value(
-                    candidates, task.primary_column, ["batch_id", "row_pos"], "row_id", used.distinct()
-                ),
+                first_of_each_value(candidates, task.primary_column, "row_id", used.distinct()),
                 f"{self.dir}/kept/p{phase}",
             )
             fills = candidates.join(kept, "row_id", "left_semi")

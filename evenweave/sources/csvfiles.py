@@ -21,14 +21,17 @@ CSV_OPTIONS = {
 
 def read_table(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
-    na_tokens: tuple[str, ...] | list[str] = ("",),
+    na_tokens: tuple[str, ...] | list[str] = ("",), line_breaks_in_cells: bool = True,
 ) -> DataFrame:
     """CSV with header. Text cells equal to one of ``na_tokens`` become null.
 
+    Cells may hold line breaks, which keeps Spark from splitting a file: one task per file. Switch
+    ``line_breaks_in_cells`` off for large single files without them.
+
     Pass ``fixed_values.FRAME_NA_TOKENS`` to read the way data-frame libraries do ("None" is null).
     Without ``schema`` the types are inferred, which reads the data twice.
     """
-    reader = spark.read.options(**CSV_OPTIONS)
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", line_breaks_in_cells)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
     df = reader.csv(path)
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]

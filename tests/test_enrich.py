@@ -161,7 +161,7 @@ def test_dedup_keeps_first(spark):
     rows = [(r, r // 3, r % 3, v) for r, v in enumerate(["aa", "bb", "aa", "cc", "dd", "bb", "cc", "ee"])]
     df = spark.createDataFrame(rows, "row_id long, batch_id long, pos int, text string")
     used = A.existing_values(spark.createDataFrame([("dd",)], "text string"), "text", 1)
-    kept = A.deduplicate(df, "text", ["batch_id", "pos"], "row_id", used)
+    kept = A.deduplicate(df, "text", "row_id", used)
     assert sorted(r.row_id for r in kept.collect()) == [0, 1, 3, 7]
 
 

@@ -199,13 +199,18 @@ def test_order_check_against_lag(spark):
             .otherwise((F.col("id") / 5 + F.pmod(F.hash("id", F.lit(seed)), F.lit(7)) / 4).cast("int"))
             .alias("v"),
         )
-        got = C.grouping_order(df, "row_id", [F.col("v").alias("r")], labels).collect()
+        rank = [F.col("v").alias("r")]
+        got = C.grouping_order(df, "row_id", rank, labels, possible_keys=50).collect()
+        chunked = C.grouping_order(df, "row_id", rank, labels, chunk_rows=7).collect()
+        assert got == chunked
         lagged = df.withColumn("p", F.lag("v").over(W.orderBy("row_id"))).where("v < p")
         want = lagged.agg(F.min("row_id")).first()[0]
         assert [r.actual for r in got] == ([] if want is None else [want])
 
 
 def test_order_check_sorts_nothing(skeleton):
-    df = C.grouping_order(skeleton, "row_id", C.rank_columns(SPEC), ["theme"])
+    keys = C.possible_rank_keys(SPEC)
+    assert keys == 10 * 7 * 6 * 4
+    df = C.grouping_order(skeleton, "row_id", C.rank_columns(SPEC), ["theme"], keys)
     text = plan(df)
     assert "SortMergeJoin" not in text and "Python" not in text
