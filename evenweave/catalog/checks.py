@@ -216,6 +216,14 @@ def v15_v16(spark, sf_dir):
     return C.text_rules(table(spark, sf_dir, "documents"), "text", V.BANNED_TERMS)
 
 
+@query("V14_V15_V16_text_checks", f"""
+SELECT * FROM ({_row('V14', "'text'", '0', 'count(*)')}
+FROM (SELECT text FROM documents WHERE {_LEN} > 5 GROUP BY text HAVING count(*) > 1)) WHERE actual > 0
+UNION ALL {_text_rules_sql('documents')}""")
+def v14_v16(spark, sf_dir):
+    return C.text_checks(table(spark, sf_dir, "documents"), "text", V.BANNED_TERMS)
+
+
 @query("V17_fill_rate", f"""
 SELECT 'text' AS "column", count(*) FILTER ({_LEN} >= 200) AS filled, count(*) AS total FROM documents UNION ALL
 SELECT 'lang', count(*) FILTER (length(trim(lang)) >= 1), count(*) FROM documents UNION ALL

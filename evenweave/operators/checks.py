@@ -169,31 +169,29 @@ def code_mapping(df: DataFrame, codes: dict[str, dict], suffix: str = "_num") ->
     return _violations(out, "V13", F.col("p.c"), F.lit(0), F.col("p.n")).where("actual > 0")
 
 
-def duplicate_texts(df: DataFrame, column: str, longer_than: int = 5) -> DataFrame:
-    """Number of distinct texts that occur more than once and are longer than the bound.
+def _per_text(df: DataFrame, **tests: Column) -> DataFrame:
+    """Rows per distinct text with the outcome of tests that depend on the text alone.
 
     Groups by a 32-byte digest; repeated texts collapse map-side, however often one occurs.
     """
-    texts = df.where(stripped_length(column) > longer_than).select(digest(column).alias("d"))
-    repeated = texts.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    n = repeated.agg(F.count(F.lit(1)).alias("n"))
+    flags = [c.alias(n) for n, c in tests.items()]
+    rows = df.select(digest("_text").alias("d"), *flags)
+    return rows.groupBy("d").agg(
+        F.count(F.lit(1)).alias("n"), *[F.bool_or(n).alias(n) for n in tests]
+    )
+
+
+def duplicate_texts(df: DataFrame, column: str, longer_than: int = 5) -> DataFrame:
+    """Number of distinct texts that occur more than once and are longer than the bound."""
+    texts = df.select(F.col(column).alias("_text")).where(stripped_length("_text") > longer_than)
+    n = _per_text(texts).agg(F.count_if(F.col("n") > 1).alias("n"))
     return _violations(n, "V14", F.lit(column), F.lit(0), F.col("n")).where("actual > 0")
 
 
-def text_rules(df: DataFrame, column: str, banned: list[str], shorter_than: int = 5) -> DataFrame:
-    """V15 and V16 in one pass: tiny texts, and texts with a banned term."""
-    n = df.agg(
-        F.count_if(stripped_length(column) < shorter_than).alias("tiny"),
-        F.count_if(contains_any(column, banned)).alias("banned"),
-    ).select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("V15").alias("check"), F.col("tiny").alias("n")),
-                F.struct(F.lit("V16").alias("check"), F.col("banned").alias("n")),
-            )
-        ).alias("r")
-    )
-    return n.select(
+def _text_violations(counts: DataFrame, column: str, checks: dict[str, str]) -> DataFrame:
+    cells = [F.struct(F.lit(k).alias("check"), F.col(c).alias("n")) for k, c in checks.items()]
+    rows = counts.select(F.explode(F.array(*cells)).alias("r"))
+    return rows.select(
         F.col("r.check").alias("check"),
         F.lit(column).alias("key"),
         F.lit(0).cast("long").alias("expected"),
@@ -201,6 +199,35 @@ def text_rules(df: DataFrame, column: str, banned: list[str], shorter_than: int
     ).where("actual > 0")
 
 
+def text_rules(df: DataFrame, column: str, banned: list[str], shorter_than: int = 5) -> DataFrame:
+    """V15 and V16 in one pass: tiny texts, and texts with a banned term."""
+    counts = df.agg(
+        F.count_if(stripped_length(column) < shorter_than).alias("tiny"),
+        F.count_if(contains_any(column, banned)).alias("banned"),
+    )
+    return _text_violations(counts, column, {"V15": "tiny", "V16": "banned"})
+
+
+def text_checks(
+    df: DataFrame, column: str, banned: list[str], longer_than: int = 5, shorter_than: int = 5
+) -> DataFrame:
+    """V14, V15 and V16 in one pass over the texts: all three depend on the text alone, so they are
+    judged once per row, and counted per distinct text."""
+    length = stripped_length("_text")
+    texts = _per_text(
+        df.select(F.col(column).alias("_text")),
+        long=length > longer_than,
+        tiny=length < shorter_than,
+        banned=contains_any("_text", banned),
+    )
+    counts = texts.agg(
+        F.count_if((F.col("n") > 1) & F.col("long")).alias("repeated"),
+        F.coalesce(F.sum(F.when(F.col("tiny"), F.col("n"))), F.lit(0)).alias("tiny"),
+        F.coalesce(F.sum(F.when(F.col("banned"), F.col("n"))), F.lit(0)).alias("banned"),
+    )
+    return _text_violations(counts, column, {"V14": "repeated", "V15": "tiny", "V16": "banned"})
+
+
 def fill_rate(df: DataFrame, columns: dict[str, int]) -> DataFrame:
     """``(column, filled, total)`` for several columns in one pass; absent columns count 0."""
     total = F.count(F.lit(1)).alias("total")
@@ -331,11 +358,16 @@ def _count_checks(
 
 
 def _skip_cells_of_failed_items(bad: DataFrame) -> DataFrame:
-    """V8/V9 are not judged for items whose total (V7) is already wrong."""
-    item = F.substring_index("key", "/", 2)
-    failed = bad.where("check = 'V7'").select(F.col("key").alias("failed_item"))
-    detail = F.col("check").isin("V8", "V9") & (item == F.col("failed_item"))
-    return bad.join(failed, detail, "left_anti")
+    """V8/V9 are not judged for items whose total (V7) is already wrong.
+
+    A window over the violations, not a join of them with themselves, so the data is scanned once.
+    """
+    item = F.when(F.col("check").isin("V7", "V8", "V9"), F.substring_index("key", "/", 2)).otherwise(
+        F.concat_ws("/", "check", "key")
+    )
+    failed = F.max(F.col("check") == "V7").over(W.partitionBy(item))
+    marked = bad.withColumn("_failed", failed)
+    return marked.where(~(F.col("_failed") & F.col("check").isin("V8", "V9"))).drop("_failed")
 
 
 def rank_columns(spec: BalanceSpec) -> list[Column]:
@@ -393,7 +425,7 @@ def validate_dataset(
     checks = ["V2", "V4", "V5", "V6", "V9", "V10", "V11"]
     counts = _count_checks(df, spec, checks, False, total, quotas)
     lenient = counts.withColumn("check", F.when(F.col("check") == "V4", "V3").otherwise(F.col("check")))
-    return _union([lenient, duplicate_texts(df, text_col), text_rules(df, text_col, banned)])
+    return _union([lenient, text_checks(df, text_col, banned)])
 
 
 def is_valid(violations: DataFrame) -> bool:

@@ -378,12 +378,12 @@ def run_task(
         first_batch = progress["completed_batches"]
     else:
         store.reset(spark, name, fingerprint)
-    batch = F.call_function("div", F.col("row_id"), F.lit(options.batch_rows).cast("long"))
     waves = [(s, min(s + wave, n_batches)) for s in range(first_batch, n_batches, wave)]
     if revisit_gaps and first_batch:
         waves.insert(0, (0, first_batch))
     for start, end in waves:
-        part = work.where((batch >= start) & (batch < end))
+        first, behind = start * options.batch_rows, end * options.batch_rows
+        part = work.where((F.col("row_id") >= first) & (F.col("row_id") < behind))
         run = run_ladder(part, task, options)
         store.save(df, run.fills, task, fingerprint, max(end, first_batch), n_batches, options)
     return apply_fills(df, store.snapshot(spark, name, fingerprint), task.output_columns)

@@ -244,6 +244,14 @@ def test_secondary_and_no_fallback(spark):
     assert not is_task_complete(left.table, TASKS.get("headline"))
 
 
+def test_ladder_on_an_empty_table(spark):
+    for task in ("text", "headline"):
+        run = run_ladder(table(spark, 0), TASKS.get(task), LadderOptions(factory=make_answer))
+        assert run.table.isEmpty() and run.fills.isEmpty()
+    full = table(spark, 40).withColumn("text", F.lit("all of them are filled"))
+    assert run_ladder(full, TASKS.get("text"), LadderOptions(factory=make_answer)).fills.isEmpty()
+
+
 def dup_answer():
     def answer(prompt, system, temperature):
         ids = [int(x) for x in re.findall(r"Object:obj(\d+) ", prompt)]
