@@ -353,15 +353,15 @@ def e32(spark, sf_dir):
     """A run that broke off after two batches goes on with the third; saved values stay."""
     rows = part_rows(spark, sf_dir).withColumn("text", F.lit(""))
     store = ProgressStore(new_run_dir(spark) + "/progress")
-    fingerprint = store.fingerprint(rows)
-    store.reset(spark, "text", fingerprint)
+    fingerprint = store.fingerprint(rows, ["row_id", *TEXT.inputs, "text"])
+    store.reset(spark, TEXT, fingerprint)
     saved = rows.where("row_id < 60").select(
         "row_id", F.lit(1).alias("phase"), F.concat(F.lit("saved text "), F.col("row_id").cast("string")).alias("text"),
         F.lit("k").alias("keywords"),
     )
-    total = -(-rows.count() // 30)
+    n = rows.count()
+    store.save(saved, TEXT, fingerprint, 2, -(-n // 30), 60, n, 30)
     opts = LadderOptions(factory=willing_generator())
-    store.save(rows, saved, TEXT, fingerprint, 2, total, opts)
     return run_task(rows, "text", TASKS, opts, store).select("row_id", "text")
 
 

@@ -161,7 +161,7 @@ def s9(spark, sf_dir):
     ]
     for wave in waves:
         wave.write.mode("append").parquet(path)
-    return store.snapshot(spark, "quality", "d").select("row_id", "phase", "text")
+    return store.snapshot(spark, TEXT_TASK, "d").select("row_id", "phase", "text")
 
 
 @query("S10_status", f"""

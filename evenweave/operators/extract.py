@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenweave.functions.columns import let
+from evenweave.functions.columns import let, strict_json
 from evenweave.functions.text import strip
 
 STRATEGIES = ["direct", "clean", "fix", "line", "regex"]
@@ -31,15 +31,6 @@ _STRING_BODY = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
 # ---------------------------------------------------------------- JSON values
 
 
-def _json(text: Column) -> Column:
-    """Strictly parsed JSON as variant, null if malformed.
-
-    Parsing ``[text]`` and taking its only element rejects anything that follows the value.
-    """
-    outer = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return let(outer.try_cast("array<variant>"), lambda els: F.when(F.size(els) == 1, F.element_at(els, 1)))
-
-
 def _path(key: str) -> str:
     return "$[" + json.dumps(key) + "]"
 
@@ -63,7 +54,7 @@ def _item(value: Column, keys: list[str]) -> Column:
 
 def _array_items(text: Column, primary: str, keys: list[str]) -> Column:
     """Objects of a JSON array that have the primary key; empty if the text is no JSON array."""
-    elements = _json(text).try_cast("array<variant>")
+    elements = strict_json(text).try_cast("array<variant>")
     objects = F.filter(
         elements, lambda e: F.schema_of_variant(e).startswith("OBJECT") & _has_key(e, primary)
     )
@@ -183,7 +174,7 @@ def items_line(raw: Column, primary: str, keys: list[str]) -> Column:
             )
         return text
 
-    found = F.transform(objects, lambda o: F.coalesce(usable(_json(o)), usable(_json(repaired(o)))))
+    found = F.transform(objects, lambda o: F.coalesce(usable(strict_json(o)), usable(strict_json(repaired(o)))))
     return F.filter(found, lambda m: m.isNotNull())
 
 
@@ -284,7 +275,7 @@ def extract_single(raw: Column, keys: list[str], min_length: int = 3) -> Column:
         return F.when(text.contains("```"), first).otherwise(text)
 
     def parsed(text: Column) -> Column:
-        value = _json(fix_colons(drop_trailing_commas(_between(text, "{", "}"), "}")))
+        value = strict_json(fix_colons(drop_trailing_commas(_between(text, "{", "}"), "}")))
         return let(
             value, lambda v: F.struct(*[F.coalesce(strip(_field(v, k)), F.lit("")).alias(k) for k in keys])
         )

@@ -10,11 +10,14 @@ from evenweave.functions.text import digest, word_count
 
 
 def comparison(df: DataFrame, column: str, expected: DataFrame) -> DataFrame:
-    """R2: ``(value, expected, actual, ok)`` for every expected value, in no particular order."""
+    """R2: ``(value, expected, actual, ok)`` for every expected value.
+
+    Further columns of ``expected``, such as a rank to sort the report by, are kept.
+    """
     actual = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("actual"))
     got = F.coalesce("actual", F.lit(0))
     out = expected.join(actual, "value", "left")
-    return out.select("value", "expected", got.alias("actual"), (got == F.col("expected")).alias("ok"))
+    return out.select(*expected.columns, got.alias("actual"), (got == F.col("expected")).alias("ok"))
 
 
 def bar_length(actual: Column, total: Column | int) -> Column:

@@ -362,31 +362,35 @@ def run_task(
     task = registry.get(name)
     if task is None:
         return None
-    if is_task_complete(df, task):
+    before = fill_status(df, task.primary_column, task.min_length).first()
+    if before["complete"]:
         return df
     if store is None:
         return run_ladder(df, task, options).table
 
-    spark = df.sparkSession
-    n_batches = -(-df.count() // options.batch_rows)
+    spark, size = df.sparkSession, options.batch_rows
+    n_batches = -(-before["total"] // size)
     wave = batches_per_wave or n_batches
-    fingerprint = store.fingerprint(df)
-    progress = store.load(name, fingerprint) if resume else None
-    work, first_batch = df, 0
+    fingerprint = store.fingerprint(df, ["row_id", *task.inputs, task.primary_column])
+    progress = store.load(name, fingerprint, spark) if resume else None
+    work, first_batch, completed = df, 0, before["filled"]
     if progress is not None:
-        work = apply_fills(df, store.snapshot(spark, name, fingerprint), task.output_columns)
-        first_batch = progress["completed_batches"]
+        work = apply_fills(df, store.snapshot(spark, task, fingerprint), task.output_columns)
+        first_batch, completed = progress["completed_batches"], progress["completed_rows"]
     else:
-        store.reset(spark, name, fingerprint)
+        store.reset(spark, task, fingerprint)
     waves = [(s, min(s + wave, n_batches)) for s in range(first_batch, n_batches, wave)]
     if revisit_gaps and first_batch:
         waves.insert(0, (0, first_batch))
     for start, end in waves:
-        first, behind = start * options.batch_rows, end * options.batch_rows
-        part = work.where((F.col("row_id") >= first) & (F.col("row_id") < behind))
-        run = run_ladder(part, task, options)
-        store.save(df, run.fills, task, fingerprint, max(end, first_batch), n_batches, options)
-    return apply_fills(df, store.snapshot(spark, name, fingerprint), task.output_columns)
+        part = work.where((F.col("row_id") >= start * size) & (F.col("row_id") < end * size))
+        fills = run_ladder(part, task, options).fills
+        gained = fills.agg(F.count_if(is_filled(task.primary_column, task.min_length)).alias("n"))
+        completed += gained.first()["n"]
+        store.save(
+            fills, task, fingerprint, max(end, first_batch), n_batches, completed, before["total"], size
+        )
+    return apply_fills(df, store.snapshot(spark, task, fingerprint), task.output_columns)
 
 
 def run_tasks(

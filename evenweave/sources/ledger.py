@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenweave.functions.text import is_filled
-from evenweave.operators.assign import fill_status
 from evenweave.spec import TaskSpec
 
 LEDGER_SCHEMA = (
@@ -87,49 +86,46 @@ class ProgressStore:
     def _snapshot_path(self, task: str, fingerprint: str) -> str:
         return f"{self.path}/snapshot/task={task}/data={fingerprint}"
 
-    def fingerprint(self, df: DataFrame) -> str:
-        """Order-free digest of the rows: count and xor of the row hashes."""
+    def fingerprint(self, df: DataFrame, columns: list[str] | None = None) -> str:
+        """Order-free digest of the rows: count and xor of the row hashes over the given columns."""
+        present = [c for c in columns if c in df.columns] if columns else df.columns
         row = df.agg(
-            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*sorted(df.columns))).alias("x")
+            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*sorted(set(present)))).alias("x")
         ).first()
         return f"{row['n']}-{(row['x'] or 0) & 0xFFFFFFFFFFFFFFFF:016x}"
 
+    def _snapshot_schema(self, task: TaskSpec) -> str:
+        values = "".join(f"`{c}` string, " for c in task.output_columns)
+        return f"row_id long, phase int, {values}saved_us long"
+
     def _append(self, spark: SparkSession, record: dict) -> None:
         names = [f.name for f in T.StructType.fromDDL(LEDGER_SCHEMA).fields]
         row = spark.createDataFrame([tuple(record.get(n) for n in names)], LEDGER_SCHEMA)
         row.coalesce(1).write.mode("append").json(self.ledger_path)
 
-    def reset(self, spark: SparkSession, task: str, fingerprint: str) -> None:
+    def reset(self, spark: SparkSession, task: TaskSpec, fingerprint: str) -> None:
         """Start over: earlier saved values of this task and data set are not used again."""
-        spark.createDataFrame([], "row_id long, phase int, saved_us long").write.mode(
-            "overwrite"
-        ).parquet(self._snapshot_path(task, fingerprint))
+        empty = spark.createDataFrame([], self._snapshot_schema(task))
+        empty.write.mode("overwrite").parquet(self._snapshot_path(task.name, fingerprint))
 
     def save(
-        self, df: DataFrame, fills: DataFrame, task: TaskSpec, fingerprint: str,
-        completed_batches: int, total_batches: int, options,
+        self, fills: DataFrame, task: TaskSpec, fingerprint: str, completed_batches: int,
+        total_batches: int, completed_rows: int, total_rows: int, batch_rows: int,
     ) -> None:
         """Append this wave's values, then a ledger record. Only new values are written."""
-        spark = df.sparkSession
         now = time.time_ns() // 1000
         fills.withColumn("saved_us", F.lit(now)).write.mode("append").parquet(
             self._snapshot_path(task.name, fingerprint)
         )
-        before = fill_status(df, task.primary_column, task.min_length).first()
-        gained = (
-            self.snapshot(spark, task.name, fingerprint)
-            .agg(F.count_if(is_filled(task.primary_column, task.min_length)).alias("n"))
-            .first()["n"]
-        )
         self._append(
-            spark,
+            fills.sparkSession,
             {
                 "task_name": task.name,
                 "completed_batches": completed_batches,
                 "total_batches": total_batches,
-                "completed_rows": before["filled"] + gained,
-                "total_rows": before["total"],
-                "batch_size": options.batch_rows,
+                "completed_rows": completed_rows,
+                "total_rows": total_rows,
+                "batch_size": batch_rows,
                 "model": self.model,
                 "profile": self.profile,
                 "last_saved": datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
@@ -160,10 +156,10 @@ class ProgressStore:
             return None
         return found.asDict()
 
-    def snapshot(self, spark: SparkSession, task: str, fingerprint: str) -> DataFrame:
+    def snapshot(self, spark: SparkSession, task: TaskSpec, fingerprint: str) -> DataFrame:
         """Saved values, the newest per row."""
-        path = self._snapshot_path(task, fingerprint)
-        saved = spark.read.option("mergeSchema", "true").parquet(path).where("phase is not null")
+        path = self._snapshot_path(task.name, fingerprint)
+        saved = spark.read.schema(self._snapshot_schema(task)).parquet(path)
         rest = [c for c in saved.columns if c != "row_id"]
         newest = saved.groupBy("row_id").agg(F.max_by(F.struct(*rest), "saved_us").alias("r"))
         return newest.select("row_id", *[F.col(f"r.{c}").alias(c) for c in rest])
@@ -171,4 +167,4 @@ class ProgressStore:
 
 def append_responses(responses: DataFrame, path: str) -> None:
     """Append labelled responses to the log; calls without an answer are not logged."""
-    responses.where(F.col("raw").isNotNull()).write.mode("append").partitionBy("phase").parquet(path)
+    responses.where(F.length("raw") > 0).write.mode("append").partitionBy("phase").parquet(path)

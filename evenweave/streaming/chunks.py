@@ -10,18 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenweave.functions.columns import let
+from evenweave.functions.columns import let, strict_json
 
 SEGMENT_ROWS = 1000
 REASONING_FIELDS = ["reasoning_content", "thinking_content", "reasoning"]
 
 
-def _json(text: Column) -> Column:
-    """Strict JSON value of a whole line, null if malformed or followed by anything else."""
-    outer = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).try_cast("array<variant>")
-    return let(outer, lambda els: F.when(F.size(els) == 1, F.element_at(els, 1)))
-
-
 def _get(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "string")
 
@@ -34,7 +28,7 @@ def decode_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     text = F.regexp_replace(F.col(line), r"^data: ", "")
     done = F.trim(text) == "[DONE]"
     out = lines.withColumn("done", F.coalesce(done, F.lit(False)))
-    out = out.withColumn("event", F.when(~F.col("done"), _json(text)))
+    out = out.withColumn("event", F.when(~F.col("done"), strict_json(text)))
     return out.where(F.col("done") | F.col("event").isNotNull()).drop(line)
 
 
@@ -139,10 +133,10 @@ def complete_content(raw: Column, kind: str = "typed") -> Column:
     chat   choices[0].message.content
     """
     if kind == "chat":
-        return _get(_json(raw), "$.choices[0].message.content")
+        return _get(strict_json(raw), "$.choices[0].message.content")
     if kind == "plain":
         fields = ["$.output_text", "$.output", "$.text"]
-        return let(_json(raw), lambda v: F.coalesce(*[_get(v, p) for p in fields], F.lit("")))
+        return let(strict_json(raw), lambda v: F.coalesce(*[_get(v, p) for p in fields], F.lit("")))
     later = ["$.output.text", "$.text", "$.content", "$.choices[0].text", "$.choices[0].message.content"]
 
     def first_present(value: Column) -> Column:
@@ -150,7 +144,7 @@ def complete_content(raw: Column, kind: str = "typed") -> Column:
         output_text = F.when(F.schema_of_variant(output) == "STRING", output.try_cast("string"))
         return F.coalesce(_get(value, "$.output_text"), output_text, *[_get(value, p) for p in later], raw)
 
-    return let(_json(raw), first_present)
+    return let(strict_json(raw), first_present)
 
 
 def reasoning_volume(assembled: DataFrame) -> DataFrame:

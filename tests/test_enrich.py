@@ -275,7 +275,8 @@ def test_ladder_with_dedup(spark):
 def test_run_task_saves_and_resumes(spark, tmp_path):
     store = ProgressStore(str(tmp_path / "progress"), model="stub")
     df, task = table(spark, 100), TASKS.get("text")
-    fp = store.fingerprint(df)
+    columns = ["row_id", *task.inputs, "text"]
+    fp = store.fingerprint(df, columns)
     assert store.load("text", fp, spark) is None
     assert run_task(df, "nope", TASKS, LadderOptions(factory=make_answer), store) is None
     full = run_task(df, "text", TASKS, LadderOptions(factory=make_answer), store, batches_per_wave=2)
@@ -288,11 +289,11 @@ def test_run_task_saves_and_resumes(spark, tmp_path):
 
     # A run that stopped after the first wave: only the rest is generated on resume.
     other = df.withColumn("theme", F.lit("Tech"))
-    fp2 = store.fingerprint(other)
+    fp2 = store.fingerprint(other, columns)
     assert fp2 != fp
-    store.reset(spark, "text", fp2)
+    store.reset(spark, task, fp2)
     first = run_ladder(other.where("row_id < 60"), task, LadderOptions(factory=make_answer))
-    store.save(other, first.fills, task, fp2, 2, 4, LadderOptions(factory=make_answer))
+    store.save(first.fills, task, fp2, 2, 4, 60, 100, 30)
     assert store.load("text", fp2, spark)["completed_batches"] == 2
     assert store.load("text", fp, spark) is None and store.load("cta", fp2, spark) is None
     refuse_low = lambda: (
