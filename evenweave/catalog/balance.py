@@ -117,11 +117,13 @@ LABELLED_SQL = f"SELECT row_id, {', '.join(V.TABLE_COLUMNS)} FROM ({labelled_sql
 
 
 @query("K1_weighted_expansion", """
-SELECT s_suppkey, CAST(c.copy AS INTEGER) AS copy
-FROM supplier, unnest(range(s_suppkey % 3)) AS c(copy)""")
+SELECT s_suppkey, c.copy AS copy
+FROM supplier, unnest(range(CASE WHEN s_suppkey % 50 = 7 THEN 1234 ELSE s_suppkey % 3 END)) AS c(copy)""")
 def k1(spark, sf_dir):
+    """A few suppliers weigh more than all others together; their copies are made in steps."""
+    weight = F.when(F.col("s_suppkey") % 50 == 7, 1234).otherwise(F.col("s_suppkey") % 3)
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey")
-    return S.expand_by_weight(suppliers, F.col("s_suppkey") % 3, "copy")
+    return S.expand_by_weight(suppliers, weight, "copy", step=100)
 
 
 @query("K2_custom_order_rank", f"""

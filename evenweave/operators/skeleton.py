@@ -10,13 +10,37 @@ from evenweave.operators.quota import assign_quotas
 from evenweave.spec import BalanceSpec
 
 
-def expand_by_weight(df: DataFrame, weight: Column | str, copy_col: str | None = None) -> DataFrame:
+# A row emits at most this many copies at a time; rows with more copies are spread over tasks first.
+COPIES_PER_STEP = 10_000
+
+
+def _number_copies(df: DataFrame, copies: Column, out: str, step: int = COPIES_PER_STEP) -> DataFrame:
+    """Repeat every row ``copies`` times, numbered from 0 in ``out``.
+
+    Rows with few copies are exploded where they are. A row with very many becomes one row per ``step``
+    copies, these are redistributed, and only then exploded: neither one task nor one array ever holds
+    all copies of a heavy row, and only the heavy rows' steps are shuffled.
+    """
+    n = copies.cast("long")
+    light = df.where((n > 0) & (n <= step)).withColumn(
+        out, F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    )
+    steps = F.sequence(F.lit(0).cast("long"), F.call_function("div", n - 1, F.lit(step).cast("long")))
+    heavy = df.where(n > step).withColumn("_n", n).withColumn("_step", F.explode(steps)).repartition("_step")
+    first = F.col("_step") * step
+    heavy = heavy.withColumn(
+        out, F.explode(F.sequence(first, F.least(first + step, F.col("_n")) - 1))
+    ).drop("_n", "_step")
+    return light.unionByName(heavy)
+
+
+def expand_by_weight(
+    df: DataFrame, weight: Column | str, copy_col: str | None = None, step: int = COPIES_PER_STEP
+) -> DataFrame:
     """K1: repeat every row ``weight`` times; weight 0 drops it. ``copy_col`` numbers the copies."""
     w = F.col(weight) if isinstance(weight, str) else weight
-    if copy_col is None:
-        copies = F.array_repeat(F.lit(1), w.cast("int"))
-        return df.withColumn("_copy", F.explode(copies)).drop("_copy")
-    return df.where(w > 0).withColumn(copy_col, F.explode(F.sequence(F.lit(0), w.cast("int") - 1)))
+    out = _number_copies(df, w, copy_col or "_copy", step)
+    return out if copy_col else out.drop("_copy")
 
 
 def list_rank(c: Column | str, order: list[str], unknown: int = 99) -> Column:
@@ -79,14 +103,14 @@ def expand_hierarchy(
     index = F.col(item_index) if isinstance(item_index, str) else item_index
     template = [(lab, ton) for lab, ton, w in spec.sorted_template() for _ in range(w)]
     block = len(template) * cycles
-    out = df.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(block - 1))))
-    cell = int_div(F.col("_step"), cycles)
+    out = _number_copies(df, F.lit(block), "_place")
+    cell = int_div(F.col("_place"), cycles)
     return (
-        out.withColumn("row_id", index.cast("long") * block + F.col("_step"))
+        out.withColumn("row_id", index.cast("long") * block + F.col("_place"))
         .withColumn(spec.label_col, _pick([e for e, _ in template], cell))
         .withColumn(spec.tone_col, _pick([s for _, s in template], cell))
-        .withColumn("cycle", F.pmod(F.col("_step"), F.lit(cycles)))
-        .drop("_step")
+        .withColumn("cycle", F.pmod(F.col("_place"), F.lit(cycles)).cast("int"))
+        .drop("_place")
     )
 
 

@@ -421,8 +421,3 @@ def run_tasks(
         df = materialize(result, f"{new_run_dir(df.sparkSession)}/after-{name}")
         done.append(name)
     return df, done, skipped, validate(df) if validate else None
-
-
-def stub_factory(answer: Callable[[str, str, float], str | None]) -> Callable[[], Generate]:
-    """Wrap a plain function as generator factory, for tests and dry runs."""
-    return lambda: answer

@@ -117,6 +117,11 @@ def test_expand_and_rank(spark):
     assert sorted(r.v for r in expand_by_weight(df, "w").collect()) == ["x", "x", "z"]
     numbered = expand_by_weight(df, "w", "copy").collect()
     assert sorted((r.v, r["copy"]) for r in numbered) == [("x", 0), ("x", 1), ("z", 0)]
+    heavy = spark.createDataFrame([("x", 2501), ("y", 3)], "v string, w int")
+    counts = expand_by_weight(heavy, "w", "copy", step=100).groupBy("v").agg(
+        F.count_distinct("copy").alias("n"), F.max("copy").alias("last")
+    )
+    assert {r.v: (r.n, r.last) for r in counts.collect()} == {"x": (2501, 2500), "y": (3, 2)}
     ranks = df.select("v", list_rank("v", ["z", "x"]).alias("r")).collect()
     assert {r.v: r.r for r in ranks} == {"x": 1, "y": 99, "z": 0}
 
