@@ -3,8 +3,8 @@
 A batch of rows travels as one nested row (at most ``batch_rows`` small structs), grouped once. From
 there all phases are map-only: prompts, generator calls, parsing and assignment look at one batch each,
 and a phase narrows the unit of work (batch -> chunk of gaps -> single row) without another shuffle.
-Each round of calls is written to the shared folder before anything uses it, so a lost executor never
-repeats a call that has been answered.
+Each round of calls is written to the shared folder before anything uses it, so a lost executor costs
+at most the calls of its own unfinished tasks.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from evenweave.operators.assign import (
 )
 from evenweave.operators.extract import Cascade, extract_single
 from evenweave.session import materialize, materialize_counting, new_run_dir
+from evenweave.sources.ledger import append_responses
 from evenweave.spec import TaskRegistry, TaskSpec
 
 Generate = Callable[[str, str, float], "str | None"]
@@ -38,8 +39,13 @@ Generate = Callable[[str, str, float], "str | None"]
 
 @dataclass(frozen=True)
 class LadderOptions:
-    """``factory`` makes a generator once per task partition: ``generate(prompt, system, temperature)``
-    returns the response text or None. ``secondary`` makes one that is asked when the first has none."""
+    """How to fill.
+
+    ``factory`` makes a generator, once per partition of requests: ``generate(prompt, system, temperature)``
+    returns the response text or None. ``secondary`` makes one that is asked when the first has no answer.
+    ``concurrency`` is the number of partitions of requests, hence the most calls at a time; small
+    partitions also limit what has to be asked again when an executor is lost.
+    """
 
     factory: Callable[[], Generate]
     secondary: Callable[[], Generate] | None = None
@@ -143,8 +149,6 @@ class _Ladder:
     def batch_phase(self, units: DataFrame, phase: int) -> DataFrame:
         """Prompts over the units' rows, bounded retries, assignment. Returns units left."""
         task = self.task
-        if task.batch_prompt is None:
-            return units
         prompt = task.batch_prompt(
             F.size("rows").cast("string"), number_lines(F.transform("rows", lambda r: r["line"]))
         )
@@ -302,16 +306,14 @@ class _Ladder:
 
     def run(self) -> None:
         """Phase after phase until no gap is left."""
-        if self.task.batch_prompt is None and self.task.single_prompt is None:
-            left = self.units().withColumn("rows", F.filter("rows", lambda r: ~r["filled"]))
-            self.fallback_phase(self.single_phase(left))
-            return
         left = self.units()
-        for phase in (1, 2, 3):
-            left = self.batch_phase(self.chunked(left) if phase == 3 else left, phase)
-            # Repeats that lost their value are gaps too, but known only after deduplication.
-            if self.task.batch_prompt is not None and not self.open_units:
-                if not self.task.deduplicate or left.isEmpty():
+        if self.task.batch_prompt is None:
+            left = left.withColumn("rows", F.filter("rows", lambda r: ~r["filled"]))
+        else:
+            for phase in (1, 2, 3):
+                left = self.batch_phase(self.chunked(left) if phase == 3 else left, phase)
+                # Repeats that lost their value are gaps too, but known only after deduplication.
+                if not self.open_units and (not self.task.deduplicate or left.isEmpty()):
                     return
         self.fallback_phase(self.single_phase(left))
 
@@ -384,7 +386,10 @@ def run_task(
         waves.insert(0, (0, first_batch))
     for start, end in waves:
         part = work.where((F.col("row_id") >= start * size) & (F.col("row_id") < end * size))
-        fills = run_ladder(part, task, options).fills
+        run = run_ladder(part, task, options)
+        if run.responses is not None:
+            append_responses(run.responses, store.response_path(name))
+        fills = run.fills
         gained = fills.agg(F.count_if(is_filled(task.primary_column, task.min_length)).alias("n"))
         completed += gained.first()["n"]
         store.save(

@@ -83,6 +83,9 @@ class ProgressStore:
     def ledger_path(self) -> str:
         return f"{self.path}/ledger"
 
+    def response_path(self, task: str) -> str:
+        return f"{self.path}/responses/task={task}"
+
     def _snapshot_path(self, task: str, fingerprint: str) -> str:
         return f"{self.path}/snapshot/task={task}/data={fingerprint}"
 

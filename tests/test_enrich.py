@@ -252,6 +252,16 @@ def test_ladder_on_an_empty_table(spark):
     assert run_ladder(full, TASKS.get("text"), LadderOptions(factory=make_answer)).fills.isEmpty()
 
 
+def test_single_prompts_only(spark):
+    """Without a batch prompt every gap is asked for by itself; filled rows are left alone."""
+    task = TaskSpec(**{**TASKS.get("text").__dict__, "name": "single", "batch_prompt": None, "line": None})
+    df = table(spark, 12).withColumn("text", F.when(F.col("row_id") == 6, "kept as it is").otherwise(""))
+    run = run_ladder(df, task, LadderOptions(factory=make_answer))
+    got = {r.row_id: r.phase for r in run.fills.collect()}
+    assert got == {i: 4 if i % 3 == 0 else 5 for i in range(12) if i != 6}
+    assert {r.phase for r in run.responses.collect()} == {4}
+
+
 def dup_answer():
     def answer(prompt, system, temperature):
         ids = [int(x) for x in re.findall(r"Object:obj(\d+) ", prompt)]
@@ -286,6 +296,8 @@ def test_run_task_saves_and_resumes(spark, tmp_path):
         (2, 4, 60), (4, 4, 100),
     ]
     assert store.load("text", fp, spark) is None  # complete
+    logged = {r.label for r in spark.read.parquet(store.response_path("text")).collect()}
+    assert "b001_p1_a1" in logged and "b004_p1_a1" not in logged  # refused calls leave no response
 
     # A run that stopped after the first wave: only the rest is generated on resume.
     other = df.withColumn("theme", F.lit("Tech"))
