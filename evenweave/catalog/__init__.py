@@ -1,4 +1,4 @@
-"""All registered queries and their reference SQL."""
+"""All registered queries and the SQL that must give the same results."""
 
 from __future__ import annotations
 

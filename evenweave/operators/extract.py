@@ -85,7 +85,8 @@ def replace_in_values(text: Column, key: str, change: Callable[[Column], Column]
     The value ends at the first quote that a comma or closing brace follows, so it may hold quotes.
     """
     pattern = r'(?s)("%s"\s*:\s*")(.*?)("\s*[,}])' % re.escape(key)
-    marked = F.regexp_replace(text, pattern, f"$1{_OPEN}$2{_CLOSE}$3")
+    unmarked = F.replace(F.replace(text, F.lit(_OPEN), F.lit("")), F.lit(_CLOSE), F.lit(""))
+    marked = F.regexp_replace(unmarked, pattern, f"$1{_OPEN}$2{_CLOSE}$3")
     pieces = F.split(marked, f"[{_OPEN}{_CLOSE}]")
     return F.array_join(F.transform(pieces, lambda p, i: F.when(i % 2 == 1, change(p)).otherwise(p)), "")
 
@@ -101,7 +102,7 @@ def fix_colons(text: Column) -> Column:
     (with a leading colon, if any) and the rest; only strings with a leading colon change.
     """
     token = rf'(?s):?"{_STRING_BODY}"?|\\.|[^":\\]++|:|\\'
-    plain_colon = r"(?s)\G((?:[^:\\]|\\.)*+):"
+    plain_colon = r"(?s)\G([^:\\]*+(?:\\.[^:\\]*+)*+):"
     tokens = F.regexp_extract_all(text, F.lit(token), F.lit(0))
     fixed = F.transform(
         tokens,

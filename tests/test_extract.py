@@ -71,10 +71,11 @@ def test_long_responses(spark):
     """Thousands of characters and items must not exhaust the regex engine's stack."""
     items = [{"id": i, "text": f"line {i} " + "word " * 40, "keywords": "k"} for i in range(1500)]
     broken = json.dumps(items).replace('"keywords": "k"}', '"keywords": "k",}')
+    many_colons = '[{"text":"' + "a:b\\\\n" * 30000 + '","keywords":"a",}]'
     one = '[{"text":"' + "long \\n text " * 20000 + '","keywords":"a",}]'
-    df = spark.createDataFrame([(0, broken), (1, one), (2, broken[:-1]), (3, one[1:-3])], "i int, raw string")
+    df = spark.createDataFrame([(0, broken), (1, one), (2, broken[:-1]), (3, one[1:-3]), (4, many_colons)], "i int, raw string")
     got = {r.i: (r.strategy, len(r["items"])) for r in X.extract_items(df, "text", KEYS).collect()}
-    assert got == {0: ("fix", 1500), 1: ("fix", 1), 2: ("line", 1500), 3: ("regex", 1)}
+    assert got == {0: ("fix", 1500), 1: ("fix", 1), 2: ("line", 1500), 3: ("regex", 1), 4: ("fix", 1)}
 
 
 COLONS = [
