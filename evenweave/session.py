@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+_SCRATCH: list[tempfile.TemporaryDirectory] = []
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Runtime settings the operators rely on."""
@@ -17,19 +20,34 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder.
+def reach_workers(spark: SparkSession, folder: str) -> SparkSession:
+    """Lets Python workers import from ``folder``, and gives a local session that names no folder for
+    intermediate tables one that goes with the process. Clusters name theirs in ``spark.checkpoint.dir``.
     """
+    context = spark.sparkContext
+    known = context.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
+    if folder not in known.split(os.pathsep):
+        context.environment["PYTHONPATH"] = os.pathsep.join(x for x in (folder, known) if x)
+    if context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
+            scratch = tempfile.TemporaryDirectory(prefix="evenweave-", ignore_cleanup_errors=True)
+            _SCRATCH.append(scratch)
+            spark.conf.set("spark.checkpoint.dir", scratch.name)
+    return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="evenweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return named.rstrip("/")
+
+
+def drop_run(spark: SparkSession, run_dir: str) -> None:
+    """Removes the intermediate tables of a finished run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def new_run_dir(spark: SparkSession) -> str:

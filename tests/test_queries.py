@@ -3,9 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from evenweave.catalog import all_queries
 from oracle import compare, duck
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+OWN = all_queries()
+QUERIES = {n: q for n, q in entry.queries().items() if n in OWN}
+ORACLES = {n: q for n, q in entry.oracle_sql().items() if n in OWN}
 
 
 @pytest.fixture(scope="module")
