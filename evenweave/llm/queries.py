@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenweave.llm import exact_dedup, fertility, pii
+from evenweave.llm import exact_dedup, fertility, packing, pii
 from evenweave.llm.common import documents
 from evenweave.llm.registry import ORACLES, QUERIES, query
 from evenweave.llm.sql import OP6_SQL, op1_sql
@@ -25,6 +25,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+@query("op10_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def corpus_queries() -> dict:
     """All queries of this subpackage, the pipeline among them."""
     import corpus_pipeline  # noqa: F401  registers itself
