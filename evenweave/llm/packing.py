@@ -83,13 +83,14 @@ def best_pattern(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[
     return best[capacity], counts
 
 
-def full_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def full_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A first basis: the largest size left and what fills the rest best, as often as the sizes in it last.
 
     Each pattern uses up one size, and no later one has it, so the basis is triangular and its solution is positive.
     """
     m = len(sizes)
     basis, used, left, open_ = np.zeros((m, m)), np.zeros(m), demand.astype(float), np.ones(m, bool)
+    inverse = np.eye(m)
     while open_.any():
         rest = np.flatnonzero(open_)
         most = rest[-1]
@@ -101,9 +102,23 @@ def full_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple
         left[rest] -= step * counts
         basis[rest, rest[ends]], used[rest[ends]] = counts, step
         open_[rest[ends]] = False
+        enter(inverse, basis[:, rest[ends]], rest[ends])
         for k in np.flatnonzero(open_ & (left < 1e-9)):
             basis[k, k], open_[k] = capacity // sizes[k], False
-    return basis, used
+            enter(inverse, basis[:, k], k)
+    return basis, used, inverse
+
+
+def times_vector(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,j->i", matrix, vector)  # small, and free of the threads of a linear algebra library
+
+
+def enter(inverse: np.ndarray, column: np.ndarray, row: int) -> None:
+    """Updates the inverse of the basis, in place, for a column that replaces the one at ``row``."""
+    direction = times_vector(inverse, column)
+    inverse[row] /= direction[row]
+    direction[row] = 0.0
+    inverse -= direction[:, None] * inverse[row]
 
 
 def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP):
@@ -113,8 +128,7 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap:
     that keeps the first patterns full. A feasible dual solution bounds the best solution from below.
     """
     m = len(sizes)
-    basis, used = full_patterns(sizes, demand, capacity)
-    inverse = np.linalg.inv(basis)
+    basis, used, inverse = full_patterns(sizes, demand, capacity)
     centre = sizes / capacity
     bound = float(centre @ demand)
     weight = PULL
@@ -133,17 +147,14 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap:
             weight = 0.0
             continue
         weight = PULL
-        direction = inverse @ pattern
+        direction = times_vector(inverse, pattern)
         positive = np.flatnonzero(direction > 1e-11)
         ratios = used[positive] / direction[positive]
         leaves = positive[ratios.argmin()]
         step = max(0.0, ratios.min())
         used = used - step * direction
         used[leaves] = step
-        inverse[leaves] /= direction[leaves]
-        others = direction.copy()
-        others[leaves] = 0.0
-        inverse -= np.outer(others, inverse[leaves])
+        enter(inverse, pattern, leaves)
         basis[:, leaves] = pattern
     return basis.T, np.maximum(used, 0.0)
 
