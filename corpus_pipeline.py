@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenweave.llm import exact_dedup, fertility, pii
+from evenweave.llm import exact_dedup, fertility, jaccard_join, packing, pii
 from evenweave.llm.common import prepare
 from evenweave.llm.registry import query
 from evenweave.session import materialize, new_run_dir
@@ -26,17 +26,31 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.unique_documents(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, connected by links, the document of the smallest id stays."""
+    prepare(spark)
+    return jaccard_join.one_of_each(docs)
+
+
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by the name of its kind; n_chars follows the new text."""
     return pii.redacted_documents(docs)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens, one row per piece of a document."""
+    prepare(spark)
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality rules", quality),
     ("exact dedup", exact),
+    ("near dedup", near),
     ("pii", private),
+    ("packing", packed),
 ]
-ORACLE_SQL = None
+ORACLE_SQL = None  # SQL cannot express the tokenisers; tests hold each stage against brute force
 
 
 @query("pipeline")

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,3 +125,20 @@ def remainder(id_column: Column | str, modulus: int = 5) -> Column:
 
 def md5(text: bytes) -> bytes:
     return hashlib.md5(text, usedforsecurity=False).digest()
+
+
+def rows_with(docs: DataFrame, stay: DataFrame, digest: Callable[[bytes], bytes], id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``docs``, all columns, whose id (as ``hid``) and text ``digest`` are in ``stay``; one row of each."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).select(
+        "row", F.xxhash64(f"row.`{id_col}`").alias("hid"), F.coalesce(f"row.`{text_col}`", F.lit("")).alias("text")
+    )
+    schema = T.StructType([*rows.schema.fields[:2], T.StructField("digest", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = pa.array([digest(t) for t in utf8(batch.column(2))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], digests], names=schema.names)
+
+    same = Window.partitionBy("hid", "digest").orderBy("hid")
+    met = rows.mapInArrow(run, schema).join(stay.distinct(), ["hid", "digest"])
+    return met.withColumn("nth", F.row_number().over(same)).where("nth = 1").select("row.*")

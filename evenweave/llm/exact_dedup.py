@@ -13,9 +13,8 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from evenweave.llm.common import id_and_text, map_texts, md5, utf8
+from evenweave.llm.common import id_and_text, map_texts, md5, rows_with, utf8
 from evenweave.session import materialize, new_run_dir
 
 SALTS = 64
@@ -92,22 +91,7 @@ def _regroup(out: DataFrame, collided: DataFrame) -> DataFrame:
 
 def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns as they are; of rows alike in id and text, one stays."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
     stay = exact_groups(docs, id_col, text_col).where("kept").select(
-        F.xxhash64("doc_id").alias("hid"), F.unhex(F.substr("text_sha256", F.lit(1), F.lit(32))).alias("digest")
+        F.xxhash64("doc_id").alias("hid"), F.unhex("text_sha256").alias("digest")
     )
-    rows = docs.select(F.struct(*columns).alias("row")).select(
-        "row", F.xxhash64(f"row.`{id_col}`").alias("hid"), F.coalesce(f"row.`{text_col}`", F.lit("")).alias("text")
-    )
-    schema = T.StructType([*rows.schema.fields[:2], T.StructField("digest", T.BinaryType())])
-    keyed = rows.mapInArrow(_with_digest, schema)
-    same = Window.partitionBy("hid", "digest").orderBy("hid")
-    met = keyed.join(stay, ["hid", "digest"]).withColumn("nth", F.row_number().over(same))
-    return met.where("nth = 1").select("row.*")
-
-
-def _with_digest(batches):
-    for batch in batches:
-        digests = [hashlib.sha256(t.lower()).digest()[:16] for t in utf8(batch.column(2))]
-        columns = [*batch.columns[:2], pa.array(digests, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["row", "hid", "digest"])
+    return rows_with(docs, stay, lambda t: hashlib.sha256(t.lower()).digest(), id_col, text_col)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenweave.llm import exact_dedup, fertility, packing, pii
+from evenweave.llm import exact_dedup, fertility, jaccard_join, packing, pii
 from evenweave.llm.common import documents
 from evenweave.llm.registry import ORACLES, QUERIES, query
 from evenweave.llm.sql import OP6_SQL, op1_sql
@@ -15,6 +15,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_spans(documents(spark, sf_dir)))
 
 
+@query("op2_jaccard_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(documents(spark, sf_dir))
