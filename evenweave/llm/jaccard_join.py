@@ -8,7 +8,9 @@ Distance 1 - |A n B| / |A u B| is a metric; two documents link at a distance of
    regions stay small. A set's home is the region of its first pivot. A linked set may miss at most
    n - ceil(0.75 n) of a set's shingles, so each set is also placed into the regions of that many pivots after the
    first: two linked sets meet in some region, and no other replication is needed.
-2. Sets that meet anywhere form candidate groups (connected regions). Only their texts are read again.
+2. Linked sets differ in size by a quarter of the larger at most. In a region the sets are ordered by size, and
+   neighbours in that order are connected unless they differ by more, so a region falls apart where no link can
+   be. What is connected in any region forms a candidate group. Only these texts are read again.
 3. Inside a group, documents are pivots: every set goes to its nearest pivot's region, and also to any other pivot's
    region no more than twice the radius farther (triangle inequality), region by region, recursively, until a region
    is small or no longer shrinks. There pairs are compared exactly, except those already known to be connected.
@@ -145,14 +147,14 @@ def prefix(unique, first, hashes, hot, common, size: int, percent: int) -> tuple
 
 
 def _regions(docs: DataFrame, hot, common, size: int, percent: int) -> DataFrame:
-    """pivot, salt (-1: not salted), key"""
+    """pivot, salt (-1: not salted), key, n (size of the set)"""
     shared = docs.sparkSession.sparkContext.broadcast((hot, common))
-    schema = "pivot long, salt int, key long"
+    schema = "pivot long, salt int, key long, n int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, common = shared.value
         for batch in batches:
-            done, pivots, salts, keys = set(), [], [], []
+            done, pivots, salts, keys, sizes = set(), [], [], [], []
             for text in utf8(batch.column(1)):
                 unique, first, hashes = shingles_of(text, size)
                 key = near_key(set_key(unique))
@@ -163,24 +165,32 @@ def _regions(docs: DataFrame, hot, common, size: int, percent: int) -> DataFrame
                 pivots.append(pivot)
                 salts.append(np.where(n > SALT_ABOVE, key % np.maximum(1, n // SALT_ABOVE + 1), -1).astype(np.int32))
                 keys.append(np.full(len(pivot), key, np.int64))
+                sizes.append(np.full(len(pivot), len(unique), np.int32))
             if pivots:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(pivots).view(np.int64)), pa.array(np.concatenate(salts)),
-                     pa.array(np.concatenate(keys))], names=["pivot", "salt", "key"])
+                     pa.array(np.concatenate(keys)), pa.array(np.concatenate(sizes))], names=["pivot", "salt", "key", "n"])
 
     return docs.mapInArrow(run, schema)
 
 
-def _candidate_edges(regions: DataFrame, run: str) -> DataFrame:
-    """Star edges (a, b), b < a, that connect all sets that meet in a region."""
-    here = Window.partitionBy("pivot", "salt")
-    met = regions.withColumn("top", F.min("key").over(here)).where("key <> top OR salt >= 0")
-    met = materialize(met, f"{run}/met")
-    whole = Window.partitionBy("pivot")
-    tops = met.where("salt >= 0 AND key = top").select("pivot", "top").distinct()
-    tops = tops.withColumn("first", F.min("top").over(whole)).where("top <> first")
-    edges = met.where("key <> top").select(F.col("key").alias("a"), F.col("top").alias("b"))
-    return edges.union(tops.select(F.col("top").alias("a"), F.col("first").alias("b")))
+def _candidate_edges(regions: DataFrame, run: str, percent: int) -> DataFrame:
+    """Edges (a, b), b < a, that connect all sets that meet in a region and whose sizes leave a link possible."""
+    by_size = Window.partitionBy("pivot", "salt").orderBy("n", "key")
+    before = F.when(F.col("salt") < 0, F.struct(F.lag("key").over(by_size).alias("key"), F.lag("n").over(by_size).alias("n")))
+    top = F.when(F.col("salt") >= 0, F.min("key").over(Window.partitionBy("pivot", "salt")))
+    near = F.col("before.n") * 100 >= F.col("n") * percent
+    met = regions.withColumns({"before": before, "top": top}).where(near | F.col("top").isNotNull())
+    met = materialize(met.select("pivot", "key", "top", F.col("before.key").alias("before")).where(
+        "key <> before OR top IS NOT NULL"), f"{run}/met")
+    pairs = met.where("before IS NOT NULL").select("key", F.col("before").alias("other"))
+    # Salted pivots: a star per salt, and a star of the stars.
+    hot = met.where("top IS NOT NULL")
+    tops = hot.where("key = top").select("pivot", "top").distinct()
+    tops = tops.withColumn("first", F.min("top").over(Window.partitionBy("pivot")))
+    pairs = pairs.union(hot.select("key", "top")).union(tops.select("top", "first"))
+    return pairs.where("key <> other").select(
+        F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b"))
 
 
 # --- pass 3: exact joins inside candidate groups ----------------------------------------------------------------------
@@ -336,7 +346,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hot, common = _table(survey, "s", HOT_SHINGLES), _table(survey, "w", COMMON_WORDS)
     rows = survey.where("kind = 'd'").select("doc_id", "key", "n", "set_key", "text_md5", "n_bytes")
 
-    edges = _candidate_edges(_regions(base, hot, common, size, percent), run)
+    edges = _candidate_edges(_regions(base, hot, common, size, percent), run, percent)
     labels = materialize(components(edges, f"{run}/candidates"), f"{run}/labels")
 
     # one document of each set, by what its text can be found with again
