@@ -27,7 +27,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    return table(prepare(spark), sf_dir, "documents")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenweave.llm import exact_dedup, fertility, jaccard_join, packing, pii
-from evenweave.llm.common import documents
+from evenweave.llm import exact_dedup, fertility, jaccard_join, packing, pii, token_counts, toxicity
+from evenweave.llm.common import documents, table
 from evenweave.llm.registry import ORACLES, QUERIES, query
 from evenweave.llm.sql import OP6_SQL, op1_sql
 
@@ -20,6 +20,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir))
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(documents(spark, sf_dir))
@@ -30,6 +35,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    vocabulary, index = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, vocabulary, index)
+
+
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))

@@ -12,6 +12,8 @@ import re
 import sys
 from array import array
 
+import regex
+
 MODEL = "byte_bpe_50k.json"
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _LETTERS = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u024f"
@@ -39,7 +41,9 @@ def packed(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+# What the pattern of the vocabulary splits a unit into.
 _SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+PRE_TOKENS = regex.compile(_SPLIT)
 _LONG = re.compile(f"[^{_WS}]{{2048}}|[{_WS}]{{2048}}")
 
 
