@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenweave.llm import exact_dedup, fertility, jaccard_join, packing, pii, token_counts, toxicity
+from evenweave.llm import exact_dedup, fertility, jaccard_join, packing, pii, rules, token_counts, toxicity
 from evenweave.llm.common import documents, table
 from evenweave.llm.registry import ORACLES, QUERIES, query
 from evenweave.llm.sql import OP6_SQL, op1_sql
@@ -42,6 +42,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, vocabulary, index)
 
 
+@query("op8_quality_rules_ensemble")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return rules.score(docs, rules.learn(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
