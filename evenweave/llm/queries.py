@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenweave.llm import exact_dedup, fertility, jaccard_join, packing, pii, rules, token_counts, toxicity
+from evenweave.llm import brown_lm, exact_dedup, fertility, jaccard_join, packing, pieces, pii, rules, token_counts, toxicity
 from evenweave.llm.common import documents, table
 from evenweave.llm.registry import ORACLES, QUERIES, query
 from evenweave.llm.sql import OP6_SQL, op1_sql
@@ -25,6 +25,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
+@query("op4_brown_lm")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.brown_scores(documents(spark, sf_dir))
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(documents(spark, sf_dir))
@@ -48,6 +53,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.score(docs, rules.learn(docs, table(spark, sf_dir, "labels")))
 
 
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(documents(spark, sf_dir))
+
+
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
