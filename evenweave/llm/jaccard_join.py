@@ -50,6 +50,7 @@ BLOCK_SHINGLES = 1_000_000
 PIVOTS = 8
 LEAF = 48
 SALT_ABOVE = 4096
+BROADCAST_ROWS = 250_000  # candidates up to this number are sent to the texts, beyond it the texts are shuffled
 
 
 def shingles_of(text: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,9 +64,17 @@ def set_key(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def near_key(key: bytes) -> int:
-    """The part of a set's key that regions carry. Sets that share it by chance share a node, no more."""
-    return int.from_bytes(key[:8], "big", signed=True)
+SIZE_SHIFT = 43
+_LARGEST = (1 << 20) - 1
+
+
+def near_key(key: bytes, n: int) -> int:
+    """What regions carry of a set: its size, then 43 bits of its key, so order by it is order by size.
+
+    Sets that share it by chance share a node in the search for candidates, no more. Sizes beyond a million count as
+    that, which only lets more pairs meet.
+    """
+    return min(n, _LARGEST) << SIZE_SHIFT | int.from_bytes(key[:8], "big") >> (64 - SIZE_SHIFT)
 
 
 # --- pass 1: one row per document, and counts for the order of the pivots --------------------------------------------
@@ -96,7 +105,7 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
                 lengths.append(len(text))
                 sets.append(unique), seen.append(hashes)
                 held += len(hashes)
-            near = [near_key(k) for k in keys]
+            near = list(map(near_key, keys, sizes))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(["d"] * len(keys), pa.string()), pa.array(near, pa.int64()), pa.array(sizes, pa.int64()),
                  pa.array(keys, pa.binary()), pa.array(digests, pa.binary()), pa.array(lengths, pa.int32())], names=schema.names)
@@ -146,51 +155,56 @@ def prefix(unique, first, hashes, hot, common, size: int, percent: int) -> tuple
     return unique[order], counts[order]
 
 
+SALT_BITS = 12
+
+
+def _salted(pivot: np.ndarray, n: np.ndarray, key: int) -> np.ndarray:
+    """A pivot as regions carry it: even if it is one region, else its high bits, a salt by set, and a one."""
+    parts = np.minimum(n // SALT_ABOVE + 1, (1 << (SALT_BITS - 1)) - 1)
+    high = pivot >> np.uint64(SALT_BITS) << np.uint64(SALT_BITS)
+    salted = high | (key % parts).astype(np.uint64) << np.uint64(1) | np.uint64(1)
+    return np.where(n > SALT_ABOVE, salted, pivot & ~np.uint64(1))
+
+
 def _regions(docs: DataFrame, hot, common, size: int, percent: int) -> DataFrame:
-    """pivot, salt (-1: not salted), key, n (size of the set)"""
+    """pivot, key: two numbers a row, as this is the largest shuffle"""
     shared = docs.sparkSession.sparkContext.broadcast((hot, common))
-    schema = "pivot long, salt int, key long, n int"
+    schema = "pivot long, key long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, common = shared.value
         for batch in batches:
-            done, pivots, salts, keys, sizes = set(), [], [], [], []
+            done, pivots, keys = set(), [], []
             for text in utf8(batch.column(1)):
                 unique, first, hashes = shingles_of(text, size)
-                key = near_key(set_key(unique))
+                key = near_key(set_key(unique), len(unique))
                 if not len(unique) or key in done:
                     continue
                 done.add(key)
                 pivot, n = prefix(unique, first, hashes, hot, common, size, percent)
-                pivots.append(pivot)
-                salts.append(np.where(n > SALT_ABOVE, key % np.maximum(1, n // SALT_ABOVE + 1), -1).astype(np.int32))
+                pivots.append(_salted(pivot, n, key))
                 keys.append(np.full(len(pivot), key, np.int64))
-                sizes.append(np.full(len(pivot), len(unique), np.int32))
             if pivots:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(pivots).view(np.int64)), pa.array(np.concatenate(salts)),
-                     pa.array(np.concatenate(keys)), pa.array(np.concatenate(sizes))], names=["pivot", "salt", "key", "n"])
+                    [pa.array(np.concatenate(pivots).view(np.int64)), pa.array(np.concatenate(keys))], names=["pivot", "key"])
 
     return docs.mapInArrow(run, schema)
 
 
 def _candidate_edges(regions: DataFrame, run: str, percent: int) -> DataFrame:
     """Edges (a, b), b < a, that connect all sets that meet in a region and whose sizes leave a link possible."""
-    by_size = Window.partitionBy("pivot", "salt").orderBy("n", "key")
-    before = F.when(F.col("salt") < 0, F.struct(F.lag("key").over(by_size).alias("key"), F.lag("n").over(by_size).alias("n")))
-    top = F.when(F.col("salt") >= 0, F.min("key").over(Window.partitionBy("pivot", "salt")))
-    near = F.col("before.n") * 100 >= F.col("n") * percent
-    met = regions.withColumns({"before": before, "top": top}).where(near | F.col("top").isNotNull())
-    met = materialize(met.select("pivot", "key", "top", F.col("before.key").alias("before")).where(
-        "key <> before OR top IS NOT NULL"), f"{run}/met")
-    pairs = met.where("before IS NOT NULL").select("key", F.col("before").alias("other"))
+    salted = F.col("pivot").bitwiseAND(F.lit(1)) == 1
+    before = F.lag("key").over(Window.partitionBy("pivot").orderBy("key"))
+    top = F.when(salted, F.min("key").over(Window.partitionBy("pivot")))
+    near = F.shiftright("before", SIZE_SHIFT) * 100 >= F.shiftright("key", SIZE_SHIFT) * percent
+    met = regions.withColumns({"before": before, "top": top}).where((near & (F.col("key") > F.col("before"))) | salted)
+    met = materialize(met, f"{run}/met")
+    pairs = met.where("top IS NULL").select(F.col("key").alias("a"), F.col("before").alias("b"))
     # Salted pivots: a star per salt, and a star of the stars.
     hot = met.where("top IS NOT NULL")
-    tops = hot.where("key = top").select("pivot", "top").distinct()
+    tops = hot.where("key = top").select(F.shiftright("pivot", SALT_BITS).alias("pivot"), "top").distinct()
     tops = tops.withColumn("first", F.min("top").over(Window.partitionBy("pivot")))
-    pairs = pairs.union(hot.select("key", "top")).union(tops.select("top", "first"))
-    return pairs.where("key <> other").select(
-        F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b"))
+    return pairs.union(hot.select("key", "top")).union(tops.select("top", "first")).where("a > b")
 
 
 # --- pass 3: exact joins inside candidate groups ----------------------------------------------------------------------
@@ -317,6 +331,8 @@ def _links(blocks: DataFrame, percent: int) -> DataFrame:
 def _group_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
     """comp, n_blocks, set_key, shingles for one document of every set in a candidate group."""
     texts = docs.select(F.xxhash64("doc_id").alias("hid"), F.octet_length("text").alias("n_bytes"), "text")
+    if members.count() <= BROADCAST_ROWS:
+        members = F.broadcast(members)
     met = texts.join(members, ["hid", "n_bytes"]).select("text", "text_md5", "comp", "n_blocks", "set_key")
     schema = "comp long, n_blocks int, set_key binary, shingles array<long>"
 
