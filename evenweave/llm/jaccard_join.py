@@ -36,7 +36,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenweave.llm.common import id_and_text, md5, utf8, windows, word_hashes, words
+from evenweave.llm.common import id_and_text, md5, rows_with, utf8, windows, word_hashes, words
 from evenweave.llm.components import components
 from evenweave.session import materialize, new_run_dir
 
