@@ -10,7 +10,7 @@ from evenweave.example import ad_spec
 from evenweave.functions.draws import conditional_choice, uniform_choice
 from evenweave.operators import quota as Q
 from evenweave.operators import skeleton as S
-from evenweave.spec import even_quota
+from evenweave.spec import even_quota, spec_problems
 
 SPEC = ad_spec(cycles=1)
 PRIORITY_ORDER = ["5-LOW", "3-MEDIUM", "1-URGENT", "2-HIGH"]
@@ -284,9 +284,5 @@ UNION ALL
 SELECT 'total_divisible_by_base_unit', n || ' % 810' FROM (SELECT count(*) AS n FROM orders) WHERE n % 810 <> 0""")
 def k17(spark, sf_dir):
     unequal = Q.hierarchy_problems(table(spark, sf_dir, "customer"), "c_nationkey", "c_custkey")
-    total = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n"))
-    uneven = total.where(F.col("n") % SPEC.base_unit != 0).select(
-        F.lit("total_divisible_by_base_unit").alias("rule"),
-        F.concat(F.col("n").cast("string"), F.lit(f" % {SPEC.base_unit}")).alias("detail"),
-    )
+    uneven = spec_problems(spark, SPEC, table(spark, sf_dir, "orders").count())
     return unequal.unionByName(uneven)

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from evenweave import fixed_values as V
 from evenweave.catalog.registry import query, sql_case, sql_list, sql_strip, sql_text, table
-from evenweave.example import ad_tasks, audience_categories
+from evenweave.example import ad_tasks
 from evenweave.functions.text import is_filled
 from evenweave.operators import assign as A
-from evenweave.plans.enrich import LadderOptions, ask_generator, run_ladder, run_task, run_tasks
+from evenweave.plans.enrich import LadderOptions, ask_all, run_ladder, run_task, run_tasks
 from evenweave.session import new_run_dir
 from evenweave.sources.ledger import ProgressStore, read_ledger
 from evenweave.spec import TaskSpec
@@ -124,7 +124,7 @@ _LINES = {
     "E7_image_prompts": (IMG, f"object_detected || ' | ' || theme || ' | ' || emotion || ' | ' || {_context_sql('Ad Copy: ')}", V.IMG_BATCH),
     "E8_cta_prompts": (CTA, f"'Object: ' || object_detected || ' | Theme: ' || theme || ' | Emotion: ' || emotion || ' | ' || {_context_sql('Ad Copy: ')}", V.CTA_BATCH),
     "E9_audience_prompts": (AUDIENCE, f"'Object: ' || object_detected || ' | Theme: ' || theme || ' | ' || {_context_sql('Ad: ')}",
-                            V.AUDIENCE_BATCH.replace("{categories}", audience_categories())),
+                            V.AUDIENCE_BATCH.replace("{categories}", V.AUDIENCE_CATEGORIES)),
 }
 
 
@@ -156,7 +156,7 @@ _SINGLES = {
     "E10_single_prompts_image": (IMG, V.IMG_SINGLE, V.IMG_ANGLES, [*_FIELDS[:3], "text"]),
     "E10_single_prompts_cta": (CTA, V.CTA_SINGLE, V.CTA_ANGLES, _FIELDS[:3]),
     "E11_single_prompts_audience": (
-        AUDIENCE, V.AUDIENCE_SINGLE.replace("{categories}", audience_categories()), None, [*_FIELDS[:2], "text"],
+        AUDIENCE, V.AUDIENCE_SINGLE.replace("{categories}", V.AUDIENCE_CATEGORIES), None, [*_FIELDS[:2], "text"],
     ),
 }
 
@@ -224,8 +224,9 @@ SELECT conv_id, turn, CASE WHEN length(text) % 10 = 0 THEN NULL WHEN length(text
 def e13(spark, sf_dir):
     opts = LadderOptions(factory=measuring_generator(), secondary=second_generator())
     turns = table(spark, sf_dir, "conversations")
-    ask = ask_generator(opts, "be brief", 0.5)
-    return turns.select("conv_id", "turn", ask(F.col("text")).alias("raw"))
+    requests = turns.select("conv_id", "turn", F.col("text").alias("prompt"))
+    asked = ask_all(requests, requests.count(), opts, "be brief", 0.5, keys=("conv_id", "turn"))
+    return asked.select("conv_id", "turn", "raw")
 
 
 def staged_generator():
@@ -488,6 +489,20 @@ def e1(spark, sf_dir):
     return run.table.select("row_id", "caption", "alt")
 
 
+@query("E29_partial_fallback", f"""
+SELECT row_id, 'described ' || row_id AS caption, 'kept ' || row_id AS alt FROM {PARTS_SQL}""")
+def e29_partial(spark, sf_dir):
+    """A fallback for one of two columns leaves the other as it is."""
+    number = F.col("row_id").cast("string")
+    task = TaskSpec(
+        name="caption", output_columns=["caption", "alt"], min_length=5, inputs=["row_id"], deduplicate=False,
+        fallback=lambda: {"caption": F.concat(F.lit("described "), F.col("row_id").cast("string"))},
+    )
+    rows = part_rows(spark, sf_dir).withColumn("alt", F.concat(F.lit("kept "), number))
+    run = run_ladder(rows, task, LadderOptions(factory=refusing_generator()))
+    return run.table.select("row_id", "caption", "alt")
+
+
 @query("S7_S8_ledger_of_a_run", """
 SELECT 'text' AS task_name, CAST(b AS INTEGER) AS completed_batches, CAST(total AS INTEGER) AS total_batches,
        least(b * 30, n) AS completed_rows, n AS total_rows

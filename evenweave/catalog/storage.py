@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from evenweave.catalog.registry import query, sql_list, table
@@ -50,10 +52,13 @@ def s2(spark, sf_dir):
     return _round_trip(spark, sf_dir, ("",))
 
 
-@query("S3_final_save", "SELECT count(*) AS rows, 8 AS columns FROM part")
+@query("S3_final_save", """
+SELECT count(*) AS rows, 8 AS columns, 'dataset_text_' || count(*) || 'rows_20240131_120000.csv' AS name, true AS has_size FROM part""")
 def s3(spark, sf_dir):
     parts = table(spark, sf_dir, "part").withColumns({"text": F.lit(""), "keywords": F.lit("")})
-    return S.save_final(parts, new_run_dir(spark), "text").select("rows", "columns")
+    saved = S.save_final(parts, new_run_dir(spark), "text", datetime(2024, 1, 31, 12))
+    return saved.select(
+        "rows", "columns", F.element_at(F.split("path", "/"), -1).alias("name"), (F.col("size_kb") > 0).alias("has_size"))
 
 
 def _saved_sets(spark, sf_dir):
@@ -111,10 +116,10 @@ def _ledger(spark, sf_dir):
         F.count(F.lit(1)).alias("completed_rows"), F.max("doc_id").alias("last")
     ).select(
         F.col("source").alias("task_name"),
-        F.least(F.col("completed_rows"), F.lit(20)).cast("int").alias("completed_batches"),
-        F.lit(20).alias("total_batches"),
+        F.col("completed_rows").cast("int").alias("completed_batches"),
+        (F.col("completed_rows") + F.col("last") % 2).cast("int").alias("total_batches"),
         "completed_rows",
-        F.when(F.col("lang") == "es", 0).otherwise(F.lit(4000)).cast("long").alias("total_rows"),
+        F.when(F.col("lang") == "es", 0).otherwise(F.col("completed_rows") + 10 * (F.col("last") % 3)).cast("long").alias("total_rows"),
         F.lit(30).alias("batch_size"),
         F.col("lang").alias("model"),
         F.lit("p").alias("profile"),
@@ -132,14 +137,15 @@ def _ledger(spark, sf_dir):
 
 
 _LEDGER_SQL = """
-SELECT source AS task_name, CAST(least(count(*), 20) AS INTEGER) AS completed_batches, 20 AS total_batches,
-       count(*) AS completed_rows, CAST(CASE WHEN lang = 'es' THEN 0 ELSE 4000 END AS BIGINT) AS total_rows, lang AS model,
+SELECT source AS task_name, CAST(count(*) AS INTEGER) AS completed_batches,
+       CAST(count(*) + max(doc_id) % 2 AS INTEGER) AS total_batches, count(*) AS completed_rows,
+       CAST(CASE WHEN lang = 'es' THEN 0 ELSE count(*) + 10 * (max(doc_id) % 3) END AS BIGINT) AS total_rows, lang AS model,
        printf('2024-01-01 %08d', max(doc_id)) AS last_saved
 FROM documents GROUP BY source, lang"""
 _LATEST_SQL = f"SELECT * FROM ({_LEDGER_SQL}) QUALIFY row_number() OVER (PARTITION BY task_name ORDER BY last_saved DESC) = 1"
 
 
-@query("S8_ledger_read", f"SELECT * FROM ({_LATEST_SQL}) WHERE completed_batches < total_batches")
+@query("S8_ledger_read", f"SELECT * FROM ({_LATEST_SQL}) WHERE completed_batches < total_batches OR completed_rows < total_rows")
 def s8(spark, sf_dir):
     found = L.resumable(L.latest_records(_ledger(spark, sf_dir)))
     return found.select(
@@ -147,6 +153,15 @@ def s8(spark, sf_dir):
     )
 
 
+@query("S3_S6_latest_final_save", "SELECT 'dataset_text_' || count(*) || 'rows_20240131_120000.csv' AS name, count(*) AS rows FROM region")
+def s3_s6(spark, sf_dir):
+    """A skeleton saved after a data set is passed over."""
+    base = new_run_dir(spark)
+    S.save_final(table(spark, sf_dir, "region"), base, "text", datetime(2024, 1, 31, 12))
+    S.save_final(table(spark, sf_dir, "nation"), base, "skeleton", datetime(2024, 1, 31, 13))
+    return S.latest_dataset(S.inventory(spark, [base])).select("name", "rows")
+
+
 @query("S9_snapshot_read", """
 SELECT doc_id AS row_id, 1 AS phase, source AS text FROM documents WHERE doc_id % 2 = 0
 UNION ALL SELECT doc_id, 2, lang FROM documents WHERE doc_id % 2 = 1""")

@@ -34,6 +34,7 @@ def ad_spec(cycles: int = V.CYCLES) -> BalanceSpec:
             "likelihood_shares": V.LEVELS,
             "target_audience": V.AUDIENCES,
         },
+        equal_columns=["attention_score", "predicted_ctr", "likelihood_shares", "target_audience"],
         codes={
             "theme": _codes(list(V.THEME_OBJECTS)),
             "sentiment": _codes(V.SENTIMENT_ORDER),
@@ -88,17 +89,6 @@ def _single(template: str, fields: tuple[str, ...], angles: list[str] | None = N
     return build
 
 
-def audience_categories() -> str:
-    """The category block of the audience prompts: sections with one line per category."""
-    out, section = [V.AUDIENCE_CATEGORIES_HEAD], None
-    for name, category, covers in V.AUDIENCE_CATEGORIES:
-        if name != section:
-            out += ["", f"{name}:"]
-            section = name
-        out.append(f"- {category}: {covers}")
-    return "\n" + "\n".join(out) + "\n"
-
-
 def text_fallback() -> dict[str, Column]:
     """Template by (emotion, sentiment), default otherwise; keywords from the row."""
     row = _fields("object_detected", "theme", "emotion", "sentiment")
@@ -189,7 +179,7 @@ def ad_tasks() -> TaskRegistry:
             deduplicate=False,
         )
     )
-    categories = audience_categories()
+    categories = V.AUDIENCE_CATEGORIES
     reg.register(
         TaskSpec(
             name="audience",

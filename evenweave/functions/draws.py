@@ -29,11 +29,6 @@ def weighted_choice(seed: int, name: str, row_id: Column, options: list[tuple[st
     """One option per row, with probability proportional to its integer weight."""
     total = sum(w for _, w in options)
     u = draw_int(seed, name, row_id, total)
-    if total <= 1000:
-        # One lookup in a constant array, hence one digest per row.
-        slots = F.array(*[F.lit(v) for v, w in options for _ in range(w)])
-        return F.element_at(slots, u.cast("int") + 1)
-
     def choose(drawn: Column) -> Column:
         upper, choice = 0, None
         for value, weight in options:

@@ -163,7 +163,8 @@ def _take(s: Column, p: Column, primaries: Column, deduplicate: bool) -> Column:
 def apply_fills(df: DataFrame, fills: DataFrame, columns: list[str], row_id: str = "row_id") -> DataFrame:
     """Overwrite all output columns of the rows that got values; new columns go right.
 
-    ``fills`` has at most one row per row id, with a non-null ``phase``.
+    ``fills`` has at most one row per row id, with a non-null ``phase``. A null value sets nothing: the row
+    keeps what it has in that column.
     """
     new = fills.select(row_id, F.col("phase").alias("_phase"), *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = ensure_columns(df, columns).join(new, row_id, "left")
@@ -171,7 +172,7 @@ def apply_fills(df: DataFrame, fills: DataFrame, columns: list[str], row_id: str
     hit = F.col("_phase").isNotNull()
     return joined.select(
         *[
-            F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+            F.when(hit, F.coalesce(f"_new_{c}", c)).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
             for c in order
         ]
     )

@@ -108,7 +108,7 @@ def fix_colons(text: Column) -> Column:
         tokens,
         lambda t: F.when(
             t.startswith(':"'),
-            F.concat(F.lit(":"), F.regexp_replace(F.substring(t, 2, 1 << 30), plain_colon, "$1 -")),
+            F.concat(F.lit(":"), F.regexp_replace(F.substr(t, F.lit(2)), plain_colon, "$1 -")),
         ).otherwise(t),
     )
     return F.array_join(fixed, "")
@@ -130,7 +130,7 @@ def items_direct(raw: Column, primary: str, keys: list[str]) -> Column:
 def _unfence(text: Column) -> Column:
     """Inside of a json-tagged fence, else the first fenced part that starts with a bracket."""
     tagged = F.substring_index(
-        F.substring(text, F.instr(text, "```json") + 7, 1 << 30), "```", 1
+        F.substr(text, F.instr(text, "```json") + 7), "```", 1
     )
     starts = F.filter(
         F.transform(F.split(text, "```"), lambda p: strip(p)), lambda p: p.startswith("[")

@@ -11,6 +11,8 @@ histogram over the buckets (combined map-side, at most 16**digits rows) tells wh
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -114,14 +116,18 @@ def assign_quotas(
 ) -> DataFrame:
     """K5-K8: give every column exactly the listed value counts, in hash-random order.
 
-    ``id_col`` must be unique and the counts of each quota must add up to the number of rows.
+    ``id_col`` must be unique. The counts of each quota must add up to the number of rows, or the query fails.
     """
     cut_map = (
         quota_cuts(df, id_col, quotas, seed, digits)
         .agg(F.map_from_entries(F.collect_list(F.struct("column", "cuts"))).alias("m"))
         .scalar()
     )
-    out = df.withColumn("_cuts", cut_map)
+    # A count over no columns: a scan of the table's metadata where the source has it.
+    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    wrong = reduce(lambda a, b: a | b, [rows != sum(n for _, n in quota) for quota in quotas.values()], F.lit(False))
+    message = F.concat(F.lit("quota counts do not add up to the number of rows: "), rows.cast("string"))
+    out = df.withColumn("_cuts", F.when(wrong, F.raise_error(message)).otherwise(cut_map))
     for column, quota in quotas.items():
         me = F.struct(draw_key(seed, column, F.col(id_col)).alias("key"), F.col(id_col).alias("id"))
         cuts = F.try_element_at(F.col("_cuts"), F.lit(column))

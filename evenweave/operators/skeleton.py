@@ -4,34 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenweave.functions.draws import conditional_choice, uniform_choice
 from evenweave.operators.quota import assign_quotas
 from evenweave.spec import BalanceSpec
 
 
-# A row emits at most this many copies at a time; rows with more copies are spread over tasks first.
+# A row emits at most this many copies at a time.
 COPIES_PER_STEP = 10_000
 
 
 def _number_copies(df: DataFrame, copies: Column, out: str, step: int = COPIES_PER_STEP) -> DataFrame:
     """Repeat every row ``copies`` times, numbered from 0 in ``out``.
 
-    Rows with few copies are exploded where they are. A row with very many becomes one row per ``step``
-    copies, these are redistributed, and only then exploded: neither one task nor one array ever holds
-    all copies of a heavy row, and only the heavy rows' steps are shuffled.
+    A row becomes one row per ``step`` copies, these are dealt out by the row and the step, and only then
+    exploded: neither one task nor one array ever holds all copies of a heavy row, and many heavy rows
+    do not meet. The number of partitions is given, because rows that are about to grow look small.
     """
     n = copies.cast("long")
-    light = df.where((n > 0) & (n <= step)).withColumn(
-        out, F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    )
     steps = F.sequence(F.lit(0).cast("long"), F.call_function("div", n - 1, F.lit(step).cast("long")))
-    heavy = df.where(n > step).withColumn("_n", n).withColumn("_step", F.explode(steps)).repartition("_step")
+    stepped = df.where(n > 0).withColumn("_n", n).withColumn("_step", F.explode(steps))
+    hashable = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stepped.repartition(parts, *[F.col(f"`{c}`") for c in hashable], "_step")
     first = F.col("_step") * step
-    heavy = heavy.withColumn(
+    return dealt.withColumn(
         out, F.explode(F.sequence(first, F.least(first + step, F.col("_n")) - 1))
     ).drop("_n", "_step")
-    return light.unionByName(heavy)
 
 
 def expand_by_weight(

@@ -34,6 +34,7 @@ from evenweave.session import materialize, materialize_counting, new_run_dir
 from evenweave.sources.ledger import append_responses
 from evenweave.spec import TaskRegistry, TaskSpec
 
+MOST_TASKS = 10_000
 Generate = Callable[[str, str, float], "str | None"]
 
 
@@ -43,8 +44,9 @@ class LadderOptions:
 
     ``factory`` makes a generator, once per partition of requests: ``generate(prompt, system, temperature)``
     returns the response text or None. ``secondary`` makes one that is asked when the first has no answer.
-    ``concurrency`` is the number of partitions of requests, hence the most calls at a time; small
-    partitions also limit what has to be asked again when an executor is lost.
+    Calls are slow and prompts small, so every round deals its requests out, by default
+    ``requests_per_task`` to a task, to ``MOST_TASKS`` tasks at most; small tasks also limit what has to be asked
+    again when an executor is lost. ``concurrency`` sets the number of tasks, hence the most calls at a time.
     """
 
     factory: Callable[[], Generate]
@@ -57,6 +59,11 @@ class LadderOptions:
     temperature_step: float = 0.15
     max_temperature: float = 1.0
     concurrency: int | None = None
+    requests_per_task: int = 16
+
+    def tasks(self, requests: int) -> int:
+        """Number of tasks for so many requests."""
+        return self.concurrency or max(1, min(MOST_TASKS, -(-requests // self.requests_per_task)))
 
 
 @dataclass
@@ -95,10 +102,12 @@ def ask_generator(opts: LadderOptions, system: str, temperature: float):
     return F.pandas_udf(ask, "string").asNondeterministic()
 
 
-def _call(requests: DataFrame, opts: LadderOptions, system: str, temperature: float) -> DataFrame:
-    """Ask for every request. The partition count bounds how many calls run at a time."""
-    if opts.concurrency:
-        requests = requests.repartition(opts.concurrency, "batch_id", "chunk", "pos")
+def ask_all(
+    requests: DataFrame, n: int, opts: LadderOptions, system: str, temperature: float,
+    keys: tuple[str, ...] = ("batch_id", "chunk", "pos"),
+) -> DataFrame:
+    """Ask for every request, about ``n`` of them. A given partition count is not coalesced by size."""
+    requests = requests.repartition(opts.tasks(n), *keys)
     return requests.withColumn("raw", ask_generator(opts, system, temperature)(F.col("prompt")))
 
 
@@ -133,7 +142,7 @@ class _Ladder:
         )
 
     def units(self) -> DataFrame:
-        """Unfinished batches as nested rows. The one shuffle of the ladder."""
+        """Unfinished batches as nested rows. The one shuffle of the ladder; finished batches stay out."""
         task = self.task
         row = F.struct(
             "pos",
@@ -142,12 +151,13 @@ class _Ladder:
             (task.line() if task.line else F.lit("")).alias("line"),
         )
         batches = add_batches(self.base, "row_id", self.opts.batch_rows)
+        unfilled = ~is_filled(task.primary_column, task.min_length)
+        batches = batches.join(batches.where(unfilled).select("batch_id").distinct(), "batch_id", "left_semi")
         grouped = batches.groupBy("batch_id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-        open_batches = grouped.where(F.exists("rows", lambda r: ~r["filled"]))
-        return open_batches.withColumns({"chunk": F.lit(0), "pos": F.lit(0)})
+        return grouped.withColumns({"chunk": F.lit(0), "pos": F.lit(0)})
 
-    def batch_phase(self, units: DataFrame, phase: int) -> DataFrame:
-        """Prompts over the units' rows, bounded retries, assignment. Returns units left."""
+    def batch_phase(self, units: DataFrame, n: int, phase: int) -> DataFrame:
+        """Prompts over the ``n`` units' rows, bounded retries, assignment. Returns units left."""
         task = self.task
         prompt = task.batch_prompt(
             F.size("rows").cast("string"), number_lines(F.transform("rows", lambda r: r["line"]))
@@ -155,7 +165,7 @@ class _Ladder:
         pending = units.withColumn("prompt", prompt)
         answered, self.open_units = [], 0
         for attempt in range(1, self.retries + 1):
-            called = _call(pending, self.opts, task.system_prompt, self.temperature).withColumns(
+            called = ask_all(pending, n, self.opts, task.system_prompt, self.temperature).withColumns(
                 {"phase": F.lit(phase), "attempt": F.lit(attempt), "label": call_label(phase, F.lit(attempt))}
             )
             # Ask, parse and assign in one job; what follows only reads the written result.
@@ -169,8 +179,8 @@ class _Ladder:
             last = attempt == self.retries
             answered.append(done if last else done.where("n_items > 0"))
             self.open_units += seen["with_gaps"] + (seen["unanswered"] if last else 0)
-            pending = done.where("n_items = 0").select(*units.columns, "prompt")
-            if not seen["unanswered"]:
+            pending, n = done.where("n_items = 0").select(*units.columns, "prompt"), seen["unanswered"]
+            if not n:
                 break
         keep = [*units.columns, "taken", "gaps"]
         assigned = reduce(DataFrame.unionByName, [a.select(*keep) for a in answered])
@@ -255,8 +265,8 @@ class _Ladder:
             {"n_items": valid.cast("int")},
         ]
 
-    def single_phase(self, units: DataFrame) -> DataFrame:
-        """One row at a time, variation after variation; the first valid answer wins."""
+    def single_phase(self, units: DataFrame, n: int) -> DataFrame:
+        """``n`` rows, one at a time, variation after variation; the first valid answer wins."""
         task, opts = self.task, self.opts
         gaps = units.select("batch_id", "chunk", F.explode("rows").alias("r")).select(
             "batch_id", "chunk", F.col("r.pos").alias("pos"), F.col("r.row_id").alias("row_id")
@@ -267,8 +277,8 @@ class _Ladder:
             return pending
         for v in range(opts.variations):
             temperature = min(self.temperature + v * opts.temperature_step, opts.max_temperature)
-            called = _call(
-                pending.withColumn("prompt", task.single_prompt(v)), opts, task.single_system, temperature
+            called = ask_all(
+                pending.withColumn("prompt", task.single_prompt(v)), n, opts, task.single_system, temperature
             )
             for columns in self.single:
                 called = called.withColumns(columns)
@@ -284,8 +294,8 @@ class _Ladder:
                     "row_id", "phase", *[F.col(f"_v_{c}").alias(c) for c in task.output_columns]
                 )
             )
-            pending = done.where("n_items = 0").select(*pending.columns)
-            if not seen["unanswered"]:
+            pending, n = done.where("n_items = 0").select(*pending.columns), seen["unanswered"]
+            if not n:
                 break
         return pending
 
@@ -298,7 +308,8 @@ class _Ladder:
                     "row_id",
                     F.lit(5).alias("phase"),
                     *[
-                        F.coalesce(values[c], F.lit("")).alias(c) if c in values else F.lit("").alias(c)
+                        # a column the fallback does not name keeps its value
+                        (F.coalesce(values[c], F.lit("")) if c in values else F.lit(None).cast("string")).alias(c)
                         for c in self.task.output_columns
                     ],
                 )
@@ -306,16 +317,21 @@ class _Ladder:
 
     def run(self) -> None:
         """Phase after phase until no gap is left."""
-        left = self.units()
+        opts = self.opts
+        left, seen = materialize_counting(self.units(), f"{self.dir}/units", units=F.lit(True))
+        n, per_unit = seen["units"], opts.batch_rows
         if self.task.batch_prompt is None:
             left = left.withColumn("rows", F.filter("rows", lambda r: ~r["filled"]))
         else:
             for phase in (1, 2, 3):
-                left = self.batch_phase(self.chunked(left) if phase == 3 else left, phase)
+                if phase == 3:  # at most so many chunks
+                    left, n, per_unit = self.chunked(left), n * -(-opts.batch_rows // opts.micro_rows), opts.micro_rows
+                left = self.batch_phase(left, n, phase)
                 # Repeats that lost their value are gaps too, but known only after deduplication.
-                if not self.open_units and (not self.task.deduplicate or left.isEmpty()):
+                n = left.count() if self.task.deduplicate else self.open_units
+                if not n:
                     return
-        self.fallback_phase(self.single_phase(left))
+        self.fallback_phase(self.single_phase(left, n * per_unit))
 
 
 def run_ladder(
@@ -365,8 +381,16 @@ def run_task(
     if task is None:
         return None
     before = fill_status(df, task.primary_column, task.min_length).first()
-    if before["complete"]:
-        return df
+    return df if before["complete"] else _fill(
+        df, task, before, options, store, batches_per_wave, resume, revisit_gaps)
+
+
+def _fill(
+    df: DataFrame, task: TaskSpec, before, options: LadderOptions, store, batches_per_wave: int | None = None,
+    resume: bool = True, revisit_gaps: bool = True,
+) -> DataFrame:
+    """The work of ``run_task`` for a table whose fill status is known."""
+    name = task.name
     if store is None:
         return run_ladder(df, task, options).table
 
@@ -374,13 +398,18 @@ def run_task(
     n_batches = -(-before["total"] // size)
     wave = batches_per_wave or n_batches
     fingerprint = store.fingerprint(df, ["row_id", *task.inputs, task.primary_column])
-    progress = store.load(name, fingerprint, spark) if resume else None
     work, first_batch, completed = df, 0, before["filled"]
-    if progress is not None:
-        work = apply_fills(df, store.snapshot(spark, task, fingerprint), task.output_columns)
-        first_batch, completed = progress["completed_batches"], progress["completed_rows"]
-    else:
+    if not resume or not store.has_snapshot(spark, name, fingerprint):
         store.reset(spark, task, fingerprint)
+    else:  # saved values are never asked for again, whatever the ledger says
+        work = apply_fills(df, store.snapshot(spark, task, fingerprint), task.output_columns)
+        progress = store.load(name, fingerprint, spark)
+        if progress is not None:
+            first_batch, completed = progress["completed_batches"], progress["completed_rows"]
+        else:
+            completed = fill_status(work, task.primary_column, task.min_length).first()["filled"]
+        if completed == before["total"]:
+            return work
     waves = [(s, min(s + wave, n_batches)) for s in range(first_batch, n_batches, wave)]
     if revisit_gaps and first_batch:
         waves.insert(0, (0, first_batch))
@@ -416,13 +445,13 @@ def run_tasks(
         task = registry.get(name)
         if task is None:
             continue
-        if is_task_complete(df, task):
+        before = fill_status(df, task.primary_column, task.min_length).first()
+        if before["complete"]:
             skipped.append(name)
             continue
-        result = run_task(df, name, registry, options, store)
-        if result is None or result.isEmpty():
-            return None, done, skipped, None
         # Later tasks read this table several times: keep it, not the plan behind it.
-        df = materialize(result, f"{new_run_dir(df.sparkSession)}/after-{name}")
+        df = materialize(_fill(df, task, before, options, store), f"{new_run_dir(df.sparkSession)}/after-{name}")
+        if df.isEmpty():
+            return None, done, skipped, None
         done.append(name)
     return df, done, skipped, validate(df) if validate else None

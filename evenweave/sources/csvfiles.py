@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -45,16 +46,19 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def save_final(df: DataFrame, base: str, task: str, now: datetime | None = None) -> DataFrame:
-    """S3: save under task and time; reports ``(path, rows, columns, size_kb)``.
+    """S3: save as ``dataset_<task>_<rows>rows_<time>.csv``; reports ``(path, rows, columns, size_kb)``.
 
-    The rows are counted while they are written.
+    The rows are counted while they are written, under a name that no inventory lists; then the folder gets
+    its name. A data set of the same name is never replaced.
     """
     spark = df.sparkSession
     stamp = (now or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
-    path = f"{base}/task={task}/run_ts={stamp}/dataset.csv"
+    draft = f"{base}/_temp_{uuid.uuid4().hex}"
     seen = Observation("save_final")
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), draft)
     rows = seen.get["rows"]
+    path = f"{base}/dataset_{task}_{rows}rows_{stamp}.csv"
+    _rename(spark, draft, path)
     size = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("bytes"))
     return size.select(
         F.lit(path).alias("path"),
@@ -64,6 +68,15 @@ def save_final(df: DataFrame, base: str, task: str, now: datetime | None = None)
     )
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (old, new))
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target):
+        raise FileExistsError(new)
+    if not files.rename(source, target):
+        raise OSError(f"{old} could not be renamed to {new}")
+
+
 def _dataset_of(file_path: Column) -> Column:
     """A part file belongs to the ``....csv`` folder it lies in, any other file stands for itself."""
     return F.regexp_replace(file_path, r"(\.csv)/[^/]*$", "$1")

@@ -60,8 +60,12 @@ def latest_records(ledger: DataFrame, keys: tuple[str, ...] = ("task_name",)) ->
 
 
 def resumable(ledger: DataFrame) -> DataFrame:
-    """Records a run can resume from: not complete, with a snapshot (checked by the store)."""
-    return ledger.where(F.coalesce("completed_batches", F.lit(0)) < F.coalesce("total_batches", F.lit(0)))
+    """Records a run can resume from: batches or rows are open, with a snapshot (checked by the store)."""
+    zero = F.lit(0)
+    return ledger.where(
+        (F.coalesce("completed_batches", zero) < F.coalesce("total_batches", zero))
+        | (F.coalesce("completed_rows", zero) < F.coalesce("total_rows", zero))
+    )
 
 
 def status(ledger: DataFrame) -> DataFrame:
@@ -144,7 +148,7 @@ class ProgressStore:
         return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
     def load(self, task: str, fingerprint: str, spark: SparkSession | None = None) -> dict | None:
-        """Newest record to resume from, or None: no ledger, other task or data set, complete,
+        """Newest record with open batches or rows, or None: no ledger, other task or data set, complete,
         snapshot missing, corrupt."""
         spark = spark or SparkSession.getActiveSession()
         jvm = spark.sparkContext._jvm

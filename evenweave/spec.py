@@ -29,6 +29,8 @@ class BalanceSpec:
     forbidden: list[tuple[str, str]]
     cycles: int
     quota_values: dict[str, list[str]] = field(default_factory=dict)
+    # quota columns whose values must have exactly equal counts
+    equal_columns: list[str] = field(default_factory=list)
     codes: dict[str, dict[str, int]] = field(default_factory=dict)
     # output column -> (options per tone, options for any other tone)
     tone_draws: dict[str, tuple[dict[str, Quota], Quota]] = field(default_factory=dict)
@@ -124,7 +126,7 @@ def spec_problems(spark: SparkSession, spec: BalanceSpec, total_rows: int | None
         if len(items) != spec.items_per_group:
             rows.append(("equal_items_per_group", f"{group}: {len(items)}"))
     for column, values in spec.quota_values.items():
-        if len(values) in (3, 10) and spec.base_unit % len(values):
+        if column in spec.equal_columns and spec.base_unit % len(values):
             rows.append(("base_unit_divisible", f"{column}: {spec.base_unit} % {len(values)}"))
         if sum(n for _, n in spec.quotas()[column]) != spec.total_rows:
             rows.append(("pool_size", column))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenweave.functions.columns import let, strict_json
+from evenweave.functions.text import strip
 
 SEGMENT_ROWS = 1000
 REASONING_FIELDS = ["reasoning_content", "thinking_content", "reasoning"]
@@ -26,7 +27,7 @@ def decode_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     Blank lines and lines that are no JSON are left out; the end marker stays as ``done``.
     """
     text = F.regexp_replace(F.col(line), r"^data: ", "")
-    done = F.trim(text) == "[DONE]"
+    done = strip(text) == "[DONE]"
     out = lines.withColumn("done", F.coalesce(done, F.lit(False)))
     out = out.withColumn("event", F.when(~F.col("done"), strict_json(text)))
     return out.where(F.col("done") | F.col("event").isNotNull()).drop(line)

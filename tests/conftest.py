@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from evenweave.session import configure  # noqa: E402
+from evenweave.session import configure, reach_workers  # noqa: E402
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -22,7 +22,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     )
-    session = configure(builder.getOrCreate())
+    session = reach_workers(configure(builder.getOrCreate()), os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
