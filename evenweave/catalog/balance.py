@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from evenweave import fixed_values as V
@@ -140,6 +141,26 @@ def k2_sort(spark, sf_dir):
     return S.sort_by_lists(orders, {"o_orderpriority": PRIORITY_ORDER, "o_orderstatus": ["P", "O", "F"]})
 
 
+def _rank_sql(column: str, order: list[str]) -> str:
+    return f"CASE {' '.join(f'WHEN {column} = {sql_text(v)} THEN {i}' for i, v in enumerate(order))} ELSE 99 END"
+
+
+@query("K2_sorted_positions", f"""
+SELECT o_orderpriority, o_orderstatus, n, row_number() OVER (
+         ORDER BY {_rank_sql('o_orderpriority', PRIORITY_ORDER)}, {_rank_sql('o_orderstatus', ['P', 'O', 'F'])}) AS place
+FROM (SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL)""")
+def k2_positions(spark, sf_dir):
+    """Where the rows of each pair of values lie in the sorted table: their stretches must not overlap."""
+    at = F.monotonically_increasing_id()
+    ordered = k2_sort(spark, sf_dir).withColumn("at", at)
+    runs = ordered.groupBy("o_orderpriority", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.max("at").alias("last"))
+    by_first = Window.orderBy("first")  # one row per pair of values
+    apart = F.coalesce(F.lag("last").over(by_first) < F.col("first"), F.lit(True))
+    place = F.when(apart, F.row_number().over(by_first).cast("long"))
+    return runs.select("o_orderpriority", "o_orderstatus", "n", place.alias("place"))
+
+
 @query("K3_hierarchical_grid", GRID_SQL)
 def k3(spark, sf_dir):
     orders, _, cycles = orders_as_rows(spark, sf_dir)

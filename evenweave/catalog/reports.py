@@ -29,6 +29,22 @@ def r1(spark, sf_dir):
     return P.marginal_report(table(spark, sf_dir, "orders"), "o_orderpriority", _expected(spark), PLANNED)
 
 
+@query("R1_R2_complete_report", """
+WITH cells AS (SELECT 'o_orderpriority' AS "column", o_orderpriority AS value FROM orders
+               UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM orders),
+a AS (SELECT "column", value, count(*) AS actual FROM cells GROUP BY ALL),
+e AS (SELECT * FROM (VALUES ('o_orderstatus', 'F', 700), ('o_orderstatus', 'none', 5), ('o_orderpriority', '1-URGENT', 300))
+      AS t("column", value, expected))
+SELECT coalesce(e."column", a."column") AS "column", coalesce(e.value, a.value) AS value,
+       CAST(coalesce(expected, 0) AS BIGINT) AS expected, coalesce(actual, 0) AS actual,
+       coalesce(expected, 0) = coalesce(actual, 0) AS ok
+FROM e FULL JOIN a ON e."column" = a."column" AND e.value = a.value""")
+def r1_r2_complete(spark, sf_dir):
+    expected = [("o_orderstatus", "F", 700), ("o_orderstatus", "none", 5), ("o_orderpriority", "1-URGENT", 300)]
+    table_of = spark.createDataFrame(expected, "column string, value string, expected long")
+    return P.complete_comparison(table(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"], table_of)
+
+
 @query("R2_distribution_comparison", _COMPARISON)
 def r2(spark, sf_dir):
     return P.comparison(table(spark, sf_dir, "orders"), "o_orderpriority", _expected(spark))

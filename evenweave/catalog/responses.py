@@ -212,6 +212,23 @@ def c4(spark, sf_dir):
     return turns.select("conv_id", "turn", K.complete_content(raw, "plain").alias("content"))
 
 
+@query("C4_typed_and_chat_responses", """
+SELECT conv_id, turn, CASE WHEN turn % 3 = 2 THEN 'plain words' ELSE text END AS typed,
+       CASE WHEN turn % 3 = 1 THEN text END AS chat FROM conversations""")
+def c4_kinds(spark, sf_dir):
+    """A nested output, a chat choice, and a response that is no JSON, read by either client."""
+    turns = table(spark, sf_dir, "conversations")
+    text, kind = F.col("text"), F.col("turn") % 3
+    message = F.struct(F.struct(text.alias("content")).alias("message"))
+    raw = (
+        F.when(kind == 0, F.to_json(F.struct(F.struct(text.alias("text")).alias("output"))))
+        .when(kind == 1, F.to_json(F.struct(F.array(message).alias("choices"))))
+        .otherwise(F.lit("plain words"))
+    )
+    return turns.select(
+        "conv_id", "turn", K.complete_content(raw).alias("typed"), K.complete_content(raw, "chat").alias("chat"))
+
+
 @query("C5_reasoning_volume", """
 SELECT count(DISTINCT conv_id) AS requests, CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS reasoning_chars
 FROM conversations""")

@@ -42,7 +42,8 @@ def word_count(c: Column | str) -> Column:
 
 
 def collapse_whitespace(c: Column) -> Column:
-    return F.regexp_replace(c, _WS, " ")
+    """Every run of whitespace as one space: cheaper character by character than by one match per word."""
+    return F.regexp_replace(F.translate(c, WHITESPACE, " " * len(WHITESPACE)), " {2,}", " ")
 
 
 def clean_text(c: Column | str) -> Column:

@@ -20,6 +20,25 @@ def comparison(df: DataFrame, column: str, expected: DataFrame) -> DataFrame:
     return out.select(*expected.columns, got.alias("actual"), (got == F.col("expected")).alias("ok"))
 
 
+def complete_comparison(df: DataFrame, columns: list[str], expected: DataFrame) -> DataFrame:
+    """R1/R2 for all columns at once: ``(column, value, expected, actual, ok)`` from one scan of the table.
+
+    ``expected`` has the rows ``(column, value, expected)`` of a spec. Values that are not expected count too,
+    with an expectation of 0. Rows become one count per column and value in the tasks that read them.
+    """
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns
+    ]))
+    counts = df.select(cells.alias("c")).groupBy("c.column", "c.value").agg(F.count(F.lit(1)).alias("actual"))
+    same = (F.col("e.column") == F.col("a.column")) & F.col("e.value").eqNullSafe(F.col("a.value"))
+    both = expected.alias("e").join(counts.alias("a"), same, "full")
+    wanted, got = F.coalesce("e.expected", F.lit(0)), F.coalesce("a.actual", F.lit(0))
+    return both.select(
+        F.coalesce("e.column", "a.column").alias("column"), F.coalesce("e.value", "a.value").alias("value"),
+        wanted.alias("expected"), got.alias("actual"), (wanted == got).alias("ok"),
+    )
+
+
 def bar_length(actual: Column, total: Column | int) -> Column:
     """One block per fiftieth of the table, at least one."""
     n = F.lit(total) if isinstance(total, int) else total
