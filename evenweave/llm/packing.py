@@ -34,7 +34,7 @@ LENGTH = 2048
 UNIT = 8
 GAP = 1e-3
 PULL = 0.8
-BUCKET = 4096
+BUCKET = 512
 END = packed([1])
 
 
