@@ -146,3 +146,19 @@ def rows_with(docs: DataFrame, stay: DataFrame, digest: Callable[[bytes], bytes]
     same = Window.partitionBy("hid", "digest").orderBy("hid")
     met = rows.mapInArrow(run, schema).join(stay.distinct(), ["hid", "digest"])
     return met.withColumn("nth", F.row_number().over(same)).where("nth = 1").select("row.*")
+
+
+def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows with the highest counts ``n``: as many whole count classes (64 to a doubling) as fit into ``most`` rows.
+
+    Found from a histogram of the classes, so no task and no driver ever holds more than the result.
+    """
+    level = F.floor(F.log2(F.col(n).cast("double")) * 64)
+    sizes = counts.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect()  # a few thousand at most
+    left, least = most, None
+    for r in sorted(sizes, key=lambda r: -r["level"]):
+        left -= r["rows"]
+        if left < 0:
+            break
+        least = r["level"]
+    return counts.where(level >= F.lit(least)) if least is not None else counts.where(F.lit(False))

@@ -36,7 +36,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenweave.llm.common import id_and_text, md5, rows_with, utf8, windows, word_hashes, words
+from evenweave.llm.common import id_and_text, md5, most_frequent, rows_with, utf8, windows, word_hashes, words
 from evenweave.llm.components import components
 from evenweave.session import materialize, new_run_dir
 
@@ -121,9 +121,9 @@ def _survey(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _table(survey: DataFrame, kind: str, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``most`` highest counts as sorted keys and counts."""
-    top = survey.where(F.col("kind") == kind).groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(most)
-    rows = top.collect()
+    """At most ``most`` of the highest counts as sorted keys and counts."""
+    counts = survey.where(F.col("kind") == kind).groupBy("key").agg(F.sum("n").alias("n"))
+    rows = most_frequent(counts, "n", most).collect()
     keys = np.array([r[0] for r in rows], np.int64).view(np.uint64)
     n = np.array([r[1] for r in rows], np.int64)
     order = np.argsort(keys)
