@@ -59,7 +59,7 @@ class LadderOptions:
     temperature_step: float = 0.15
     max_temperature: float = 1.0
     concurrency: int | None = None
-    requests_per_task: int = 16
+    requests_per_task: int = 64
 
     def tasks(self, requests: int) -> int:
         """Number of tasks for so many requests."""
@@ -265,8 +265,8 @@ class _Ladder:
             {"n_items": valid.cast("int")},
         ]
 
-    def single_phase(self, units: DataFrame, n: int) -> DataFrame:
-        """``n`` rows, one at a time, variation after variation; the first valid answer wins."""
+    def single_phase(self, units: DataFrame) -> DataFrame:
+        """One row at a time, variation after variation; the first valid answer wins."""
         task, opts = self.task, self.opts
         gaps = units.select("batch_id", "chunk", F.explode("rows").alias("r")).select(
             "batch_id", "chunk", F.col("r.pos").alias("pos"), F.col("r.row_id").alias("row_id")
@@ -275,6 +275,7 @@ class _Ladder:
         pending = gaps.join(self.base.select("row_id", *context), "row_id")
         if task.single_prompt is None:
             return pending
+        n = gaps.count()  # reads what the phases before have written
         for v in range(opts.variations):
             temperature = min(self.temperature + v * opts.temperature_step, opts.max_temperature)
             called = ask_all(
@@ -319,19 +320,19 @@ class _Ladder:
         """Phase after phase until no gap is left."""
         opts = self.opts
         left, seen = materialize_counting(self.units(), f"{self.dir}/units", units=F.lit(True))
-        n, per_unit = seen["units"], opts.batch_rows
+        n = seen["units"]
         if self.task.batch_prompt is None:
             left = left.withColumn("rows", F.filter("rows", lambda r: ~r["filled"]))
         else:
             for phase in (1, 2, 3):
                 if phase == 3:  # at most so many chunks
-                    left, n, per_unit = self.chunked(left), n * -(-opts.batch_rows // opts.micro_rows), opts.micro_rows
+                    left, n = self.chunked(left), n * -(-opts.batch_rows // opts.micro_rows)
                 left = self.batch_phase(left, n, phase)
                 # Repeats that lost their value are gaps too, but known only after deduplication.
                 n = left.count() if self.task.deduplicate else self.open_units
                 if not n:
                     return
-        self.fallback_phase(self.single_phase(left, n * per_unit))
+        self.fallback_phase(self.single_phase(left))
 
 
 def run_ladder(
