@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenweave.session import materialize, materialize_counting
@@ -11,32 +11,44 @@ from evenweave.session import materialize, materialize_counting
 def components(edges: DataFrame, run: str) -> DataFrame:
     """node, label (smallest node of its component) for all nodes of ``edges(a, b)``, where b < a.
 
-    Each round hangs every node on its smallest neighbour and passes its other edges on to that neighbour, so only
-    nodes that others point to stay; then pointers are doubled until all lead to a root. Every round is written.
+    Each round hangs every node on its smallest neighbour below it, doubles these pointers until all lead to a root, and
+    puts roots in the place of both ends of the other edges; what is left leads from a root to a smaller one. So no node
+    is hung twice. A root with an edge left was given nodes or is hung in the next round, so two rounds halve the nodes.
+    Every round is written.
     """
-    forest, left = [], materialize(edges.select("a", "b").distinct(), f"{run}/edges-0")
+    hung, left = [], materialize(edges.select("a", "b").distinct(), f"{run}/edges-0")
     step = 0
     while not left.isEmpty():
         step += 1
-        own = Window.partitionBy("a")
-        hung = materialize(left.withColumn("top", F.min("b").over(own)), f"{run}/hung-{step}")
-        forest.append(hung.where("b = top").select("a", "b"))
-        rest = hung.where("b <> top").select(F.col("b").alias("a"), F.col("top").alias("b"))
-        left = materialize(rest.distinct(), f"{run}/edges-{step}")
-    if not forest:
+        links = materialize(left.groupBy("a").agg(F.min("b").alias("b")), f"{run}/links-{step}")
+        roots = _to_roots(links, f"{run}/roots-{step}")
+        hung.append(roots)
+        # a hangs on top, so an edge (a, b) connects what (b, top) does
+        others = left.join(links.select("a", F.col("b").alias("top")), "a").where("b <> top").select("b", "top").distinct()
+        for end in ("b", "top"):
+            root = roots.select(F.col("a").alias(end), F.col("b").alias("root"))
+            others = others.join(root, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+        others = others.where("b <> top").select(F.greatest("b", "top").alias("a"), F.least("b", "top").alias("b"))
+        left = materialize(others.distinct(), f"{run}/edges-{step}")
+    if not hung:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    links = forest[0]
-    for f in forest[1:]:
-        links = links.union(f)
-    # A node that was hung in several rounds points to several smaller ones, all in its component.
-    links = materialize(links.groupBy("a").agg(F.min("b").alias("b")), f"{run}/links-0")
+    links = hung[0]
+    for h in hung[1:]:
+        links = links.union(h)
+    if len(hung) > 1:
+        links = _to_roots(links, f"{run}/labels")
+    roots = links.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("label"))
+    return links.select(F.col("a").alias("node"), F.col("b").alias("label")).union(roots)
+
+
+def _to_roots(links: DataFrame, path: str) -> DataFrame:
+    """``links(a, b)``, one for each a, with every b replaced by the last one on its way."""
     changed, step = 1, 0
     while changed:
         step += 1
         up = links.select(F.col("a").alias("b"), F.col("b").alias("up"))
         jumped = links.join(up, "b", "left").select("a", F.coalesce("up", "b").alias("b"), F.col("up").isNotNull().alias("far"))
-        links, seen = materialize_counting(jumped, f"{run}/links-{step}", far=F.col("far"))
+        links, seen = materialize_counting(jumped, f"{path}-{step}", far=F.col("far"))
         changed = seen["far"]
         links = links.select("a", "b")
-    roots = links.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("label"))
-    return links.select(F.col("a").alias("node"), F.col("b").alias("label")).union(roots)
+    return links

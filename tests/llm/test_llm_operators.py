@@ -12,9 +12,10 @@ import numpy as np
 import pytest
 
 from evenweave.llm import (
-    brown_lm, exact_dedup, fertility, jaccard_join, packing, pieces, pii, rules, token_counts, toxicity, units,
+    brown_lm, components, exact_dedup, fertility, jaccard_join, packing, pieces, pii, rules, token_counts, toxicity, units,
 )
 from evenweave.llm.common import prepare
+from evenweave.session import new_run_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, key string, length string, bucket string"
 
@@ -227,6 +228,37 @@ def test_metric_join_is_exact():
     assert (groups.all() == want.all()).all()
 
 
+def union_find(edges):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in list(root)}
+
+
+def test_components_equal_union_find(spark):
+    graphs = [[(5, 3), (6, 5), (6, 1)], [(k, k - d) for k in range(3, 60) for d in (1, 2)]]
+    for seed in range(8):
+        r = random.Random(seed)
+        graphs.append([tuple(sorted(r.sample(range(200), 2), reverse=True)) for _ in range(90 + 40 * (seed % 5))])
+    # disjoint graphs in one table: a graph's nodes lie in a range of their own
+    edges = [(1000 * g + a, 1000 * g + b) for g, es in enumerate(graphs) for a, b in es]
+    named = {}
+    for kind, of in (("long", int), ("binary", lambda n: bytearray(n.to_bytes(4, "big")))):
+        table = spark.createDataFrame([(of(a), of(b)) for a, b in edges], f"a {kind}, b {kind}").repartition(3)
+        rows = components.components(table, new_run_dir(spark)).collect()
+        named[kind] = [(r["node"], r["label"]) for r in rows]
+    want = union_find(edges)
+    assert sorted(named["long"]) == sorted(want.items())
+    assert sorted((int.from_bytes(n, "big"), int.from_bytes(x, "big")) for n, x in named["binary"]) == sorted(want.items())
+
+
 def test_one_of_each_group_stays(docs):
     rows = sample_texts()
     kept = collections.Counter((r.doc_id, r.text) for r in jaccard_join.one_of_each(docs).collect())
