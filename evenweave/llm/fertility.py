@@ -1,31 +1,42 @@
 """Quality rules by tokeniser fertility: public vocabularies tell text from noise.
 
-Words are encoded by a sentencepiece model with byte fallback, each as a word of its own, and memoised. Measured per
-document: characters per token, share of tokens that are bytes of unknown characters, and entropy of the token
-counts in bits. Bands per script say what is rejected; the script of a document is that of most of its letters.
+Words are encoded by a sentencepiece model with byte fallback and by a byte-level vocabulary, each as a word of its own,
+and memoised. Measured per document: characters per token, share of tokens that are bytes of unknown characters, and
+entropy of the token counts in bits. Bands per script say what is rejected; the script of a document is that of most of
+its letters.
 
-Bands are fixed parameters, wide enough to leave ordinary prose of any length alone. Entropy of n tokens is at most
-log2(n) and levels off in long texts, so it is judged as a share of log2(n), n at most ``LEVEL``, and only from
-``MIN_TOKENS`` tokens on.
+Fixed outer bands hold for every document. Where at least ``LEAST_DOCUMENTS`` documents of a script pass the base rule,
+lower fences for characters per token and entropy under both vocabularies come from the quartiles of all of them: what
+lies ``REACH`` quartile distances below the first quartile is rejected. There are no such fences above, because text that
+a vocabulary knows well is no noise. Entropy of n tokens is at most log2(n) and levels off in long texts, so it is judged
+as a share of log2(n), n at most ``LEVEL``, and only from ``MIN_TOKENS`` tokens on, as are the fences.
 
 A null or empty text has no words and fails the base rule.
 """
 
 from __future__ import annotations
 
+import base64
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from evenweave.llm.common import map_texts, utf8, windows, words
+from evenweave.llm.common import arrow_type, map_texts, utf8, windows, words
+from evenweave.session import materialize, new_run_dir
 
 MODEL = "piece_bpe_32k.model"
+RANKS = "byte_bpe_50k.tiktoken"
 MIN_TOKENS = 40
 LEVEL = 256
+LEAST_DOCUMENTS = 1000
+REACH = 1.5
+LEAST_MARGIN = 0.1  # of the median; a corpus of copies has no quartile distance
 
 
 @dataclass(frozen=True)
@@ -53,7 +64,8 @@ _SCRIPTS = [
 _BEYOND_LATIN = re.compile("[\u0250-\U0010ffff]")
 FIELDS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
-    "script string, n_tokens long, chars_per_token double, byte_share double, entropy double, kept boolean"
+    "script string, n_tokens long, chars_per_token double, byte_share double, entropy double, "
+    "n_byte_tokens long, byte_chars_per_token double, byte_entropy double, kept boolean"
 )
 _SYMBOLS = b"#*$%&|<>"
 _BLANKS = b" \t\n\x0b\x0c\r"
@@ -80,6 +92,40 @@ class Pieces(dict):
             self.update((w, np.array(ids, np.uint16).tobytes()) for w, ids in zip(new, encoded))
 
 
+class ByteUnits(dict):
+    """Ids of a word, with the space before it, in the byte-level vocabulary as uint16 bytes, remembered up to a bound."""
+
+    BOUND = 500_000
+
+    def __init__(self):
+        import public_tokenizers
+        import tiktoken
+
+        with open(public_tokenizers.path(RANKS), "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.read().splitlines())}
+        self.encode = tiktoken.Encoding(
+            RANKS, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.BOUND:
+            self.clear()
+        text = " " + word.decode("utf-8", "replace")
+        # very long words in parts, as the encoder needs time by the square of their length
+        ids = [i for at in range(0, len(text), LONG) for i in self.encode(text[at : at + LONG])]
+        value = self[word] = np.array(ids, np.uint16).tobytes()
+        return value
+
+
+LONG = 2000
+_BYTE_UNITS: list[ByteUnits] = []
+
+
+def byte_units() -> ByteUnits:
+    if not _BYTE_UNITS:
+        _BYTE_UNITS.append(ByteUnits())
+    return _BYTE_UNITS[0]
+
+
 _PIECES: dict[str, Pieces] = {}
 
 
@@ -150,9 +196,12 @@ def _measure(text: bytes, ws: list[bytes], vocabulary: Pieces) -> tuple:
     low = vocabulary.first_byte
     bytes_share = float(((ids >= low) & (ids < low + 256)).mean()) if tokens else 0.0
     bits = entropy_bits(ids)
+    units = np.frombuffer(b"".join(map(byte_units().__getitem__, ws)), np.uint16)
+    per_unit = chars / len(units) if len(units) else 0.0
     script = script_of(decoded)
     kept = not failed and within(BANDS[script], tokens, per_token, bytes_share, bits)
-    return n, chars, symbols, repeated_lines(text), repeats, failed, script, tokens, per_token, bytes_share, bits, kept
+    return (n, chars, symbols, repeated_lines(text), repeats, failed, script, tokens, per_token, bytes_share, bits,
+            len(units), per_unit, entropy_bits(units), kept)
 
 
 def within(band: Band, tokens: int, per_token: float, byte_share: float, bits: float) -> bool:
@@ -162,14 +211,51 @@ def within(band: Band, tokens: int, per_token: float, byte_share: float, bits: f
     return tokens < MIN_TOKENS or bits >= band.entropy_share * float(np.log2(min(tokens, LEVEL)))
 
 
+def _share(bits: str, tokens: str) -> Column:
+    return F.col(bits) / F.log2(F.least(F.col(tokens), F.lit(LEVEL)).cast("double"))
+
+
+def _judged() -> dict[str, Column]:
+    """What has lower fences, by name."""
+    return {
+        "per_piece": F.col("chars_per_token"), "piece_entropy": _share("entropy", "n_tokens"),
+        "per_unit": F.col("byte_chars_per_token"), "unit_entropy": _share("byte_entropy", "n_byte_tokens"),
+    }
+
+
+def fences(measured: DataFrame) -> dict[str, dict[str, float]]:
+    """Lowest values that stay, by script and measure; from all documents that pass the base rule and have tokens enough."""
+    usable = measured.where(~F.col("base_failed") & (F.least("n_tokens", "n_byte_tokens") >= MIN_TOKENS))
+    quartiles = [F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000).alias(name) for name, x in _judged().items()]
+    out = {}
+    for r in usable.groupBy("script").agg(F.count("*").alias("n"), *quartiles).collect():  # a row a script
+        if r["n"] >= LEAST_DOCUMENTS:
+            out[r["script"]] = {
+                name: min(q[0] - REACH * (q[2] - q[0]), (1 - LEAST_MARGIN) * q[1]) for name in _judged() for q in [r[name]]}
+    return out
+
+
+def passes(lowest: dict[str, dict[str, float]]) -> Column:
+    """The verdict: the base rule and outer bands, and the fences of the script where there are any."""
+    verdict = F.col("kept")
+    for script, least in lowest.items():
+        short = F.least("n_tokens", "n_byte_tokens") < MIN_TOKENS
+        above = F.lit(True)
+        for name, x in _judged().items():
+            above &= x >= F.lit(least[name])
+        verdict &= (F.col("script") != script) | short | above
+    return verdict
+
+
 def quality_rules(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: counts, base rule, fertility measures, verdict. Map-only."""
+    """One row per document: counts, base rule, fertility measures, verdict. Measures are written, texts are not."""
     path = model_path(model)
 
     def rows(texts: list[bytes]) -> Iterator[tuple]:
         return measure(texts, pieces(path))
 
-    return map_texts(docs, FIELDS, rows, id_col, text_col)
+    measured = materialize(map_texts(docs, FIELDS, rows, id_col, text_col), new_run_dir(docs.sparkSession))
+    return measured.withColumn("kept", passes(fences(measured)))
 
 
 def model_path(model: str | None) -> str:
@@ -181,14 +267,25 @@ def model_path(model: str | None) -> str:
 
 
 def kept_documents(docs: DataFrame, model: str | None = None, text_col: str = "text") -> DataFrame:
-    """The rows that pass, with all their columns as they are; nothing is shuffled."""
+    """The rows that pass, with all their columns as they are; nothing is shuffled.
+
+    Rows that pass the outer bands are written with their measures, so texts are measured once.
+    """
     path = model_path(model)
     at = docs.columns.index(text_col)
+    measures = T.StructType.fromDDL(FIELDS)
+    schema = T.StructType([T.StructField("row", docs.schema), *measures.fields])
+    kinds = [arrow_type(f.dataType) for f in measures.fields]
 
     def run(batches):
         vocabulary = pieces(path)
         for batch in batches:
-            passed = [m[-1] for m in measure([t or b"" for t in utf8(batch.column(at))], vocabulary)]
-            yield batch.filter(pa.array(passed, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+            found = list(measure([t or b"" for t in utf8(batch.column(0).field(at))], vocabulary))
+            columns = list(zip(*found)) if found else [()] * len(kinds)
+            out = pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=schema.names)
+            yield out.filter(pa.array(columns[-1], pa.bool_()))
+
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    measured = materialize(rows.mapInArrow(run, schema), new_run_dir(docs.sparkSession))
+    return measured.where(passes(fences(measured))).select("row.*")

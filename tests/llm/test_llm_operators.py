@@ -428,6 +428,22 @@ def test_fertility_by_library():
     assert got["script"] == "latin"
 
 
+def test_fertility_fences_reject_what_the_corpus_does_not_look_like(spark):
+    r = random.Random(4)
+    parts = ["the", "in", "er", "an", "re", "on", "at", "en", "or", "is", "al", "st", "ing", "ed", "con", "pro"]
+    lexicon = ["".join(r.choice(parts) for _ in range(r.randrange(2, 5))) for _ in range(3000)]
+    good = [(i, " ".join(r.choice(lexicon) for _ in range(80))) for i in range(1200)]
+    # junk that passes the base rule and the outer bands: few words, in an order that does not repeat
+    junk = [(5000 + i, " ".join(r.choice(lexicon[:12]) for _ in range(80))) for i in range(40)]
+    docs = table(spark, good + junk)
+    rows = fertility.quality_rules(docs).collect()
+    mine = [x for x in rows if x.doc_id >= 5000 and not x.base_failed]
+    assert len(mine) > 20 and not any(x.kept for x in mine)
+    assert sum(x.kept for x in rows if x.doc_id < 5000) > 0.98 * len(good)
+    kept = {x.doc_id for x in rows if x.kept}
+    assert {x.doc_id for x in fertility.kept_documents(docs).collect()} == kept
+
+
 def test_exact_groups(docs):
     groups = collections.defaultdict(list)
     lower = lambda t: (t or "").encode().lower()
