@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenweave.llm import brown_lm, exact_dedup, fertility, jaccard_join, packing, pieces, pii, rules, token_counts, toxicity
+from evenweave.llm import (
+    brown_lm, exact_dedup, fertility, fill_in_middle, jaccard_join, merkle, packing, pieces, pii, rules, token_counts, toxicity,
+)
 from evenweave.llm.common import documents, table
 from evenweave.llm.registry import ORACLES, QUERIES, query
-from evenweave.llm.sql import OP6_SQL, op1_sql
+from evenweave.llm.sql import OP6_SQL, OP11_SQL, OP12_SQL, op1_sql
 
 
 @query("op1_pii", op1_sql())
@@ -63,6 +65,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+@query("op11_merkle_manifest", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(documents(spark, sf_dir))
+
+
+@query("op12_fill_in_middle", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(fill_in_middle.rearranged(documents(spark, sf_dir)))
+
+
 def corpus_queries() -> dict:
     """All queries of this subpackage, the pipeline among them."""
     import corpus_pipeline  # noqa: F401  registers itself
