@@ -162,3 +162,40 @@ def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
             break
         least = r["level"]
     return counts.where(level >= F.lit(least)) if least is not None else counts.where(F.lit(False))
+
+
+# --- a bit table of fixed size: tells keys that are surely not in a set, whatever the size of the set --------------------
+
+BITS = 24
+
+
+def _bit(key: Column) -> Column:
+    """The highest bits of a 64-bit hash."""
+    return F.shiftrightunsigned(key, 64 - BITS)
+
+
+def bit_table(keys: DataFrame, key: str) -> DataFrame:
+    """word, bits: the hashes ``key`` of ``keys`` as a set of at most 2^BITS bits, so at most 2^(BITS - 6) rows."""
+    at = keys.select(_bit(F.col(key)).alias("at"))
+    rows = at.select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
+    return rows.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def maybe_in(rows: DataFrame, key: str, bits: DataFrame) -> DataFrame:
+    """``rows`` without those whose hash ``key`` is surely not in the bit table; drops others by chance only."""
+    at = _bit(F.col(key))
+    met = rows.withColumn("_at", at).join(F.broadcast(bits), F.shiftright("_at", 6) == F.col("word"))
+    return met.where(F.expr("bits & shiftleft(1L, cast(_at & 63 as int))") != 0).drop("_at", "word", "bits")
+
+
+def bits_as_array(bits: DataFrame) -> np.ndarray:
+    """A bit table as an array of words on the driver, 2 MB for 24 bits."""
+    table = bits.toArrow()
+    out = np.zeros(1 << (BITS - 6), np.uint64)
+    out[table["word"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def in_bit_table(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys >> np.uint64(64 - BITS)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from evenweave.llm import (
-    brown_lm, exact_dedup, fertility, fill_in_middle, jaccard_join, merkle, packing, pieces, pii, rules, token_counts, toxicity,
+    brown_lm, exact_dedup, fertility, fill_in_middle, jaccard_join, merkle, packing, pieces, pii, repeats, rules, token_counts,
+    toxicity,
 )
 from evenweave.llm.common import documents, table
 from evenweave.llm.registry import ORACLES, QUERIES, query
@@ -75,6 +76,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digest(fill_in_middle.rearranged(documents(spark, sf_dir)))
 
 
+@query("op13_suffix_repeats")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(documents(spark, sf_dir))
+
+
 def corpus_queries() -> dict:
     """All queries of this subpackage, the pipeline among them."""
     import corpus_pipeline  # noqa: F401  registers itself

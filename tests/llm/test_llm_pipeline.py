@@ -15,7 +15,7 @@ from evenweave.llm import fertility, packing, units
 
 def test_registry():
     names = list(corpus_queries())
-    assert [f"op{n}" for n in range(1, 13)] == sorted((n.split("_")[0] for n in names if n != "pipeline"), key=lambda n: int(n[2:]))
+    assert [f"op{n}" for n in range(1, 14)] == sorted((n.split("_")[0] for n in names if n != "pipeline"), key=lambda n: int(n[2:]))
     assert set(names) <= set(entry.queries()) and set(corpus_oracles()) <= set(entry.oracle_sql())
     assert len(corpus_pipeline.STAGES) == 5
 
