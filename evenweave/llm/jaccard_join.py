@@ -7,16 +7,20 @@ Distance 1 - |A n B| / |A u B| is a metric; two documents link at a distance of
    those it holds and at 1 of all others. Their order decides between equally near ones, rare before common, so that
    regions stay small. A set's home is the region of its first pivot. A linked set may miss at most
    n - ceil(0.75 n) of a set's shingles, so each set is also placed into the regions of that many pivots after the
-   first: two linked sets meet in some region, and no other replication is needed.
-2. Linked sets differ in size by a quarter of the larger at most. In a region the sets are ordered by size, and
-   neighbours in that order are connected unless they differ by more, so a region falls apart where no link can
-   be. What is connected in any region forms a candidate group. Only these texts are read again.
-3. Inside a group, documents are pivots: every set goes to its nearest pivot's region, and also to any other pivot's
-   region no more than twice the radius farther (triangle inequality), region by region, recursively, until a region
-   is small or no longer shrinks. There pairs are compared exactly, except those already known to be connected.
-
-Groups beyond ``BLOCK`` sets are dealt out in pairs of blocks, so no task holds more than two blocks of sets. Equal
-sets are one set from the start, whatever the number of copies. Hot first-level pivots are salted by count.
+   first, and of k - 1 more, k = ``least_meetings(n)``: two linked sets meet in at least min(k, k') regions, and no other
+   replication is needed.
+2. Linked sets differ in size by a quarter of the larger at most. In a region of few sets all pairs whose sizes allow a link
+   have met; pairs that meet too seldom are no candidates. In other regions the sets are ordered by size, and
+   neighbours in that order are connected unless they differ by more. If a linked pair does not meet often enough
+   in small regions, it meets in some other and is connected there. What is connected forms a candidate group. Only
+   these texts are read again.
+3. Inside a group, documents are pivots. Groups that no task should hold fall apart as Spark rows (``metric_rounds``): sets
+   linked to a pivot are connected at once, and only what the triangle inequality leaves is compared on. Within a task
+   every set goes to its nearest pivot's region, and also to any other pivot's region no more than twice the radius
+   farther, recursively, until a region is small or no longer shrinks. There pairs are compared exactly, except those
+   already known to be connected.
+
+Equal sets are one row a task in step 2, and one from step 3 on. Hot first-level pivots are salted by count.
 
 The order of pivots only affects speed. It comes from counts over all documents: word frequencies and shingles that
 repeat within a batch (lossy counting); both tables are bounded by a constant before they are sent to the tasks.
@@ -36,8 +40,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenweave.llm.common import id_and_text, md5, most_frequent, rows_with, utf8, windows, word_hashes, words
+from evenweave.llm.common import (
+    bit_table, id_and_text, maybe_in, md5, most_frequent, rows_with, utf8, windows, word_hashes, words,
+)
 from evenweave.llm.components import components
+from evenweave.llm.metric_rounds import UNIT_COLUMNS, blocks_of, regions_to_compare, whole_regions
 from evenweave.session import materialize, new_run_dir
 
 SHINGLE = 5
@@ -45,8 +52,9 @@ MIN_SIMILARITY = 75  # percent
 HOT_SHINGLES = 1 << 18
 COMMON_WORDS = 1 << 16
 BATCH_SHINGLES = 2_000_000
-BLOCK = 512
-BLOCK_SHINGLES = 1_000_000
+FEW = 16  # sets of a region whose pairs are listed
+MEETING = 32  # shingles for each further meeting that a pair must have
+DONE = 500_000  # sets a task of step 2 remembers
 PIVOTS = 8
 LEAF = 48
 SALT_ABOVE = 4096
@@ -130,6 +138,11 @@ def _table(survey: DataFrame, kind: str, most: int) -> tuple[np.ndarray, np.ndar
     return keys[order], n[order]
 
 
+def least_meetings(n):
+    """Regions in which a set of ``n`` shingles meets every linked set of as many meetings or more."""
+    return 1 + n // MEETING
+
+
 def _look_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
     known, n = table
     if not len(known):
@@ -150,7 +163,7 @@ def prefix(unique, first, hashes, hot, common, size: int, percent: int) -> tuple
     total = np.concatenate([[0.0], np.cumsum(np.round(weight * 16).astype(np.int64))]).astype(np.int64)
     frequent = total[first + width] - total[first]
     counts = _look_up(hot, unique)
-    keep = n - -(-percent * n // 100) + 1
+    keep = n - -(-percent * n // 100) + least_meetings(min(n, _LARGEST))
     order = np.lexsort((unique, frequent, counts))[:keep]
     return unique[order], counts[order]
 
@@ -172,9 +185,11 @@ def _regions(docs: DataFrame, hot, common, size: int, percent: int) -> DataFrame
     schema = "pivot long, key long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, common = shared.value
+        (hot, common), done = shared.value, set()
         for batch in batches:
-            done, pivots, keys = set(), [], []
+            pivots, keys = [], []
+            if len(done) > DONE:
+                done.clear()
             for text in utf8(batch.column(1)):
                 unique, first, hashes = shingles_of(text, size)
                 key = near_key(set_key(unique), len(unique))
@@ -192,19 +207,34 @@ def _regions(docs: DataFrame, hot, common, size: int, percent: int) -> DataFrame
 
 
 def _candidate_edges(regions: DataFrame, run: str, percent: int) -> DataFrame:
-    """Edges (a, b), b < a, that connect all sets that meet in a region and whose sizes leave a link possible."""
+    """Edges (a, b), b < a, that connect all sets that can be linked."""
+    order = Window.partitionBy("pivot").orderBy("key")
     salted = F.col("pivot").bitwiseAND(F.lit(1)) == 1
-    before = F.lag("key").over(Window.partitionBy("pivot").orderBy("key"))
-    top = F.when(salted, F.min("key").over(Window.partitionBy("pivot")))
-    near = F.shiftright("before", SIZE_SHIFT) * 100 >= F.shiftright("key", SIZE_SHIFT) * percent
-    met = regions.withColumns({"before": before, "top": top}).where((near & (F.col("key") > F.col("before"))) | salted)
-    met = materialize(met, f"{run}/met")
-    pairs = met.where("top IS NULL").select(F.col("key").alias("a"), F.col("before").alias("b"))
-    # Salted pivots: a star per salt, and a star of the stars.
+
+    def size(key: str):
+        return F.shiftright(key, SIZE_SHIFT)
+
+    def near(low: str, high: str):
+        return size(low) * 100 >= size(high) * percent
+
+    once = regions.withColumn("before", F.lag("key").over(order)).where("before IS NULL OR before <> key")
+    met = once.withColumns({"before": F.lag("key").over(order), "next": F.lead("key").over(order)})
+    met = met.where(salted | near("before", "key") | near("key", "next"))
+    met = met.withColumns({
+        "rows": F.count("*").over(Window.partitionBy("pivot")), "top": F.when(salted, F.min("key").over(Window.partitionBy("pivot"))),
+        "others": F.collect_list("key").over(order.rowsBetween(-(FEW - 1), -1))})
+    met = materialize(met.select("pivot", "key", "before", "rows", "top", "others"), f"{run}/met")
+
+    # Regions of few sets: pairs, and how often they met.
+    pairs = met.where(F.col("top").isNull() & (F.col("rows") <= FEW)).select(F.col("key").alias("a"), F.explode("others").alias("b"))
+    least = F.least(*(1 + F.floor(size(c) / MEETING) for c in ("a", "b")))
+    often = pairs.where(near("b", "a")).groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("a", "b")
+    # Larger ones: chains by size. Salted pivots: a star per salt, and a star of the stars.
+    chains = met.where(F.col("top").isNull() & (F.col("rows") > FEW) & near("before", "key")).select("key", "before")
     hot = met.where("top IS NOT NULL")
     tops = hot.where("key = top").select(F.shiftright("pivot", SALT_BITS).alias("pivot"), "top").distinct()
     tops = tops.withColumn("first", F.min("top").over(Window.partitionBy("pivot")))
-    return pairs.union(hot.select("key", "top")).union(tops.select("top", "first")).where("a > b")
+    return often.union(chains).union(hot.select("key", "top")).union(tops.select("top", "first")).where("a > b")
 
 
 # --- pass 3: exact joins inside candidate groups ----------------------------------------------------------------------
@@ -263,8 +293,8 @@ class Sets:
         return 1.0 - hits / (self.sizes[i] + self.sizes[others] - hits)
 
 
-def metric_join(sets: Sets, members: np.ndarray, side: np.ndarray, groups: Groups, percent: int) -> None:
-    """Connects all linked pairs of ``members``; pairs of one side only are skipped if there are two sides."""
+def metric_join(sets: Sets, members: np.ndarray, side: np.ndarray | None, groups: Groups, percent: int) -> None:
+    """Connects all linked pairs of ``members``; pairs of one side are skipped if there are sides."""
     radius = 1 - percent / 100
     if len(members) > LEAF:
         pivots = members[np.linspace(0, len(members) - 1, PIVOTS).astype(int)]
@@ -277,12 +307,11 @@ def metric_join(sets: Sets, members: np.ndarray, side: np.ndarray, groups: Group
             for region in regions:
                 metric_join(sets, region, side, groups, percent)
             return
-    two_sides = side.any() and not side.all()
     for k in range(len(members) - 1):
         i, later = int(members[k]), members[k + 1 :]
         n = sets.sizes[i]
         fits = (100 * np.minimum(n, sets.sizes[later]) >= percent * np.maximum(n, sets.sizes[later]))
-        if two_sides:
+        if side is not None:
             fits &= side[later] != side[i]
         later = later[fits]
         if len(later):
@@ -294,47 +323,44 @@ def metric_join(sets: Sets, members: np.ndarray, side: np.ndarray, groups: Group
                 groups.join(i, linked)
 
 
-def _links(blocks: DataFrame, percent: int) -> DataFrame:
-    """Star edges (a, b) between set keys, b < a, for rows (unit columns, side, set_key, shingles) sorted by unit."""
+def _links(units: DataFrame, percent: int) -> DataFrame:
+    """Star edges (a, b) between set keys, b < a, for rows of ``UNIT_COLUMNS``."""
+    units = units.select(*UNIT_COLUMNS).repartition("region", "low", "high").sortWithinPartitions("region", "low", "high")
 
-    def solve(rows: dict[bytes, tuple[int, np.ndarray]]) -> list[tuple[bytes, bytes]]:
+    def solve(both: bool, rows: dict[bytes, tuple[int, np.ndarray]]) -> pa.RecordBatch:
         keys = sorted(rows)
         sets = Sets([rows[k][1] for k in keys])
-        side = np.array([rows[k][0] for k in keys], bool)
+        side = np.array([rows[k][0] for k in keys], bool) if both else None
         groups = Groups(len(keys))
         metric_join(sets, np.arange(len(keys)), side, groups, percent)
-        return [(keys[i], keys[r]) for i, r in enumerate(groups.all()) if i != r]
+        found = [(keys[i], keys[r]) for i, r in enumerate(groups.all()) if i != r]
+        return pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, rows = None, {}
-
-        def edges():
-            found = solve(rows)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([e[k] for e in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
-
         for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(5)]
+            columns = [batch.column(k).to_pylist() for k in range(6)]
             for r, (*now, side, key) in enumerate(zip(*columns)):
                 if now != unit:
                     if len(rows) > 1:
-                        yield edges()
+                        yield solve(unit[3], rows)
                     unit, rows = now, {}
-                values = batch.column(5)[r].values.to_numpy(zero_copy_only=False)
+                values = batch.column(6)[r].values.to_numpy(zero_copy_only=False)
                 rows[key] = (side, values.view(np.uint64))
         if len(rows) > 1:
-            yield edges()
+            yield solve(unit[3], rows)
 
-    return blocks.mapInArrow(run, "a binary, b binary")
+    return units.mapInArrow(run, "a binary, b binary")
 
 
 def _group_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """comp, n_blocks, set_key, shingles for one document of every set in a candidate group."""
+    """region, n_sets, n_all, set_key, shingles for one document of every set in a candidate group."""
     texts = docs.select(F.xxhash64("doc_id").alias("hid"), F.octet_length("text").alias("n_bytes"), "text")
+    texts = maybe_in(texts, "hid", bit_table(members, "hid"))
     if members.count() <= BROADCAST_ROWS:
         members = F.broadcast(members)
-    met = texts.join(members, ["hid", "n_bytes"]).select("text", "text_md5", "comp", "n_blocks", "set_key")
-    schema = "comp long, n_blocks int, set_key binary, shingles array<long>"
+    met = texts.join(members, ["hid", "n_bytes"]).select("text", "text_md5", "region", "n_sets", "n_all", "set_key")
+    schema = "region long, n_sets long, n_all long, set_key binary, shingles array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,8 +369,8 @@ def _group_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
             sets = [shingles_of(texts[i], size)[0].view(np.int64) for i in good]
             take = pa.array(good, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k).take(take) for k in (2, 3, 4)), pa.array(sets, pa.list_(pa.int64()))],
-                names=["comp", "n_blocks", "set_key", "shingles"])
+                [*(batch.column(k).take(take) for k in (2, 3, 4, 5)), pa.array(sets, pa.list_(pa.int64()))],
+                names=["region", "n_sets", "n_all", "set_key", "shingles"])
 
     return met.mapInArrow(run, schema)
 
@@ -371,20 +397,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("doc_id").alias("first_id"), F.first("key").alias("key"), F.first("n").alias("n"), some.alias("some"))
     sets = materialize(sets, f"{run}/sets")
     grouped = materialize(
-        sets.join(labels.withColumnRenamed("node", "key"), "key").withColumnRenamed("label", "comp"), f"{run}/grouped")
-    blocks_of = grouped.groupBy("comp").agg(
-        F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
-    members = materialize(
-        grouped.join(blocks_of, "comp").select("comp", "n_blocks", "set_key", "some.*"), f"{run}/members")
-
-    found = _group_sets(base, members, size)
-    block = F.pmod(F.xxhash64("set_key"), F.col("n_blocks")).cast("int")
-    spread = found.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, n_blocks - 1)")))
-    units = spread.select(
-        "comp", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"), "set_key", "shingles",
-    ).repartition("comp", "low", "high").sortWithinPartitions("comp", "low", "high")
-    links = materialize(_links(units, percent), f"{run}/links")
+        sets.join(labels.withColumnRenamed("node", "key"), "key").withColumnRenamed("label", "region"), f"{run}/grouped")
+    shape = grouped.groupBy("region").agg(F.count("*").alias("n_sets"), F.sum("n").alias("n_all"))
+    large = materialize(shape.where(blocks_of(F.col("n_sets"), F.col("n_all")) > 1), f"{run}/large")
+    if large.count() <= BROADCAST_ROWS:  # at most one group in a thousand sets is
+        large = F.broadcast(large)
+    members = grouped.join(large, "region", "left").select(
+        "region", F.coalesce("n_sets", F.lit(1)).alias("n_sets"), F.coalesce("n_all", F.lit(1)).alias("n_all"), "set_key", "some.*")
+    members = materialize(members, f"{run}/members")
+
+    fits = blocks_of(F.col("n_sets"), F.col("n_all")) == 1
+    small = whole_regions(_group_sets(base, members.where(fits), size))
+    stars, units, _ = regions_to_compare(_group_sets(base, members.where(~fits), size), f"{run}/rounds", percent)
+    links = materialize(stars.union(_links(small.union(units), percent)), f"{run}/links")
     joined = components(links, f"{run}/components")
 
     labelled = sets.join(joined.withColumnRenamed("node", "set_key"), "set_key", "left").select(
