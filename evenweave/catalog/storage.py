@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from evenweave.catalog.registry import query, sql_list, table
@@ -52,6 +53,18 @@ def s2(spark, sf_dir):
     return _round_trip(spark, sf_dir, ("",))
 
 
+@query("S1_one_file_by_many_tasks", """
+SELECT doc_id, source, lang, n_chars, length(text) AS length, md5(text) AS digest FROM documents""")
+def s1_one_file(spark, sf_dir):
+    """Texts with line breaks from one file, read in segments."""
+    docs = table(spark, sf_dir, "documents")
+    path = new_run_dir(spark) + "/documents.csv"
+    S.write_table(docs.coalesce(1), path)
+    found = S.read_table(spark, path, docs.schema)
+    return found.select(
+        "doc_id", "source", "lang", "n_chars", F.length("text").cast("long").alias("length"), F.md5("text").alias("digest"))
+
+
 @query("S3_final_save", """
 SELECT count(*) AS rows, 8 AS columns, 'dataset_text_' || count(*) || 'rows_20240131_120000.csv' AS name, true AS has_size FROM part""")
 def s3(spark, sf_dir):
@@ -68,16 +81,21 @@ def _saved_sets(spark, sf_dir):
         ("supplier", "_progress_supplier.csv"), ("events", "dataset_events.csv"), ("part", "skeleton_part.csv"),
     ]:
         S.write_table(table(spark, sf_dir, name), f"{base}/{target}")
-    return S.inventory(spark, [base, base])
+    return S.inventory(spark, [base, base]).withColumn("in_folder", F.col("dir").endswith(base))
 
 
 @query("S4_inventory", """
-SELECT 'dataset_orders.csv' AS name, count(*) AS rows FROM orders UNION ALL
-SELECT 'Skeleton_customer.csv', count(*) FROM customer UNION ALL
-SELECT 'dataset_events.csv', count(*) FROM events UNION ALL
-SELECT 'skeleton_part.csv', count(*) FROM part""")
+SELECT 'dataset_orders.csv' AS name, count(*) AS rows, 3 AS place, true AS in_folder, true AS has_size, true AS has_time FROM orders
+UNION ALL SELECT 'Skeleton_customer.csv', count(*), 2, true, true, true FROM customer
+UNION ALL SELECT 'dataset_events.csv', count(*), 1, true, true, true FROM events
+UNION ALL SELECT 'skeleton_part.csv', count(*), 0, true, true, true FROM part""")
 def s4(spark, sf_dir):
-    return _saved_sets(spark, sf_dir).select("name", "rows")
+    """Newest first, with folder, size (two bytes a record at least) and time."""
+    found = _saved_sets(spark, sf_dir)
+    newer = F.count("*").over(Window.orderBy(F.desc("modified")).rowsBetween(Window.unboundedPreceding, -1))  # four rows
+    return found.select(
+        "name", "rows", newer.cast("int").alias("place"), "in_folder", (F.col("size_kb") * 1024 > 2 * F.col("rows")).alias("has_size"),
+        (F.col("modified") > F.current_timestamp() - F.expr("interval 1 hour")).alias("has_time"))
 
 
 @query("S5_newest", """
@@ -153,12 +171,12 @@ def s8(spark, sf_dir):
     )
 
 
-@query("S3_S6_latest_final_save", "SELECT 'dataset_text_' || count(*) || 'rows_20240131_120000.csv' AS name, count(*) AS rows FROM region")
+@query("S3_S6_latest_final_save", "SELECT 'dataset_text_' || count(*) || 'rows_20240131_120000.csv' AS name, count(*) AS rows FROM part")
 def s3_s6(spark, sf_dir):
     """A skeleton saved after a data set is passed over."""
     base = new_run_dir(spark)
-    S.save_final(table(spark, sf_dir, "region"), base, "text", datetime(2024, 1, 31, 12))
-    S.save_final(table(spark, sf_dir, "nation"), base, "skeleton", datetime(2024, 1, 31, 13))
+    S.save_final(table(spark, sf_dir, "part"), base, "text", datetime(2024, 1, 31, 12))
+    S.save_final(table(spark, sf_dir, "orders"), base, "skeleton", datetime(2024, 1, 31, 13))
     return S.latest_dataset(S.inventory(spark, [base])).select("name", "rows")
 
 

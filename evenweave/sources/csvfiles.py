@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from evenweave.sources import segments
+
 # Doubled quotes inside quoted cells, line breaks in cells, blanks kept as they are.
 CSV_OPTIONS = {
     "header": "true",
@@ -26,15 +28,24 @@ def read_table(
 ) -> DataFrame:
     """CSV with header. Text cells equal to one of ``na_tokens`` become null.
 
-    Cells may hold line breaks, which keeps Spark from splitting a file: one task per file. Switch
-    ``line_breaks_in_cells`` off for large single files without them.
+    Cells may hold line breaks. With a ``schema`` a file is then read by many tasks, in segments (see ``segments``),
+    and the engine's own parser reads the records; columns come in the order of the schema, as they lie in the file. Switch
+    ``line_breaks_in_cells`` off for files without line breaks in cells, which saves one pass.
 
     Pass ``fixed_values.FRAME_NA_TOKENS`` to read the way data-frame libraries do ("None" is null).
-    Without ``schema`` the types are inferred, which reads the data twice.
+    Without ``schema`` the types are inferred, which reads the data twice, and each file in one task if cells may
+    hold line breaks.
     """
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", line_breaks_in_cells)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
-    df = reader.csv(path)
+    if schema is not None and line_breaks_in_cells:
+        kind = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "multiLine")}
+        text = segments.records(spark, path)
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind.fields)
+        df = text.select(F.from_csv("text", ddl, options).alias("r")).select("r.*")
+    else:
+        reader = spark.read.options(**CSV_OPTIONS).option("multiLine", line_breaks_in_cells)
+        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
+        df = reader.csv(path)
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     tokens = [F.lit(t) for t in na_tokens]
     return df.withColumns({c: F.when(~F.col(c).isin(*tokens), F.col(c)) for c in text}) if text else df
@@ -85,8 +96,8 @@ def _dataset_of(file_path: Column) -> Column:
 def inventory(spark: SparkSession, folders: list[str]) -> DataFrame:
     """``(path, name, dir, size_kb, rows, modified)`` of the CSV data sets below the folders.
 
-    Files named ``_progress*`` or ``_temp*`` are left out. ``rows`` counts parsed records, so line
-    breaks inside cells do not count. Newest first.
+    Files named ``_progress*`` or ``_temp*`` are left out. ``rows`` counts records, so line breaks inside cells do
+    not count; every file is counted by many tasks, in segments. Newest first.
     """
     listing = (
         spark.read.format("binaryFile")
@@ -102,15 +113,9 @@ def inventory(spark: SparkSession, folders: list[str]) -> DataFrame:
     sets = files.groupBy("dataset").agg(
         (F.sum("length") / 1024).alias("size_kb"), F.max("modificationTime").alias("modified")
     )
-    records = (
-        spark.read.options(**CSV_OPTIONS)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .schema("first_cell string")
-        .csv(list(dict.fromkeys(folders)))
-        .groupBy(_dataset_of(F.col("_metadata.file_path")).alias("dataset"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    counted = segments.record_counts(
+        spark, list(dict.fromkeys(folders)), recursiveFileLookup="true", pathGlobFilter="*.csv")
+    records = counted.groupBy(_dataset_of(F.col("file")).alias("dataset")).agg(F.sum("rows").alias("rows"))
     out = sets.join(records, "dataset", "left")
     return out.select(
         F.col("dataset").alias("path"),
