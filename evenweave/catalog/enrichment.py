@@ -304,6 +304,55 @@ def e29(spark, sf_dir):
     return run_ladder(open_parts(spark, sf_dir), TEXT, _staged()).fills
 
 
+def repeating_generator():
+    """Answers whose values repeat. Whole batches get ten values that the next batch gets too; gaps of twenty rows and more
+    get values of their own; chunks get one value for all; single rows get one of four.
+    """
+    def factory():
+        def generate(prompt, system, temperature):
+            single = re.search(r"^Object: obj(\d+)$", prompt, re.M)
+            if single:
+                return '{"text":"single text %d","keywords":"k"}' % (int(single.group(1)) % 4)
+            ids = [int(x) for x in re.findall(r"Object:obj(\d+) ", prompt)]
+            batch = ids[0] // 30
+            if len(ids) == 30:
+                values = [f"value number {batch // 2 * 10 + k // 3}" for k in range(30)]
+            elif len(ids) >= 20:
+                values = [f"value of row {i}" for i in ids]
+            else:
+                values = [f"value of chunk {ids[0]}"] * len(ids)
+            return json.dumps([{"text": v, "keywords": "k"} for v in values])
+
+        return generate
+
+    return factory
+
+
+_REPEATED = """
+SELECT row_id, CAST(phase AS INTEGER) AS phase, CASE phase
+    WHEN 1 THEN CASE WHEN size < 30 THEN 'value of row ' || row_id ELSE 'value number ' || (b // 2 * 10 + pos) END
+    WHEN 2 THEN 'value of row ' || row_id WHEN 3 THEN 'value of chunk ' || row_id ELSE 'single text ' || row_id % 4 END AS text
+FROM (SELECT *, CASE WHEN size < 30 THEN 1
+        WHEN b % 2 = 0 THEN CASE WHEN pos >= 10 OR used AND pos = 3 THEN 2 ELSE 1 END
+        WHEN used THEN 2 WHEN pos % 5 = 0 THEN 3 ELSE 4 END AS phase
+      FROM (SELECT *, b % 10 >= 8 AND max(row_id % 300) OVER (PARTITION BY row_id // 300) = 299 AS used,
+                   count(*) OVER (PARTITION BY b) AS size
+            FROM (SELECT p_partkey AS row_id, p_partkey // 30 AS b, p_partkey % 30 AS pos FROM part)))
+WHERE row_id % 300 <> 299"""
+
+
+@query("E19_E29_ladder_without_repeats", _REPEATED)
+def e19_e29(spark, sf_dir):
+    """The ladder with deduplication: repeats inside a batch, between batches and of values that the table holds."""
+    rows = part_rows(spark, sf_dir)
+    block = F.floor(F.col("row_id") / 300)
+    held = F.concat(F.lit("value number "), (block * 50 + 43).cast("string"))
+    rows = rows.withColumn("text", F.when(F.col("row_id") % 300 == 299, held).otherwise(""))
+    task = TaskSpec(**{**TEXT.__dict__, "name": "unique", "deduplicate": True})
+    opts = LadderOptions(factory=repeating_generator(), max_retries=1)
+    return run_ladder(rows, task, opts).fills.select("row_id", "phase", "text")
+
+
 @query("E30_E33_E34_run_task", _STAGED_OUT)
 def e30(spark, sf_dir):
     return run_task(open_parts(spark, sf_dir), "text", TASKS, _staged())
@@ -402,6 +451,46 @@ def e15(spark, sf_dir):
     )
 
 
+_ID_ITEMS = """
+SELECT b, k, CASE WHEN k % 10 = 3 THEN NULL WHEN k % 10 = 7 THEN NULL WHEN k % 10 = 9 THEN 100 + k
+  WHEN k >= 20 THEN ((k - 20) * 7 + b) % 30 + 1 ELSE (k * 7 + b) % 30 + 1 END AS id
+FROM (SELECT DISTINCT doc_id // 30 AS b FROM documents), range(25) AS r(k) WHERE (k + b) % 8 <> 5"""
+
+
+@query("E15_aligned_by_id", f"""
+WITH rows AS (SELECT doc_id AS row_id, doc_id // 30 AS b, doc_id % 30 AS pos, quality IS NOT NULL AS filled
+              FROM documents LEFT JOIN labels USING (doc_id)),
+items AS ({_ID_ITEMS}),
+named AS (SELECT row_id, min(k) AS k FROM rows JOIN items ON items.b = rows.b AND id = pos + 1 AND NOT filled GROUP BY row_id),
+free AS (SELECT b, k, row_number() OVER (PARTITION BY b ORDER BY k) AS nth FROM items
+         WHERE NOT EXISTS (SELECT 1 FROM named JOIN rows USING (row_id) WHERE rows.b = items.b AND named.k = items.k)),
+open AS (SELECT row_id, b, row_number() OVER (PARTITION BY b ORDER BY pos) AS nth FROM rows
+         WHERE NOT filled AND row_id NOT IN (SELECT row_id FROM named))
+SELECT row_id, CAST(coalesce(named.k, free.k, -1) AS INTEGER) AS pick
+FROM rows LEFT JOIN named USING (row_id) LEFT JOIN open USING (row_id) LEFT JOIN free ON free.b = open.b AND free.nth = open.nth""")
+def e15_id(spark, sf_dir):
+    """Twenty-five items per batch in any order: ids repeated, absent, no numbers, or of no row; some values too short."""
+    rows = A.add_batches(document_rows(spark, sf_dir))
+    batches = rows.groupBy("batch_id").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "row_id", F.col("quality").isNotNull().alias("filled")))).alias("rows"))
+
+    def item(k):
+        b = F.col("batch_id")
+        number = F.when(k >= 20, F.pmod((k - 20) * 7 + b, F.lit(30))).otherwise(F.pmod(k * 7 + b, F.lit(30))) + 1
+        name = (F.when(k % 10 == 3, "").when(k % 10 == 7, F.concat(F.lit("row "), k.cast("string")))
+                .when(k % 10 == 9, F.concat((k + 100).cast("string"))).otherwise(F.concat(F.lit(" "), number.cast("string"))))
+        text = F.when(F.pmod(k + b, F.lit(8)) == 5, "short").otherwise(F.concat(F.lit("item number "), k.cast("string")))
+        return F.create_map(F.lit("id"), name, F.lit("text"), text)
+
+    items = F.transform(F.sequence(F.lit(0), F.lit(24)), item)
+    batches = batches.withColumn("items", items)
+    texts = F.transform("items", lambda i: F.try_element_at(i, F.lit("text")))
+    picks = A.pick_items(F.transform("rows", lambda r: r["filled"]), texts, 8, ids=A.item_ids(F.col("items")))
+    return batches.select(F.explode(F.arrays_zip("rows", picks.alias("picks"))).alias("z")).select(
+        F.col("z.rows.row_id").alias("row_id"), F.col("z.picks").alias("pick")
+    )
+
+
 @query("E16_extracted_values", """
 SELECT doc_id, trim(lang) AS text, CASE WHEN doc_id % 2 = 0 THEN source || ' x' ELSE '' END AS keywords FROM documents""")
 def e16(spark, sf_dir):

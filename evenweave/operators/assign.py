@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from evenweave.functions.columns import let
-from evenweave.functions.text import clean_text, digest, is_filled
+from evenweave.functions.text import clean_text, digest, is_filled, strip
+from evenweave.operators.bits import bit_table, maybe_in
 from evenweave.spec import TaskSpec
 
 
@@ -28,10 +29,15 @@ def ensure_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.lit("") for c in absent}) if absent else df
 
 
+def fill_counts(df: DataFrame, column: str, min_length: int) -> list[Column]:
+    """The aggregates ``total`` and ``filled``; an absent column counts as not filled."""
+    filled = F.count_if(is_filled(column, min_length)) if column in df.columns else F.lit(0).cast("long")
+    return [F.count(F.lit(1)).alias("total"), filled.alias("filled")]
+
+
 def fill_status(df: DataFrame, column: str, min_length: int) -> DataFrame:
     """One row ``(filled, total, complete)``; an absent column counts as not filled."""
-    filled = F.count_if(is_filled(column, min_length)) if column in df.columns else F.lit(0).cast("long")
-    out = df.agg(F.count(F.lit(1)).alias("total"), filled.alias("filled"))
+    out = df.agg(*fill_counts(df, column, min_length))
     complete = (F.col("filled") == F.col("total")) & F.lit(column in df.columns)
     return out.select("filled", "total", complete.alias("complete"))
 
@@ -109,14 +115,28 @@ def item_values(items: Column, columns: list[str]) -> Column:
     return F.transform(items, values)
 
 
-def pick_items(filled: Column, primaries: Column, min_length: int, deduplicate: bool = False) -> Column:
-    """Index of the item each row takes, -1 for none.
+def item_ids(items: Column) -> Column:
+    """The integer each item gives as its ``id``; null if it gives none."""
+    return F.transform(items, lambda item: strip(F.try_element_at(item, F.lit("id"))).try_cast("int"))
+
+
+def pick_items(
+    filled: Column, primaries: Column, min_length: int, deduplicate: bool = False, ids: Column | None = None
+) -> Column:
+    """Index of the item each row takes, -1 for none; by position, or by ``ids`` if they are given.
 
     ``filled`` has one flag per row, ``primaries`` one cleaned primary value per item. Row by row: filled
     rows take nothing; otherwise the item at the same position if it is long enough (even if an earlier
     row took it already); otherwise the first long enough item no row has taken. With ``deduplicate``, a
     value already taken by an earlier row is not taken again. A fold over at most one batch of rows.
+
+    By id, prompts number their rows from 1 and items name them. First every unfilled row takes the first long
+    enough item of its number. Then the rows left take, in order, the first long enough items that no row has taken:
+    items without a number, of a number no row has, of a filled row, or of a number that another item had before.
     """
+    if ids is not None:
+        three = F.struct(filled.alias("filled"), primaries.alias("primaries"), ids.alias("ids"))
+        return let(three, lambda b: _fold_ids(b["filled"], b["primaries"], b["ids"], min_length, deduplicate))
     both = F.struct(filled.alias("filled"), primaries.alias("primaries"))
     return let(both, lambda b: _fold_picks(b["filled"], b["primaries"], min_length, deduplicate))
 
@@ -148,6 +168,40 @@ def _fold_picks(filled: Column, primaries: Column, min_length: int, deduplicate:
     return F.when(F.size(filled) > 0, folded).otherwise(no_ints)
 
 
+def _fold_ids(filled: Column, primaries: Column, ids: Column, min_length: int, deduplicate: bool) -> Column:
+    no_ints = F.array().cast("array<int>")
+    indexes = F.when(F.size(primaries) > 0, F.sequence(F.lit(0), F.size(primaries) - 1)).otherwise(no_ints)
+    rows = F.sequence(F.lit(0), F.size(filled) - 1)
+    start = F.struct(
+        F.filter(indexes, lambda j: F.length(primaries[j]) >= min_length).alias("valid"), no_ints.alias("used"),
+        no_ints.alias("picks"), F.array().cast("array<string>").alias("taken"))
+
+    def first(s: Column, found: Column) -> Column:
+        if deduplicate:
+            found = F.filter(found, lambda j: ~F.array_contains(s["taken"], primaries[j]))
+        return F.coalesce(F.try_element_at(found, F.lit(1)), F.lit(-1))
+
+    def by_id(s: Column, i: Column) -> Column:
+        mine = F.filter(s["valid"], lambda j: F.coalesce(ids[j] == i + 1, F.lit(False)))
+        pick = F.when(filled[i], F.lit(-1)).otherwise(first(s, mine))
+        return let(pick, lambda p: _take(s, p, primaries, deduplicate))
+
+    def rest(named: Column) -> Column:
+        begin = F.struct(
+            F.array_except(named["valid"], named["used"]).alias("valid"), no_ints.alias("used"), no_ints.alias("picks"),
+            named["taken"].alias("taken"))
+
+        def step(s: Column, i: Column) -> Column:
+            open_row = ~filled[i] & (named["picks"][i] < 0)
+            pick = F.when(open_row, first(s, F.array_except(s["valid"], s["used"]))).otherwise(F.lit(-1))
+            return let(pick, lambda p: _take(s, p, primaries, deduplicate))
+
+        return F.aggregate(rows, begin, step, lambda s: F.zip_with(named["picks"], s["picks"], lambda a, b: F.greatest(a, b)))
+
+    folded = let(F.aggregate(rows, start, by_id), rest)
+    return F.when(F.size(filled) > 0, folded).otherwise(no_ints)
+
+
 def _take(s: Column, p: Column, primaries: Column, deduplicate: bool) -> Column:
     taken = s["taken"]
     if deduplicate:
@@ -190,11 +244,13 @@ def first_of_each_value(
     whose value is in ``used`` (a table of digests ``d``).
 
     Row id order is batch and position order. One row per value leaves each task, so a value that a
-    third of all rows share costs no more than any other, and the anti join sees every value once.
+    third of all rows share costs no more than any other, and the anti join sees every value once. Of ``used``,
+    however large, only the values that a bit table of the candidates does not rule out are shuffled.
     """
     first = candidates.groupBy(digest(column).alias("d")).agg(F.min(row_id).alias(row_id))
     if used is not None:
-        first = first.join(used, "d", "left_anti")
+        hits = maybe_in(used, F.xxhash64("d"), bit_table(candidates, F.xxhash64(digest(column))))
+        first = first.join(hits, "d", "left_anti")
     return first.select(row_id)
 
 

@@ -23,8 +23,10 @@ from evenweave.operators.assign import (
     apply_fills,
     ensure_columns,
     existing_values,
+    fill_counts,
     fill_status,
     first_of_each_value,
+    item_ids,
     item_values,
     number_lines,
     pick_items,
@@ -47,6 +49,7 @@ class LadderOptions:
     Calls are slow and prompts small, so every round deals its requests out, by default
     ``requests_per_task`` to a task, to ``MOST_TASKS`` tasks at most; small tasks also limit what has to be asked
     again when an executor is lost. ``concurrency`` sets the number of tasks, hence the most calls at a time.
+    ``align`` says how the items of an answer find their rows: by ``position``, or by the ``id`` that prompts ask for.
     """
 
     factory: Callable[[], Generate]
@@ -60,6 +63,7 @@ class LadderOptions:
     max_temperature: float = 1.0
     concurrency: int | None = None
     requests_per_task: int = 64
+    align: str = "position"
 
     def tasks(self, requests: int) -> int:
         """Number of tasks for so many requests."""
@@ -132,14 +136,18 @@ class _Ladder:
         self.fills: list[DataFrame] = []
         self.logs: list[DataFrame] = []
         self.retries = task.max_retries or opts.max_retries
+        # What prompts for single rows and fallbacks read; it travels with the row, so the table is not joined again.
+        self.context = [c for c in dict.fromkeys(task.inputs) if c not in ("batch_id", "chunk", "pos", "row_id")]
         # Expressions over the fixed column names of a call table, built once for all rounds.
         self.cascade = Cascade(task.primary_column, task.output_columns)
         self.assignment = self._assignment()
         self.single = self._single_values()
         self.temperature = task.temperature if task.temperature is not None else opts.temperature
-        self.used = (
-            existing_values(self.base, task.primary_column, task.min_length) if task.deduplicate else None
-        )
+        # Digests in use, the table's own and those of each phase, each written once.
+        self.used: list[DataFrame] = []
+        if task.deduplicate:
+            own = existing_values(self.base, task.primary_column, task.min_length)
+            self.used.append(materialize(own, f"{run_dir}/used/own"))
 
     def units(self) -> DataFrame:
         """Unfinished batches as nested rows. The one shuffle of the ladder; finished batches stay out."""
@@ -149,6 +157,7 @@ class _Ladder:
             "row_id",
             is_filled(task.primary_column, task.min_length).alias("filled"),
             (task.line() if task.line else F.lit("")).alias("line"),
+            *([F.struct(*self.context).alias("inputs")] if self.context else []),
         )
         batches = add_batches(self.base, "row_id", self.opts.batch_rows)
         unfilled = ~is_filled(task.primary_column, task.min_length)
@@ -203,6 +212,7 @@ class _Ladder:
             F.transform("values", lambda v: v[primary]),
             self.task.min_length,
             self.task.deduplicate,
+            F.col("ids") if self.opts.align == "id" else None,
         )
 
         def taken(r, i):
@@ -211,7 +221,8 @@ class _Ladder:
             return F.struct(r["row_id"].alias("row_id"), value.alias("v"))
 
         return [
-            {"values": item_values(F.col("items"), self.task.output_columns), "n_items": F.size("items")},
+            {"values": item_values(F.col("items"), self.task.output_columns), "n_items": F.size("items"),
+             "ids": item_ids(F.col("items"))},
             {"picks": picks},
             {
                 "taken": F.filter(F.transform("rows", taken), lambda t: t["v"].isNotNull()),
@@ -222,7 +233,7 @@ class _Ladder:
     def _assigned(self, parsed: DataFrame) -> DataFrame:
         for columns in self.assignment:
             parsed = parsed.withColumns(columns)
-        return parsed.drop("items", "values", "picks")
+        return parsed.drop("items", "values", "picks", "ids")
 
     def _add_fills(self, assigned: DataFrame, phase: int) -> DataFrame | None:
         """Note the values of this phase. Returns, per batch, rows that lost theirs as repeats."""
@@ -232,14 +243,14 @@ class _Ladder:
         )
         fills, lost = candidates, None
         if task.deduplicate:
-            used = self.used
-            for f in self.fills:
-                used = used.unionByName(existing_values(f, task.primary_column, task.min_length))
+            used = reduce(DataFrame.union, self.used)
             kept = materialize(
-                first_of_each_value(candidates, task.primary_column, "row_id", used.distinct()),
+                first_of_each_value(candidates, task.primary_column, "row_id", used),
                 f"{self.dir}/kept/p{phase}",
             )
             fills = candidates.join(kept, "row_id", "left_semi")
+            self.used.append(materialize(
+                existing_values(fills, task.primary_column, task.min_length), f"{self.dir}/used/p{phase}"))
             losers = candidates.join(kept, "row_id", "left_anti")
             lost = losers.groupBy("batch_id").agg(F.collect_set("row_id").alias("lost"))
         self.fills.append(fills.select("row_id", F.lit(phase).alias("phase"), *task.output_columns))
@@ -268,14 +279,12 @@ class _Ladder:
     def single_phase(self, units: DataFrame) -> DataFrame:
         """One row at a time, variation after variation; the first valid answer wins."""
         task, opts = self.task, self.opts
-        gaps = units.select("batch_id", "chunk", F.explode("rows").alias("r")).select(
-            "batch_id", "chunk", F.col("r.pos").alias("pos"), F.col("r.row_id").alias("row_id")
-        )
-        context = [c for c in dict.fromkeys(task.inputs) if c not in gaps.columns]
-        pending = gaps.join(self.base.select("row_id", *context), "row_id")
+        pending = units.select("batch_id", "chunk", F.explode("rows").alias("r")).select(
+            "batch_id", "chunk", F.col("r.pos").alias("pos"), F.col("r.row_id").alias("row_id"),
+            *([F.col("r.inputs.*")] if self.context else []))
         if task.single_prompt is None:
             return pending
-        n = gaps.count()  # reads what the phases before have written
+        n = pending.count()  # reads what the phases before have written
         for v in range(opts.variations):
             temperature = min(self.temperature + v * opts.temperature_step, opts.max_temperature)
             called = ask_all(
@@ -381,11 +390,22 @@ def run_task(
     task = registry.get(name)
     if task is None:
         return None
-    before = fill_status(df, task.primary_column, task.min_length).first()
+    before = _survey(df, task, store)
     return df if before["complete"] else _fill(
         df, task, before, options, store, batches_per_wave, resume, revisit_gaps)
 
 
+def _survey(df: DataFrame, task: TaskSpec, store) -> dict:
+    """Filled, total and complete; with a store also the data set's fingerprint, in the same scan."""
+    if store is None:
+        return fill_status(df, task.primary_column, task.min_length).first().asDict()
+    columns = ["row_id", *task.inputs, task.primary_column]
+    found = df.agg(*store.fingerprint_parts(df, columns), *fill_counts(df, task.primary_column, task.min_length)).first().asDict()
+    return found | {
+        "complete": task.primary_column in df.columns and found["filled"] == found["total"],
+        "fingerprint": store.fingerprint_of(found)}
+
+
 def _fill(
     df: DataFrame, task: TaskSpec, before, options: LadderOptions, store, batches_per_wave: int | None = None,
     resume: bool = True, revisit_gaps: bool = True,
@@ -398,7 +418,7 @@ def _fill(
     spark, size = df.sparkSession, options.batch_rows
     n_batches = -(-before["total"] // size)
     wave = batches_per_wave or n_batches
-    fingerprint = store.fingerprint(df, ["row_id", *task.inputs, task.primary_column])
+    fingerprint = before["fingerprint"]
     work, first_batch, completed = df, 0, before["filled"]
     if not resume or not store.has_snapshot(spark, name, fingerprint):
         store.reset(spark, task, fingerprint)
@@ -414,8 +434,7 @@ def _fill(
     waves = [(s, min(s + wave, n_batches)) for s in range(first_batch, n_batches, wave)]
     if revisit_gaps and first_batch:
         waves.insert(0, (0, first_batch))
-    for start, end in waves:
-        part = work.where((F.col("row_id") >= start * size) & (F.col("row_id") < end * size))
+    for (start, end), part in zip(waves, _parts(work, waves, size)):
         run = run_ladder(part, task, options)
         if run.responses is not None:
             append_responses(run.responses, store.response_path(name))
@@ -428,6 +447,22 @@ def _fill(
     return apply_fills(df, store.snapshot(spark, task, fingerprint), task.output_columns)
 
 
+def _parts(work: DataFrame, waves: list[tuple[int, int]], size: int) -> Iterator[DataFrame]:
+    """The rows of each wave. Several waves are written once, a folder each, so that no wave joins the saved values again."""
+    if len(waves) < 2:
+        return (work.where((F.col("row_id") >= a * size) & (F.col("row_id") < b * size)) for a, b in waves)
+    ends = sorted(b for _, b in waves)  # waves cover stretches that follow each other
+    number = F.array_size(F.filter(F.array(*map(F.lit, ends)), lambda e: F.col("row_id") >= e * size)) if len(ends) <= 64 else \
+        F.when(F.col("row_id") < ends[0] * size, 0).otherwise(
+            1 + F.floor((F.col("row_id") - ends[0] * size) / ((ends[1] - ends[0]) * size)))
+    named = work.withColumn("_wave", number.cast("int")).where(F.col("row_id") >= min(a for a, _ in waves) * size)
+    path = f"{new_run_dir(work.sparkSession)}/waves"
+    named.write.partitionBy("_wave").parquet(path)
+    written = work.sparkSession.read.schema(named.schema).parquet(path)
+    place = {b: i for i, b in enumerate(ends)}
+    return (written.where(F.col("_wave") == place[b]).drop("_wave") for _, b in waves)
+
+
 def run_tasks(
     df: DataFrame,
     names: list[str],
@@ -446,7 +481,7 @@ def run_tasks(
         task = registry.get(name)
         if task is None:
             continue
-        before = fill_status(df, task.primary_column, task.min_length).first()
+        before = _survey(df, task, store)
         if before["complete"]:
             skipped.append(name)
             continue

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,14 +93,19 @@ class ProgressStore:
     def _snapshot_path(self, task: str, fingerprint: str) -> str:
         return f"{self.path}/snapshot/task={task}/data={fingerprint}"
 
-    def fingerprint(self, df: DataFrame, columns: list[str] | None = None) -> str:
-        """Order-free digest of the rows: count and xor of the row hashes over the given columns."""
+    def fingerprint_parts(self, df: DataFrame, columns: list[str] | None = None) -> list[Column]:
+        """The aggregates ``n`` and ``x`` that ``fingerprint_of`` reads, to be taken in a scan with others."""
         present = [c for c in columns if c in df.columns] if columns else df.columns
-        row = df.agg(
-            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*sorted(set(present)))).alias("x")
-        ).first()
+        return [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*sorted(set(present)))).alias("x")]
+
+    @staticmethod
+    def fingerprint_of(row) -> str:
         return f"{row['n']}-{(row['x'] or 0) & 0xFFFFFFFFFFFFFFFF:016x}"
 
+    def fingerprint(self, df: DataFrame, columns: list[str] | None = None) -> str:
+        """Order-free digest of the rows: count and xor of the row hashes over the given columns."""
+        return self.fingerprint_of(df.agg(*self.fingerprint_parts(df, columns)).first())
+
     def _snapshot_schema(self, task: TaskSpec) -> str:
         values = "".join(f"`{c}` string, " for c in task.output_columns)
         return f"row_id long, phase int, {values}saved_us long"

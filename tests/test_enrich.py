@@ -122,6 +122,114 @@ def test_pick_items(spark):
         assert r.b == naive_picks(r.filled, r.prim, 8, True), r
 
 
+def naive_picks_by_id(filled, prim, ids, m, dedup):
+    out, taken = [-1] * len(filled), set()
+
+    def take(i, found):
+        j = next((j for j in found if len(prim[j]) >= m and j not in out and not (dedup and prim[j] in taken)), -1)
+        out[i] = j
+        if j >= 0:
+            taken.add(prim[j])
+
+    for i, f in enumerate(filled):
+        if not f:
+            take(i, [j for j in range(len(prim)) if ids[j] == i + 1])
+    for i, f in enumerate(filled):
+        if not f and out[i] < 0:
+            take(i, range(len(prim)))
+    return out
+
+
+def test_pick_items_by_id(spark):
+    import random
+
+    rng = random.Random(5)
+    cases = [([False] * 3, ["item one ok", "item two ok", "item three ok"], ["3", "1", "2"]), ([], ["item one ok"], ["1"])]
+    for _ in range(200):
+        n = rng.randint(0, 8)
+        cases.append((
+            [rng.random() < 0.3 for _ in range(rng.randint(1, 7))],
+            [rng.choice(["x", "good one", "good two", "good three"]) for _ in range(n)],
+            [rng.choice(["1", "2", " 3 ", "4", "7", "9", "-1", "two", "", None, "2.5"]) for _ in range(n)],
+        ))
+    df = spark.createDataFrame(cases, "filled array<boolean>, prim array<string>, ids array<string>")
+    items = F.transform("ids", lambda i: F.when(i.isNotNull(), F.create_map(F.lit("id"), i)).otherwise(F.create_map(F.lit("a"), F.lit("b"))))
+    df = df.withColumn("numbers", A.item_ids(items))
+    got = df.select("*", *(A.pick_items(F.col("filled"), F.col("prim"), 8, d, F.col("numbers")).alias(n) for n, d in (("a", False), ("b", True))))
+    rows = got.collect()
+    assert rows[0].numbers == [3, 1, 2] and rows[0].a == [1, 2, 0]
+    for r in rows:
+        numbers = [int(i) if i is not None and i.strip().lstrip("-").isdigit() else None for i in r.ids]
+        assert r.numbers == numbers
+        assert r.a == naive_picks_by_id(r.filled, r.prim, numbers, 8, False), r
+        assert r.b == naive_picks_by_id(r.filled, r.prim, numbers, 8, True), r
+
+
+def shuffled_answer():
+    """Items in reverse order, with the ids of their rows."""
+    def answer(prompt, system, temperature):
+        ids = [int(x) for x in re.findall(r"Object:obj(\d+) ", prompt)]
+        return json.dumps([{"id": k + 1, "text": f"text of row {i}", "keywords": "k"} for k, i in enumerate(ids)][::-1])
+
+    return answer
+
+
+def test_ladder_aligned_by_id(spark):
+    by = {a: run_ladder(table(spark, 45), TASKS.get("text"), LadderOptions(factory=shuffled_answer, align=a)) for a in ("id", "position")}
+    named = {r.row_id: r.text for r in by["id"].fills.collect()}
+    assert named == {i: f"text of row {i}" for i in range(45)}
+    assert {r.row_id: r.text for r in by["position"].fills.collect()} == {
+        i: f"text of row {29 - i if i < 30 else 74 - i}" for i in range(45)}
+
+
+def test_used_values_are_filtered_before_the_join(spark):
+    """Only values that the candidates may hold are shuffled; the plan joins bit tables by broadcast."""
+    used = A.existing_values(spark.range(5000).select(F.concat(F.lit("old "), F.col("id")).alias("text")), "text", 1)
+    rows = spark.range(60).select(F.col("id").alias("row_id"), F.concat(F.lit("old "), F.col("id") * 1000).alias("text"))
+    assert sorted(r.row_id for r in A.deduplicate(rows, "text", "row_id", used).collect()) == list(range(5, 60))
+    from evenweave.operators.bits import bit_table, maybe_in
+
+    hits = maybe_in(used, F.xxhash64("d"), bit_table(rows, F.xxhash64(A.digest("text"))))
+    assert 5 <= hits.count() <= 10
+
+
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_single_prompts_do_not_read_the_table_again(spark, tmp_path):
+    from evenweave.plans.enrich import _Ladder
+    from evenweave.session import materialize, new_run_dir
+
+    path = new_run_dir(spark)
+    base = materialize(table(spark, 90), f"{path}/base")
+    ladder = _Ladder(base, TASKS.get("text"), LadderOptions(factory=make_answer), path)
+    units = materialize(ladder.units(), f"{path}/units")
+    seen = []
+    ladder.opts = LadderOptions(factory=make_answer, variations=0)
+    pending = ladder.single_phase(units)
+    seen.append(pending._jdf.queryExecution().optimizedPlan().toString())
+    assert "Join" not in seen[0] and scans(pending) == 1 and {"theme", "object_detected"} <= set(pending.columns)
+
+
+def test_waves_are_written_once(spark):
+    """No wave joins the saved values again, and each reads its own folder."""
+    from evenweave.plans.enrich import _parts
+
+    rows = table(spark, 200)
+    saved = spark.range(40).select(F.col("id").alias("row_id"), F.lit(1).alias("phase"), F.lit("saved").alias("text"))
+    work = A.apply_fills(rows, saved, ["text"])
+    waves = [(0, 2), (2, 4), (4, 6), (6, 7)]
+    parts = list(_parts(work, waves, 30))
+    assert [sorted(r.row_id for r in p.collect()) for p in parts] == [list(range(a * 30, min(b * 30, 200))) for a, b in waves]
+    for p in parts:
+        plan = p._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "PartitionFilters: [isnotnull(_wave" in plan
+    many = [(k, k + 1) for k in range(100)]
+    counted = [p.count() for p in list(_parts(rows, [(a * 1, b) for a, b in many], 2))]
+    assert counted == [2] * 100
+
+
 def test_gaps_and_batches(spark):
     df = spark.range(70).select(
         F.col("id").alias("row_id"), F.when(F.col("id") % 3 == 0, "long enough").otherwise("").alias("text")
