@@ -37,11 +37,11 @@ from evenweave.session import materialize, new_run_dir
 
 LEAST = 100
 GRAM = 32
-GROUP = 4096  # contexts of one gram that a task may hold
+GROUP = 1024  # contexts of one gram that a task may hold
 MOST_HOT = 1 << 16  # grams treated apart because they hold more than this share of all rows
 SALTS = 64
 UNIT = 2048  # contexts solved together
-CHUNK = 1 << 20  # symbols hashed at once
+CHUNK = 1 << 17  # symbols hashed at once; arrays of this size stay in a core's cache
 _OUTSIDE = 256  # the symbol before and behind a text
 _LOW = np.uint64(CHUNK - 1)
 _SHIFT = np.uint64(32)
@@ -148,7 +148,8 @@ def _anchors_of(segments: list, least: int, gram: int) -> tuple[np.ndarray, ...]
     for shift in [*range(-before, after - gram, gram), after - gram]:
         ctx = _both(_final(ctx), h[place + shift])
     documents = np.array([s[0] for s in segments])
-    return documents[of], place - np.array(origin)[of], h[place], _final(ctx)
+    # Anchors have small hashes; mixed again, all their bits are alike.
+    return documents[of], place - np.array(origin)[of], _final(h[place] * _ODD), _final(ctx)
 
 
 # --- maximal repeats of the contexts of one task -----------------------------------------------------------------------
@@ -156,32 +157,70 @@ def _anchors_of(segments: list, least: int, gram: int) -> tuple[np.ndarray, ...]
 _MIXED = -1
 
 
-def maximal_repeats(pieces: list[bytes], least: int = LEAST) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """(length, places) of every maximal repeat of at least ``least`` bytes; a place is (piece, offset)."""
-    flat = b"".join(pieces)
-    sizes = np.array([len(p) for p in pieces], np.int64)
-    ends = np.cumsum(sizes)
-    if len(flat) < least:
-        return
-    symbols = np.frombuffer(flat, np.uint8).astype(np.int32)
-    piece = np.repeat(np.arange(len(pieces)), sizes)
-    start = np.flatnonzero(np.arange(len(flat)) + least <= ends[piece])
-    if len(start) < 2:
-        return
-    h = window_hashes(symbols, least)[start]
-    left = np.where(start > (ends - sizes)[piece[start]], symbols[start - 1], _OUTSIDE + piece[start])
-    order = np.argsort(h, kind="stable")
-    h, start, left = h[order], start[order], left[order]
-    bounds = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    many = np.diff(np.append(bounds, len(h)))
-    # Suffixes that share their first bytes but are all preceded by the same byte hold no maximal repeat.
-    diverse = (many > 1) & (np.minimum.reduceat(left, bounds) != np.maximum.reduceat(left, bounds))
-    chosen = np.repeat(diverse, many)
-    places = [(flat[s : ends[piece[s]]], s, c) for s, c in zip(start[chosen].tolist(), left[chosen].tolist())]
-    places.sort(key=lambda p: p[0])
-    for length, low, high in _intervals([p[0] for p in places], [p[2] for p in places], least):
-        found = [p[1] for p in places[low : high + 1]]
-        yield length, [(int(piece[s]), int(s - ends[piece[s]] + sizes[piece[s]])) for s in found]
+class Suffixes:
+    """Enhanced suffix array of pieces of text, of those suffixes that can take part in a maximal repeat.
+
+    ``places`` are (piece, offset) in the order of the suffixes, ``left`` the symbol before each; a piece's first suffix has
+    one of its own, as nothing is known before it.
+    """
+
+    def __init__(self, pieces: list[bytes], least: int):
+        self.least, self.places, self.left, self.suffixes = least, [], [], []
+        flat = b"".join(pieces)
+        sizes = np.array([len(p) for p in pieces], np.int64)
+        ends = np.cumsum(sizes)
+        if len(flat) < least:
+            return
+        symbols = np.frombuffer(flat, np.uint8).astype(np.int32)
+        piece = np.repeat(np.arange(len(pieces)), sizes)
+        start = np.flatnonzero(np.arange(len(flat)) + least <= ends[piece])
+        if len(start) < 2:
+            return
+        h = window_hashes(symbols, least)[start]
+        left = np.where(start > (ends - sizes)[piece[start]], symbols[start - 1], _OUTSIDE + piece[start])
+        order = np.argsort(h, kind="stable")
+        h, start, left = h[order], start[order], left[order]
+        bounds = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        many = np.diff(np.append(bounds, len(h)))
+        # Suffixes that share their first bytes but are all preceded by the same byte hold no maximal repeat.
+        diverse = (many > 1) & (np.minimum.reduceat(left, bounds) != np.maximum.reduceat(left, bounds))
+        chosen = np.repeat(diverse, many)
+        start, left = start[chosen], left[chosen]
+        of = piece[start]
+        text = [flat[a:b] for a, b in zip(start.tolist(), ends[of].tolist())]
+        order = sorted(range(len(text)), key=text.__getitem__)
+        offset = (start - (ends - sizes)[of]).tolist()
+        of, left = of.tolist(), left.tolist()
+        self.suffixes = [text[i] for i in order]
+        self.places = [(of[i], offset[i]) for i in order]
+        self.left = [left[i] for i in order]
+
+    def intervals(self, rank: list[int] | None = None, shared: list[int] | None = None) -> Iterator[tuple[int, int, int]]:
+        """Stack scan over common prefixes: (length, first, last) of the intervals that different bytes precede.
+
+        With a ``rank`` of every suffix, ``shared`` is filled with the longest prefix each has in common with one of lower
+        rank. Of an interval's parts each has one suffix of lowest rank, for which that is not known yet; the lowest of these goes
+        on to the interval around, the others share the interval's prefix. So each suffix is met once.
+        """
+        suffixes, left, least = self.suffixes, self.left, self.least
+        stack: list[list[int]] = []  # common prefix, first suffix, the byte before all of them, the suffix of lowest rank
+        for i in range(1, len(suffixes) + 1):
+            common = _common(suffixes[i - 1], suffixes[i]) if i < len(suffixes) else 0
+            first, before, lowest = i - 1, left[i - 1], i - 1
+            while stack and stack[-1][0] > common:
+                length, first, mine, known = stack.pop()
+                before = mine if mine == before else _MIXED
+                lowest = _settle(known, lowest, length, rank, shared)
+                if before == _MIXED:
+                    yield length, first, i - 1
+            if common >= least:
+                if stack and stack[-1][0] == common:
+                    top = stack[-1]
+                    if top[2] != before:
+                        top[2] = _MIXED
+                    top[3] = _settle(top[3], lowest, common, rank, shared)
+                else:
+                    stack.append([common, first, before, lowest])
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -190,33 +229,36 @@ def _common(a: bytes, b: bytes) -> int:
     return n - (differ.bit_length() + 7) // 8
 
 
-def _intervals(suffixes: list[bytes], left: list[int], least: int) -> Iterator[tuple[int, int, int]]:
-    """Stack scan of a suffix array: (common prefix, first, last) of the intervals preceded by different bytes."""
-    stack: list[list[int]] = []  # common prefix, first suffix, the byte before all of them
-    for i in range(1, len(suffixes) + 1):
-        common = _common(suffixes[i - 1], suffixes[i]) if i < len(suffixes) else 0
-        first, before = i - 1, left[i - 1]
-        while stack and stack[-1][0] > common:
-            length, first, mine = stack.pop()
-            before = mine if mine == before else _MIXED
-            if before == _MIXED:
-                yield length, first, i - 1
-        if common >= least:
-            if stack and stack[-1][0] == common:
-                if stack[-1][2] != before:
-                    stack[-1][2] = _MIXED
-            else:
-                stack.append([common, first, before])
+def _settle(a: int, b: int, length: int, rank: list[int] | None, shared: list[int] | None) -> int:
+    """The suffix of lower rank; the other one shares ``length`` bytes with it. Equal places are one."""
+    if rank is None:
+        return a
+    if rank[b] < rank[a]:
+        a, b = b, a
+    if rank[a] < rank[b]:
+        shared[b] = length
+    return a
+
+
+def maximal_repeats(pieces: list[bytes], least: int = LEAST) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """(length, places) of every maximal repeat of at least ``least`` bytes; a place is (piece, offset)."""
+    array = Suffixes(pieces, least)
+    for length, low, high in array.intervals():
+        yield length, array.places[low : high + 1]
 
 
 def _later_places(rows: list[tuple[int, int, int, bytes]], least: int) -> list[tuple[int, int, int, int]]:
-    """Covered stretches (d, row, start, end) of contexts (d, row, place, bytes): all places of a repeat but the first."""
+    """Covered stretches (d, row, start, end) of contexts (d, row, place, bytes): what starts earlier in another place too."""
+    array = Suffixes([r[3] for r in rows], least)
+    documents = {d: i for i, d in enumerate(sorted({r[:2] for r in rows}))}
+    rank = [documents[rows[p][:2]] << 40 | rows[p][2] + at for p, at in array.places]
+    shared = [0] * len(rank)
+    for _ in array.intervals(rank, shared):
+        pass
     covered: dict[int, list[tuple[int, int]]] = {}
-    for length, places in maximal_repeats([r[3] for r in rows], least):
-        first = min((rows[p][0], rows[p][1], rows[p][2] + at) for p, at in places)
-        for p, at in places:
-            if (rows[p][0], rows[p][1], rows[p][2] + at) != first:
-                covered.setdefault(p, []).append((rows[p][2] + at, rows[p][2] + at + length))
+    for (p, at), length in zip(array.places, shared):
+        if length:
+            covered.setdefault(p, []).append((rows[p][2] + at, rows[p][2] + at + length))
     return [(*rows[p][:2], a, b) for p, spans in covered.items() for a, b in merged(spans)]
 
 
