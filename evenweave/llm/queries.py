@@ -46,8 +46,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    vocabulary, index = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, vocabulary, index)
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
 @query("op8_quality_rules_ensemble")
