@@ -5,11 +5,13 @@ and memoised. Measured per document: characters per token, share of tokens that
 entropy of the token counts in bits. Bands per script say what is rejected; the script of a document is that of most of
 its letters.
 
-Fixed outer bands hold for every document. Where at least ``LEAST_DOCUMENTS`` documents of a script pass the base rule,
-lower fences for characters per token and entropy under both vocabularies come from the quartiles of all of them: what
-lies ``REACH`` quartile distances below the first quartile is rejected. There are no such fences above, because text that
-a vocabulary knows well is no noise. Entropy of n tokens is at most log2(n) and levels off in long texts, so it is judged
-as a share of log2(n), n at most ``LEVEL``, and only from ``MIN_TOKENS`` tokens on, as are the fences.
+Fixed outer bands hold for every document. Inside them there are lower fences for characters per token and entropy under both
+vocabularies, one rule for tables of every size: the mean of what the script's documents say and of a documented value
+for the script (``FLOORS``), weighted by their number and by ``WEIGHT``. The documents' own fence lies ``REACH`` quartile
+distances below the first quartile of all that pass the base rule, and ``LEAST_MARGIN`` below the median at least. There are
+no such fences above, because text that a vocabulary knows well is no noise. Entropy of n tokens is at most log2(n) and
+levels off in long texts, so it is judged as a share of log2(n), n at most ``LEVEL``, and only from ``MIN_TOKENS`` tokens
+on, as are the fences. Words are encoded whole, however long.
 
 A null or empty text has no words and fails the base rule.
 """
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +37,7 @@ MODEL = "piece_bpe_32k.model"
 RANKS = "byte_bpe_50k.tiktoken"
 MIN_TOKENS = 40
 LEVEL = 256
-LEAST_DOCUMENTS = 1000
+WEIGHT = 100  # documents that the documented floors count for
 REACH = 1.5
 LEAST_MARGIN = 0.1  # of the median; a corpus of copies has no quartile distance
 
@@ -56,6 +59,16 @@ BANDS = {
     "cjk": Band((0.3, 4.0), 0.75, 0.30),
     "other": Band((0.15, 9.0), 1.00, 0.20),
 }
+# Floors by script: characters per piece, its entropy share, characters per byte-level unit, its entropy share. Running text has
+# well above three characters a token and above 0.85 of the entropy in a script the vocabulary knows.
+FLOORS = {
+    "latin": (1.6, 0.72, 1.4, 0.72),
+    "cyrillic": (1.1, 0.65, 0.6, 0.65),
+    "greek": (0.7, 0.60, 0.5, 0.60),
+    "arabic": (0.6, 0.60, 0.5, 0.60),
+    "cjk": (0.35, 0.60, 0.25, 0.60),
+    "other": (0.2, 0.45, 0.2, 0.45),
+}
 _SCRIPTS = [
     ("latin", re.compile("[A-Za-z\\u00c0-\\u024f]")), ("cyrillic", re.compile("[\\u0400-\\u052f]")),
     ("greek", re.compile("[\\u0370-\\u03ff]")), ("arabic", re.compile("[\\u0600-\\u06ff]")),
@@ -89,7 +102,7 @@ class Pieces(dict):
         new = list({w for ws in batch for w in ws if w not in self})
         if new:
             encoded = self.model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)
-            self.update((w, np.array(ids, np.uint16).tobytes()) for w, ids in zip(new, encoded))
+            self.update((w, array("H", ids).tobytes()) for w, ids in zip(new, encoded))
 
 
 class ByteUnits(dict):
@@ -109,14 +122,10 @@ class ByteUnits(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.BOUND:
             self.clear()
-        text = " " + word.decode("utf-8", "replace")
-        # very long words in parts, as the encoder needs time by the square of their length
-        ids = [i for at in range(0, len(text), LONG) for i in self.encode(text[at : at + LONG])]
-        value = self[word] = np.array(ids, np.uint16).tobytes()
+        value = self[word] = array("H", self.encode(" " + word.decode("utf-8", "replace"))).tobytes()
         return value
 
 
-LONG = 2000
 _BYTE_UNITS: list[ByteUnits] = []
 
 
@@ -212,7 +221,7 @@ def within(band: Band, tokens: int, per_token: float, byte_share: float, bits: f
 
 
 def _share(bits: str, tokens: str) -> Column:
-    return F.col(bits) / F.log2(F.least(F.col(tokens), F.lit(LEVEL)).cast("double"))
+    return F.col(bits) / F.log2(F.greatest(F.lit(2), F.least(F.col(tokens), F.lit(LEVEL))).cast("double"))
 
 
 def _judged() -> dict[str, Column]:
@@ -227,16 +236,18 @@ def fences(measured: DataFrame) -> dict[str, dict[str, float]]:
     """Lowest values that stay, by script and measure; from all documents that pass the base rule and have tokens enough."""
     usable = measured.where(~F.col("base_failed") & (F.least("n_tokens", "n_byte_tokens") >= MIN_TOKENS))
     quartiles = [F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000).alias(name) for name, x in _judged().items()]
-    out = {}
-    for r in usable.groupBy("script").agg(F.count("*").alias("n"), *quartiles).collect():  # a row a script
-        if r["n"] >= LEAST_DOCUMENTS:
-            out[r["script"]] = {
-                name: min(q[0] - REACH * (q[2] - q[0]), (1 - LEAST_MARGIN) * q[1]) for name in _judged() for q in [r[name]]}
+    found = usable.groupBy("script").agg(F.count("*").alias("n"), *quartiles).collect()  # a row a script
+    out = {script: dict(zip(_judged(), floors)) for script, floors in FLOORS.items()}
+    for r in found:
+        for name, floor in out[r["script"]].items():
+            first, median, third = r[name]
+            own = min(first - REACH * (third - first), (1 - LEAST_MARGIN) * median)
+            out[r["script"]][name] = (r["n"] * own + WEIGHT * floor) / (r["n"] + WEIGHT)
     return out
 
 
 def passes(lowest: dict[str, dict[str, float]]) -> Column:
-    """The verdict: the base rule and outer bands, and the fences of the script where there are any."""
+    """The verdict: the base rule and outer bands, and the fences of the script."""
     verdict = F.col("kept")
     for script, least in lowest.items():
         short = F.least("n_tokens", "n_byte_tokens") < MIN_TOKENS
