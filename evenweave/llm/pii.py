@@ -7,12 +7,13 @@ code points, end exclusive; a match that fails its validator is dropped and not
     ip     four dotted numbers, each at most 255
     card   digits with single spaces or hyphens between, 14 to 19 digits, Luhn
     phone  + and digits with spaces, dots, brackets, hyphens, 10 to 15 digits
-    iban   two letters, two digits, then groups of four or 11 to 30 letters or digits, mod-97
+    iban   two letters, two digits, then groups of four or 11 to 30 letters or digits, mod-97; of groups the most that pass
     ssn    ddd-dd-dddd in valid ranges
+    secret 20 or more characters of a key or token in one run, at least ``LEAST_ENTROPY`` bits a character
 
-Every span has a score: a start value by kind, plus the gain of a checksum, plus a gain for words that go with the
-kind within ``CONTEXT`` code points before it. Spans of the four base kinds stay whatever their score; the
-others need ``THRESHOLD``.
+Every span has a score: a start value by kind, plus the gain of a checksum or of entropy, plus a gain for words that go
+with the kind within ``CONTEXT`` code points before it. Spans of the four base kinds stay whatever their score; the
+others need ``THRESHOLD``, so a secret needs a word such as "token" before it.
 
 Null or empty texts have no spans. The expressions are possessive and anchored at the start of their run, so
 that a long run of digits or letters costs linear time and no stack.
@@ -29,7 +30,8 @@ from evenweave.llm.common import id_and_text
 CONTEXT = 40
 THRESHOLD = 0.5
 BASE_KINDS = ["email", "ip", "card", "phone"]
-KINDS = [*BASE_KINDS, "iban", "ssn"]
+KINDS = [*BASE_KINDS, "iban", "ssn", "secret"]
+LEAST_ENTROPY = 3.1
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 # A match starts at the first character of its run, or where the match before it ended.
@@ -40,11 +42,12 @@ PATTERNS = {
     "phone": r"\+[0-9](?:[\x20().-]*+[0-9])++",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?:(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?|[A-Z0-9]{11,30})\b",
     "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+    "secret": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}",
 }
 # What a text must hold for the expression to be worth trying.
-NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+", "iban": None, "ssn": "-"}
-START = {"email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.4, "ssn": 0.3}
-CHECKSUM_GAIN = {"card": 0.4, "iban": 0.5}
+NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+", "iban": None, "ssn": "-", "secret": None}
+START = {"email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.4, "ssn": 0.3, "secret": 0.1}
+CHECKSUM_GAIN = {"card": 0.4, "iban": 0.5, "secret": 0.2}
 CONTEXT_GAIN = 0.3
 CONTEXT_WORDS = {
     "email": ["mail", "contact", "write to"],
@@ -53,6 +56,7 @@ CONTEXT_WORDS = {
     "phone": ["phone", "call", "tel", "mobile", "fax"],
     "iban": ["iban", "account", "bank", "konto", "cuenta", "compte"],
     "ssn": ["ssn", "social security", "tax id"],
+    "secret": ["token", "secret", "password", "passwd", "api key", "api_key", "apikey", "access key", "bearer", "credential"],
 }
 
 
@@ -82,6 +86,30 @@ def _only_digits(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
 
 
+def entropy_bits(text: Column) -> Column:
+    """Entropy of a text's characters in bits."""
+    n = F.length(text)
+
+    def part(c: Column) -> Column:
+        share = (n - F.length(F.replace(text, c, F.lit("")))) / n
+        return -share * F.log2(share)
+
+    return F.aggregate(F.array_distinct(F.split(text, "")), F.lit(0.0), lambda a, c: F.when(c == "", a).otherwise(a + part(c)))
+
+
+def _valid_length(kind: str, match: Column) -> Column:
+    """Code points of a match that its validator confirms; null if none."""
+    if kind != "iban":
+        return F.when(_valid(kind, match), F.length(match))
+
+    def longest(groups: Column) -> Column:
+        ends = F.sequence(F.size(groups), F.least(F.size(groups), F.lit(3)), F.lit(-1))
+        texts = F.transform(ends, lambda k: F.array_join(F.slice(groups, 1, k), " "))
+        return F.length(F.try_element_at(F.filter(texts, lambda t: _valid(kind, t)), F.lit(1)))
+
+    return let(F.split(match, " "), longest)
+
+
 def _valid(kind: str, match: Column) -> Column:
     if kind == "ip":
         return F.forall(F.split(match, r"\."), lambda p: F.length(F.ltrim(p, F.lit("0"))) < 4) & F.forall(
@@ -91,6 +119,8 @@ def _valid(kind: str, match: Column) -> Column:
         return let(_only_digits(match), lambda d: F.when(F.length(d).between(14, 19), luhn(d)).otherwise(False))
     if kind == "phone":
         return F.length(_only_digits(match)).between(10, 15)
+    if kind == "secret":
+        return match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (entropy_bits(match) >= LEAST_ENTROPY)
     if kind == "iban":
         return mod_97(F.replace(match, F.lit(" "), F.lit("")))
     if kind == "ssn":
@@ -123,14 +153,16 @@ def kind_spans(kind: str, text: Column) -> Column:
         def step(acc: Column, x: Column) -> Column:
             begin = acc["pos"] + F.length(x["gap"])
             end = begin + F.coalesce(F.length(x["match"]), F.lit(0))
-            span = F.struct(
-                begin.alias("start"), F.lit(KINDS.index(kind)).alias("ord"), end.alias("end"),
-                F.lit(kind).alias("kind"), _score(kind, text, begin).alias("score"),
-            )
-            good = x["match"].isNotNull() & _valid(kind, x["match"])
-            return F.struct(
-                end.alias("pos"), F.when(good, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans")
-            )
+
+            def noted(length: Column) -> Column:
+                span = F.struct(
+                    begin.alias("start"), F.lit(KINDS.index(kind)).alias("ord"), (begin + length).alias("end"),
+                    F.lit(kind).alias("kind"), _score(kind, text, begin).alias("score"),
+                )
+                spans = F.when(length.isNotNull(), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
+                return F.struct(end.alias("pos"), spans.alias("spans"))
+
+            return let(F.when(x["match"].isNotNull(), _valid_length(kind, x["match"])), noted)
 
         return F.aggregate(steps, start, step, lambda acc: acc["spans"])
 

@@ -21,6 +21,7 @@ _RULES = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": pii.PATTERNS["iban"],
     "ssn": pii.PATTERNS["ssn"],
+    "secret": r"[A-Za-z0-9+/_-]{20,}={0,2}",
 }
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
 _LUHN = (
@@ -34,13 +35,21 @@ _MOD_97 = (
     f"list_reduce(list_prepend(0::BIGINT, list_transform(string_split({_BARE}[5:] || {_BARE}[1:4], ''), "
     "lambda c: ascii(c)::BIGINT)), lambda a, c: CASE WHEN c < 58 THEN a * 10 + c - 48 ELSE a * 100 + c - 55 END % 97) = 1"
 )
+# Of an IBAN in groups the longest start that passes.
+_GROUPS = "string_split(m, ' ')"
+_IBAN_LENGTH = (
+    f"length(list_filter(list_transform(range(length({_GROUPS}), least(length({_GROUPS}), 3) - 1, -1), "
+    f"lambda k: array_to_string({_GROUPS}[1:k], ' ')), lambda p: {_MOD_97.replace('m,', 'p,')})[1])"
+)
 _VALID = {
     "email": "true",
     "ip": "list_bool_and(list_transform(string_split(m, '.'), lambda p: length(ltrim(p, '0')) < 4 "
           "AND coalesce(TRY_CAST(p AS INT), 0) <= 255))",
     "card": f"CASE WHEN length({_DIGITS}) BETWEEN 14 AND 19 THEN {_LUHN} ELSE false END",
     "phone": f"length({_DIGITS}) BETWEEN 10 AND 15",
-    "iban": _MOD_97,
+    "secret": "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND list_sum(list_transform("
+              "list_distinct(string_split(m, '')), lambda c: -(length(m) - length(replace(m, c, ''))) / length(m)::DOUBLE "
+              f"* log2((length(m) - length(replace(m, c, ''))) / length(m)::DOUBLE))) >= {pii.LEAST_ENTROPY}",
     "ssn": "m[1:3] NOT IN ('000', '666') AND m[1:3] < '900' AND m[5:6] <> '00' AND m[8:] <> '0000'",
 }
 
@@ -51,15 +60,17 @@ def _kind_sql(kind: str) -> str:
     start_score = pii.START[kind] + pii.CHECKSUM_GAIN.get(kind, 0.0)
     before = f"lower(t[greatest(s - {pii.CONTEXT}, 0) + 1 : s])"
     score = f"{start_score} + CASE WHEN regexp_matches({before}, '\\b({words})\\b') THEN {pii.CONTEXT_GAIN} ELSE 0 END"
+    length = _IBAN_LENGTH if kind == "iban" else "length(m)"
+    valid = f"{_IBAN_LENGTH} IS NOT NULL" if kind == "iban" else _VALID[kind]
     keep = "true" if kind in pii.BASE_KINDS else f"{score} >= {pii.THRESHOLD}"
     return f"""
-    SELECT doc_id, s, {pii.KINDS.index(kind)} AS ord, s + length(m) AS e, '{kind}' AS kind FROM (
+    SELECT doc_id, s, {pii.KINDS.index(kind)} AS ord, s + {length} AS e, '{kind}' AS kind FROM (
       SELECT doc_id, t, ms[i] AS m,
         list_sum(list_transform(gaps[1:i], lambda x: length(x))) +
         coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s
       FROM (SELECT *, unnest(range(1, length(ms) + 1)) AS i FROM (
         SELECT doc_id, t, regexp_extract_all(t, '{rule}') AS ms, string_split_regex(t, '{rule}') AS gaps FROM d))
-    ) WHERE ({_VALID[kind]}) AND {keep}"""
+    ) WHERE ({valid}) AND {keep}"""
 
 
 def op1_sql() -> str:
