@@ -131,8 +131,14 @@ def md5(text: bytes) -> bytes:
     return hashlib.md5(text, usedforsecurity=False).digest()
 
 
-def rows_with(docs: DataFrame, stay: DataFrame, digest: Callable[[bytes], bytes], id_col: str, text_col: str) -> DataFrame:
-    """Rows of ``docs``, all columns, whose id (as ``hid``) and text ``digest`` are in ``stay``; one row of each."""
+def rows_that_stay(docs: DataFrame, found: DataFrame, digest: Callable[[bytes], bytes], id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``docs``, all columns, that ``found`` (hid, digest, stays: a row for each) lets stay; of rows alike, one.
+
+    ``hid`` is the hash of the id, ``digest`` that of the text. Only rows whose id a bit table does not rule out - those
+    that go or have rows alike, and a few by chance - are shuffled; all others are copied as they are.
+    """
+    special = found.groupBy("hid", "digest").agg(F.count("*").alias("n"), F.bool_or("stays").alias("stays"))
+    special = special.where("n > 1 OR NOT stays").select("hid", "digest", "stays")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).select(
         "row", F.xxhash64(f"row.`{id_col}`").alias("hid"), F.coalesce(f"row.`{text_col}`", F.lit("")).alias("text")
     )
@@ -143,9 +149,11 @@ def rows_with(docs: DataFrame, stay: DataFrame, digest: Callable[[bytes], bytes]
             digests = pa.array([digest(t) for t in utf8(batch.column(2))], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], digests], names=schema.names)
 
+    bits = bit_table(special, "hid")
+    met = maybe_in(rows, "hid", bits).mapInArrow(run, schema).join(special, ["hid", "digest"], "left")
     same = Window.partitionBy("hid", "digest").orderBy("hid")
-    met = rows.mapInArrow(run, schema).join(stay.distinct(), ["hid", "digest"])
-    return met.withColumn("nth", F.row_number().over(same)).where("nth = 1").select("row.*")
+    some = met.where(F.coalesce("stays", F.lit(True))).withColumn("nth", F.row_number().over(same))
+    return surely_not_in(rows, "hid", bits).select("row.*").union(some.where("nth = 1").select("row.*"))
 
 
 def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
@@ -188,6 +196,13 @@ def maybe_in(rows: DataFrame, key: str, bits: DataFrame) -> DataFrame:
     return met.where(F.expr("bits & shiftleft(1L, cast(_at & 63 as int))") != 0).drop("_at", "word", "bits")
 
 
+def surely_not_in(rows: DataFrame, key: str, bits: DataFrame) -> DataFrame:
+    """The rows that ``maybe_in`` leaves out."""
+    met = rows.withColumn("_at", _bit(F.col(key))).join(F.broadcast(bits), F.shiftright("_at", 6) == F.col("word"), "left")
+    hit = F.expr("bits & shiftleft(1L, cast(_at & 63 as int))") != 0
+    return met.where(~F.coalesce(hit, F.lit(False))).drop("_at", "word", "bits")
+
+
 def bits_as_array(bits: DataFrame) -> np.ndarray:
     """A bit table as an array of words on the driver, 2 MB for 24 bits."""
     table = bits.toArrow()

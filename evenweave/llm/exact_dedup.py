@@ -1,9 +1,9 @@
 """Exact duplicates: 128-bit content hash, one document stays per text, bytes compared inside groups.
 
 Texts are equal when identical after lower-casing A-Z. Of equal texts the row with the largest id stays; of rows
-that repeat that id, one. Null ids come before all others. Nothing but ids and digests is shuffled for documents
-without copies; the texts of copies are compared with the text that stays, spread over salts, so a text that a
-third of the corpus shares meets in no single task.
+that repeat that id, one. Null ids come before all others. A bit table of the ids of copies keeps the texts of other
+documents, but for a few by chance, from being shuffled; the texts of copies are compared with the text that stays,
+spread over salts, so a text that a third of the corpus shares meets in no single task.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenweave.llm.common import id_and_text, map_texts, md5, rows_with, utf8
+from evenweave.llm.common import bit_table, id_and_text, map_texts, maybe_in, md5, rows_that_stay, utf8
 from evenweave.session import materialize, new_run_dir
 
 SALTS = 64
@@ -66,7 +66,8 @@ def _unequal(docs: DataFrame, keys: DataFrame, groups: DataFrame, run: str, id_c
     wanted = keys.join(groups.select("h", "salt", "keep_id"), ["h", "salt"]).groupBy(
         F.xxhash64("doc_id").alias("hid"), "n_bytes", "h", "salt"
     ).agg(F.max(F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("keeper"))
-    members = texts.join(wanted, ["hid", "n_bytes"]).select("text", "h", "salt", "keeper")
+    wanted = materialize(wanted, f"{run}/wanted")
+    members = maybe_in(texts, "hid", bit_table(wanted, "hid")).join(wanted, ["hid", "n_bytes"]).select("text", "h", "salt", "keeper")
     members = materialize(members.mapInArrow(_own_text, "text binary, h binary, salt int, keeper boolean"), f"{run}/members")
     keepers = members.where("keeper").groupBy("h").agg(F.min("text").alias("kept_text"))
     spread = materialize(keepers.join(groups.select("h", "salt"), "h"), f"{run}/keepers")
@@ -91,7 +92,6 @@ def _regroup(out: DataFrame, collided: DataFrame) -> DataFrame:
 
 def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns as they are; of rows alike in id and text, one stays."""
-    stay = exact_groups(docs, id_col, text_col).where("kept").select(
-        F.xxhash64("doc_id").alias("hid"), F.unhex("text_sha256").alias("digest")
-    )
-    return rows_with(docs, stay, lambda t: hashlib.sha256(t.lower()).digest(), id_col, text_col)
+    found = materialize(exact_groups(docs, id_col, text_col), f"{new_run_dir(docs.sparkSession)}/found").select(
+        F.xxhash64("doc_id").alias("hid"), F.unhex("text_sha256").alias("digest"), F.col("kept").alias("stays"))
+    return rows_that_stay(docs, found, lambda t: hashlib.sha256(t.lower()).digest(), id_col, text_col)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenweave.llm.common import (
-    bit_table, id_and_text, maybe_in, md5, most_frequent, rows_with, utf8, windows, word_hashes, words,
+    bit_table, id_and_text, maybe_in, md5, most_frequent, rows_that_stay, utf8, windows, word_hashes, words,
 )
 from evenweave.llm.components import components
 from evenweave.llm.metric_rounds import UNIT_COLUMNS, blocks_of, regions_to_compare, whole_regions
@@ -430,6 +430,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     found = near_duplicates(docs, id_col, text_col).select(
         F.xxhash64("doc_id").alias("hid"), F.col("text_md5").alias("digest"), "doc_id", "label")
+    found = materialize(found, f"{new_run_dir(docs.sparkSession)}/found")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", "hid")).alias("first")
-    stay = found.where("label IS NOT NULL").groupBy("label").agg(first).select("first.hid", "first.digest")
-    return rows_with(docs, stay.union(found.where("label IS NULL").select("hid", "digest")), md5, id_col, text_col)
+    stay = found.where("label IS NOT NULL").groupBy("label").agg(first).select("first.hid", "first.digest").distinct()
+    stay = stay.withColumn("first", F.lit(True))
+    found = found.join(stay, ["hid", "digest"], "left")
+    found = found.select("hid", "digest", (F.col("label").isNull() | F.col("first").isNotNull()).alias("stays"))
+    return rows_that_stay(docs, found, md5, id_col, text_col)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenweave.llm.common import id_and_text, remainder
@@ -16,7 +16,8 @@ def sample_of(docs: DataFrame, labels: DataFrame, target: str, most: int = SAMPL
     """doc_id, text, y of at most ``most`` labelled documents whose fold is not held out.
 
     The sample is the lowest hashes of the ids, so it is the same in every run; an id that is labelled more than once
-    counts with its largest label. Only the sample's ids are sent to the tasks, and that is at most ``most`` rows.
+    counts with its largest label, and of several texts of an id the one of the least hash is taken. Only the sample's ids are
+    sent to the tasks, and that is at most ``most`` rows.
     """
     usable = labels.where(F.col(target).isNotNull() & (remainder("doc_id") > 0))
     usable = usable.groupBy("doc_id").agg(F.max(target).cast("int").alias("y"))
@@ -26,4 +27,6 @@ def sample_of(docs: DataFrame, labels: DataFrame, target: str, most: int = SAMPL
         usable = usable.where(place < -(-_PLACES * most * 5 // (n * 4)))
     some = usable.orderBy(place, "doc_id").limit(most)
     texts = id_and_text(docs, id_col, text_col)
-    return texts.join(F.broadcast(some), "doc_id").dropDuplicates(["doc_id"])
+    met = texts.join(F.broadcast(some), "doc_id")
+    least = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.sha2("text", 256)))
+    return met.withColumn("_nth", least).where("_nth = 1").drop("_nth")

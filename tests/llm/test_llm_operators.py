@@ -10,9 +10,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from evenweave.llm import (
-    brown_lm, components, exact_dedup, fertility, jaccard_join, packing, pieces, pii, rules, token_counts, toxicity, units,
+    brown_lm, components, exact_dedup, fertility, jaccard_join, metric_rounds, packing, pieces, pii, rules, token_counts,
+    toxicity, units,
 )
 from evenweave.llm.common import prepare
 from evenweave.session import new_run_dir
@@ -91,7 +93,7 @@ def test_empty_table(spark, name):
 def test_empty_tables_of_classifiers(spark):
     none = table(spark, []).limit(0)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    assert toxicity.score(none, *toxicity.learn(none, labels)).collect() == []
+    assert toxicity.score(none, toxicity.learn(none, labels)).collect() == []
     assert rules.score(none, rules.learn(none, labels)).collect() == []
 
 
@@ -142,6 +144,48 @@ def test_pii_other_spans_need_checksum_or_context(docs):
     assert found[22].count("ssn") == 1  # the others have no context
 
 
+def test_pii_iban_groups_and_secrets(spark):
+    token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    texts = {
+        1: "pay to ES91 2100 0418 4502 0005 1332 BIC CAIXESBB soon", 2: "GB82 WEST 1234 5698 7654 32 XYZ9 AB", 3: "ES91 2100 0418 4502 0005 1333 BIC",
+        4: f'token = "{token}" and so on', 5: f"a digest {token} of a file", 6: "api_key: AKIA-9f3b/Q2+xyz77Lm01== end",
+        7: "password aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1", 8: "secret 1234567890123456789012", 9: "token onlylettersinthislongword",
+        10: f"the bearer {token}{token} " + "x" * 50_000, 11: "Token: " + "ab12" * 5_000,
+    }
+    found = {r.doc_id: r.spans.split(",") if r.spans else [] for r in pii.digest(pii.find_spans(table(spark, texts.items()))).collect()}
+
+    def where(i, kind):
+        return [tuple(map(int, s.split(":")[1:])) for s in found[i] if s.startswith(kind)]
+
+    cut = lambda i, kind: [texts[i][a:b] for a, b in where(i, kind)]
+    assert cut(1, "iban") == ["ES91 2100 0418 4502 0005 1332"] and cut(2, "iban") == ["GB82 WEST 1234 5698 7654 32"]
+    assert cut(3, "iban") == [] and cut(4, "secret") == [token] and cut(6, "secret") == ["AKIA-9f3b/Q2+xyz77Lm01=="]
+    assert not any(cut(i, "secret") for i in (5, 7, 8, 9, 11)) and cut(10, "secret") == [token * 2]
+
+
+def test_sample_of_repeated_ids_is_the_same_in_every_run(spark):
+    from evenweave.llm.labelled import sample_of
+
+    rows = [(i, f"text {k} of {i}") for i in range(30) for k in range(3)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    runs = [{r.doc_id: r.text for r in sample_of(table(spark, order), labels, "toxic").collect()} for order in (rows, rows[::-1])]
+    assert runs[0] == runs[1] and runs[0]
+    assert all(t == min((f"text {k} of {i}" for k in range(3)), key=lambda x: hashlib.sha256(x.encode()).hexdigest())
+               for i, t in runs[0].items())
+
+
+def test_only_copies_are_shuffled(spark):
+    """A bit table keeps the rows without copies out of the exchange of texts."""
+    from evenweave.llm.common import bit_table, maybe_in
+
+    rows = [(i, prose(i, 30)) for i in range(300)] + [(1000 + i, prose(i, 30)) for i in range(5)]
+    docs = table(spark, rows)
+    assert sorted(r.doc_id for r in exact_dedup.unique_documents(docs).collect()) == sorted([*range(5, 300), *range(1000, 1005)])
+    gone = docs.where("doc_id < 5").select(F.xxhash64("doc_id").alias("hid"))
+    some = maybe_in(docs.select("text", F.xxhash64("doc_id").alias("hid")), "hid", bit_table(gone, "hid"))
+    assert some.count() < 10
+
+
 def test_pii_random_strings(spark):
     r = random.Random(5)
     texts = ["".join(r.choice("ab@@.._1234+ -()\n4") for _ in range(60)) for _ in range(400)]
@@ -202,10 +246,10 @@ def family(seed, n, words, edits):
     return out
 
 
-@pytest.mark.parametrize("block", [512, 16])
+@pytest.mark.parametrize("block", [512, 16, 4])
 def test_near_duplicates_in_large_groups(spark, monkeypatch, block):
-    """Families around the threshold, over blocks, recursive regions and salted pivots."""
-    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    """Families around the threshold, over pivot rounds, blocks, recursive regions and salted pivots."""
+    monkeypatch.setattr(metric_rounds, "BLOCK", block)
     monkeypatch.setattr(jaccard_join, "SALT_ABOVE", 20)
     monkeypatch.setattr(jaccard_join, "LEAF", 12)
     texts = family(1, 90, 80, 8) + family(2, 40, 30, 4) + [prose(s, 50) for s in range(30)]
@@ -219,7 +263,7 @@ def test_metric_join_is_exact():
     sets += [np.unique(np.array([r.randrange(2**60) for _ in range(40)], np.uint64)) for _ in range(50)]
     pool = jaccard_join.Sets(sets)
     groups = jaccard_join.Groups(len(sets))
-    jaccard_join.metric_join(pool, np.arange(len(sets)), np.zeros(len(sets), bool), groups, 75)
+    jaccard_join.metric_join(pool, np.arange(len(sets)), None, groups, 75)
     want = jaccard_join.Groups(len(sets))
     for a, b in itertools.combinations(range(len(sets)), 2):
         both = len(np.intersect1d(sets[a], sets[b]))
@@ -228,6 +272,63 @@ def test_metric_join_is_exact():
     assert (groups.all() == want.all()).all()
 
 
+def links_of(sets):
+    """All linked pairs of many sets, by the lists of the sets that hold each shingle."""
+    codes, which = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(which, kind="stable")
+    lists = np.split(owner[order], np.cumsum(np.bincount(which))[:-1])
+    at = np.split(which, np.cumsum([len(s) for s in sets])[:-1])
+    sizes = np.array([len(s) for s in sets])
+    for i in range(len(sets)):
+        both = np.bincount(np.concatenate([lists[c] for c in at[i]]), minlength=len(sets))
+        linked = np.flatnonzero(100 * both >= 75 * (sizes + sizes[i] - both))
+        yield from ((i, int(j)) for j in linked if j < i)
+
+
+def region_rows(spark, sets, names):
+    """Rows of one candidate group for each name, as the pivot rounds take them."""
+    n = collections.Counter(names)
+    size = collections.Counter()
+    for s, g in zip(sets, names):
+        size[g] += len(s)
+    rows = [(g, n[g], size[g], bytearray(k.to_bytes(16, "big")), s.view(np.int64).tolist()) for k, (s, g) in enumerate(zip(sets, names))]
+    return spark.createDataFrame(rows, "region long, n_sets long, n_all long, set_key binary, shingles array<long>").repartition(4)
+
+
+def joined(spark, sets, names):
+    path = new_run_dir(spark)
+    stars, units, counts = metric_rounds.regions_to_compare(region_rows(spark, sets, names), path, 75)
+    links = stars.union(jaccard_join._links(units, 75)).collect()
+    got = union_find((int.from_bytes(a, "big"), int.from_bytes(b, "big")) for a, b in links)
+    return got, units.count(), counts
+
+
+def test_large_group_of_near_copies_costs_little(spark):
+    """5,000 near copies of one text: hardly a row is sent twice, and none is dealt out in block pairs."""
+    sets = [jaccard_join.shingles_of(t.encode(), 5)[0] for t in dict.fromkeys(family(11, 5200, 150, 4))][:5000]
+    sets += [jaccard_join.shingles_of(prose(s, 150).encode(), 5)[0] for s in range(40)]
+    got, in_units, counts = joined(spark, sets, [1] * len(sets))
+    want = union_find(links_of(sets))
+    assert {k: v for k, v in got.items() if k != v} == {k: v for k, v in want.items() if k != v}
+    assert counts["in block pairs"] == 0 and counts["in rounds"] + in_units <= 2 * len(sets)
+
+
+@pytest.mark.parametrize("block", [4, 30])
+def test_pivot_rounds_are_exact(spark, monkeypatch, block):
+    """Several groups of families whose members link or just do not, with visitors on both sides."""
+    monkeypatch.setattr(metric_rounds, "BLOCK", block)
+    texts = [family(s, 60, 30, 1 + s) for s in range(1, 9)]
+    sets = [jaccard_join.shingles_of(t.encode(), 5)[0] for ts in texts for t in ts]
+    names = [1 + k // 3 for k, ts in enumerate(texts) for _ in ts]
+    kept = {s.tobytes(): (s, g) for s, g in zip(sets, names)}
+    sets, names = [v[0] for v in kept.values()], [v[1] for v in kept.values()]
+    got, _, counts = joined(spark, sets, names)
+    want = union_find((a, b) for a, b in links_of(sets) if names[a] == names[b])
+    assert {k: v for k, v in got.items() if k != v} == {k: v for k, v in want.items() if k != v}
+    assert counts["rounds"] > 1
+
+
 def union_find(edges):
     root = {}
 
@@ -369,15 +470,62 @@ def test_brown_model_is_a_distribution_and_rare_words_are_joined(spark, docs, mo
     training = docs.selectExpr("doc_id", "coalesce(text, '') AS text")
     model, counts = brown_lm.learn(training, new_run_dir(spark))
     assert np.allclose((10**model.transition).sum(axis=1), 1)
-    items = brown_lm.Items(model.own, model.endings)
+    classes = model.clusters.table()
     mass = collections.defaultdict(float)
     for r in counts.collect():
-        k = model.classes[items[bytes(r.word)]]
+        k = classes[bytes(r.word)]
         mass[k] += 10 ** model.emission(r.c, k)
     for k in range(len(model.class_words)):
         assert mass[k] + 10 ** model.emission(0, k) == pytest.approx(1)
 
 
+def likeliest_classes(model, texts, before):
+    """Class of each clustered word from the contexts of all its occurrences, word by word."""
+    k = model.clusters.size()
+    table = before.table()
+    between, contexts = np.zeros((k, k)), collections.defaultdict(list)
+    for t in texts:
+        ws = [b"", *t.encode().lower().split(), b""]
+        of = [table[w] for w in ws]
+        np.add.at(between, (of[:-1], of[1:]), 1)
+        for i in range(1, len(ws) - 1):
+            if table.slot(ws[i]) >= 0:
+                contexts[ws[i]].append((of[i - 1], of[i + 1]))
+    share = (between.sum(axis=0) + 0.5) / (between.sum() + 0.5 * k)
+    step = np.log10((between + 10 * share) / (between.sum(axis=1, keepdims=True) + 10))
+    out = {}
+    for w, seen in contexts.items():
+        score = [sum(step[a, j] + step[j, b] for a, b in seen) - len(seen) * math.log10(between[:, j].sum() + 1) for j in range(k)]
+        score[int(model.clusters.classes[1])] = -math.inf
+        out[w] = score
+    return out
+
+
+def test_words_are_clustered_by_their_contexts(spark, monkeypatch):
+    """All words above the threshold, more in a larger table; their classes are the likeliest by brute force."""
+    from evenweave.session import new_run_dir
+
+    monkeypatch.setattr(brown_lm, "ROUNDS", 1)
+    monkeypatch.setattr(brown_lm, "WORD_ITEMS", 30)
+    texts = [prose(s, 300, 900) for s in range(60)]
+    clustered = []
+    for n in (15, 60):
+        training = table(spark, list(enumerate(texts[:n]))).select("doc_id", "text")
+        model, counts = brown_lm.learn(training, new_run_dir(spark))
+        often = {bytes(r.word) for r in counts.where("c >= 8").collect()} - set(model.clusters.own)
+        assert {brown_lm.word_hash(w) for w in often} == set(model.clusters.hashes.tolist())
+        clustered.append(len(often))
+        # before the round every word had the class of its ending
+        start = brown_lm.Clusters(*(getattr(model.clusters, f) for f in ("own", "endings", "classes", "hashes")), model.clusters.moved.copy())
+        items = brown_lm.Items(start.own, start.endings)
+        for w in often:
+            start.moved[start.table().slot(w)] = start.classes[items[w]]
+        table_now = model.clusters.table()
+        for w, score in likeliest_classes(model, texts[:n], start).items():
+            assert score[table_now[w]] == pytest.approx(max(score), abs=1e-6)
+    assert clustered[1] > 1.5 * clustered[0]
+
+
 def test_exchange_finds_classes():
     r = np.random.default_rng(0)
     pairs = np.zeros((42, 42))
@@ -444,6 +592,53 @@ def test_fertility_fences_reject_what_the_corpus_does_not_look_like(spark):
     assert {x.doc_id for x in fertility.kept_documents(docs).collect()} == kept
 
 
+def expected_fences(rows):
+    """Fences by brute force; quartiles as elements of the sorted values."""
+    by_script = collections.defaultdict(list)
+    for r in rows:
+        if not r.base_failed and min(r.n_tokens, r.n_byte_tokens) >= 40:
+            share = lambda bits, n: bits / math.log2(min(n, 256))
+            by_script[r.script].append((r.chars_per_token, share(r.entropy, r.n_tokens), r.byte_chars_per_token,
+                                        share(r.byte_entropy, r.n_byte_tokens)))
+    out = {}
+    for script, floors in fertility.FLOORS.items():
+        found = by_script[script]
+        out[script] = list(floors)
+        for k in range(4) if found else ():
+            values, n = sorted(v[k] for v in found), len(found)
+            q1, q2, q3 = (values[max(0, math.ceil(n * p) - 1)] for p in (0.25, 0.5, 0.75))
+            out[script][k] = (n * min(q1 - 1.5 * (q3 - q1), 0.9 * q2) + 100 * floors[k]) / (n + 100)
+    return out
+
+
+def above(r, floors):
+    """Whether measures lie above the fences, if there are tokens enough."""
+    if min(r.n_tokens, r.n_byte_tokens) < 40:
+        return True
+    mine = (r.chars_per_token, r.entropy / math.log2(min(r.n_tokens, 256)), r.byte_chars_per_token,
+            r.byte_entropy / math.log2(min(r.n_byte_tokens, 256)))
+    return all(a >= b for a, b in zip(mine, floors))
+
+
+@pytest.mark.parametrize("n", [0, 12, 400])
+def test_fences_by_brute_force(spark, n):
+    rows = [(i, prose(i, 60 + i % 50)) for i in range(n)] + [(9000 + i, "это длинный русский текст о погоде " + prose(i, 50)) for i in range(n // 4)]
+    rows += [(9500 + i, " ".join(chr(0x430 + (i * k) % 32) * (k % 6 + 1) for k in range(60))) for i in range(n // 3)]
+    measured = fertility.quality_rules(table(spark, rows))
+    got = fertility.fences(measured)
+    want = expected_fences(measured.collect())
+    for script in fertility.FLOORS:
+        assert list(got[script].values()) == pytest.approx(want[script], rel=1e-9), script
+    for r in measured.collect():
+        inside = fertility.within(fertility.BANDS[r.script], r.n_tokens, r.chars_per_token, r.byte_share, r.entropy)
+        assert r.kept == (not r.base_failed and inside and above(r, want[r.script]))
+
+
+def test_long_words_are_encoded_whole():
+    word = "".join(chr(97 + k * k % 26) for k in range(5_001))
+    assert fertility.byte_units()[word.encode()] == np.array(fertility.byte_units().encode(" " + word), np.uint16).tobytes()
+
+
 def test_exact_groups(docs):
     groups = collections.defaultdict(list)
     lower = lambda t: (t or "").encode().lower()
@@ -492,8 +687,7 @@ def labelled(spark, n=400):
 
 def test_toxicity(spark):
     docs, labels = labelled(spark)
-    vocabulary, index = toxicity.learn(docs, labels)
-    rows = toxicity.score(docs, vocabulary, index).collect()
+    rows = toxicity.score(docs, toxicity.learn(docs, labels)).collect()
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
     truth = {r.doc_id: r.toxic for r in labels.collect()}
     mine = [r for r in rows if r.doc_id is not None and r.doc_id > 30 and r.held_out]
@@ -501,25 +695,108 @@ def test_toxicity(spark):
     assert all(r.evidence for r in mine if r.predicted)
 
 
+def plain_terms(text):
+    """Counts of words without marks around them and of their beginnings."""
+    out = collections.Counter()
+    for w in text.lower().split():
+        w = w.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+        out.update([w] * bool(w) + ["^" + w[:k] for k in (4, 5) if len(w) > k])
+    return out
+
+
+class PlainNeighbours:
+    """Vocabulary, weights, cosines, votes and calibration without index, bounds, blocks or matrices."""
+
+    def __init__(self, texts, truth):
+        self.truth, n, bad = truth, len(texts), sum(truth)
+        found = [plain_terms(t) for t in texts]
+        df, toxic = collections.Counter(), collections.Counter()
+        for f, y in zip(found, truth):
+            df.update(f.keys())
+            toxic.update({t: y for t in f})
+        self.weight = {}
+        for t, d in df.items():
+            a, c = toxic[t] + 0.5, d - toxic[t] + 0.5
+            odds = math.log(a / (bad + 1)) - math.log(c / (n - bad + 1)) - math.sqrt(1 / a + 1 / c)
+            self.weight[t] = math.log((n + 1) / (d + 0.5)) * (1 + max(odds, 0) ** 2)
+        self.rate = (bad + 0.5) / (n + 1)
+        self.vectors = [self.vector(f) for f in found]
+        votes = [self.vote(v, k) for k, v in enumerate(self.vectors)]
+        self.points = self.steps(votes)
+
+    def vector(self, counts):
+        v = {t: (1 + math.log(c)) * self.weight[t] for t, c in counts.items() if t in self.weight}
+        length = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / length for t, x in v.items()}
+
+    def vote(self, v, without=-1):
+        cosines = [(sum(x * o.get(t, 0.0) for t, x in v.items()), k) for k, o in enumerate(self.vectors) if k != without]
+        best = sorted((c for c in cosines if c[0] > 0), reverse=True)[:15]
+        if not best:
+            return self.rate if not v else None
+        weights = [(c * c, self.truth[k]) for c, k in best]
+        return (sum(w * y for w, y in weights) + 0.02 * self.rate) / (sum(w for w, _ in weights) + 0.02)
+
+    def steps(self, votes):
+        """Isotonic fit by its min-max formula, then the steps as runs of one value."""
+        rows = sorted((v if v is not None else self.rate, y) for v, y in zip(votes, self.truth))
+        mean = lambda xs: sum(xs) / len(xs)
+        ys = [y for _, y in rows]
+        fit = [max(min(mean(ys[a : b + 1]) for b in range(i, len(ys))) for a in range(i + 1)) for i in range(len(ys))]
+        points, top = [], 0
+        for _, run in itertools.groupby(range(len(ys)), key=lambda i: round(fit[i], 12)):
+            run = list(run)
+            top = max(top, (sum(ys[i] for i in run) + 0.5) / (len(run) + 1))
+            points.append((mean([rows[i][0] for i in run]), top))
+        return [(0.0, points[0][1] / 2), *points, (1.0, (1 + points[-1][1]) / 2)]
+
+    def score(self, text):
+        v = self.vector({t: c for t, c in plain_terms(text).items()}) if any(t in self.weight for t in plain_terms(text)) else {}
+        vote = self.vote(v)
+        return self.rate if not v or vote is None else float(np.interp(vote, *zip(*self.points)))
+
+
+def test_toxicity_by_brute_force(spark):
+    """Vocabulary, examples, neighbours, votes and calibration, over more blocks and rare terms than one."""
+    r = random.Random(8)
+
+    def text(toxic):
+        ws = [f"{r.choice('abcdefgh')}{int(r.paretovariate(0.5)) % 900}word" for _ in range(r.randrange(3, 40))]
+        ws += r.sample(["nasty", "nastily,", "vile", "mild"], r.randrange(1, 3)) if toxic or r.random() < 0.1 else []
+        r.shuffle(ws)
+        return " ".join(ws)
+
+    rows = [(i, text(i % 5 == 0)) for i in range(420)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows if i % 7], "doc_id long, toxic int")
+    train = [(t, int(i % 5 == 0)) for i, t in rows if i % 7 and zlib.crc32(str(i).encode()) % 5]
+    plain = PlainNeighbours([t for t, _ in train], [y for _, y in train])
+    rows += [(1000, ""), (1001, None), (1002, "unseen"), (1003, "nasty"), (1004, "w " * 3000)]
+    docs = table(spark, rows)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.learn(docs, labels)).collect()}
+    for i, t in rows:
+        assert got[i] == pytest.approx(plain.score(t or ""), abs=2e-4), i
+    assert len(set(got.values())) > 300
+
+
 def test_block_max_search_is_exact():
     r = random.Random(2)
-    vectors = [tuple(sorted({r.randrange(40): r.randrange(1, 5) for _ in range(r.randrange(6))}.items())) for _ in range(500)]
-    labels = np.array([r.randrange(2) for _ in vectors])
-    idf = np.array([1 + r.random() for _ in range(40)])
-    index = toxicity.build_index(vectors, labels, list(range(500)), idf)
-    dense = np.zeros((len(index.ids), 40))
+    vectors = []
+    for _ in range(1500):
+        some = {int(r.paretovariate(0.4)) % 4000: r.randrange(1, 5) for _ in range(r.randrange(30))}
+        keys = np.array(sorted(some), np.uint64)
+        vectors.append((keys, np.array([some[int(k)] for k in keys], np.int64)))
+    index = toxicity.build_index(vectors, np.array([r.randrange(2) for _ in vectors]), list(range(1500))).ready()
+    dense = np.zeros((len(index.ids), len(index.terms)))
     for place, i in enumerate(index.ids):
-        terms, w = index.weights(vectors[i])
+        terms, w = index.vector(*vectors[i])
         dense[place, terms] = w
-    for query in vectors[:120]:
-        if query:
-            terms, w = index.weights(query)
-            full = np.zeros(40)
-            full[terms] = w
-            want = np.sort(dense @ full)[::-1][: toxicity.NEIGHBOURS]
-            where, cosines = index.nearest(query)
-            assert np.allclose(cosines, want[want > 0][: len(cosines)], atol=1e-9)
-            assert np.allclose(dense[where] @ full, cosines, atol=1e-9)
+    some = [index.vector(*v) for v in vectors[:200]]
+    for (terms, w), common in zip(some, index.common(some)):
+        if len(terms):
+            want = np.sort(dense[:, terms] @ w)[::-1][: toxicity.NEIGHBOURS]
+            where, cosines = index.nearest(terms, w, common)
+            assert len(cosines) == (want > 0).sum() and np.allclose(cosines, want[want > 0], atol=1e-6)
+            assert np.allclose(dense[where][:, terms] @ w, cosines, atol=1e-6)
 
 
 def test_rule_ensemble(spark):

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from evenweave.llm.queries import corpus_oracles, corpus_queries
 from oracle import compare, duck
-from test_llm_operators import base_measures, base_spans, near_groups, sample_texts, table
+from test_llm_operators import above, base_measures, base_spans, expected_fences, near_groups, sample_texts, table
 from evenweave.llm import fertility, packing, units
 
 
@@ -35,7 +35,10 @@ def test_query_returns_every_document(spark, sf_dir, name):
 def expected_stages(rows):
     """What each stage leaves of (id, text) rows, without Spark."""
     vocabulary = fertility.pieces(fertility.model_path(None))
-    verdicts = [m[-1] for m in fertility.measure([(t or "").encode() for _, t in rows], vocabulary)]
+    Measures = collections.namedtuple("Measures", [f.split()[0] for f in fertility.FIELDS.split(", ")])
+    found = [Measures(*m) for m in fertility.measure([(t or "").encode() for _, t in rows], vocabulary)]
+    fences = expected_fences(found)
+    verdicts = [r.kept and above(r, fences[r.script]) for r in found]
     assert not any(v and base_measures(t)[-1] for v, (_, t) in zip(verdicts, rows))
     good = [r for r, v in zip(rows, verdicts) if v]
     yield good
