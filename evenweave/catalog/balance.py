@@ -206,6 +206,25 @@ def k5_rank(spark, sf_dir):
     return Q.hash_rank(orders, "l_orderkey", "rank")
 
 
+_LINE_ID = "l_orderkey * 10 + l_linenumber"
+
+
+@query("K5_K8_quota_of_many_values", f"""
+WITH n AS (SELECT (SELECT count(*) FROM lineitem) // count(*) AS base, (SELECT count(*) FROM lineitem) % count(*) AS more FROM part),
+ranked AS (SELECT {_LINE_ID} AS row_id, row_number() OVER (ORDER BY md5('42:part:' || ({_LINE_ID})), {_LINE_ID}) - 1 AS rk FROM lineitem),
+placed AS (SELECT row_id, CASE WHEN rk < more * (base + 1) THEN rk // (base + 1) ELSE more + (rk - more * (base + 1)) // base END AS place
+           FROM ranked, n)
+SELECT row_id, p_partkey AS part FROM placed JOIN (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS place FROM part) USING (place)""")
+def k5_many(spark, sf_dir):
+    """Every line goes to a part: as many values as there are parts, each with its exact count."""
+    lines = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"))
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("value"))
+    n, v = lines.agg(F.count("*")).scalar(), parts.agg(F.count("*")).scalar()
+    more = (F.col("value") < F.pmod(n, v)).cast("long")  # keys are dense from 0
+    quota = parts.select(F.col("value").alias("position"), "value", (F.call_function("div", n, v) + more).alias("count"))
+    return Q.assign_quota_table(lines, "row_id", quota, "part")
+
+
 @query("K6_equal_thirds", f"""
 SELECT row_id, attention_score, predicted_ctr, likelihood_shares
 FROM ({quota_sql('attention_score', V.LEVELS)}) a

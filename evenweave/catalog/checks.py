@@ -216,6 +216,26 @@ def v15_v16(spark, sf_dir):
     return C.text_rules(table(spark, sf_dir, "documents"), "text", V.BANNED_TERMS)
 
 
+# Terms from names of parts, customers and suppliers, as many as these tables give, and beginnings of words of the texts.
+_TERMS_SQL = """
+SELECT lower(p_name) AS term FROM part UNION SELECT lower(c_name) FROM customer UNION SELECT lower(s_name) FROM supplier
+UNION SELECT lower(substr(text, 10, 9)) FROM documents WHERE doc_id % 7 = 0 AND length(text) > 20 UNION SELECT ''"""
+
+
+@query("V16_many_terms", f"""
+WITH terms AS (SELECT DISTINCT term FROM ({_TERMS_SQL}) WHERE term <> '')
+SELECT 'V16' AS "check", 'text' AS key, CAST(0 AS BIGINT) AS expected, count(*) AS actual FROM documents
+WHERE EXISTS (SELECT 1 FROM terms WHERE contains(lower(text), term)) HAVING count(*) > 0""")
+def v16_many(spark, sf_dir):
+    """Names of all parts, customers and suppliers, and pieces of texts, as banned terms."""
+    docs = table(spark, sf_dir, "documents")
+    names = [table(spark, sf_dir, t).select(F.col(c).alias("term")) for t, c in (
+        ("part", "p_name"), ("customer", "c_name"), ("supplier", "s_name"))]
+    pieces = docs.where("doc_id % 7 = 0 AND length(text) > 20").select(F.substring("text", 10, 9).alias("term"))
+    terms = names[0].union(names[1]).union(names[2]).union(pieces)
+    return C.text_rules(docs, "text", terms).where(F.col("check") == "V16")
+
+
 @query("V14_V15_V16_text_checks", f"""
 SELECT * FROM ({_row('V14', "'text'", '0', 'count(*)')}
 FROM (SELECT text FROM documents WHERE {_LEN} > 5 GROUP BY text HAVING count(*) > 1)) WHERE actual > 0

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 
 from evenweave.functions.text import contains_any, digest, is_filled, stripped_length
 from evenweave.operators.skeleton import list_rank, lookup
+from evenweave.operators.terms import flag_terms
 from evenweave.spec import BalanceSpec
 
 VIOLATION = "check string, key string, expected long, actual long"
@@ -199,11 +200,19 @@ def _text_violations(counts: DataFrame, column: str, checks: dict[str, str]) ->
     ).where("actual > 0")
 
 
-def text_rules(df: DataFrame, column: str, banned: list[str], shorter_than: int = 5) -> DataFrame:
-    """V15 and V16 in one pass: tiny texts, and texts with a banned term."""
-    counts = df.agg(
-        F.count_if(stripped_length(column) < shorter_than).alias("tiny"),
-        F.count_if(contains_any(column, banned)).alias("banned"),
+def text_rules(df: DataFrame, column: str, banned: list[str] | DataFrame, shorter_than: int = 5) -> DataFrame:
+    """V15 and V16 in one pass: tiny texts, and texts with a banned term.
+
+    A list of terms is searched term by term, which suits a few dozen. A DataFrame of terms (its first column) may hold
+    any number: one automaton reads every text once.
+    """
+    texts = df.select(F.col(column).alias("_text"))
+    if isinstance(banned, DataFrame):
+        texts = flag_terms(texts, "_text", banned, banned.columns[0])
+    else:
+        texts = texts.withColumn("banned", contains_any("_text", banned))
+    counts = texts.agg(
+        F.count_if(stripped_length("_text") < shorter_than).alias("tiny"), F.count_if("banned").alias("banned"),
     )
     return _text_violations(counts, column, {"V15": "tiny", "V16": "banned"})
 

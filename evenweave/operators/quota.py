@@ -139,6 +139,48 @@ def assign_quotas(
     return out.drop("_cuts")
 
 
+QUOTA_BLOCK = 1024  # ranks that meet the values of their stretch in one join key
+
+
+def quota_ranges(quota: DataFrame, position: str, count: str, block: int = 4096) -> DataFrame:
+    """``quota`` with ``low`` and ``high``: the ranks of each value, in the order of its dense 0-based ``position``.
+
+    Sums in two levels, within blocks of positions and over the blocks, so any number of values is no single task.
+    """
+    part = F.call_function("div", F.col(position).cast("long"), F.lit(block).cast("long"))
+    named = quota.withColumn("_part", part)
+    totals = named.groupBy("_part").agg(F.sum(count).alias("_n"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # one row for 4,096 values
+    totals = totals.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = W.partitionBy("_part").orderBy(position).rowsBetween(W.unboundedPreceding, 0)
+    ranged = named.join(totals, "_part").withColumn("high", F.col("_base") + F.sum(count).over(inside))
+    return ranged.withColumn("low", F.col("high") - F.col(count)).drop("_part", "_base")
+
+
+def assign_quota_table(
+    df: DataFrame, id_col: str, quota: DataFrame, out: str, seed: int = 42, digits: int | None = None
+) -> DataFrame:
+    """K5-K8 for any number of values: ``quota`` has ``position`` (dense, from 0), ``value`` and ``count``.
+
+    Same assignment as ``assign_quotas``. Rows get their global rank in hash order; a value's ranks fall into blocks of
+    ``QUOTA_BLOCK``, and rows meet in their block the values that reach into it: an equality join on evenly filled keys,
+    in which no table is broadcast. The counts must add up to the number of rows, or the query fails.
+    """
+    spread = quota_ranges(quota.select("position", "value", F.col("count").cast("long").alias("count")), "position", "count")
+    spread = spread.where("count > 0").withColumn(
+        "_block", F.explode(F.expr(f"sequence(low div {QUOTA_BLOCK}, (high - 1) div {QUOTA_BLOCK})")))
+    spread = spread.select("_block", F.col("low").alias("_low"), F.col("high").alias("_high"), F.col("value").alias("_value"))
+    if digits is None:
+        digits = bucket_digits(df.count())
+    ranked = hash_rank(df, id_col, out, seed, "_rank", digits).withColumn("_block", F.expr(f"_rank div {QUOTA_BLOCK}"))
+    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    wanted = quota.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n")).scalar()
+    message = F.concat(F.lit("quota counts do not add up to the number of rows: "), rows.cast("string"))
+    met = ranked.join(spread, "_block", "left").where("_low IS NULL OR _rank >= _low AND _rank < _high")
+    value = F.when(rows != wanted, F.raise_error(message)).otherwise(F.col("_value"))
+    return met.select(*df.columns, value.alias(out))
+
+
 def allocate(df: DataFrame, total: Column | str, values: list[str]) -> DataFrame:
     """K8 on a table of totals: rows ``(..., value, quota)`` by the remainder rule."""
     n = F.col(total) if isinstance(total, str) else total
