@@ -229,6 +229,31 @@ def e13(spark, sf_dir):
     return asked.select("conv_id", "turn", "raw")
 
 
+def numbering_generator():
+    """Answers with the prompt and the generator it came from."""
+    def factory():
+        return lambda prompt, system, temperature: f"asked {prompt}"
+
+    return factory
+
+
+@query("E13_S11_answers_kept", """
+SELECT doc_id, CASE WHEN lang = 'en' THEN 'stored ' ELSE 'asked ' END || lang || ' ' || source AS raw,
+  (SELECT count(DISTINCT lang || ' ' || source) FROM documents) AS stored, (SELECT count(DISTINCT lang || ' ' || source) FROM documents) AS answers
+FROM documents""")
+def e13_kept(spark, sf_dir):
+    """Prompts that repeat, over a store with some answers: every other prompt is asked once, and a second round asks nothing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.concat_ws(" ", "lang", "source").alias("prompt"))
+    opts = LadderOptions(factory=numbering_generator(), in_flight=4, answers=new_run_dir(spark) + "/answers")
+    english = docs.where("lang = 'en'").select("doc_id", "prompt")
+    teller = LadderOptions(factory=lambda: lambda p, s, t: f"stored {p}", answers=opts.answers)
+    ask_all(english, 100, teller, "be brief", 0.5)
+    first = ask_all(docs, 100, opts, "be brief", 0.5)
+    stored = spark.read.parquet(opts.answers).agg(F.count("*")).scalar()
+    again = ask_all(docs, 100, opts, "be brief", 0.5).agg(F.count_distinct("raw")).scalar()
+    return first.select("doc_id", "raw", stored.alias("stored"), again.alias("answers"))
+
+
 def staged_generator():
     """Decides by the ids in the prompt, so that every phase of the ladder has work to do.
 

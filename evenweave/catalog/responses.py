@@ -44,28 +44,36 @@ def damaged_responses(spark, sf_dir):
     return grouped.select("batch_id", raw.alias("raw"))
 
 
-def _found_sql(kinds: str) -> str:
+def _found_sql(kinds: str, cut: bool = False) -> str:
+    """Per response the items a strategy recovers, with their values."""
+    quoted = "'say'" if cut else "'say ''hi'' ' || event_type || ' by user ' || user_id"
+    text = f"CASE WHEN (event_id // 10) % 6 = 2 THEN {quoted} ELSE event_type || ' by user ' || user_id END"
     return f"""
-SELECT event_id // 10 AS batch_id, CAST(CASE WHEN (event_id // 10) % 6 IN ({kinds}) THEN count(*) ELSE 0 END AS INTEGER) AS n
+SELECT event_id // 10 AS batch_id, CAST(CASE WHEN (event_id // 10) % 6 IN ({kinds}) THEN count(*) ELSE 0 END AS INTEGER) AS n,
+  CASE WHEN (event_id // 10) % 6 IN ({kinds})
+    THEN string_agg((event_id % 10 + 1) || '|' || {text} || '|' || event_type, ';' ORDER BY event_id) ELSE '' END AS items
 FROM events GROUP BY event_id // 10"""
 
 
 def _strategy_query(build):
     def run(spark, sf_dir):
-        items = build(F.col("raw"), "text", KEYS)
-        return damaged_responses(spark, sf_dir).select("batch_id", F.coalesce(F.size(items), F.lit(0)).alias("n"))
+        found = damaged_responses(spark, sf_dir).withColumn("found", build(F.col("raw"), "text", KEYS))
+        one = lambda i: F.concat_ws("|", *(F.try_element_at(i, F.lit(k)) for k in ("id", *KEYS)))
+        return found.select(
+            "batch_id", F.coalesce(F.size("found"), F.lit(0)).alias("n"),
+            F.coalesce(F.array_join(F.transform("found", one), ";"), F.lit("")).alias("items"))
 
     return run
 
 
-for _name, _build, _kinds in [
-    ("X1_direct_items", X.items_direct, "0"),
-    ("X2_clean_items", X.items_clean, "0, 1"),
-    ("X3_fixed_items", X.items_fix, "0, 1, 2"),
-    ("X4_line_items", X.items_line, "0, 1, 2, 3"),
-    ("X5_regex_items", X.items_regex, "0, 1, 2, 3, 4"),
+for _name, _build, _kinds, _cut in [
+    ("X1_direct_items", X.items_direct, "0", False),
+    ("X2_clean_items", X.items_clean, "0, 1", False),
+    ("X3_fixed_items", X.items_fix, "0, 1, 2", False),
+    ("X4_line_items", X.items_line, "0, 1, 2, 3", False),
+    ("X5_regex_items", X.items_regex, "0, 1, 2, 3, 4", True),
 ]:
-    query(_name, _found_sql(_kinds))(_strategy_query(_build))
+    query(_name, _found_sql(_kinds, _cut))(_strategy_query(_build))
 
 _STRATEGY = f"({sql_list(X.STRATEGIES)})[(event_id // 10) % 6 + 1]"
 

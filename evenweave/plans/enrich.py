@@ -9,7 +9,9 @@ at most the calls of its own unfinished tasks.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenweave.functions.text import clean_text, is_filled
+from evenweave.functions.text import clean_text, digest, is_filled
 from evenweave.operators.assign import (
     add_batches,
     apply_fills,
@@ -31,6 +33,7 @@ from evenweave.operators.assign import (
     number_lines,
     pick_items,
 )
+from evenweave.operators.bits import bit_table, maybe_in
 from evenweave.operators.extract import Cascade, extract_single
 from evenweave.session import materialize, materialize_counting, new_run_dir
 from evenweave.sources.ledger import append_responses
@@ -50,6 +53,9 @@ class LadderOptions:
     ``requests_per_task`` to a task, to ``MOST_TASKS`` tasks at most; small tasks also limit what has to be asked
     again when an executor is lost. ``concurrency`` sets the number of tasks, hence the most calls at a time.
     ``align`` says how the items of an answer find their rows: by ``position``, or by the ``id`` that prompts ask for.
+    ``in_flight`` is the number of calls a task makes at a time, each by a generator of its own; answers keep their order.
+    ``answers`` names a folder for answers, kept across runs: equal prompts of a round are asked once, and what was answered
+    there, in a run that broke off say, is not asked again. A retry is another round, so it does ask again.
     """
 
     factory: Callable[[], Generate]
@@ -64,6 +70,8 @@ class LadderOptions:
     concurrency: int | None = None
     requests_per_task: int = 64
     align: str = "position"
+    in_flight: int = 1
+    answers: str | None = None
 
     def tasks(self, requests: int) -> int:
         """Number of tasks for so many requests."""
@@ -82,7 +90,7 @@ class LadderRun:
 
 def ask_generator(opts: LadderOptions, system: str, temperature: float):
     """The only place where Python runs: prompts in, raw responses out, errors become null."""
-    factory, secondary = opts.factory, opts.secondary
+    factory, secondary, in_flight = opts.factory, opts.secondary, opts.in_flight
 
     def attempt(generate, prompt):
         try:
@@ -91,16 +99,21 @@ def ask_generator(opts: LadderOptions, system: str, temperature: float):
             return None
 
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        first = factory()
-        second = secondary() if secondary else None
-        for prompts in batches:
-            answers = []
-            for prompt in prompts:
-                answer = attempt(first, prompt)
-                if answer is None and second is not None:
-                    answer = attempt(second, prompt)
-                answers.append(answer)
-            yield pd.Series(answers, dtype="object")
+        mine = threading.local()  # a generator need not be safe for several threads
+
+        def answer(prompt):
+            if not hasattr(mine, "first"):
+                mine.first, mine.second = factory(), secondary() if secondary else None
+            found = attempt(mine.first, prompt)
+            return attempt(mine.second, prompt) if found is None and mine.second is not None else found
+
+        if in_flight == 1:
+            for prompts in batches:
+                yield pd.Series([answer(p) for p in prompts], dtype="object")
+            return
+        with ThreadPoolExecutor(in_flight) as pool:
+            for prompts in batches:
+                yield pd.Series(list(pool.map(answer, prompts)), dtype="object")
 
     ask.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(ask, "string").asNondeterministic()
@@ -108,13 +121,40 @@ def ask_generator(opts: LadderOptions, system: str, temperature: float):
 
 def ask_all(
     requests: DataFrame, n: int, opts: LadderOptions, system: str, temperature: float,
-    keys: tuple[str, ...] = ("batch_id", "chunk", "pos"),
+    keys: tuple[str, ...] = ("batch_id", "chunk", "pos"), turn: str = "",
 ) -> DataFrame:
-    """Ask for every request, about ``n`` of them. A given partition count is not coalesced by size."""
+    """Ask for every request, about ``n`` of them. A given partition count is not coalesced by size.
+
+    ``turn`` tells rounds apart, for the store of answers.
+    """
+    if opts.answers:
+        return _ask_once(requests, n, opts, system, temperature, turn)
     requests = requests.repartition(opts.tasks(n), *keys)
     return requests.withColumn("raw", ask_generator(opts, system, temperature)(F.col("prompt")))
 
 
+def _ask_once(requests: DataFrame, n: int, opts: LadderOptions, system: str, temperature: float, turn: str) -> DataFrame:
+    """Answers from the store; prompts that are not there are asked once each, and their answers stored.
+
+    Prompts are matched by digest, so no prompt is shuffled but those to be asked. Of the store only digests that the
+    requests may hold are.
+    """
+    spark, path = requests.sparkSession, opts.answers.rstrip("/")
+    words = (F.lit(system), F.lit(str(round(temperature, 6))), F.lit(turn), F.col("prompt"))
+    keyed = requests.withColumn("_digest", digest(F.concat_ws("\x1f", *words)))
+    schema = "d binary, raw string"
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)  # a new store is empty
+    stored = spark.read.schema(schema).parquet(path)
+    bits = bit_table(keyed, F.xxhash64("_digest"))
+    known = maybe_in(stored, F.xxhash64("d"), bits)
+    new = keyed.groupBy(F.col("_digest").alias("d")).agg(F.first("prompt").alias("prompt")).join(known, "d", "left_anti")
+    asked = new.repartition(opts.tasks(n), "d").withColumn("raw", ask_generator(opts, system, temperature)(F.col("prompt")))
+    asked.where("raw IS NOT NULL").select("d", "raw").write.mode("append").parquet(path)
+    answers = maybe_in(spark.read.schema(schema).parquet(path), F.xxhash64("d"), bits)
+    answers = answers.groupBy(F.col("d").alias("_digest")).agg(F.min("raw").alias("raw"))  # as runs may overlap
+    return keyed.join(answers, "_digest", "left").drop("_digest")
+
+
 def call_label(phase: int, attempt: Column) -> Column:
     """Readable label of a call, such as ``b001_p3m0_a1`` or ``b001_p4s7_v2``."""
     kind = {1: F.lit("p1_a"), 2: F.lit("p2_a")}.get(phase)
@@ -174,9 +214,9 @@ class _Ladder:
         pending = units.withColumn("prompt", prompt)
         answered, self.open_units = [], 0
         for attempt in range(1, self.retries + 1):
-            called = ask_all(pending, n, self.opts, task.system_prompt, self.temperature).withColumns(
-                {"phase": F.lit(phase), "attempt": F.lit(attempt), "label": call_label(phase, F.lit(attempt))}
-            )
+            called = ask_all(
+                pending, n, self.opts, task.system_prompt, self.temperature, turn=f"p{phase}_a{attempt}"
+            ).withColumns({"phase": F.lit(phase), "attempt": F.lit(attempt), "label": call_label(phase, F.lit(attempt))})
             # Ask, parse and assign in one job; what follows only reads the written result.
             done, seen = materialize_counting(
                 self._assigned(self.cascade.apply(called)),
@@ -288,7 +328,8 @@ class _Ladder:
         for v in range(opts.variations):
             temperature = min(self.temperature + v * opts.temperature_step, opts.max_temperature)
             called = ask_all(
-                pending.withColumn("prompt", task.single_prompt(v)), n, opts, task.single_system, temperature
+                pending.withColumn("prompt", task.single_prompt(v)), n, opts, task.single_system, temperature,
+                turn=f"p4_v{v}",
             )
             for columns in self.single:
                 called = called.withColumns(columns)

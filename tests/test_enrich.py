@@ -15,6 +15,7 @@ from evenweave.operators import assign as A
 from evenweave.operators import checks as C
 from evenweave.operators.skeleton import build_skeleton
 from evenweave.plans.enrich import (
+    ask_all,
     LadderOptions,
     is_task_complete,
     phase_report,
@@ -212,6 +213,65 @@ def test_single_prompts_do_not_read_the_table_again(spark, tmp_path):
     assert "Join" not in seen[0] and scans(pending) == 1 and {"theme", "object_detected"} <= set(pending.columns)
 
 
+def counting_factory(folder, wait=0.0):
+    """Generators that note every call in a file of its own."""
+    def factory():
+        import os
+        import time
+        import uuid
+
+        def generate(prompt, system, temperature):
+            begin = time.time()
+            time.sleep(wait)
+            with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+                f.write(f"{os.getpid()} {begin} {time.time()}")
+            return None if prompt.endswith("7") else f"answer to {prompt}"
+
+        return generate
+
+    return factory
+
+
+def test_calls_overlap_and_keep_their_order(spark, tmp_path):
+    asked = spark.range(40).select(F.col("id"), F.concat(F.lit("prompt "), F.col("id")).alias("prompt")).coalesce(1)
+    opts = LadderOptions(factory=counting_factory(str(tmp_path), 0.05), in_flight=8, concurrency=1)
+    got = ask_all(asked, 40, opts, "", 0.5, keys=("id",)).collect()
+    assert {r.id: r.raw for r in got} == {i: None if i % 10 == 7 else f"answer to prompt {i}" for i in range(40)}
+    calls = [tuple(map(float, f.read_text().split())) for f in tmp_path.iterdir()]
+    most = max(sum(b <= t < e for _, b, e in calls) for _, t, _ in calls)
+    assert len(calls) == 40 and 2 <= most <= 8
+
+
+def test_answers_are_kept(spark, tmp_path):
+    """Equal prompts are asked once; a later run asks only what had no answer; a retry asks again."""
+    asked = spark.range(60).select(F.col("id"), F.concat(F.lit("prompt "), F.col("id") % 10).alias("prompt"))
+    opts = LadderOptions(factory=counting_factory(str(tmp_path)), answers=new_run_dir(spark) + "/answers")
+    want = {i: None if i % 10 == 7 else f"answer to prompt {i % 10}" for i in range(60)}
+    for turn, calls in (("a1", 10), ("a1", 11), ("a2", 21)):
+        got = ask_all(asked, 60, opts, "", 0.5, turn=turn).collect()
+        assert {r.id: r.raw for r in got} == want and len(list(tmp_path.iterdir())) == calls, turn
+
+
+def test_a_run_that_broke_off_asks_nothing_again(spark, tmp_path):
+    def factory():
+        answer, count = make_answer(), counting_factory(str(tmp_path))()
+
+        def generate(prompt, system, temperature):
+            count(prompt, system, temperature)
+            return answer(prompt, system, temperature)
+
+        return generate
+
+    path = new_run_dir(spark) + "/answers"
+    task = TASKS.get("text")
+    first = run_ladder(table(spark, 40), task, LadderOptions(factory=factory, answers=path)).fills.collect()
+    calls = len(list(tmp_path.iterdir()))
+    again = run_ladder(table(spark, 40), task, LadderOptions(factory=factory, answers=path)).fills.collect()
+    assert sorted(again) == sorted(first) and calls
+    plain = run_ladder(table(spark, 40), task, LadderOptions(factory=make_answer)).fills.collect()
+    assert sorted(plain) == sorted(first)
+
+
 def test_waves_are_written_once(spark):
     """No wave joins the saved values again, and each reads its own folder."""
     from evenweave.plans.enrich import _parts
