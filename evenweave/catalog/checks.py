@@ -12,6 +12,7 @@ from evenweave.catalog import balance as B
 from evenweave.catalog.registry import query, sql_case, sql_list, sql_strip, sql_text, table
 from evenweave.example import ad_spec
 from evenweave.operators import checks as C
+from evenweave.operators.cells import CellStore
 from evenweave.operators.skeleton import list_rank
 from evenweave.session import materialize, new_run_dir
 
@@ -384,6 +385,20 @@ def v18(spark, sf_dir):
     return C.verify_skeleton(df, spec, total_rows=n, quotas=B.orders_quotas(n))
 
 
+@query("V4_V13_checks_of_three_waves", _composite_sql("V4", True, ["V4", "V5", "V6", "V7", "V8", "V9", "V10", "V11", "V13"]))
+def v_waves(spark, sf_dir):
+    """Counts kept over three waves and a correction: the first wave comes undamaged in part and is put right later."""
+    df, spec, n = _damaged_with_spec(spark, sf_dir)
+    store = CellStore(spark, new_run_dir(spark) + "/cells", spec)
+    waves = [df.where(F.col("row_id") % 3 == k) for k in range(3)]
+    early = waves[0].withColumn("emotion", F.when(F.col("row_id") % 2 == 0, F.lit("Joy")).otherwise(F.col("emotion")))
+    store.add(early)
+    store.add(waves[1])
+    store.change(early, waves[0])
+    store.add(waves[2])
+    return store.compact().violations(n, B.orders_quotas(n))
+
+
 @query("V19_validate_dataset", _composite_sql("V3", False, ["V4", "V5", "V6", "V9", "V10", "V11", "V14", "V15_16"]))
 def v19(spark, sf_dir):
     df, spec, n = _damaged_with_spec(spark, sf_dir)

@@ -157,17 +157,22 @@ def _below_predecessor(keyed: DataFrame, row_id: str, chunk_rows: int) -> DataFr
     )
 
 
-def code_mapping(df: DataFrame, codes: dict[str, dict], suffix: str = "_num") -> DataFrame:
-    """Per coded column the number of rows whose code is not the one of the value; one pass."""
+def code_mismatches(df: DataFrame, codes: dict[str, dict], suffix: str = "_num") -> DataFrame:
+    """``(column, n)``: per coded column the number of rows whose code is not the one of the value; one pass."""
     bad = [
         F.count_if(~_same(lookup(c, m), F.col(f"{c}{suffix}"))).alias(f"n{i}")
         for i, (c, m) in enumerate(codes.items())
     ]
     pairs = F.array(
-        *[F.struct(F.lit(c).alias("c"), F.col(f"n{i}").alias("n")) for i, c in enumerate(codes)]
+        *[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n")) for i, c in enumerate(codes)]
     )
-    out = df.agg(*bad).select(F.explode(pairs).alias("p"))
-    return _violations(out, "V13", F.col("p.c"), F.lit(0), F.col("p.n")).where("actual > 0")
+    return df.agg(*bad).select(F.explode(pairs).alias("p")).select("p.column", "p.n")
+
+
+def code_mapping(df: DataFrame, codes: dict[str, dict], suffix: str = "_num") -> DataFrame:
+    """Coded columns with rows whose code is not the one of the value."""
+    out = code_mismatches(df, codes, suffix)
+    return _violations(out, "V13", F.col("column"), F.lit(0), F.col("n")).where("actual > 0")
 
 
 def _per_text(df: DataFrame, **tests: Column) -> DataFrame:
@@ -350,11 +355,12 @@ def cells_to_checks(cells: DataFrame, spec: BalanceSpec) -> DataFrame:
     return exploded.groupBy("c.check", "c.key").agg(F.sum("n").alias("actual"))
 
 
-def _count_checks(
-    df: DataFrame, spec: BalanceSpec, checks: list[str], strict: bool, total_rows: int, quotas=None
+def judge_cells(
+    cells: DataFrame, spec: BalanceSpec, checks: list[str], strict: bool, total_rows: int, quotas=None
 ) -> DataFrame:
-    actual = cells_to_checks(observed_cells(df, spec), spec).where(F.col("check").isin(checks))
-    expected = expected_cells(df.sparkSession, spec, total_rows, quotas).where(F.col("check").isin(checks))
+    """Violations of the count checks from a cell table, whatever rows it was counted from."""
+    actual = cells_to_checks(cells, spec).where(F.col("check").isin(checks))
+    expected = expected_cells(cells.sparkSession, spec, total_rows, quotas).where(F.col("check").isin(checks))
     joined = expected.join(actual, ["check", "key"], "full").select(
         "check", "key", "expected", F.coalesce("actual", F.lit(0)).alias("actual")
     )
@@ -366,7 +372,7 @@ def _count_checks(
     return bad.where("expected <> actual")
 
 
-def _skip_cells_of_failed_items(bad: DataFrame) -> DataFrame:
+def skip_cells_of_failed_items(bad: DataFrame) -> DataFrame:
     """V8/V9 are not judged for items whose total (V7) is already wrong.
 
     A window over the violations, not a join of them with themselves, so the data is scanned once.
@@ -407,7 +413,7 @@ def verify_skeleton(
     """V2, V4-V13 on a table with ``row_id``."""
     total = spec.total_rows if total_rows is None else total_rows
     checks = ["V2", "V4", "V5", "V6", "V7", "V8", "V9", "V10", "V11"]
-    counts = _skip_cells_of_failed_items(_count_checks(df, spec, checks, True, total, quotas))
+    counts = skip_cells_of_failed_items(judge_cells(observed_cells(df, spec), spec, checks, True, total, quotas))
     labels = [spec.group_col, spec.item_col, spec.label_col, spec.tone_col]
     return _union(
         [
@@ -432,7 +438,7 @@ def validate_dataset(
         return missing_columns(df, spec.column_order)
     total = spec.total_rows if total_rows is None else total_rows
     checks = ["V2", "V4", "V5", "V6", "V9", "V10", "V11"]
-    counts = _count_checks(df, spec, checks, False, total, quotas)
+    counts = judge_cells(observed_cells(df, spec), spec, checks, False, total, quotas)
     lenient = counts.withColumn("check", F.when(F.col("check") == "V4", "V3").otherwise(F.col("check")))
     return _union([lenient, text_checks(df, text_col, banned)])
 
