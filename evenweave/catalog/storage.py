@@ -184,16 +184,16 @@ def s3_s6(spark, sf_dir):
 SELECT doc_id AS row_id, 1 AS phase, source AS text FROM documents WHERE doc_id % 2 = 0
 UNION ALL SELECT doc_id, 2, lang FROM documents WHERE doc_id % 2 = 1""")
 def s9(spark, sf_dir):
-    """Two waves of saved values; rows saved twice keep the later value."""
+    """Two waves of saved values in ranges of 150 rows, one of them compacted; rows saved twice keep the later value."""
     docs = _documents(spark, sf_dir)
-    store = L.ProgressStore(new_run_dir(spark) + "/progress")
-    path = store._snapshot_path("quality", "d")
+    store = L.ProgressStore(new_run_dir(spark) + "/progress", range_batches=5)
     waves = [
         docs.select("row_id", F.lit(1).alias("phase"), F.col("source").alias("text"), F.lit(1).cast("long").alias("saved_us")),
         docs.where("row_id % 2 = 1").select("row_id", F.lit(2).alias("phase"), F.col("lang").alias("text"), F.lit(2).cast("long").alias("saved_us")),
     ]
     for wave in waves:
-        wave.write.mode("append").parquet(path)
+        store.append_values(wave, "quality", "d", 30)
+    store.compact(spark, TEXT_TASK, "d", 1)
     return store.snapshot(spark, TEXT_TASK, "d").select("row_id", "phase", "text")
 
 

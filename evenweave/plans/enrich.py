@@ -460,21 +460,28 @@ def _fill(
     n_batches = -(-before["total"] // size)
     wave = batches_per_wave or n_batches
     fingerprint = before["fingerprint"]
-    work, first_batch, completed = df, 0, before["filled"]
+    work, first_batch, completed, finished = df, 0, before["filled"], set()
     if not resume or not store.has_snapshot(spark, name, fingerprint):
         store.reset(spark, task, fingerprint)
-    else:  # saved values are never asked for again, whatever the ledger says
-        work = apply_fills(df, store.snapshot(spark, task, fingerprint), task.output_columns)
+    else:  # saved values are never asked for again, whatever the ledger says; finished ranges are not even read
+        finished = store.finished_parts(spark, name, fingerprint)
+        here = store.part_of(F.col("row_id"), size)
+        rows = df.where(~here.isin(*sorted(finished))) if finished else df
+        saved = store.snapshot(spark, task, fingerprint, store.parts(spark, name, fingerprint, "open"))
+        work = apply_fills(rows, saved, task.output_columns)
         progress = store.load(name, fingerprint, spark)
         if progress is not None:
             first_batch, completed = progress["completed_batches"], progress["completed_rows"]
         else:
-            completed = fill_status(work, task.primary_column, task.min_length).first()["filled"]
-        if completed == before["total"]:
-            return work
+            each = size * store.range_batches
+            completed = fill_status(work, task.primary_column, task.min_length).first()["filled"] + sum(
+                min((k + 1) * each, before["total"]) - k * each for k in finished)
     waves = [(s, min(s + wave, n_batches)) for s in range(first_batch, n_batches, wave)]
-    if revisit_gaps and first_batch:
+    before_it = set(range(-(-first_batch // store.range_batches)))
+    if revisit_gaps and not before_it <= finished:
         waves.insert(0, (0, first_batch))
+    if completed == before["total"]:
+        waves = []
     for (start, end), part in zip(waves, _parts(work, waves, size)):
         run = run_ladder(part, task, options)
         if run.responses is not None:
@@ -485,9 +492,27 @@ def _fill(
         store.save(
             fills, task, fingerprint, max(end, first_batch), n_batches, completed, before["total"], size
         )
+        _compact_finished(df, task, store, fingerprint, start, end, n_batches, size)
     return apply_fills(df, store.snapshot(spark, task, fingerprint), task.output_columns)
 
 
+def _compact_finished(
+    df: DataFrame, task: TaskSpec, store, fingerprint: str, start: int, end: int, n_batches: int, size: int
+) -> None:
+    """Compacts the ranges that end with a wave's batches, if all their rows are filled."""
+    each, spark = store.range_batches, df.sparkSession
+    last = n_batches // each if end < n_batches else -(-n_batches // each)
+    ended = [k for k in range(start // each, last) if min((k + 1) * each, n_batches) <= end]
+    if not ended:
+        return
+    here = store.part_of(F.col("row_id"), size)
+    rows = df.where(here.isin(*ended))
+    filled = apply_fills(rows, store.snapshot(spark, task, fingerprint, set(ended)), task.output_columns)
+    whole = F.bool_and(is_filled(task.primary_column, task.min_length)).alias("whole")
+    for r in filled.groupBy(here.alias("part")).agg(whole).where("whole").collect():  # a row per range
+        store.compact(spark, task, fingerprint, r["part"])
+
+
 def _parts(work: DataFrame, waves: list[tuple[int, int]], size: int) -> Iterator[DataFrame]:
     """The rows of each wave. Several waves are written once, a folder each, so that no wave joins the saved values again."""
     if len(waves) < 2:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,10 +79,15 @@ def status(ledger: DataFrame) -> DataFrame:
 
 
 class ProgressStore:
-    """Ledger and snapshots below one shared folder. Keyed by task and by the data set itself."""
+    """Ledger and snapshots below one shared folder. Keyed by task and by the data set itself.
 
-    def __init__(self, path: str, model: str = "", profile: str = ""):
-        self.path, self.model, self.profile = path.rstrip("/"), model, profile
+    A snapshot lies in ranges of ``range_batches`` batches, a folder each. Waves append to the ``open`` folders. A range
+    whose rows are all filled is compacted: its newest values go to a ``whole`` folder, one row each, and its open folder
+    goes. So a run that resumes reads the open ranges only.
+    """
+
+    def __init__(self, path: str, model: str = "", profile: str = "", range_batches: int = 1000):
+        self.path, self.model, self.profile, self.range_batches = path.rstrip("/"), model, profile, range_batches
 
     @property
     def ledger_path(self) -> str:
@@ -115,10 +121,49 @@ class ProgressStore:
         row = spark.createDataFrame([tuple(record.get(n) for n in names)], LEDGER_SCHEMA)
         row.coalesce(1).write.mode("append").json(self.ledger_path)
 
+    def _folder(self, spark: SparkSession, path: str):
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
     def reset(self, spark: SparkSession, task: TaskSpec, fingerprint: str) -> None:
         """Start over: earlier saved values of this task and data set are not used again."""
-        empty = spark.createDataFrame([], self._snapshot_schema(task))
-        empty.write.mode("overwrite").parquet(self._snapshot_path(task.name, fingerprint))
+        files, where = self._folder(spark, self._snapshot_path(task.name, fingerprint))
+        files.delete(where, True)
+        files.mkdirs(where)
+
+    def part_of(self, row_id: Column, batch_rows: int) -> Column:
+        """Range of a row."""
+        rows = F.lit(batch_rows * self.range_batches).cast("long")
+        return F.call_function("div", row_id.cast("long"), rows)
+
+    def append_values(self, values: DataFrame, task: str, fingerprint: str, batch_rows: int) -> None:
+        """Adds values (row_id, phase, columns, saved_us) to the open ranges of their rows."""
+        path = f"{self._snapshot_path(task, fingerprint)}/open"
+        values.withColumn("part", self.part_of(F.col("row_id"), batch_rows)).write.mode("append").partitionBy("part").parquet(path)
+
+    def parts(self, spark: SparkSession, task: str, fingerprint: str, kind: str) -> set[int]:
+        """Ranges that have an ``open`` or a ``whole`` folder."""
+        files, where = self._folder(spark, f"{self._snapshot_path(task, fingerprint)}/{kind}")
+        if not files.exists(where):
+            return set()
+        names = [f.getPath().getName() for f in files.listStatus(where)]
+        return {int(n.removeprefix("part=")) for n in names if n.startswith("part=")}
+
+    def finished_parts(self, spark: SparkSession, task: str, fingerprint: str) -> set[int]:
+        """Ranges in which every row has its value."""
+        return self.parts(spark, task, fingerprint, "whole") - self.parts(spark, task, fingerprint, "open")
+
+    def compact(self, spark: SparkSession, task: TaskSpec, fingerprint: str, part: int) -> None:
+        """The newest values of a range as one folder. If it breaks off, both folders hold the same values."""
+        path = self._snapshot_path(task.name, fingerprint)
+        draft = f"{path}/_draft-{uuid.uuid4().hex}"
+        self.snapshot(spark, task, fingerprint, {part}).coalesce(1).write.parquet(draft)
+        files, whole = self._folder(spark, f"{path}/whole/part={part}")
+        files.mkdirs(whole.getParent())
+        files.delete(whole, True)
+        if not files.rename(self._folder(spark, draft)[1], whole):
+            raise OSError(f"{draft} could not be renamed")
+        files.delete(self._folder(spark, f"{path}/open/part={part}")[1], True)
 
     def save(
         self, fills: DataFrame, task: TaskSpec, fingerprint: str, completed_batches: int,
@@ -126,9 +171,7 @@ class ProgressStore:
     ) -> None:
         """Append this wave's values, then a ledger record. Only new values are written."""
         now = time.time_ns() // 1000
-        fills.withColumn("saved_us", F.lit(now)).write.mode("append").parquet(
-            self._snapshot_path(task.name, fingerprint)
-        )
+        self.append_values(fills.withColumn("saved_us", F.lit(now)), task.name, fingerprint, batch_rows)
         self._append(
             fills.sparkSession,
             {
@@ -148,9 +191,8 @@ class ProgressStore:
         )
 
     def has_snapshot(self, spark: SparkSession, task: str, fingerprint: str) -> bool:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._snapshot_path(task, fingerprint))
-        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        files, where = self._folder(spark, self._snapshot_path(task, fingerprint))
+        return files.exists(where)
 
     def load(self, task: str, fingerprint: str, spark: SparkSession | None = None) -> dict | None:
         """Newest record with open batches or rows, or None: no ledger, other task or data set, complete,
@@ -168,13 +210,22 @@ class ProgressStore:
             return None
         return found.asDict()
 
-    def snapshot(self, spark: SparkSession, task: TaskSpec, fingerprint: str) -> DataFrame:
-        """Saved values, the newest per row."""
-        path = self._snapshot_path(task.name, fingerprint)
-        saved = spark.read.schema(self._snapshot_schema(task)).parquet(path)
+    def snapshot(self, spark: SparkSession, task: TaskSpec, fingerprint: str, parts: set[int] | None = None) -> DataFrame:
+        """Saved values, the newest per row; of the given ranges, whose folders alone are read, or of all."""
+        path, schema = self._snapshot_path(task.name, fingerprint), self._snapshot_schema(task)
+        found = {kind: self.parts(spark, task.name, fingerprint, kind) for kind in ("open", "whole")}
+        if parts is not None:
+            found = {kind: some & parts for kind, some in found.items()}
+
+        def values(kind: str, some: set[int]) -> DataFrame:
+            folders = [f"{path}/{kind}/part={k}" for k in sorted(some)]
+            return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+        settled = values("whole", found["whole"] - found["open"])
+        saved = values("open", found["open"]).unionByName(values("whole", found["whole"] & found["open"]))
         rest = [c for c in saved.columns if c != "row_id"]
         newest = saved.groupBy("row_id").agg(F.max_by(F.struct(*rest), "saved_us").alias("r"))
-        return newest.select("row_id", *[F.col(f"r.{c}").alias(c) for c in rest])
+        return settled.unionByName(newest.select("row_id", *[F.col(f"r.{c}").alias(c) for c in rest]))
 
 
 def append_responses(responses: DataFrame, path: str) -> None:

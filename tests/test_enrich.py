@@ -272,6 +272,50 @@ def test_a_run_that_broke_off_asks_nothing_again(spark, tmp_path):
     assert sorted(plain) == sorted(first)
 
 
+def test_resume_reads_open_ranges_only(spark, tmp_path):
+    """Ranges that are filled become one folder each; a later run neither reads nor asks for them."""
+    def factory(most):
+        def make():
+            note = counting_factory(str(tmp_path))()
+
+            def generate(prompt, system, temperature):
+                note(prompt, system, temperature)
+                ids = [int(x) for x in re.findall(r"[Oo]bject: ?obj(\d+)", prompt)]
+                if ids[0] >= most:
+                    return None
+                items = [{"text": f"text of row {i}", "keywords": "k"} for i in ids]
+                return json.dumps(items if "Object: " not in prompt else items[0])
+
+            return generate
+
+        return make
+
+    registry = TaskRegistry()
+    registry.register(TaskSpec(**{**TASKS.get("text").__dict__, "fallback": None}))
+    rows = materialize(table(spark, 220), f"{new_run_dir(spark)}/rows")
+    store = ProgressStore(new_run_dir(spark) + "/progress", range_batches=2)
+    opts = dict(max_retries=1, variations=1)
+    run_task(rows, "text", registry, LadderOptions(factory=factory(120), **opts), store, batches_per_wave=3)
+    task = registry.get("text")
+    fingerprint = store.fingerprint(rows, ["row_id", *task.inputs, "text"])
+    assert store.finished_parts(spark, "text", fingerprint) == {0, 1}
+    # a value saved again after its range was compacted is the newer one
+    again = store.snapshot(spark, task, fingerprint, {0})
+    assert again.count() == 60 and all("/whole/part=0/" in f for f in again.inputFiles())
+    left = store.snapshot(spark, task, fingerprint, store.parts(spark, "text", fingerprint, "open"))
+    assert left.count() == 0 and not any("/whole/" in f for f in left.inputFiles())
+    for f in tmp_path.iterdir():
+        f.unlink()
+    done = run_task(rows, "text", registry, LadderOptions(factory=factory(10**9), **opts), store, batches_per_wave=3)
+    assert {r.row_id: r.text for r in done.collect()} == {i: f"text of row {i}" for i in range(220)}
+    assert len(list(tmp_path.iterdir())) == 4 and store.finished_parts(spark, "text", fingerprint) == {0, 1, 2, 3}
+    late = spark.createDataFrame([(7, 1, "late value", "k", 2**60)], "row_id long, phase int, text string, keywords string, saved_us long")
+    store.append_values(late, "text", fingerprint, 30)
+    assert store.finished_parts(spark, "text", fingerprint) == {1, 2, 3}
+    found = {r.row_id: r.text for r in store.snapshot(spark, task, fingerprint).collect()}
+    assert len(found) == 220 and found[7] == "late value" and found[8] == "text of row 8"
+
+
 def test_waves_are_written_once(spark):
     """No wave joins the saved values again, and each reads its own folder."""
     from evenweave.plans.enrich import _parts
