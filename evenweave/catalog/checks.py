@@ -169,6 +169,16 @@ def v12_kept(spark, sf_dir):
     return C.grouping_order(orders, "o_orderkey", [F.col("block").alias("r")], ["block"], chunk_rows=700)
 
 
+@query("V12_grouping_order_one_late_row", _row("V12", "'-1'", "NULL", "max(o_orderkey)") + " FROM orders")
+def v12_late(spark, sf_dir):
+    """The same blocks, but the last order comes with the lowest key."""
+    orders = table(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderkey")).scalar()
+    block = F.when(F.col("o_orderkey") == last, -1).otherwise(F.call_function("div", "o_orderkey", F.lit(1000)))
+    named = orders.select("o_orderkey", block.cast("long").alias("block"))
+    return C.grouping_order(named, "o_orderkey", [F.col("block").alias("r")], ["block"], chunk_rows=700)
+
+
 SEGMENT_CODE = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}
 PRIORITY_DIGIT = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "4-NOT SPECIFIED": 4, "5-LOW": 5}
 
@@ -192,6 +202,15 @@ def v13_kept(spark, sf_dir):
     return C.code_mapping(orders, {"o_orderpriority": PRIORITY_DIGIT})
 
 
+@query("V13_code_mapping_one_wrong", "SELECT * FROM (" + _row("V13", "'o_orderpriority'", "0", "1") + ")")
+def v13_wrong(spark, sf_dir):
+    """The same codes, but for the last order, whose code is null."""
+    orders = table(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderkey")).scalar()
+    code = F.when(F.col("o_orderkey") != last, F.substring("o_orderpriority", 1, 1).cast("int"))
+    return C.code_mapping(orders.withColumn("o_orderpriority_num", code), {"o_orderpriority": PRIORITY_DIGIT})
+
+
 _LEN = f"length({sql_strip('coalesce(text, {q})'.replace('{q}', chr(39) * 2))})"
 
 
