@@ -145,7 +145,7 @@ WHERE r < p ORDER BY event_id LIMIT 1""")
 def v12(spark, sf_dir):
     rank = list_rank("event_type", EVENT_ORDER).alias("r")
     events = table(spark, sf_dir, "events")
-    return C.grouping_order(events, "event_id", [rank], ["event_type"], len(EVENT_ORDER) + 1)
+    return C.grouping_order(events, "event_id", [rank], ["event_type"])
 
 
 @query("V12_grouping_order_many_keys", f"""
@@ -154,10 +154,10 @@ FROM (SELECT event_id, user_id, lag(k) OVER (ORDER BY event_id) AS p, k FROM
       (SELECT event_id, user_id, CASE WHEN event_id < 3000 THEN event_id ELSE user_id END AS k FROM events))
 WHERE k < p ORDER BY event_id LIMIT 1""")
 def v12_many(spark, sf_dir):
-    """The number of keys grows with the table: rows are compared in chunks of row ids."""
+    """The number of keys grows with the table."""
     rank = F.when(F.col("event_id") < 3000, F.col("event_id")).otherwise(F.col("user_id")).alias("r")
     events = table(spark, sf_dir, "events")
-    return C.grouping_order(events, "event_id", [rank], ["user_id"], chunk_rows=1000)
+    return C.grouping_order(events, "event_id", [rank], ["user_id"])
 
 
 @query("V12_grouping_order_kept", "SELECT * FROM (" + _row("V12", "''", "NULL", "0") + ") WHERE false")
@@ -166,7 +166,7 @@ def v12_kept(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.call_function("div", "o_orderkey", F.lit(1000)).alias("block")
     )
-    return C.grouping_order(orders, "o_orderkey", [F.col("block").alias("r")], ["block"], chunk_rows=700)
+    return C.grouping_order(orders, "o_orderkey", [F.col("block").alias("r")], ["block"])
 
 
 @query("V12_grouping_order_one_late_row", _row("V12", "'-1'", "NULL", "max(o_orderkey)") + " FROM orders")
@@ -176,7 +176,7 @@ def v12_late(spark, sf_dir):
     last = orders.agg(F.max("o_orderkey")).scalar()
     block = F.when(F.col("o_orderkey") == last, -1).otherwise(F.call_function("div", "o_orderkey", F.lit(1000)))
     named = orders.select("o_orderkey", block.cast("long").alias("block"))
-    return C.grouping_order(named, "o_orderkey", [F.col("block").alias("r")], ["block"], chunk_rows=700)
+    return C.grouping_order(named, "o_orderkey", [F.col("block").alias("r")], ["block"])
 
 
 SEGMENT_CODE = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from evenweave.functions.text import contains_any, digest, is_filled, stripped_length
+from evenweave.operators.order import first_late_row
 from evenweave.operators.skeleton import list_rank, lookup
 from evenweave.operators.terms import flag_terms
 from evenweave.spec import BalanceSpec
@@ -95,48 +96,27 @@ def cell_counts(df: DataFrame, check: str, keys: list[str], expected: DataFrame)
     return _violations(joined, check, key, F.col("expected"), actual).where("expected <> actual")
 
 
-# Up to this many distinct rank keys their table is broadcast; beyond it rows are compared chunk-wise.
-BROADCAST_KEYS = 100_000
-
-
 def grouping_order(
-    df: DataFrame,
-    row_id: str,
-    ranks: list[Column],
-    labels: list[str],
-    possible_keys: int | None = None,
-    chunk_rows: int = 1_000_000,
+    df: DataFrame, row_id: str, ranks: list[Column], labels: list[str], chunk_rows: int = 1_000_000
 ) -> DataFrame:
     """First row, in ``row_id`` order, whose rank key is lower than its predecessor's.
 
-    ``possible_keys`` is the number of distinct rank keys the value lists allow, if they bound it.
+    Reads the table once, by summaries that merge (see ``order``): no row is shuffled, whatever the number of keys. Only
+    rows that lie out of order in storage are compared in chunks of row ids instead. Ranks are whole numbers.
     """
+    found = first_late_row(df, row_id, ranks, labels)
+    if found is None or not found.overlap:
+        late = [] if found is None or found.late is None else [
+            ("V12", "/".join("(null)" if v is None else v for v in found.late_labels), None, found.late)]
+        return df.sparkSession.createDataFrame(late, VIOLATION)
     keyed = df.select(row_id, F.struct(*ranks).alias("_key"), *labels)
-    if possible_keys is not None and possible_keys <= BROADCAST_KEYS:
-        late = _after_higher_key(keyed, row_id)
-    else:
-        late = _below_predecessor(keyed, row_id, chunk_rows)
-    first = late.agg(
+    first = _below_predecessor(keyed, row_id, chunk_rows).agg(
         F.min_by(F.struct(F.col(row_id), *labels), F.col(row_id)).alias("f")
     ).where("f is not null")
     key = F.concat_ws("/", *[F.coalesce(F.col(f"f.{c}").cast("string"), F.lit("(null)")) for c in labels])
     return _violations(first, "V12", key, F.lit(None), F.col(f"f.{row_id}"))
 
 
-def _after_higher_key(keyed: DataFrame, row_id: str) -> DataFrame:
-    """Rows behind some row with a higher key.
-
-    Up to the first violation the keys ascend, so the first such row is the first one below its
-    predecessor. It is enough to know, per key, where the first higher key appears: one aggregate over
-    the distinct keys, then one filtered pass. No row is sorted or shuffled.
-    """
-    first_seen = keyed.groupBy("_key").agg(F.min(row_id).alias("_first"))
-    # As many rows as there are distinct rank keys, at most BROADCAST_KEYS.
-    higher = W.orderBy(F.col("_key").desc()).rowsBetween(W.unboundedPreceding, -1)
-    barrier = first_seen.select("_key", F.min("_first").over(higher).alias("_barrier"))
-    return keyed.join(F.broadcast(barrier), "_key").where(F.col(row_id) > F.col("_barrier"))
-
-
 def _below_predecessor(keyed: DataFrame, row_id: str, chunk_rows: int) -> DataFrame:
     """Rows below their predecessor, for any number of keys: ``lag`` inside chunks of row ids.
 
@@ -400,13 +380,6 @@ def rank_columns(spec: BalanceSpec) -> list[Column]:
     ]
 
 
-def possible_rank_keys(spec: BalanceSpec) -> int:
-    """Every list value or "unknown" at each level."""
-    most_items = max(len(items) for items in spec.hierarchy.values())
-    sizes = [len(spec.groups), most_items, len(spec.label_order), len(spec.tone_order)]
-    return reduce(lambda a, n: a * (n + 1), sizes, 1)
-
-
 def verify_skeleton(
     df: DataFrame, spec: BalanceSpec, total_rows: int | None = None, quotas=None
 ) -> DataFrame:
@@ -418,7 +391,7 @@ def verify_skeleton(
     return _union(
         [
             counts,
-            grouping_order(df, "row_id", rank_columns(spec), labels, possible_rank_keys(spec)),
+            grouping_order(df, "row_id", rank_columns(spec), labels),
             code_mapping(df, spec.codes),
         ]
     )

@@ -205,17 +205,45 @@ def test_order_check_against_lag(spark):
             .alias("v"),
         )
         rank = [F.col("v").alias("r")]
-        got = C.grouping_order(df, "row_id", rank, labels, possible_keys=50).collect()
-        chunked = C.grouping_order(df, "row_id", rank, labels, chunk_rows=7).collect()
-        assert got == chunked
+        got = C.grouping_order(df, "row_id", rank, labels).collect()
+        # rows out of order, ids with gaps, empty tasks: by chunks of ids, with the same result
+        mixed = C.grouping_order(df.repartition(5, F.hash("id" if "id" in df.columns else "row_id")), "row_id", rank, labels, chunk_rows=7)
+        ranged = df.repartitionByRange(9, "row_id").sortWithinPartitions("row_id")
+        assert got == mixed.collect() == C.grouping_order(ranged, "row_id", rank, labels).collect()
         lagged = df.withColumn("p", F.lag("v").over(W.orderBy("row_id"))).where("v < p")
         want = lagged.agg(F.min("row_id")).first()[0]
         assert [r.actual for r in got] == ([] if want is None else [want])
 
 
-def test_order_check_sorts_nothing(skeleton):
-    keys = C.possible_rank_keys(SPEC)
-    assert keys == 10 * 7 * 6 * 4
-    df = C.grouping_order(skeleton, "row_id", C.rank_columns(SPEC), ["theme"], keys)
-    text = plan(df)
-    assert "SortMergeJoin" not in text and "Python" not in text
+def test_order_runs_shuffle_no_row(spark, skeleton):
+    """Every task sums up its rows; only a run a task is merged."""
+    from evenweave.operators import order
+
+    rows = skeleton.repartitionByRange(6, "row_id").sortWithinPartitions("row_id")
+    runs = order.order_runs(rows, "row_id", C.rank_columns(SPEC), ["theme", "emotion"])
+    own = order.order_runs(spark.range(100).withColumnRenamed("id", "row_id"), "row_id", [F.col("row_id")], ["row_id"])
+    assert runs.count() <= 6 and "Exchange" not in plan(own)
+    whole = order.first_late_row(rows, "row_id", C.rank_columns(SPEC), ["theme", "emotion"])
+    n = skeleton.count()
+    assert (whole.first, whole.last, whole.late, whole.overlap) == (0, n - 1, None, False)
+
+
+def test_runs_merge_in_any_grouping(spark):
+    import random
+
+    from evenweave.operators.order import Run
+
+    rng = random.Random(4)
+    for _ in range(200):
+        n = rng.randint(1, 12)
+        ids = sorted(rng.sample(range(100), n))
+        keys = [[rng.randint(0, 3), rng.randint(0, 1)] if rng.random() < 0.4 else [i // 20, 0] for i in ids]
+        ones = [Run(i, i, k, k, [str(i)]) for i, k in zip(ids, keys)]
+        late = next((ids[j] for j in range(1, n) if keys[j] < keys[j - 1]), None)
+        while len(ones) > 1:
+            j = rng.randrange(len(ones) - 1)
+            ones[j : j + 2] = [ones[j].then(ones[j + 1])]
+        assert (ones[0].first, ones[0].last, ones[0].late) == (ids[0], ids[-1], late)
+        assert not ones[0].overlap and (late is None or ones[0].late_labels == [str(late)])
+    assert ones[0].then(Run(0, 0, [0, 0], [0, 0], [None])).overlap
+
