@@ -82,7 +82,7 @@ def words(text: bytes) -> list[bytes]:
 class Hashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    BOUND = 400_000
+    BOUND = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.BOUND:

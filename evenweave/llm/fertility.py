@@ -87,7 +87,7 @@ _BLANKS = b" \t\n\x0b\x0c\r"
 class Pieces(dict):
     """Ids of a word's pieces as uint16 bytes, remembered up to a bound."""
 
-    BOUND = 500_000
+    BOUND = 250_000
 
     def __init__(self, path: str):
         import sentencepiece
@@ -108,7 +108,7 @@ class Pieces(dict):
 class ByteUnits(dict):
     """Ids of a word, with the space before it, in the byte-level vocabulary as uint16 bytes, remembered up to a bound."""
 
-    BOUND = 500_000
+    BOUND = 250_000
 
     def __init__(self):
         import public_tokenizers
@@ -296,6 +296,7 @@ def kept_documents(docs: DataFrame, model: str | None = None, text_col: str = "t
             out = pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=schema.names)
             yield out.filter(pa.array(columns[-1], pa.bool_()))
+        vocabulary.clear(), byte_units().clear()  # workers go on with other stages
 
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     measured = materialize(rows.mapInArrow(run, schema), new_run_dir(docs.sparkSession))

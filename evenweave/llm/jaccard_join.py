@@ -54,7 +54,7 @@ COMMON_WORDS = 1 << 16
 BATCH_SHINGLES = 2_000_000
 FEW = 16  # sets of a region whose pairs are listed
 MEETING = 32  # shingles for each further meeting that a pair must have
-DONE = 500_000  # sets a task of step 2 remembers
+DONE = 200_000  # sets a task of step 2 remembers
 PIVOTS = 8
 LEAF = 48
 SALT_ABOVE = 4096
