@@ -189,7 +189,7 @@ def text_rules(df: DataFrame, column: str, banned: list[str] | DataFrame, shorte
     """V15 and V16 in one pass: tiny texts, and texts with a banned term.
 
     A list of terms is searched term by term, which suits a few dozen. A DataFrame of terms (its first column) may hold
-    any number: one automaton reads every text once.
+    any number: each group of terms that fits in memory reads every text once.
     """
     texts = df.select(F.col(column).alias("_text"))
     if isinstance(banned, DataFrame):

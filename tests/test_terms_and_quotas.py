@@ -3,6 +3,7 @@
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +40,30 @@ def test_no_terms_and_no_texts(spark):
     assert checks.text_rules(df, "text", spark.createDataFrame([("pp",)], "name string")).collect()[-1].actual == 1
 
 
+def test_one_group_of_terms_in_a_task(spark, monkeypatch):
+    """Several groups are passes one after the other: a plan that holds them all keeps all of them in memory."""
+    monkeypatch.setattr(terms, "MOST_CHARACTERS", 60)
+    texts, listed = texts_and_terms(50, 300)
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    names = spark.createDataFrame([(t,) for t in listed], "name string")
+    assert len(terms.term_groups(names, "name")) > 2
+    found = terms.flag_terms(df, "text", names, "name")
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+@pytest.mark.parametrize("block", [1, 7, 64, 1 << 19])
+def test_terms_equal_a_search_per_term(monkeypatch, block):
+    """Terms that begin alike or with each other, that end with a text, cross blocks, or are longer than texts; slices."""
+    monkeypatch.setattr(terms, "BLOCK", block)
+    r = random.Random(block)
+    for size in (2, 5, 9, 20):
+        listed = [bytes(r.choices(b"ab\0\xc3", k=r.randrange(max(1, size - 8), size + 9))) for _ in range(40)]
+        texts = [None, b"", *(bytes(r.choices(b"ab\0\xc3", k=r.randrange(0, 4 * size))) for _ in range(60)), listed[0], b""]
+        texts += [b"x" + t[:-1] for t in listed[:20]] + [b"x" + t for t in listed[20:]]
+        found = terms.Terms(listed).hits(pa.array([b"ab" * 30, *texts], pa.binary()).slice(1)).tolist()
+        assert found == [t is not None and any(x in t for x in listed) for t in texts]
+
+
 def test_time_hardly_grows_with_the_number_of_terms(spark):
     texts, _ = texts_and_terms(3000, 300)
     df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4).cache()
