@@ -40,6 +40,8 @@ from evenweave.sources.ledger import append_responses
 from evenweave.spec import TaskRegistry, TaskSpec
 
 MOST_TASKS = 10_000
+ROUND_TASKS = 256
+TASKS_PER_CORE = 16
 Generate = Callable[[str, str, float], "str | None"]
 
 
@@ -50,8 +52,10 @@ class LadderOptions:
     ``factory`` makes a generator, once per partition of requests: ``generate(prompt, system, temperature)``
     returns the response text or None. ``secondary`` makes one that is asked when the first has no answer.
     Calls are slow and prompts small, so every round deals its requests out, by default
-    ``requests_per_task`` to a task, to ``MOST_TASKS`` tasks at most; small tasks also limit what has to be asked
-    again when an executor is lost. ``concurrency`` sets the number of tasks, hence the most calls at a time.
+    ``requests_per_task`` to a task; small tasks also limit what has to be asked again when an executor is lost. Many requests
+    get larger tasks instead of more: a round has at most ``TASKS_PER_CORE`` tasks for every core (or ``ROUND_TASKS``, if that
+    is more), and never more than ``MOST_TASKS``. Tasks beyond that keep no further core busy, but each costs a Python
+    worker, a file and a block of every task before it. ``concurrency`` sets the number of tasks, hence the most calls at a time.
     ``align`` says how the items of an answer find their rows: by ``position``, or by the ``id`` that prompts ask for.
     ``in_flight`` is the number of calls a task makes at a time, each by a generator of its own; answers keep their order.
     ``answers`` names a folder for answers, kept across runs: equal prompts of a round are asked once, and what was answered
@@ -73,9 +77,10 @@ class LadderOptions:
     in_flight: int = 1
     answers: str | None = None
 
-    def tasks(self, requests: int) -> int:
-        """Number of tasks for so many requests."""
-        return self.concurrency or max(1, min(MOST_TASKS, -(-requests // self.requests_per_task)))
+    def tasks(self, requests: int, cores: int = 1) -> int:
+        """Number of tasks for so many requests on so many cores."""
+        most = min(MOST_TASKS, max(ROUND_TASKS, TASKS_PER_CORE * cores))
+        return self.concurrency or max(1, min(most, -(-requests // self.requests_per_task)))
 
 
 @dataclass
@@ -119,6 +124,10 @@ def ask_generator(opts: LadderOptions, system: str, temperature: float):
     return F.pandas_udf(ask, "string").asNondeterministic()
 
 
+def cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
 def ask_all(
     requests: DataFrame, n: int, opts: LadderOptions, system: str, temperature: float,
     keys: tuple[str, ...] = ("batch_id", "chunk", "pos"), turn: str = "",
@@ -129,7 +138,7 @@ def ask_all(
     """
     if opts.answers:
         return _ask_once(requests, n, opts, system, temperature, turn)
-    requests = requests.repartition(opts.tasks(n), *keys)
+    requests = requests.repartition(opts.tasks(n, cores(requests)), *keys)
     return requests.withColumn("raw", ask_generator(opts, system, temperature)(F.col("prompt")))
 
 
@@ -148,7 +157,7 @@ def _ask_once(requests: DataFrame, n: int, opts: LadderOptions, system: str, tem
     bits = bit_table(keyed, F.xxhash64("_digest"))
     known = maybe_in(stored, F.xxhash64("d"), bits)
     new = keyed.groupBy(F.col("_digest").alias("d")).agg(F.first("prompt").alias("prompt")).join(known, "d", "left_anti")
-    asked = new.repartition(opts.tasks(n), "d").withColumn("raw", ask_generator(opts, system, temperature)(F.col("prompt")))
+    asked = new.repartition(opts.tasks(n, cores(new)), "d").withColumn("raw", ask_generator(opts, system, temperature)(F.col("prompt")))
     asked.where("raw IS NOT NULL").select("d", "raw").write.mode("append").parquet(path)
     answers = maybe_in(spark.read.schema(schema).parquet(path), F.xxhash64("d"), bits)
     answers = answers.groupBy(F.col("d").alias("_digest")).agg(F.min("raw").alias("raw"))  # as runs may overlap

@@ -46,6 +46,15 @@ def test_task_contract():
     assert TASKS.names() == ["text", "img_desc", "cta", "audience", "headline"]
 
 
+def test_a_round_of_many_requests_has_tasks_by_cores(spark):
+    """Tasks that grow in number with the requests cost a worker, a file and a block of every task before them each."""
+    requests = spark.range(3).select("id", F.lit("p").alias("prompt"))
+    opts = LadderOptions(factory=lambda: lambda prompt, system, temperature: prompt)
+    for n, most in ((64, 1), (1000, 16), (1_000_000, 256), (100_000_000, 256)):
+        assert ask_all(requests, n, opts, "", 0.5, keys=("id",)).rdd.getNumPartitions() <= most
+    assert opts.tasks(100_000_000, cores=100) == 1600 and opts.tasks(640, cores=100) == 10
+
+
 def test_prompts(spark):
     df = spark.createDataFrame(
         [(0, 0, "Food", "Pizza", "Joy", "Positive", "Red", "tasty"), (1, 1, "Tech", "Phone", "Fear", "Negative", None, None)],
