@@ -53,13 +53,23 @@ def s2(spark, sf_dir):
     return _round_trip(spark, sf_dir, ("",))
 
 
+FILE_BYTES = 256 << 20
+
+
+def _in_files(docs):
+    """One file, or of many texts several of about ``FILE_BYTES``, as each is written by one task."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(1, -(-size // FILE_BYTES))
+    return docs.repartition(files) if files > 1 else docs.coalesce(1)
+
+
 @query("S1_one_file_by_many_tasks", """
 SELECT doc_id, source, lang, n_chars, length(text) AS length, md5(text) AS digest FROM documents""")
 def s1_one_file(spark, sf_dir):
-    """Texts with line breaks from one file, read in segments."""
+    """Texts with line breaks from one file, read in segments; very many texts make several such files."""
     docs = table(spark, sf_dir, "documents")
     path = new_run_dir(spark) + "/documents.csv"
-    S.write_table(docs.coalesce(1), path)
+    S.write_table(_in_files(docs), path)
     found = S.read_table(spark, path, docs.schema)
     return found.select(
         "doc_id", "source", "lang", "n_chars", F.length("text").cast("long").alias("length"), F.md5("text").alias("digest"))

@@ -92,3 +92,19 @@ def test_line_ends_of_two_characters(spark, tmp_path):
     path = texts(spark, tmp_path, "ends.csv", b'id,a\r\n1,x\r\n2,"p\r\nq"\r\n')
     got = {r.id: r.a for r in csvfiles.read_table(spark, path, "id long, a string").collect()}
     assert got[1] == "x" and got[2].split() == ["p", "q"]
+
+
+def test_no_task_writes_a_file_of_all_texts(spark, monkeypatch):
+    """Beyond a bound several tasks write, a file each of about that size, and the rows come back whole."""
+    from evenweave.catalog import storage
+
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit('a "b"\n'), F.repeat(F.lit("x"), 93)).alias("text"))
+    assert storage._in_files(docs).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(storage, "FILE_BYTES", 4000)
+    dealt = storage._in_files(docs)
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) <= 60
+    path = new_run_dir(spark)
+    csvfiles.write_table(dealt, path)
+    found = csvfiles.read_table(spark, path, docs.schema)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, docs.collect()))
