@@ -17,22 +17,26 @@ sum to one over the vocabulary plus one unseen word per class.
 Counts are of all training documents and stay distributed; sent to the tasks are the counts of at most ``HEAD`` words
 of at most ``LONGEST`` bytes. The counts of all other words are joined, and none of these is frequent enough to
 make a partition large. A null or empty text is the end alone.
+
+Python's work is by the distinct words of a batch: Arrow splits and numbers the tokens, and classes, places and counts
+are looked up once a word and spread over the tokens by their numbers.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenweave.llm.common import id_and_text, most_frequent, remainder, utf8, words
+from evenweave.llm.common import id_and_text, most_frequent, remainder
 from evenweave.session import materialize, new_run_dir
 
 HELD_OUT = 1
@@ -49,30 +53,53 @@ CLUSTERED = 1 << 19
 ROUNDS = 1
 FEW = 0.05  # of the words
 END = b""  # no word is empty
-_DISTINCT = 300_000
+_ROWS = 1_000_000  # word counts of batches added up together
+_HELD = 1 << 21  # occurrences of clustered words put together
 _OTHER = 0  # the item of words whose ending is none
 _END_ITEM = 1
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return [*words(text.lower()), END]
+def chain(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """One chain of all texts, an end and then every text with an end behind it: the tokens as places among the distinct words;
+    these words; and where in the chain the texts begin, with the chain's length last.
+    """
+    if not len(texts):
+        return np.zeros(1, np.int64), pa.array([END], pa.large_binary()), np.ones(1, np.int64)
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+    coded = parts.flatten().dictionary_encode()
+    index, distinct = coded.indices.to_numpy(), coded.dictionary.cast(pa.large_binary())
+    end = pc.index(distinct, pa.scalar(END, pa.large_binary())).as_py()
+    if end < 0:
+        end, distinct = len(distinct), pa.concat_arrays([distinct, pa.array([END], pa.large_binary())])
+    word = index != end  # before leading and behind trailing space stand empty parts
+    before = np.concatenate([[0], np.cumsum(word)])[parts.offsets.to_numpy()]
+    out = np.full(before[-1] + len(texts) + 1, end, np.int64)
+    out[np.arange(before[-1]) + np.repeat(np.arange(1, len(texts) + 1), np.diff(before))] = index[word]
+    return out, distinct, before + np.arange(1, len(texts) + 2)
 
 
 def word_counts(training: DataFrame) -> DataFrame:
     """word, c over all training documents; counted in the tasks before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(counts: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
+        def added(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+            sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")]).combine_chunks()
+            kinds = {"word": pa.binary(), "c_sum": pa.int64()}
+            for part in sums.to_batches():
+                yield pa.RecordBatch.from_arrays([part.column(c).cast(k) for c, k in kinds.items()], names=["word", "c"])
 
-        counts: Counter = Counter()
+        held, rows = [], 0
         for batch in batches:
-            for text in utf8(batch.column(1)):
-                counts.update(tokens(text))
-            if len(counts) > _DISTINCT:
-                yield out(counts)
-                counts = Counter()
-        yield out(counts)
+            if not batch.num_rows:
+                continue
+            codes, distinct, _ = chain(batch.column(1))
+            n = np.bincount(codes[1:], minlength=len(distinct))
+            held.append(pa.table({"word": distinct, "c": n}))
+            rows += len(distinct)
+            if rows > _ROWS:
+                yield from added(held)
+                held, rows = [], 0
+        if held:
+            yield from added(held)
 
     return training.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -94,6 +121,12 @@ class Items(dict):
         self[word] = item
         return item
 
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The items of many words, looked up together."""
+        own = np.fromiter(map(self.own.get, words, repeat(-1)), np.int64, len(words))
+        ending = np.fromiter(map(self.endings.get, [w[-ENDING:] for w in words], repeat(_OTHER)), np.int64, len(words))
+        return np.where(own >= 0, own, ending)
+
 
 def choose_items(counts: DataFrame) -> tuple[dict[bytes, int], dict[bytes, int]]:
     """The most frequent words, and the most frequent endings of all others."""
@@ -109,7 +142,7 @@ def choose_items(counts: DataFrame) -> tuple[dict[bytes, int], dict[bytes, int]]
     return own, {bytes(r["ending"]): len(own) + 1 + i for i, r in enumerate(rows)}
 
 
-def pair_counts(training: DataFrame, make: Callable[[], dict[bytes, int]], size: int) -> np.ndarray:
+def pair_counts(training: DataFrame, make: Callable[[], Items | Classes], size: int) -> np.ndarray:
     """How often b follows a, over all training documents; ``make`` gives a table from words to numbers below ``size``.
 
     Before the first word stands an end.
@@ -117,7 +150,8 @@ def pair_counts(training: DataFrame, make: Callable[[], dict[bytes, int]], size:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, total = make(), np.zeros(size * size, np.int64)
         for batch in batches:
-            ids = _numbers(utf8(batch.column(1)), table)
+            codes, distinct, _ = chain(batch.column(1))
+            ids = table.numbers(distinct.to_pylist())[codes]
             total += np.bincount(ids[:-1] * size + ids[1:], minlength=size * size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
@@ -129,16 +163,6 @@ def pair_counts(training: DataFrame, make: Callable[[], dict[bytes, int]], size:
     return out.reshape(size, size)
 
 
-def _numbers(texts: list[bytes], table: dict[bytes, int]) -> np.ndarray:
-    """One chain of all texts: an end, then every text with an end behind it."""
-    chain = [END]
-    for text in texts:
-        chain += tokens(text)
-    if hasattr(table, "learn"):
-        table.learn(set(chain))
-    return np.fromiter(map(table.__getitem__, chain), np.int64, len(chain))
-
-
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
@@ -224,13 +248,13 @@ class Classes(dict):
         own = np.fromiter(map(self.items.own.__contains__, words), bool, len(words))
         return np.where((self.hashes[at] == h) & ~own, at, -1)
 
-    def learn(self, words: set[bytes]) -> None:
-        """The words of a batch, looked up together."""
-        if len(self) >= self.BOUND:
-            self.clear()
-        new = [w for w in words if w not in self]
-        for word, slot in zip(new, self.slots(new).tolist()):
-            self[word] = int(self.moved[slot]) if slot >= 0 else self.classes[self.items[word]]
+    def numbers(self, words: list[bytes], slots: np.ndarray | None = None) -> np.ndarray:
+        """The classes of many words, looked up together; ``slots`` are their places if these are known."""
+        of = np.array(self.classes)[self.items.numbers(words)]
+        if len(self.hashes):
+            slots = self.slots(words) if slots is None else slots
+            of = np.where(slots >= 0, self.moved[slots], of)
+        return of
 
     def slot(self, word: bytes) -> int:
         """Place among the clustered words, -1 for others."""
@@ -246,29 +270,6 @@ class Classes(dict):
         return value
 
 
-class _Slots(dict):
-    """Word -> (place among the clustered words + 1) * 256 + class."""
-
-    BOUND = 400_000
-
-    def __init__(self, clusters: Clusters):
-        self.of = Classes(clusters)
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) >= self.BOUND:
-            self.clear()
-        new = [w for w in words if w not in self]
-        self.of.learn(set(new))
-        for word, slot in zip(new, self.of.slots(new).tolist()):
-            self[word] = (slot + 1) << 8 | self.of[word]
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.BOUND:
-            self.clear()
-        value = self[word] = (self.of.slot(word) + 1) << 8 | self.of[word]
-        return value
-
-
 def words_to_cluster(counts: DataFrame, own: dict[bytes, int]) -> DataFrame:
     """h, word, c: all words of ``LEAST`` occurrences but the items, as far as ``CLUSTERED`` allows."""
     listed = counts.sparkSession.createDataFrame([(bytearray(w),) for w in own], "word binary")
@@ -283,30 +284,44 @@ def words_to_cluster(counts: DataFrame, own: dict[bytes, int]) -> DataFrame:
 
 
 def _contexts(training: DataFrame, clusters: Clusters) -> DataFrame:
-    """slot, seen: for each clustered word of a batch a byte per neighbour, its class, plus K if it stands behind.
+    """slot, seen: for each clustered word of some batches a byte per neighbour, its class, plus K if it stands behind.
 
     Rows of slot -1 - p hold, once a task, how often the class pair p occurred, as eight bytes.
     """
     k = clusters.size()
     shared = training.sparkSession.sparkContext.broadcast(clusters)
 
-    def rows(slots: np.ndarray, seen: list[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(seen, pa.binary())], names=["slot", "seen"])
+    def rows(slots: np.ndarray, seen: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), seen], names=["slot", "seen"])
+
+    def together(held: list[np.ndarray]) -> pa.RecordBatch:
+        # slot, class before and class behind in one number; in order, the last two are the bytes wanted
+        x = np.sort(np.concatenate(held))
+        slot = x >> 16
+        first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+        offsets = (2 * np.append(first, len(x))).astype(np.int32)
+        data = (x & 0xFFFF).astype(">u2")
+        return rows(slot[first], pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, pairs = _Slots(shared.value), np.zeros(k * k, np.int64)
+        table, pairs, held, size = shared.value.table(), np.zeros(k * k, np.int64), [], 0
         for batch in batches:
-            codes = _numbers(utf8(batch.column(1)), table)
-            slot, of = (codes >> 8) - 1, codes & 255
+            codes, distinct, _ = chain(batch.column(1))
+            listed = distinct.to_pylist()
+            slots = table.slots(listed)
+            of = table.numbers(listed, slots).astype(np.int64)[codes]
             pairs += np.bincount(of[:-1] * k + of[1:], minlength=k * k)
-            at = np.flatnonzero(slot[:-1] >= 0)  # never the first or last of the chain, which are ends
-            order = at[np.argsort(slot[at], kind="stable")]
-            both = np.stack([of[order - 1], k + of[order + 1]], axis=1).astype(np.uint8)
-            found, first = np.unique(slot[order], return_index=True)
-            edges = np.append(first, len(order))
-            yield rows(found, [both[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())])
+            slot = slots[codes]
+            at = np.flatnonzero(slot >= 0)  # never the first or last of the chain, which are ends
+            held.append(slot[at] << 16 | of[at - 1] << 8 | k + of[at + 1])
+            size += len(at)
+            if size > _HELD:
+                yield together(held)
+                held, size = [], 0
+        if size:
+            yield together(held)
         some = np.flatnonzero(pairs)
-        yield rows(-1 - some, [int(n).to_bytes(8, "big") for n in pairs[some]])
+        yield rows(-1 - some, pa.array([int(n).to_bytes(8, "big") for n in pairs[some]], pa.binary()))
 
     return training.mapInArrow(run, "slot int, seen binary")
 
@@ -340,16 +355,16 @@ def _reassign(contexts: DataFrame, clusters: Clusters, between: np.ndarray) -> t
         place, counts, known = np.full(some, -1, np.int64), np.zeros((1024, 2 * k)), 0
         slots: list[np.ndarray] = []
         for batch in batches:
-            slot, seen = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            slot, seen = batch.column(0).to_numpy(), batch.column(1).cast(pa.large_binary())
             new = np.unique(slot[place[slot] < 0])
             place[new] = known + np.arange(len(new))
             slots.append(new)
             known += len(new)
             while known > len(counts):
                 counts = np.concatenate([counts, np.zeros_like(counts)])
-            lengths = np.array([len(x) for x in seen], np.int64)
-            codes = np.frombuffer(b"".join(seen), np.uint8).astype(np.int64)
-            np.add.at(counts.reshape(-1), np.repeat(place[slot] * 2 * k, lengths) + codes, 1)
+            edges = np.frombuffer(seen.buffers()[1], np.int64)[seen.offset : seen.offset + len(seen) + 1]
+            codes = np.frombuffer(seen.buffers()[2], np.uint8)[edges[0] : edges[-1]]
+            np.add.at(counts.reshape(-1), np.repeat(place[slot] * 2 * k, np.diff(edges)) + codes, 1)
         if known:
             before, behind = counts[:known, :k], counts[:known, k:]
             score = before @ step + behind @ step.T - before.sum(axis=1, keepdims=True) * size
@@ -373,7 +388,7 @@ def cluster(training: DataFrame, counts: DataFrame, run: str) -> tuple[Clusters,
     hashes = rest["h"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     items = Items(own, endings)
-    start = classes[np.fromiter(map(items.__getitem__, rest["word"].to_pylist()), np.int64, len(hashes))]
+    start = classes[items.numbers(rest["word"].to_pylist())]
     clusters = Clusters(own, endings, classes, hashes[order], start[order].astype(np.uint8))
     k = clusters.size()
     for turn in range(ROUNDS if len(hashes) else 0):
@@ -415,9 +430,7 @@ def learn(training: DataFrame, run: str) -> tuple[Model, DataFrame]:
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, tokens_of, words_of = shared.value.table(), np.zeros(k, np.int64), np.zeros(k, np.int64)
         for batch in batches:
-            listed = batch.column(0).to_pylist()
-            table.learn(set(listed))
-            of = np.fromiter(map(table.__getitem__, listed), np.int64, batch.num_rows)
+            of = table.numbers(batch.column(0).to_pylist()).astype(np.int64)
             np.add.at(tokens_of, of, batch.column(1).to_numpy())
             words_of += np.bincount(of, minlength=k)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(k)), pa.array(tokens_of), pa.array(words_of)], names=["k", "n", "v"])
@@ -431,26 +444,6 @@ def learn(training: DataFrame, run: str) -> tuple[Model, DataFrame]:
     return Model(clusters, transitions(between), class_tokens, class_words, size["n"] or 0, size["v"], known), counts
 
 
-class _Codes(dict):
-    """Word -> class * width + place among the head words, from 1; place 0 is any other word."""
-
-    BOUND = 400_000
-
-    def __init__(self, model: Model):
-        self.classes = model.clusters.table()
-        self.place = {w: i + 1 for i, w in enumerate(model.head)}
-        self.width = len(model.head) + 1
-
-    def learn(self, words: set[bytes]) -> None:
-        self.classes.learn({w for w in words if w not in self})
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.BOUND:
-            self.clear()
-        value = self[word] = self.classes[word] * self.width + self.place.get(word, 0)
-        return value
-
-
 def score(docs: DataFrame, model: Model, counts: DataFrame, run: str) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score for rows doc_id, text, held_out."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -461,30 +454,33 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, run: str) -> DataFra
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        codes = _Codes(model)
+        table, places = model.clusters.table(), {w: i + 1 for i, w in enumerate(model.head)}
         c = np.array([0, *model.head.values()], float)
-        k_of = np.array([0, *(codes.classes[w] for w in model.head)], np.int64)
+        k_of = np.append(0, table.numbers(list(model.head))).astype(np.int64)
         base, emitted = model.base(c), model.emission(c, k_of)
         base[0] = emitted[0] = 0.0
-        start = int(model.clusters.classes[_END_ITEM])
         for batch in batches:
-            out = []
-            split = [tokens(t) for t in utf8(batch.column(1))]
-            codes.learn({w for ts in split for w in ts})
-            for ts in split:
-                code = np.fromiter(map(codes.__getitem__, ts), np.int64, len(ts))
-                k, place = np.divmod(code, codes.width)
-                before = np.concatenate([[start], k[:-1]])
-                rare = Counter(ts[i] for i in np.flatnonzero(place == 0).tolist())
-                out.append((
-                    len(ts), len(ts) - sum(rare.values()), float(base[place].sum()),
-                    float(model.transition[before, k].sum() + emitted[place].sum()),
-                    [{"word": w, "k": codes[w] // codes.width, "n": n} for w, n in rare.items()],
-                ))
-            columns = list(zip(*out)) if out else [()] * 5
-            types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare_type]
+            codes, distinct, edges = chain(batch.column(1))
+            listed = distinct.to_pylist()
+            k_of_word = table.numbers(listed).astype(np.int64)
+            k = k_of_word[codes]
+            place = np.fromiter(map(places.get, listed, repeat(0)), np.int64, len(listed))[codes]  # 0: not a head word
+            values = base[place], model.transition[k[:-1], k[1:]], emitted[place]
+            sizes = np.diff(edges)
+            of = np.repeat(np.arange(len(sizes)), sizes)  # the text of each token but the first end
+            at = np.flatnonzero(place[1:] == 0)
+            rare, n = np.unique(of[at] * len(distinct) + codes[1:][at], return_counts=True)
+            text, word = np.divmod(rare, len(distinct))
+            fields = distinct.take(pa.array(word)).cast(pa.binary()), pa.array(k_of_word[word], pa.int32()), pa.array(n, pa.int32())
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(text, np.arange(len(sizes) + 1)), pa.int32()),
+                pa.StructArray.from_arrays(fields, fields=list(rare_type.value_type)))
+            spans = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+            columns = (sizes, sizes - np.bincount(of[at], minlength=len(sizes)), [values[0][a:b].sum() for a, b in spans],
+                       [values[1][a - 1 : b - 1].sum() + values[2][a:b].sum() for a, b in spans])
+            types = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *(pa.array(x, t) for x, t in zip(columns, types))], names=schema.names)
+                [batch.column(0), batch.column(2), *(pa.array(x, t) for x, t in zip(columns, types)), lists], names=schema.names)
 
     scored = docs.mapInArrow(rows, schema).withColumn("row", F.monotonically_increasing_id())
     scored = materialize(scored, f"{run}/scored")  # written, so a row keeps its number

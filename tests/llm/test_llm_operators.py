@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -526,6 +527,43 @@ def test_words_are_clustered_by_their_contexts(spark, monkeypatch):
     assert clustered[1] > 1.5 * clustered[0]
 
 
+def test_chain_of_tokens():
+    """Odd whitespace, letters outside ASCII, empty texts, a batch without rows."""
+    texts = ["", " ", "A b", "  a\tB\x0b\x0c\r\na ", "\x1ca\x1c \x85 \u2003B\xa0c\xc4\u212a", "\0 \0a", "b", "\ud7ff " * 3]
+    for some in (texts, texts[2:3], texts[:2], []):
+        for kind in (pa.string(), pa.large_string()):
+            codes, distinct, edges = brown_lm.chain(pa.array([None, *some], kind).slice(1))
+            words = distinct.to_pylist()
+            assert len(set(words)) == len(words)
+            got = [[words[c] for c in codes[a:b]] for a, b in zip(edges[:-1], edges[1:])]
+            assert got == [[*t.encode().lower().split(), b""] for t in some]
+            assert words[codes[0]] == b"" and edges[0] == 1 and edges[-1] == len(codes)
+
+
+def test_contexts_are_put_together_over_batches(spark):
+    """One row a clustered word and task, not one a batch, with a byte for each neighbour of all its occurrences."""
+    from evenweave.session import new_run_dir
+
+    texts = [prose(s, 300, 900) for s in range(40)]
+    training = table(spark, list(enumerate(texts))).select("doc_id", "text").coalesce(1)
+    model, _ = brown_lm.learn(training, new_run_dir(spark))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        rows = brown_lm._contexts(training, model.clusters).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    got = {r.slot: collections.Counter(bytes(r.seen)) for r in rows if r.slot >= 0}
+    assert len(got) == sum(r.slot >= 0 for r in rows) == len(model.clusters.hashes)
+    k, classes, want = model.clusters.size(), model.clusters.table(), collections.defaultdict(collections.Counter)
+    for t in texts:
+        ws = [b"", *t.encode().lower().split(), b""]
+        for a, w, b in zip(ws, ws[1:], ws[2:]):
+            if classes.slot(w) >= 0:
+                want[classes.slot(w)].update([classes[a], k + classes[b]])
+    assert got == want
+
+
 def test_exchange_finds_classes():
     r = np.random.default_rng(0)
     pairs = np.zeros((42, 42))
