@@ -10,12 +10,16 @@ removed from the later places. All is judged on the texts as they come in. Match
    are covered whole. So interiors of copies and shared passages are settled by a window over 16 bytes a row, and
    their number of copies costs nothing later. Anchors that many documents share are salted: first the earliest place of each salt,
    then of these.
-3. Where an anchor has several classes, the contexts of the classes' first places are read and joined by gram. A task
+3. Where an anchor has several classes, the contexts of the classes' first places are read, as far as their passages choose this
+   anchor (a passage lies in one context only, also where a text repeats itself every few bytes), and joined by gram. A task
    sorts their suffixes into a suffix array with common-prefix lengths, and scans it with a stack for the intervals of at
    least ``LEAST`` bytes. An interval whose places are preceded by different bytes is a maximal repeat, with all its
    places. Suffixes in no such interval are left out before sorting.
-4. An anchor with more classes than a task should hold (``GROUP``, or a 2^16th of all) is settled by its passages: the hash
-   of every ``LEAST`` bytes of a context, again salted.
+4. An anchor with more classes than a task should hold (``GROUP``, or a 2^16th of all) is divided. The passages of a context are
+   taken in at most two parts; all passages of a part have its middle bytes in common, 65 with the gram among them,
+   so equal passages lie in parts of equal middles. Parts whose middle no other has are done, few equal ones go through 3, and
+   only those that are again too many are divided further: six passages at a time, with 95 bytes in common, and at last one by
+   one by their hashes, again salted.
 
 Results are exact but for collisions of 128-bit hashes. Texts are read again only for documents that hold a first place of
 3 and 4 or lose some but not all bytes. Ids are integers; null ids come before all others. Rows that share an id count in the
@@ -40,6 +44,7 @@ GRAM = 32
 GROUP = 1024  # contexts of one gram that a task may hold
 MOST_HOT = 1 << 16  # grams treated apart because they hold more than this share of all rows
 SALTS = 64
+FINE = 6  # passages of a crowded gram taken together before they are told apart one by one
 UNIT = 2048  # contexts solved together
 CHUNK = 1 << 17  # symbols hashed at once; arrays of this size stay in a core's cache
 _OUTSIDE = 256  # the symbol before and behind a text
@@ -152,6 +157,23 @@ def _anchors_of(segments: list, least: int, gram: int) -> tuple[np.ndarray, ...]
     return documents[of], place - np.array(origin)[of], _final(h[place] * _ODD), _final(ctx)
 
 
+def own_passages(pieces: list[bytes], leads: list[int], least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """Of contexts whose anchors lie ``leads`` bytes behind their start: first passage that chooses the anchor, and number of these."""
+    before, width = least - gram, 2 * least - gram
+    shift = before - np.array(leads, np.int64)  # all anchors in one column
+    flat = b"".join((bytes(a) + p).ljust(width, b"\0") for a, p in zip(shift.tolist(), pieces))
+    h = window_hashes(np.frombuffer(flat, np.uint8).astype(np.int32), gram) & ~_LOW
+    h = np.concatenate([h, np.zeros(gram - 1, np.uint64)]).reshape(-1, width)[:, : width - gram + 1]
+    ends = shift + np.array([len(p) for p in pieces])
+    column = np.arange(before)
+    own = h[:, before, None]
+    left = (h[:, :before] < own) & (column >= shift[:, None])
+    first = np.maximum(shift, np.where(left, column + 1, 0).max(axis=1))
+    right = (h[:, before + 1 :] <= own) & (column + before + 1 + gram <= ends[:, None])
+    last = np.minimum(np.where(right, column, before).min(axis=1), ends - least)
+    return first - shift, last - first + 1
+
+
 # --- maximal repeats of the contexts of one task -----------------------------------------------------------------------
 
 _MIXED = -1
@@ -330,7 +352,11 @@ def _earliest_salted(rows: DataFrame, keys: list[str], path: str, place: tuple[s
 
 
 def _contexts(texts: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """fp, hot, d, row, place, piece for the ``wanted`` anchors (fp, hot, d, row, pos)."""
+    """fp, hot, d, row, start, place, piece for the ``wanted`` anchors (fp, hot, d, row, pos).
+
+    A piece, from ``place`` on, holds those passages that choose the anchor, so every passage of a text lies in one piece only.
+    ``start`` is as far before the anchor as a passage can begin, negative if the text begins later.
+    """
     lists = wanted.groupBy("d", "row").agg(F.collect_list(F.struct("fp", "hot", "pos")).alias("places"))
     met = maybe_in(texts, "row", bit_table(wanted, "row")).join(lists, ["d", "row"]).select("d", "row", "text", "places")
     before = least - GRAM
@@ -338,19 +364,28 @@ def _contexts(texts: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
+            leads: list[int] = []
             d, row = batch.column("d").to_pylist(), batch.column("row").to_pylist()
             for i, text in enumerate(utf8(batch.column("text"))):
                 flat = batch.column("places")[i].values
                 fps, hots, places = (flat.field(k).to_pylist() for k in range(3))
                 for fp, hot, pos in zip(fps, hots, places):
-                    low = max(0, pos - before)
-                    for column, value in zip(out, (fp, hot, d[i], row[i], low, text[low : pos + least])):
+                    leads.append(min(pos, before))
+                    piece = text[pos - leads[-1] : pos + least]
+                    for column, value in zip(out, (fp, hot, d[i], row[i], pos - before, piece)):
                         column.append(value)
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            pieces, places = out.pop(), []
+            for a in range(0, len(pieces), UNIT):
+                some = slice(a, a + UNIT)
+                first, count = (c.tolist() for c in own_passages(pieces[some], leads[some], least))
+                pieces[some] = [p[f : f + n - 1 + least] for p, f, n in zip(pieces[some], first, count)]
+                places += [s + before - lead + f for s, lead, f in zip(out[4][some], leads[some], first)]
+            out += [places, pieces]
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    names = ["fp", "hot", "d", "row", "place", "piece"]
-    return met.mapInArrow(run, "fp long, hot boolean, d long, row long, place int, piece binary")
+    names = ["fp", "hot", "d", "row", "start", "place", "piece"]
+    return met.mapInArrow(run, "fp long, hot boolean, d long, row long, start int, place int, piece binary")
 
 
 def _repeats_by_suffix(contexts: DataFrame, least: int) -> DataFrame:
@@ -378,31 +413,71 @@ def _repeats_by_suffix(contexts: DataFrame, least: int) -> DataFrame:
     return contexts.select("fp", "d", "row", "place", "piece").repartition("fp").sortWithinPartitions("fp").mapInArrow(run, _SPAN)
 
 
-def _repeats_by_passage(contexts: DataFrame, least: int, path: str) -> DataFrame:
-    """Covered stretches from the hashes of all passages of the contexts, for grams with very many contexts."""
+def _parts(contexts: DataFrame, width: int, least: int) -> DataFrame:
+    """one, two, d, row, start, place, piece: the passages of contexts (d, row, start, place, piece), ``width`` at a time.
+
+    ``one`` and ``two`` hash the bytes that all passages of a part have in common. Parts are counted from ``start``, so that of
+    contexts aligned by their gram equal passages come into like parts. Of single passages there is no piece.
+    """
+    common = least - width + 1
+    kinds = "one long, two long, d long, row long, start int, place int" + (", piece binary" if width > 1 else "")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pieces = batch.column("piece").to_pylist()
-            symbols = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int32)
+            flat = b"".join(pieces)
+            symbols = np.frombuffer(flat, np.uint8).astype(np.int32)
             sizes = np.array([len(p) for p in pieces], np.int64)
-            count = sizes - least + 1
+            d, row, start, place = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("d", "row", "start", "place"))
+            last = place + sizes - least
+            skipped = (place - start) // width
+            count = (last - start) // width - skipped + 1
             of = np.repeat(np.arange(len(pieces)), count)
-            offset = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-            at = (np.cumsum(sizes) - sizes)[of] + offset
-            one = window_hashes(symbols, least)[at] if len(at) else np.zeros(0, np.uint64)
-            two = window_hashes(symbols + 1, least)[at] if len(at) else one
-            d, row, place = (batch.column(c).to_numpy(zero_copy_only=False)[of] for c in ("d", "row", "place"))
-            yield _records({"one": one.view(np.int64), "two": two.view(np.int64), "salt": (row % SALTS).astype(np.int32),
-                            "d": d, "row": row, "pos": (place + offset).astype(np.int32)})
-
-    rows = contexts.mapInArrow(run, "one long, two long, salt int, d long, row long, pos int")
-    later = _earliest_salted(rows, ["one", "two"], path).where("NOT own")
-    return later.select("d", "row", F.col("pos").alias("start"), (F.col("pos") + least).alias("end"))
+            nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + skipped[of]
+            begin = start[of] + nth * width
+            origin = (np.cumsum(sizes) - sizes - place)[of]  # of places of the text among the symbols
+            at = origin + begin + width - 1
+            one = window_hashes(symbols, common)[at] if len(at) else np.zeros(0, np.uint64)
+            two = window_hashes(symbols + 1, common)[at] if len(at) else one
+            first, final = np.maximum(begin, place[of]), np.minimum(begin + width - 1, last[of])
+            columns = {"one": one.view(np.int64), "two": two.view(np.int64), "d": d[of], "row": row[of],
+                       "start": begin.astype(np.int32), "place": first.astype(np.int32)}
+            if width > 1:
+                ends = zip((origin + first).tolist(), (origin + final + least).tolist())
+                columns["piece"] = pa.array([flat[a:b] for a, b in ends], pa.binary())
+            yield _records(columns)
+
+    return contexts.select("d", "row", "start", "place", "piece").mapInArrow(run, kinds)
+
+
+def _repeats_by_parts(contexts: DataFrame, least: int, path: str, widths: list[int]) -> DataFrame:
+    """Covered stretches of contexts that are too many for a task: by parts of their passages, only crowded ones divided further."""
+    width, *narrower = widths
+    keys = ["one", "two"]
+    parts = _parts(contexts, width, least)
+    if not narrower:
+        salted = parts.withColumn("salt", F.expr(f"cast(pmod(row, {SALTS}) as int)"))
+        later = _earliest_salted(salted, keys, f"{path}/passages", ("d", "row", "place")).where("NOT own")
+        return later.select("d", "row", F.col("place").alias("start"), (F.col("place") + least).alias("end"))
+    counts = materialize(parts.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1"), f"{path}/parts_{width}")
+    bound = _bound(counts.agg(F.sum("n")).first()[0] or 0)
+    few, crowd = counts.where(F.col("n") <= bound).select(*keys), counts.where(F.col("n") > bound).select(*keys)
+    some = maybe_in(parts.join(F.broadcast(crowd), keys, "left_anti"), "one", bit_table(few, "one")).join(few, keys)
+    spans = _repeats_by_suffix(some.withColumn("fp", F.col("one")), least)
+    if crowd.isEmpty():
+        return spans
+    rest = materialize(parts.join(F.broadcast(crowd), keys), f"{path}/crowded_{width}")
+    return spans.union(_repeats_by_parts(rest, least, path, narrower))
+
+
+def _bound(total: int) -> int:
+    """Rows of one key that a task may hold; at most ``MOST_HOT`` keys have more."""
+    return max(GROUP, total // MOST_HOT)
 
 
 def _hot(counts: DataFrame, total: int) -> tuple[list[tuple[int, int]], int]:
     """Grams that hold more rows than a task should, at most ``MOST_HOT`` of them, with a number of parts; and that bound."""
-    bound = max(GROUP, total // MOST_HOT)
+    bound = _bound(total)
     rows = counts.where(F.col("n") > bound).select("fp", F.ceil(F.col("n") / bound).alias("parts"))
     return [(r["fp"], r["parts"]) for r in rows.collect()], bound
 
@@ -435,7 +510,8 @@ def removed_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     contexts = materialize(_contexts(texts, wanted, least), f"{run}/contexts")
     spans = covered.union(_repeats_by_suffix(contexts.where("NOT hot"), least))
     if crowded:
-        spans = spans.union(_repeats_by_passage(contexts.where("hot"), least, f"{run}/passages"))
+        half = -(-(least - GRAM + 1) // 2 // FINE) * FINE
+        spans = spans.union(_repeats_by_parts(contexts.where("hot"), least, run, [half, FINE, 1]))
 
     lists = spans.groupBy("d", "row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     sizes = texts.select("d", "row", F.octet_length("text").alias("n_bytes")).distinct()

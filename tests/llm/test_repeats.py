@@ -144,6 +144,73 @@ def test_common_grams_are_settled_the_same_way(spark, monkeypatch):
     check(spark, passages(120, seed=4))
 
 
+def test_every_passage_lies_in_the_piece_of_one_anchor():
+    """Also of texts that repeat themselves every few bytes, which have an anchor every few bytes."""
+    r = random.Random(5)
+    texts = [b"the " * 200, bytes(r.choices(b"ab ", k=900)), b"x" * 300 + bytes(r.choices(b"abcdefg ", k=400)) + b"the " * 90, b"q" * 100]
+    doc, pos, _, _ = (c.tolist() for c in repeats.anchors(texts))
+    leads = [min(p, 68) for p in pos]
+    first, count = repeats.own_passages([texts[d][p - n : p + 100] for d, p, n in zip(doc, pos, leads)], leads)
+    got = collections.Counter((d, p - n + f + i) for d, p, n, f, c in zip(doc, pos, leads, first.tolist(), count.tolist()) for i in range(c))
+    assert got == collections.Counter((d, s) for d, t in enumerate(texts) for s in range(len(t) - 99))
+
+
+def rows_written(monkeypatch):
+    written = collections.Counter()
+
+    def materialize(df, path, real=repeats.materialize):
+        out = real(df, path)
+        written[path.rsplit("/", 1)[1]] += out.count()
+        return out
+
+    monkeypatch.setattr(repeats, "materialize", materialize)
+    return written
+
+
+def grams(text):
+    return repeats.window_hashes(np.frombuffer(text.encode(), np.uint8).astype(np.int32), repeats.GRAM)
+
+
+def unlike(r, k):
+    return "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=k))
+
+
+def test_a_crowded_gram_makes_two_rows_a_context_unless_more_is_shared(spark, monkeypatch):
+    """A phrase of 40 bytes, chosen for a gram of small hash, between different words: no passage of it is shared, so none is written."""
+    r = random.Random(11)
+    phrase = min((unlike(r, 40) for _ in range(400)), key=lambda t: grams(t).min())
+    rows = [(i, f"{unlike(r, 120)}{phrase}{unlike(r, 120)}") for i in range(60)]
+    rows += [(100, rows[3][1][30:250]), (101, rows[4][1][100:])]
+    monkeypatch.setattr(repeats, "GROUP", 8)
+    written = rows_written(monkeypatch)
+    check(spark, rows)
+    assert written["wanted"] >= 50
+    assert written["passages"] + sum(n for k, n in written.items() if k.startswith(("parts", "crowded"))) <= 2 * written["wanted"]
+
+
+def test_a_crowded_gram_of_a_run_of_one_word(spark, monkeypatch):
+    """Anchors every four bytes: each passage of the runs is written once, not once an anchor."""
+    r = random.Random(12)
+    rows = [(i, unlike(r, 80) + " the" * r.randrange(40, 60) + " " + unlike(r, 80)) for i in range(40)]
+    monkeypatch.setattr(repeats, "GROUP", 8)
+    written = rows_written(monkeypatch)
+    check(spark, rows)
+    assert 0 < written["passages"] <= sum(len(t) - 99 for _, t in rows)
+
+
+@pytest.mark.parametrize("group", [3, 12])
+def test_crowded_grams_of_near_copies(spark, monkeypatch, group):
+    """Parts that few share go to the suffix arrays, crowded ones down to single passages."""
+    r = random.Random(group)
+    near = unlike(r, 700)
+    rows = [(i, "".join(c if r.random() > 0.012 else "#" for c in near[r.randrange(60) :])) for i in range(60)]
+    rows += [(100 + i, t) for i, (_, t) in enumerate(passages(60, seed=7))]
+    monkeypatch.setattr(repeats, "GROUP", group)
+    written = rows_written(monkeypatch)
+    check(spark, rows)
+    assert written["crowded_36"]
+
+
 def test_rows_that_share_an_id(spark):
     """They count in the order of the hashes of their texts: of what two share, one keeps all and one loses it."""
     shared = " ".join(str(n * n) for n in range(300, 340))
