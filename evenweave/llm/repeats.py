@@ -459,15 +459,15 @@ def _repeats_by_parts(contexts: DataFrame, least: int, path: str, widths: list[i
         salted = parts.withColumn("salt", F.expr(f"cast(pmod(row, {SALTS}) as int)"))
         later = _earliest_salted(salted, keys, f"{path}/passages", ("d", "row", "place")).where("NOT own")
         return later.select("d", "row", F.col("place").alias("start"), (F.col("place") + least).alias("end"))
-    counts = materialize(parts.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1"), f"{path}/parts_{width}")
+    parts = materialize(parts, f"{path}/parts_{width}")
+    counts = materialize(parts.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1"), f"{path}/shared_{width}")
     bound = _bound(counts.agg(F.sum("n")).first()[0] or 0)
     few, crowd = counts.where(F.col("n") <= bound).select(*keys), counts.where(F.col("n") > bound).select(*keys)
     some = maybe_in(parts.join(F.broadcast(crowd), keys, "left_anti"), "one", bit_table(few, "one")).join(few, keys)
     spans = _repeats_by_suffix(some.withColumn("fp", F.col("one")), least)
     if crowd.isEmpty():
         return spans
-    rest = materialize(parts.join(F.broadcast(crowd), keys), f"{path}/crowded_{width}")
-    return spans.union(_repeats_by_parts(rest, least, path, narrower))
+    return spans.union(_repeats_by_parts(parts.join(F.broadcast(crowd), keys), least, path, narrower))
 
 
 def _bound(total: int) -> int:
