@@ -10,10 +10,12 @@ Distance 1 - |A n B| / |A u B| is a metric; two documents link at a distance of
    first, and of k - 1 more, k = ``least_meetings(n)``: two linked sets meet in at least min(k, k') regions, and no other
    replication is needed.
 2. Linked sets differ in size by a quarter of the larger at most. In a region of few sets all pairs whose sizes allow a link
-   have met; pairs that meet too seldom are no candidates. In other regions the sets are ordered by size, and
-   neighbours in that order are connected unless they differ by more. If a linked pair does not meet often enough
-   in small regions, it meets in some other and is connected there. What is connected forms a candidate group. Only
-   these texts are read again.
+   have met. In other regions, which grow with the corpus, pairs are not listed; there only the number of such regions
+   is known for each set, and two sets meet in no more of them than the one in fewer. Pairs that, with these,
+   meet too seldom are no candidates. A linked pair that meets in no region of few sets meets in enough others, so
+   sets in as many others as that are ordered by size in each, and neighbours in that order are connected unless they
+   differ by more. Texts that only share a passage are in too few. What is connected forms a candidate group.
+   Only these texts are read again.
 3. Inside a group, documents are pivots. Groups that no task should hold fall apart as Spark rows (``metric_rounds``): sets
    linked to a pivot are connected at once, and only what the triangle inequality leaves is compared on. Within a task
    every set goes to its nearest pivot's region, and also to any other pivot's region no more than twice the radius
@@ -217,21 +219,36 @@ def _candidate_edges(regions: DataFrame, run: str, percent: int) -> DataFrame:
     def near(low: str, high: str):
         return size(low) * 100 >= size(high) * percent
 
+    def least(n):
+        return 1 + F.floor(n / MEETING)
+
     once = regions.withColumn("before", F.lag("key").over(order)).where("before IS NULL OR before <> key")
     met = once.withColumns({"before": F.lag("key").over(order), "next": F.lead("key").over(order)})
     met = met.where(salted | near("before", "key") | near("key", "next"))
-    met = met.withColumns({
-        "rows": F.count("*").over(Window.partitionBy("pivot")), "top": F.when(salted, F.min("key").over(Window.partitionBy("pivot"))),
-        "others": F.collect_list("key").over(order.rowsBetween(-(FEW - 1), -1))})
-    met = materialize(met.select("pivot", "key", "before", "rows", "top", "others"), f"{run}/met")
-
-    # Regions of few sets: pairs, and how often they met.
-    pairs = met.where(F.col("top").isNull() & (F.col("rows") <= FEW)).select(F.col("key").alias("a"), F.explode("others").alias("b"))
-    least = F.least(*(1 + F.floor(size(c) / MEETING) for c in ("a", "b")))
-    often = pairs.where(near("b", "a")).groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("a", "b")
-    # Larger ones: chains by size. Salted pivots: a star per salt, and a star of the stars.
-    chains = met.where(F.col("top").isNull() & (F.col("rows") > FEW) & near("before", "key")).select("key", "before")
-    hot = met.where("top IS NOT NULL")
+    met = met.withColumn("few", ~salted & (F.count("*").over(Window.partitionBy("pivot")) <= FEW))
+    others = F.when(F.col("few"), F.collect_list("key").over(order.rowsBetween(-(FEW - 1), -1)))
+    met = materialize(met.select("pivot", "key", "few", others.alias("others")), f"{run}/met")
+
+    # Larger regions, and in how many of them a set is.
+    crowded = met.where("NOT few").select("pivot", "key", F.count("*").over(Window.partitionBy("key")).alias("crowded"))
+    crowded = materialize(crowded, f"{run}/crowded")
+    counts = crowded.groupBy("key").agg(F.first("crowded").alias("crowded"))
+
+    # Regions of few sets: pairs, how often they met, and how often they may have met in larger ones.
+    pairs = met.where("few").select(F.col("key").alias("a"), F.explode("others").alias("b"))
+    pairs = pairs.where(near("b", "a")).groupBy("a", "b").agg(F.count("*").alias("n"))
+    for c in ("a", "b"):
+        pairs = pairs.join(counts.select(F.col("key").alias(c), F.col("crowded").alias(f"in_{c}")), c, "left")
+    elsewhere = F.least(*(F.coalesce(f"in_{c}", F.lit(0)) for c in ("a", "b")))
+    often = pairs.where(F.col("n") + elsewhere >= F.least(*(least(size(c)) for c in ("a", "b")))).select("a", "b")
+    # Pairs that met in larger ones only: both sets are in as many as the smallest set linked to them meets others in.
+    enough = crowded.where(F.col("crowded") >= least(F.ceil(size("key") * percent / 100)))
+    chained = enough.select("pivot", "key", F.lag("key").over(order).alias("before"), F.when(
+        salted, F.min("key").over(Window.partitionBy("pivot"))).alias("top"))
+    chained = materialize(chained, f"{run}/chained")
+    # Chains by size. Salted pivots: a star per salt, and a star of the stars.
+    chains = chained.where(F.col("top").isNull() & near("before", "key")).select("key", "before")
+    hot = chained.where("top IS NOT NULL")
     tops = hot.where("key = top").select(F.shiftright("pivot", SALT_BITS).alias("pivot"), "top").distinct()
     tops = tops.withColumn("first", F.min("top").over(Window.partitionBy("pivot")))
     return often.union(chains).union(hot.select("key", "top")).union(tops.select("top", "first")).where("a > b")

@@ -258,6 +258,56 @@ def test_near_duplicates_in_large_groups(spark, monkeypatch, block):
     same(jaccard_join.near_duplicates(table(spark, rows)), COMPONENT, near_groups(rows))
 
 
+def quoting(seed, n, words, quotes):
+    """Texts with nothing in common but a passage, which each takes from ``quotes`` in turn."""
+    r = random.Random(seed)
+    texts = [[f"u{r.randrange(10**9)}" for _ in range(words)] for _ in range(n)]
+    return [" ".join(t[: words // 2] + quotes[k % len(quotes)] + t[words // 2 :]) for k, t in enumerate(texts)]
+
+
+def test_a_shared_passage_makes_no_candidates(spark):
+    """Passages that more than ``FEW`` texts quote connect none of them; families of more than that stay whole."""
+    quotes = [[f"q{k}_{j}" for j in range(15)] for k in range(3)]
+    texts = quoting(21, 90, 320, quotes)
+    kept = [i for i in (0, 31, 62) for _ in range(24)]  # each of another passage
+    r = random.Random(22)
+    for i in kept:
+        w = texts[i].split()
+        w[r.randrange(len(w))] = f"e{r.randrange(10**9)}"
+        texts.append(" ".join(w))
+    base = table(spark, list(enumerate(texts))).select("doc_id", "text")
+    unknown = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    regions = jaccard_join._regions(base, unknown, unknown, 5, 75)
+    assert regions.groupBy("pivot").count().where(F.col("count") > jaccard_join.FEW).count() > 0
+    got = union_find((e[0], e[1]) for e in jaccard_join._candidate_edges(regions, new_run_dir(spark), 75).collect())
+    keys = [jaccard_join.near_key(jaccard_join.set_key(u), len(u)) for u in (jaccard_join.shingles_of(t.encode(), 5)[0] for t in texts)]
+    families = collections.defaultdict(set)
+    for k, i in enumerate([*range(90), *kept]):
+        families[i].add(keys[k])
+    want = {frozenset(f) for f in families.values() if len(f) > 1}
+    groups = collections.defaultdict(set)
+    for k, top in got.items():
+        groups[top].add(k)
+    assert {frozenset(g) for g in groups.values()} == want
+
+
+@pytest.mark.parametrize("few", [1, 3])
+def test_no_link_is_lost_between_crowded_regions(spark, monkeypatch, few):
+    """Families of all sizes that quote the same passages: some pairs meet in small regions only, some in large, some in both."""
+    monkeypatch.setattr(jaccard_join, "FEW", few)
+    quotes = [prose(s, 60, 10**6).split() for s in range(60, 64)]
+    texts = quoting(23, 12, 100, quotes) + quoting(24, 12, 30, quotes)
+    r = random.Random(25)
+    for i in range(24):
+        for _ in range(i % 6):
+            w = texts[i].split()
+            for _ in range(r.randrange(1, 5)):
+                w[r.randrange(len(w))] = f"e{r.randrange(10**9)}"
+            texts.append(" ".join(w + [f"t{k}" for k in range(r.randrange(12))]))
+    rows = list(enumerate(texts))
+    same(jaccard_join.near_duplicates(table(spark, rows)), COMPONENT, near_groups(rows))
+
+
 def test_metric_join_is_exact():
     r = random.Random(3)
     sets = [np.unique(np.array([hash(x) % 2**62 for x in shingles(t)], np.uint64)) for t in family(4, 150, 60, 9)]
