@@ -9,8 +9,8 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from evenweave.llm.queries import corpus_oracles, corpus_queries
 from oracle import compare, duck
-from test_llm_operators import above, base_measures, base_spans, expected_fences, near_groups, sample_texts, table
-from evenweave.llm import fertility, packing, units
+from test_llm_operators import above, base_measures, base_spans, expected_fences, near_groups, quoting, sample_texts, table
+from evenweave.llm import fertility, jaccard_join, metric_rounds, packing, units
 
 
 def test_registry():
@@ -87,3 +87,19 @@ def test_pipeline(spark, sf_dir, source):
         got[r.doc_id, r.doc_tokens] += r.length
     assert got == collections.Counter({k: k[1] * n for k, n in want.items()})
     assert max(r.offset + r.length for r in packed) <= packing.LENGTH
+
+
+def test_near_stage_deals_out_no_texts_that_share_a_passage(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(metric_rounds, "BLOCK", 8)
+    seen, rounds = [], jaccard_join.regions_to_compare
+
+    def counted(*args):
+        found = rounds(*args)
+        seen.append(found[2])
+        return found
+
+    monkeypatch.setattr(jaccard_join, "regions_to_compare", counted)
+    texts = quoting(31, 60, 320, [[f"q{k}_{j}" for j in range(15)] for k in range(2)])
+    docs = table(spark, [*enumerate(texts), (60, texts[0] + " tail")])
+    got = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near dedup"](spark, docs, sf_dir).collect()}
+    assert got == set(range(60)) and seen == [{"rounds": 0, "in rounds": 0, "in block pairs": 0}]
